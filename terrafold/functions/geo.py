@@ -1,4 +1,4 @@
-"""Geometry as nested arrays kept inside the row.
+"""Geometry as nested arrays kept inside the row, as Spark SQL expressions.
 
 A shape is ``array<array<array<struct<x:double,y:double>>>>``: parts, rings
 (ring 0 of a part is its shell, the rest are holes), points (x = longitude,
@@ -7,12 +7,17 @@ cleaning, orientation, area and the reduction ladder are narrow JVM
 expressions (higher-order functions) -- no explode, no shuffle, no regroup.
 Only Douglas-Peucker significance and the crossing test run in Python,
 as Arrow-batched scalar UDFs over whole rows (see ``geo_udf``).
+
+The builders return SQL text (wrap with ``F.expr``): one parse on the JVM
+instead of hundreds of Column round trips. Catalyst does not share common
+subexpressions inside lambdas, so any argument used twice must be a column
+or lambda variable; intermediates are bound once with :func:`let`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import itertools
+
 from pyspark.sql import types as T
 
 # --- fixed values -------------------------------------------------------------
@@ -27,157 +32,217 @@ SHAPE = T.ArrayType(T.ArrayType(RING))
 PART_RE = r"\(\s*(\([^()]*\)(?:\s*,\s*\([^()]*\))*)\s*\)"
 RING_RE = r"\(([^()]*)\)"
 
+_ids = itertools.count()
+_HALF_R2 = repr(-EARTH_RADIUS_M * EARTH_RADIUS_M / 2.0)
+
+
+def _v(prefix: str = "v") -> str:
+    """A fresh lambda variable name."""
+    return f"{prefix}_{next(_ids)}"
+
+
+def col(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
 
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def let(value: str, body) -> str:
+    """Evaluate ``value`` once, bind it to a variable, return ``body(var)``."""
+    v = _v("l")
+    return f"get(transform(array({value}), {v} -> {body(v)}), 0)"
 
 
-def wkt_kind(wkt) -> Column:
-    return F.upper(F.regexp_extract(_c(wkt), r"^\s*([A-Za-z]+)\s*\(", 1))
+def _raw(s: str) -> str:
+    return "r'" + s + "'"
 
 
-def parse_wkt(wkt) -> Column:
-    """G1: POLYGON / MULTIPOLYGON text -> shape. Coordinates that are not
-    numbers become NULL points (see :func:`wkt_problem`)."""
-    def point(pt):
-        xy = F.split(F.trim(pt), r"\s+")
-        return F.when(F.size(xy) == 2, F.struct(
-            F.get(xy, 0).try_cast("double").alias("x"),
-            F.get(xy, 1).try_cast("double").alias("y")))
+def ring_points(r: str) -> str:
+    """'x y, x y, ...' -> points, with one split per ring. A ring whose
+    number count is not twice its comma count (3-D or broken points) is
+    NULL. ``r`` must be a variable or column."""
+    i = _v("i")
 
-    def ring(r):
-        return F.transform(F.split(F.trim(r), r"\s*,\s*"), point)
+    def build(ns):
+        n_pts = f"(length({r}) - length(replace({r}, ',', '')) + 1)"
+        return (f"CASE WHEN size({ns}) = 2 * {n_pts} THEN transform(sequence(0, size({ns}) div 2 - 1), {i} -> "
+                f"named_struct('x', try_cast(get({ns}, 2 * {i}) AS DOUBLE), "
+                f"'y', try_cast(get({ns}, 2 * {i} + 1) AS DOUBLE))) END")
+    return let(f"split(trim({r}), {_raw(r'[\s,]+')})", build)
 
-    def part(p):
-        return F.transform(F.regexp_extract_all(p, F.lit(RING_RE), F.lit(1)), ring)
 
-    return F.transform(F.regexp_extract_all(_c(wkt), F.lit(PART_RE), F.lit(1)), part)
+def parse_wkt(w: str) -> str:
+    """G1: POLYGON / MULTIPOLYGON text -> shape (see :func:`wkt_problem`)."""
+    p, r = _v("p"), _v("r")
+    return (f"transform(regexp_extract_all({w}, {_raw(PART_RE)}, 1), {p} -> "
+            f"transform(regexp_extract_all({p}, {_raw(RING_RE)}, 1), {r} -> {ring_points(r)}))")
 
 
-def wkt_problem(wkt, shape) -> Column:
+def wkt_kind(w: str) -> str:
+    return f"upper(regexp_extract({w}, {_raw(r'^\s*([A-Za-z]+)\s*\(')}, 1))"
+
+
+def wkt_problem(w: str, s: str) -> str:
     """Why a text is rejected, or NULL. Structure is checked by counting:
     the parentheses must be exactly those of the parts and rings found, and
     every point must be two numbers. (A single whole-text regex would
     recurse once per point in Java's engine and overflow on big rings.)"""
-    wkt, shape = _c(wkt), _c(shape)
-    kind = wkt_kind(wkt)
-    n_rings = F.aggregate(shape, F.lit(0), lambda acc, p: acc + F.size(p))
-    n_open = F.length(wkt) - F.length(F.regexp_replace(wkt, r"\(", ""))
-    n_close = F.length(wkt) - F.length(F.regexp_replace(wkt, r"\)", ""))
-    expected = F.when(kind == "POLYGON", 1 + n_rings).otherwise(1 + F.size(shape) + n_rings)
-    bad_point = F.exists(shape, lambda p: F.exists(p, lambda r: F.exists(
-        r, lambda q: q.isNull() | q["x"].isNull() | q["y"].isNull())))
-    return (F.when(wkt.isNull(), F.lit("null text"))
-            .when(~kind.isin("POLYGON", "MULTIPOLYGON"), F.lit("unsupported type"))
-            .when(~wkt.rlike(r"^[\sA-Za-z0-9.,()+\-]*$"), F.lit("unexpected character"))
-            .when(F.size(shape) == 0, F.lit("no polygon"))
-            .when((kind == "POLYGON") & (F.size(shape) != 1), F.lit("malformed polygon"))
-            .when((n_open != expected) | (n_close != expected), F.lit("unbalanced parentheses"))
-            .when(bad_point, F.lit("bad coordinate")))
-
-
-def _dlon(a, b) -> Column:
-    """Longitude step in radians, unwrapped into [-180, 180) degrees so a
-    ring crossing the antimeridian takes the short way."""
-    return F.radians(F.pmod(b["x"] - a["x"] + 180.0, F.lit(360.0)) - 180.0)
-
-
-def ring_signed_area(r) -> Column:
+    acc, p, p2, r, q = _v("acc"), _v("p"), _v("p"), _v("r"), _v("q")
+    kind = wkt_kind(w)
+    n_rings = f"aggregate({s}, 0, ({acc}, {p}) -> {acc} + size({p}))"
+    n_open = f"(length({w}) - length(replace({w}, '(', '')))"
+    n_close = f"(length({w}) - length(replace({w}, ')', '')))"
+    bad_point = (f"exists({s}, {p2} -> exists({p2}, {r} -> {r} IS NULL OR "
+                 f"exists({r}, {q} -> {q}.x IS NULL OR {q}.y IS NULL)))")
+
+    def body(k):
+        expected = f"(CASE WHEN {k} = 'POLYGON' THEN 1 + {n_rings} ELSE 1 + size({s}) + {n_rings} END)"
+        return (f"CASE WHEN {w} IS NULL THEN 'null text' "
+                f"WHEN {k} NOT IN ('POLYGON', 'MULTIPOLYGON') THEN 'unsupported type' "
+                f"WHEN NOT {w} RLIKE {_raw(r'^[\sA-Za-z0-9.,()+\-]*$')} THEN 'unexpected character' "
+                f"WHEN size({s}) = 0 THEN 'no polygon' "
+                f"WHEN {k} = 'POLYGON' AND size({s}) != 1 THEN 'malformed polygon' "
+                f"WHEN {n_open} != {expected} OR {n_close} != {expected} THEN 'unbalanced parentheses' "
+                f"WHEN {bad_point} THEN 'bad coordinate' END")
+    return let(kind, body)
+
+
+def ring_signed_area(r: str) -> str:
     """Spherical ring area, m^2, positive when counter-clockwise.
 
     A = -R^2/2 * sum (lon2 - lon1)(2 + sin lat1 + sin lat2) over the edges
-    (Chamberlain & Duquette, JPL Publication 07-03)."""
-    r = _c(r)
-    m = F.greatest(F.size(r) - 1, F.lit(0))
-    terms = F.zip_with(F.slice(r, 1, m), F.slice(r, 2, m),
-                       lambda a, b: _dlon(a, b) * (2.0 + F.sin(F.radians(a["y"])) + F.sin(F.radians(b["y"]))))
-    total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t)
-    return total * F.lit(-EARTH_RADIUS_M * EARTH_RADIUS_M / 2.0)
+    (Chamberlain & Duquette, JPL Publication 07-03); the longitude step is
+    unwrapped into [-180, 180) so a ring crossing the antimeridian takes
+    the short way. ``r`` must be a variable or column."""
+    a, b, acc, t = _v("a"), _v("b"), _v("acc"), _v("t")
+    m = f"greatest(size({r}) - 1, 0)"
+    terms = (f"zip_with(slice({r}, 1, {m}), slice({r}, 2, {m}), ({a}, {b}) -> "
+             f"radians(pmod({b}.x - {a}.x + 180D, 360D) - 180D) * (2D + sin(radians({a}.y)) + sin(radians({b}.y))))")
+    return f"(aggregate({terms}, 0D, ({acc}, {t}) -> {acc} + {t}) * {_HALF_R2})"
 
 
-def clean_ring(r) -> Column:
+def clean_ring(r: str) -> str:
     """G2 for one ring: drop consecutive repeated points, close it."""
-    r = _c(r)
-    d = F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1)))
-    return F.when(F.size(d) == 0, d).when(
-        F.get(d, 0) != F.get(d, F.size(d) - 1), F.concat(d, F.array(F.get(d, 0)))).otherwise(d)
+    p, i = _v("p"), _v("i")
+    dedup = f"filter({r}, ({p}, {i}) -> {i} = 0 OR {p} != get({r}, {i} - 1))"
+    return let(dedup, lambda d: f"CASE WHEN size({d}) > 0 AND get({d}, 0) != get({d}, size({d}) - 1) "
+                                f"THEN concat({d}, array(get({d}, 0))) ELSE {d} END")
+
+
+def _rich_ring(r: str) -> str:
+    """Clean one ring and pair it with its signed area: struct(pts, a)."""
+    return let(clean_ring(r), lambda c: f"named_struct('pts', {c}, 'a', {ring_signed_area(c)})")
+
+
+def _ok(q: str) -> str:
+    return f"(size({q}.pts) >= 4 AND {q}.a != 0D)"
 
 
-def ring_ok(r) -> Column:
-    """A usable ring: closed, at least 4 points, non-zero area."""
-    r = _c(r)
-    return (F.size(r) >= 4) & (ring_signed_area(r) != 0.0)
+def _clean_part(p: str, finish) -> str:
+    r, q = _v("r"), _v("q")
 
+    def body(rs):
+        kept = f"concat(array(get({rs}, 0)), filter(slice({rs}, 2, greatest(size({rs}) - 1, 1)), {q} -> {_ok(q)}))"
+        return f"CASE WHEN {_ok(f'get({rs}, 0)')} THEN {finish(kept)} ELSE filter({rs}, {_v('z')} -> false) END"
+    return let(f"transform({p}, {r} -> {_rich_ring(r)})", body)
 
-def clean_shape(shape) -> Column:
-    """Clean every ring; drop degenerate holes; drop a part whose shell
-    is degenerate (its holes go with it); drop empty parts."""
-    def part(p):
-        rings = F.transform(p, clean_ring)
-        shell = F.get(rings, 0)
-        holes = F.filter(F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(1))), ring_ok)
-        return F.when(ring_ok(shell), F.concat(F.array(shell), holes)).otherwise(F.array().cast(T.ArrayType(RING)))
-    return F.filter(F.transform(_c(shape), part), lambda p: F.size(p) > 0)
 
+def clean_rich(s: str) -> str:
+    """G2 + G4: repeated points out, rings closed, degenerate rings (under 4
+    points or no area) dropped -- a part whose shell goes loses its holes --
+    then shells counter-clockwise and holes clockwise (interior on the left,
+    the convention of geography types). Rings come back as struct(pts, a)
+    with ``a`` positive for shells, negative for holes."""
+    p, q, i, p2 = _v("p"), _v("q"), _v("i"), _v("p")
 
-def orient_shape(shape) -> Column:
-    """Shells counter-clockwise, holes clockwise (interior on the left,
-    the convention of geography types); a ring the wrong way round is
-    reversed rather than read as the rest of the globe."""
-    def part(p):
-        return F.transform(p, lambda r, i: F.when(
-            (i == 0) & (ring_signed_area(r) < 0), F.reverse(r)).when(
-            (i > 0) & (ring_signed_area(r) > 0), F.reverse(r)).otherwise(r))
-    return F.transform(_c(shape), part)
+    def orient(kept):
+        return (f"transform({kept}, ({q}, {i}) -> CASE WHEN ({i} = 0 AND {q}.a < 0) OR ({i} > 0 AND {q}.a > 0) "
+                f"THEN named_struct('pts', reverse({q}.pts), 'a', -{q}.a) ELSE {q} END)")
+    return f"filter(transform({s}, {p} -> {_clean_part(p, orient)}), {p2} -> size({p2}) > 0)"
 
 
-def shape_area(shape) -> Column:
+def clean_shape(s: str) -> str:
+    """G2 without orientation (points only)."""
+    p, q, p2 = _v("p"), _v("q"), _v("p")
+    return (f"filter(transform({s}, {p} -> transform({_clean_part(p, lambda kept: kept)}, {q} -> {q}.pts)), "
+            f"{p2} -> size({p2}) > 0)")
+
+
+def plain(rich: str) -> str:
+    p, q = _v("p"), _v("q")
+    return f"transform({rich}, {p} -> transform({p}, {q} -> {q}.pts))"
+
+
+def rich_area(rich: str) -> str:
+    """G5 from an oriented rich shape: shells minus holes, m^2."""
+    acc, q = _v("acc"), _v("q")
+    return f"aggregate(flatten({rich}), 0D, ({acc}, {q}) -> {acc} + {q}.a)"
+
+
+def orient_shape(s: str) -> str:
+    """G4 on a plain shape: shells counter-clockwise, holes clockwise."""
+    p, r, i = _v("p"), _v("r"), _v("i")
+    body = let(ring_signed_area(r), lambda a: f"CASE WHEN ({i} = 0 AND {a} < 0) OR ({i} > 0 AND {a} > 0) "
+                                              f"THEN reverse({r}) ELSE {r} END")
+    return f"transform({s}, {p} -> transform({p}, ({r}, {i}) -> {body}))"
+
+
+def orientation(r: str) -> str:
+    return let(ring_signed_area(r), lambda a: f"CASE WHEN {a} > 0 THEN 'ccw' WHEN {a} < 0 THEN 'cw' ELSE 'flat' END")
+
+
+def shape_area(s: str) -> str:
     """|shells| - |holes| in m^2, for any ring orientation."""
-    def part(p):
-        holes = F.slice(p, 2, F.greatest(F.size(p) - 1, F.lit(1)))
-        return F.abs(ring_signed_area(F.get(p, 0))) - F.aggregate(
-            holes, F.lit(0.0), lambda acc, r: acc + F.abs(ring_signed_area(r)))
-    return F.aggregate(F.transform(_c(shape), part), F.lit(0.0), lambda acc, a: acc + a)
+    p, r, i, acc, acc2, x = _v("p"), _v("r"), _v("i"), _v("acc"), _v("acc"), _v("x")
+    per_ring = f"transform({p}, ({r}, {i}) -> CASE WHEN {i} = 0 THEN abs({ring_signed_area(r)}) ELSE -abs({ring_signed_area(r)}) END)"
+    return (f"aggregate(transform({s}, {p} -> aggregate({per_ring}, 0D, ({acc}, {x}) -> {acc} + {x})), 0D, "
+            f"({acc2}, {x}) -> {acc2} + {x})")
 
 
-def coords(shape, axis: str) -> Column:
+def coords(s: str, axis: str) -> str:
     """Nested array of one coordinate (x or y) -- the UDF input form."""
-    return F.transform(_c(shape), lambda p: F.transform(p, lambda r: F.transform(r, lambda q: q[axis])))
+    p, r, q = _v("p"), _v("r"), _v("q")
+    return f"transform({s}, {p} -> transform({p}, {r} -> transform({r}, {q} -> {q}.{axis})))"
 
 
-def reduce_shape(shape, sig, tolerance) -> Column:
-    """Keep vertices whose significance exceeds ``tolerance`` (metres). A
-    ring left with fewer than 4 points is dropped; a part whose shell is
-    dropped goes with its holes."""
-    t = F.lit(float(tolerance)) if not isinstance(tolerance, Column) else tolerance
+def _keep(r: str, sg: str, t: str) -> str:
+    a, b, z, z2 = _v("a"), _v("b"), _v("z"), _v("z")
+    return (f"transform(filter(zip_with({r}, {sg}, ({a}, {b}) -> named_struct('p', {a}, 's', {b})), "
+            f"{z} -> {z}.s > {t}), {z2} -> {z2}.p)")
 
-    def ring(r, s):
-        return F.transform(F.filter(F.arrays_zip(r.alias("p"), s.alias("s")), lambda z: z["s"] > t),
-                           lambda z: z["p"])
 
-    def part(p, sp):
-        rings = F.zip_with(p, sp, ring)
-        ok = F.size(F.get(rings, 0)) >= 4
-        return F.when(ok, F.filter(rings, lambda r: F.size(r) >= 4)).otherwise(F.array().cast(T.ArrayType(RING)))
+def reduced_area(s: str, sig: str, t: str) -> str:
+    """Area of the shape reduced at tolerance ``t`` (metres): rings keep the
+    vertices with significance above it; a ring left under 4 points counts
+    as gone, and a part whose shell is gone counts nothing. Orientation
+    survives the reduction, so signed areas add up."""
+    p, sp, r, sg, acc, x, acc2, y = _v("p"), _v("sp"), _v("r"), _v("sg"), _v("acc"), _v("x"), _v("acc"), _v("y")
+    ring = let(_keep(r, sg, t), lambda k: f"CASE WHEN size({k}) >= 4 THEN {ring_signed_area(k)} ELSE 0D END")
+    part = let(f"zip_with({p}, {sp}, ({r}, {sg}) -> {ring})",
+               lambda a: f"CASE WHEN get({a}, 0) != 0D THEN aggregate({a}, 0D, ({acc}, {x}) -> {acc} + {x}) ELSE 0D END")
+    return f"aggregate(zip_with({s}, {sig}, ({p}, {sp}) -> {part}), 0D, ({acc2}, {y}) -> {acc2} + {y})"
 
-    return F.filter(F.zip_with(_c(shape), _c(sig), part), lambda p: F.size(p) > 0)
 
+def reduce_shape(s: str, sig: str, t: str) -> str:
+    """Keep vertices whose significance exceeds ``t`` (metres). A ring left
+    with fewer than 4 points is dropped; a part whose shell is dropped goes
+    with its holes."""
+    p, sp, r, sg, q, p2 = _v("p"), _v("sp"), _v("r"), _v("sg"), _v("q"), _v("p")
+    part = let(f"zip_with({p}, {sp}, ({r}, {sg}) -> {_keep(r, sg, t)})",
+               lambda rs: f"CASE WHEN size(get({rs}, 0)) >= 4 THEN filter({rs}, {q} -> size({q}) >= 4) "
+                          f"ELSE filter({rs}, {_v('z')} -> false) END")
+    return f"filter(zip_with({s}, {sig}, ({p}, {sp}) -> {part}), {p2} -> size({p2}) > 0)"
 
-def _num(v) -> Column:
+
+def _num(v: str) -> str:
     """Plain decimal text for a coordinate: no exponent, no trailing zeros."""
-    return F.regexp_replace(v.cast("decimal(38,15)").cast("string"), r"\.?0+$", "")
+    return f"regexp_replace(CAST(CAST({v} AS DECIMAL(38,15)) AS STRING), {_raw(r'\.?0+$')}, '')"
 
 
-def to_wkt(shape) -> Column:
+def to_wkt(s: str) -> str:
     """Shape -> POLYGON (one part) or MULTIPOLYGON text; NULL if empty."""
-    def ring(r):
-        return F.concat(F.lit("("), F.array_join(F.transform(r, lambda q: F.concat(_num(q["x"]), F.lit(" "), _num(q["y"]))), ", "), F.lit(")"))
-
-    def part(p):
-        return F.concat(F.lit("("), F.array_join(F.transform(p, ring), ", "), F.lit(")"))
-
-    shape = _c(shape)
-    parts = F.transform(shape, part)
-    return (F.when(F.size(shape) == 0, F.lit(None).cast("string"))
-            .when(F.size(shape) == 1, F.concat(F.lit("POLYGON "), F.get(parts, 0)))
-            .otherwise(F.concat(F.lit("MULTIPOLYGON ("), F.array_join(parts, ", "), F.lit(")"))))
+    p, r, q = _v("p"), _v("r"), _v("q")
+    ring = f"concat('(', array_join(transform({r}, {q} -> concat({_num(q + '.x')}, ' ', {_num(q + '.y')})), ', '), ')')"
+    part = f"concat('(', array_join(transform({p}, {r} -> {ring}), ', '), ')')"
+    return let(f"transform({s}, {p} -> {part})",
+               lambda ps: f"CASE WHEN size({ps}) = 0 THEN CAST(NULL AS STRING) "
+                          f"WHEN size({ps}) = 1 THEN concat('POLYGON ', get({ps}, 0)) "
+                          f"ELSE concat('MULTIPOLYGON (', array_join({ps}, ', '), ')') END")

@@ -1,8 +1,8 @@
 """Geometry job (G1-G12): WKT in, cleaned, oriented and size-reduced WKT out.
 
 Each row keeps its polygon as a nested array (see ``functions.geo``), so
-the whole job is narrow: no operator here shuffles except the key check
-(G11), which is a combinable count.
+the whole job is narrow: nothing here shuffles except the key check (G11),
+which is a combinable count.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.functions import geo
+from terrafold.functions.geo import col
 from terrafold.functions.geo_udf import shape_crossings, shape_significance
 
 # --- fixed values: the reduction ladder ---------------------------------------
@@ -19,21 +20,42 @@ KEEP_PCT = 97.0                      # reduced area must stay strictly above thi
 UNREDUCED_LEVEL = 1                  # level reported when no tolerance passes
 # -----------------------------------------------------------------------------
 
+# The order the final table lists its columns in.
+SHAPE_COLUMNS = ["created_datetime", "geo_type", "neighborhood_type", "id", "name", "fips_code", "state_abbr",
+                 "state_fips_code", "county", "county_fips_code", "metro", "incorporated_place", "longitude",
+                 "latitude", "geoloc", "geoloc_reduced", "geoloc_reduced_level"]
+
+
+def once(df: DataFrame, **cols) -> DataFrame:
+    """Add columns evaluated exactly once per row.
+
+    The values come out of a one-row ``inline`` (a Generate), so filters
+    on them cannot be pushed below it and projections cannot inline them
+    into several consumers -- without this, an expensive nested expression
+    is recomputed by every filter and every column that mentions it.
+    Values are SQL text or Columns."""
+    fields = [(F.expr(e) if isinstance(e, str) else e).alias(n) for n, e in cols.items()]
+    return df.select("*", F.inline(F.array(F.struct(*fields))))
+
 
 def vertices_shapes(df: DataFrame, wkt: str = "geoloc"):
     """G1: parse; returns ``(shapes, rejects)``. Rejected rows keep their
     columns plus ``problem``; the rest carry ``shape``."""
-    parsed = df.withColumn("shape", geo.parse_wkt(wkt))
-    parsed = parsed.withColumn("problem", geo.wkt_problem(wkt, "shape"))
+    parsed = once(df, shape=geo.parse_wkt(col(wkt)))
+    parsed = once(parsed, problem=geo.wkt_problem(col(wkt), "shape"))
     ok = parsed.where(F.col("problem").isNull()).drop("problem")
     rejects = parsed.where(F.col("problem").isNotNull()).drop("shape")
     return ok, rejects
 
 
 def clean(df: DataFrame, shape: str = "shape") -> DataFrame:
-    """G2 + G4: repeated points out, rings closed, degenerate rings dropped,
-    rings oriented. A shape left with no part gets ``problem='empty'``."""
-    return df.withColumn(shape, geo.orient_shape(geo.clean_shape(shape)))
+    """G2 + G4 (+ G5 as a by-product): repeated points out, rings closed,
+    degenerate rings dropped, rings oriented; ``area_m2`` is the shape's
+    spherical area, taken from the per-ring areas cleaning computed anyway.
+    A shape can come out with no part (see :func:`shapes`)."""
+    rich = once(df.withColumnRenamed(shape, "_raw"), _rich=geo.clean_rich("_raw")).drop("_raw")
+    return (rich.withColumn(shape, F.expr(geo.plain("_rich")))
+                .withColumn("area_m2", F.expr(geo.rich_area("_rich"))).drop("_rich"))
 
 
 def vertices(df: DataFrame, keys, shape: str = "shape") -> DataFrame:
@@ -50,45 +72,50 @@ def ring_areas(df: DataFrame, keys, shape: str = "shape") -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     p = df.select(*keys, F.posexplode(shape).alias("part", "_p"))
     r = p.select(*keys, "part", F.posexplode("_p").alias("ring", "_r"))
-    a = geo.ring_signed_area("_r")
-    return r.select(*keys, "part", "ring", a.alias("signed_area_m2"),
-                    F.when(a > 0, "ccw").when(a < 0, "cw").otherwise("flat").alias("orientation"))
+    r = once(r, signed_area_m2=geo.ring_signed_area("_r"))
+    return r.select(*keys, "part", "ring", "signed_area_m2", F.expr(
+        "CASE WHEN signed_area_m2 > 0 THEN 'ccw' WHEN signed_area_m2 < 0 THEN 'cw' ELSE 'flat' END").alias("orientation"))
 
 
 def area(df: DataFrame, shape: str = "shape", out: str = "area_m2") -> DataFrame:
-    """Shape area in m^2."""
-    return df.withColumn(out, geo.shape_area(shape))
+    """Shape area in m^2 (already present after :func:`clean`)."""
+    return df if out in df.columns else df.withColumn(out, F.expr(geo.shape_area(col(shape))))
 
 
 def significance(df: DataFrame, shape: str = "shape", out: str = "sig") -> DataFrame:
     """Per-vertex Douglas-Peucker significance, computed once."""
-    return df.withColumn(out, shape_significance(geo.coords(shape, "x"), geo.coords(shape, "y")))
+    return once(df, **{out: shape_significance(F.expr(geo.coords(col(shape), "x")), F.expr(geo.coords(col(shape), "y")))})
 
 
 def reduce(df: DataFrame, ladder=LADDER, keep_pct: float = KEEP_PCT, shape: str = "shape",
            sig: str = "sig") -> DataFrame:
     """First tolerance whose reduced area is strictly above
     ``keep_pct`` percent of the original; else the original and level 1.
-    A zero original area makes every ratio NULL and falls through."""
-    full = geo.shape_area(shape)
-    df = df.withColumn("_area", full)
-    ratios = {t: F.lit(100.0) * geo.shape_area(geo.reduce_shape(shape, sig, t)) / F.nullif(F.col("_area"), F.lit(0.0))
-              for t in ladder}
-    level = None
-    for t in ladder:
-        level = (F.when if level is None else level.when)(ratios[t] > keep_pct, F.lit(t))
-    level = level.otherwise(F.lit(UNREDUCED_LEVEL)) if level is not None else F.lit(UNREDUCED_LEVEL)
-    df = df.withColumn("reduced_level", level)
-    reduced = F.when(F.col("reduced_level") == UNREDUCED_LEVEL, F.col(shape)).otherwise(
-        geo.reduce_shape(shape, sig, F.col("reduced_level").cast("double")))
-    return df.withColumn("reduced", reduced).drop("_area")
+    A zero original area makes every ratio NULL and falls through. Each
+    tolerance costs one filtering pass over the vertices (and only when the
+    previous one failed); the reduced shape is built once, at the chosen
+    level."""
+    df = area(df, shape)
+    s, g = col(shape), col(sig)
+    ratio = "100D * {a} / nullif(area_m2, 0D) > {k}"
+    whens = " ".join(f"WHEN {ratio.format(a=geo.reduced_area(s, g, f'{float(t)}D'), k=float(keep_pct))} THEN {int(t)}"
+                     for t in ladder)
+    level = f"CASE {whens} ELSE {UNREDUCED_LEVEL} END" if ladder else str(UNREDUCED_LEVEL)
+    df = once(df, reduced_level=level)
+    reduced = (f"CASE WHEN reduced_level = {UNREDUCED_LEVEL} THEN {s} "
+               f"ELSE {geo.reduce_shape(s, g, 'CAST(reduced_level AS DOUBLE)')} END")
+    return df.withColumn("reduced", F.expr(reduced))
 
 
 def crossings(df: DataFrame, keys, shape: str = "shape") -> DataFrame:
     """Crossing edge pairs inside one ring (reported, not repaired)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    c = df.select(*keys, F.explode(shape_crossings(geo.coords(shape, "x"), geo.coords(shape, "y"))).alias("_c"))
-    return c.select(*keys, "_c.part", "_c.ring", "_c.seg_i", "_c.seg_j")
+    found = shape_crossings(F.expr(geo.coords(col(shape), "x")), F.expr(geo.coords(col(shape), "y")))
+    return df.select(*keys, F.explode(found).alias("_c")).select(*keys, "_c.part", "_c.ring", "_c.seg_i", "_c.seg_j")
+
+
+def to_wkt(df: DataFrame, shape: str, out: str) -> DataFrame:
+    return df.withColumn(out, F.expr(geo.to_wkt(col(shape))))
 
 
 def shapes(df: DataFrame, wkt: str = "geoloc", ladder=LADDER, keep_pct: float = KEEP_PCT,
@@ -99,24 +126,18 @@ def shapes(df: DataFrame, wkt: str = "geoloc", ladder=LADDER, keep_pct: float =
     nothing, are rejects."""
     ok, rejects = vertices_shapes(df, wkt)
     ok = clean(ok)
-    empty = ok.where(F.size("shape") == 0).drop("shape").withColumn("problem", F.lit("empty after cleaning"))
+    empty = ok.where(F.size("shape") == 0).drop("shape", "area_m2").withColumn("problem", F.lit("empty after cleaning"))
     ok = ok.where(F.size("shape") > 0)
     ok = reduce(significance(ok), ladder, keep_pct)
     cols = columns if columns is not None else [c for c in df.columns if c not in (wkt, id_col)]
     out = ok.select(*[F.col(c) for c in cols if c != id_col],
                     *([F.col(id_col).alias("id")] if id_col in df.columns else []),
-                    geo.to_wkt("shape").alias(wkt),
-                    geo.to_wkt("reduced").alias(f"{wkt}_reduced"),
+                    F.expr(geo.to_wkt("shape")).alias(wkt),
+                    F.expr(geo.to_wkt("reduced")).alias(f"{wkt}_reduced"),
                     F.col("reduced_level").cast("int").alias(f"{wkt}_reduced_level"))
     return out, rejects.unionByName(empty, allowMissingColumns=True)
 
 
-# The order the final table lists its columns in.
-SHAPE_COLUMNS = ["created_datetime", "geo_type", "neighborhood_type", "id", "name", "fips_code", "state_abbr",
-                 "state_fips_code", "county", "county_fips_code", "metro", "incorporated_place", "longitude",
-                 "latitude", "geoloc", "geoloc_reduced", "geoloc_reduced_level"]
-
-
 def key_violations(df: DataFrame, keys=("fips_code", "id")) -> DataFrame:
     """Duplicate or NULL primary-key values; must be empty to publish.
     The duplicate count is a combinable aggregate, so a hot key is reduced

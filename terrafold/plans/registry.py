@@ -270,16 +270,12 @@ def q_wkt_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ring_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _part_shapes(spark, sf_dir).select("p_partkey", geo.clean_shape("shape").alias("before"))
-    s = s.withColumn("after", geo.orient_shape("before"))
-
-    def label(r):
-        a = geo.ring_signed_area(r)
-        return F.when(a > 0, "ccw").when(a < 0, "cw").otherwise("flat")
-
-    pairs = F.zip_with("before", "after", lambda p, q: F.zip_with(
-        p, q, lambda r1, r2: F.struct(label(r1).alias("before"), label(r2).alias("after"))))
-    p = s.select("p_partkey", F.posexplode(pairs).alias("part", "_p"))
+    s = geometry.once(_part_shapes(spark, sf_dir).select("p_partkey", "shape"), before=geo.clean_shape("shape"))
+    s = geometry.once(s.drop("shape"), after=geo.orient_shape("before"))
+    p, q, r1, r2 = "p_o", "q_o", "r_o1", "r_o2"
+    pairs = (f"zip_with(before, after, ({p}, {q}) -> zip_with({p}, {q}, ({r1}, {r2}) -> "
+             f"named_struct('before', {geo.orientation(r1)}, 'after', {geo.orientation(r2)})))")
+    p = s.select("p_partkey", F.posexplode(F.expr(pairs)).alias("part", "_p"))
     r = p.select("p_partkey", "part", F.posexplode("_p").alias("ring", "_r"))
     return r.select("p_partkey", "part", "ring", F.col("_r.before").alias("before"), F.col("_r.after").alias("after"))
 
