@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.functions import clean
+from terrafold.functions import clean, sqltext
 from terrafold.sources.contract import BAD
 
 AUDIT = ("created_datetime", "load_date", BAD)
@@ -29,7 +29,8 @@ def drop_audit(df: DataFrame, cols=AUDIT) -> DataFrame:
 
 def restamp(df: DataFrame, name: str = "created_datetime") -> DataFrame:
     """A fresh created stamp first, then every column."""
-    return df.select(F.current_timestamp().alias(name), *[F.col(c) for c in df.columns if c != name])
+    return sqltext.select(df, [f"current_timestamp() AS {sqltext.ident(name)}"]
+                          + [sqltext.ident(c) for c in df.columns if c != name])
 
 
 def clean_neighborhoods(df: DataFrame, geo_rules=clean.GEO_TYPE_RULES,

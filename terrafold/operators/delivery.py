@@ -57,11 +57,9 @@ def manifest(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 def upload_date(manifest_df: DataFrame) -> DataFrame:
     """M2: the manifest's upload day as one row; an unparseable stamp is an
     error, not a value."""
-    return manifest_df.agg(
-        F.max("upload_date").alias("upload_date"),
-        F.max(F.when(F.col("upload_date").isNull(),
-                     F.raise_error(F.concat(F.lit("bad last-updated: "), F.col("last_updated"))))).alias("_chk"),
-    ).drop("_chk")
+    checked = F.coalesce(F.col("upload_date"), F.raise_error(
+        F.concat(F.lit("bad last-updated: "), F.coalesce(F.col("last_updated"), F.lit("NULL")))))
+    return manifest_df.agg(F.max(checked).alias("upload_date"))
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:

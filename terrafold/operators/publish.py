@@ -127,12 +127,15 @@ def validate_count(source: DataFrame, target: DataFrame | None, target_count: in
 def typed(df: DataFrame, wkt: str = "geoloc") -> DataFrame:
     """P5: landing rows -> typed rows: fresh stamp, decimals typed, the WKT
     parsed into a shape (rows that do not parse keep a NULL shape)."""
-    shape = geo.parse_wkt(wkt)
-    return df.select(
+    from terrafold.operators.geometry import once
+
+    base = df.select(
         F.current_timestamp().alias("created_datetime"),
         *[F.col(c) for c in EXPORT_COLUMNS if c not in ("longitude", "latitude", wkt)],
         F.col("longitude").cast("decimal(9,6)").alias("longitude"),
         F.col("latitude").cast("decimal(9,6)").alias("latitude"),
         F.col(wkt),
-        F.when(geo.wkt_problem(wkt, shape).isNull(), shape).alias("shape"),
     )
+    parsed = once(base, shape=geo.parse_wkt(geo.col(wkt)))
+    parsed = once(parsed, _problem=geo.wkt_problem(geo.col(wkt), "shape"))
+    return parsed.withColumn("shape", F.when(F.col("_problem").isNull(), F.col("shape"))).drop("_problem")

@@ -8,7 +8,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.functions.dates import folder_day
+from terrafold.functions import sqltext
 from terrafold.sources.contract import BAD, require
 
 LINEAGE = ("file_name", "parent_folder_name")
@@ -18,23 +18,27 @@ def stamp(df: DataFrame, load_date: dt.date | str | None = None, labels=(), labe
           contract=None, keep_lineage: bool = True, bad: str = BAD) -> DataFrame:
     """Created stamp, load date, label columns copied from the source
     file name, then the contract columns in contract order -- one select,
-    whatever the width.
+    whatever the width (built as one SQL text: a 620-column projection is
+    one parse, not 620 Column objects).
 
     ``load_date=None`` takes each row's date from its dated folder, so one
     scan over many drops stamps each row with its own delivery date."""
     if labels or keep_lineage:
         require(df, LINEAGE)  # S6
-    ld = F.lit(str(load_date)).cast("date") if load_date is not None else folder_day("parent_folder_name")
+    if load_date is not None:
+        ld = f"CAST({sqltext.lit(str(load_date))} AS DATE)"
+    else:
+        ld = f"to_date(CASE WHEN parent_folder_name RLIKE '^[0-9]{{8}}$' THEN parent_folder_name END, 'yyyyMMdd')"
     data_cols = [c for c in (contract.fieldNames() if contract is not None else df.columns)
                  if c not in LINEAGE and c != bad]
-    cols = [F.current_timestamp().alias("created_datetime"), ld.alias("load_date")]
-    cols += [F.col(label_from).alias(n) for n in labels]
-    cols += [F.col(c) for c in data_cols if c not in labels]
+    cols = ["current_timestamp() AS created_datetime", f"{ld} AS load_date"]
+    cols += [f"{sqltext.ident(label_from)} AS {sqltext.ident(n)}" for n in labels]
+    cols += [sqltext.ident(c) for c in data_cols if c not in labels]
     if bad in df.columns:
-        cols.append(F.col(bad))
+        cols.append(sqltext.ident(bad))
     if keep_lineage:
-        cols += [F.col(c) for c in LINEAGE]
-    return df.select(*cols)
+        cols += [sqltext.ident(c) for c in LINEAGE]
+    return sqltext.select(df, cols)
 
 
 def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrafold.functions import clean, geo
+from terrafold.functions import clean, geo, sqltext
 from terrafold.operators import curate, delivery, geometry, landing, publish
 from terrafold.plans import boundaries as flows
 from terrafold.plans import catalog, derive
@@ -136,9 +136,9 @@ def q_wide_contract_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     for f in contract.fields:
         if f.name == BAD:
             continue
-        v = F.length(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        sums.append(F.sum(v).cast("decimal(38,4)").cast("string").alias(f.name))
-    totals = snap.agg(*sums)
+        v = f"length({sqltext.ident(f.name)})" if isinstance(f.dataType, T.StringType) else sqltext.ident(f.name)
+        sums.append(f"CAST(CAST(sum({v}) AS DECIMAL(38,4)) AS STRING) AS {sqltext.ident(f.name)}")
+    totals = sqltext.select(snap, sums)
     stack = "stack({}, {}) AS (column_name, total)".format(len(names), ", ".join(f"'{n}', `{n}`" for n in names))
     return totals.selectExpr(stack)
 
@@ -201,7 +201,8 @@ LANDING_DDL = """CREATE TABLE {table} (
   geo_type STRING, neighborhood_type STRING, geo_id STRING, name STRING, fips_code STRING,
   state_abbr STRING, state_fips_code STRING, metro STRING, incorporated_place STRING, county STRING,
   county_fips_code STRING, longitude DECIMAL(9,6), latitude DECIMAL(9,6), geoloc STRING
-) USING PARQUET"""
+) USING PARQUET
+LOCATION '{location}'"""
 
 
 def _published(spark: SparkSession, sf_dir: str):
@@ -209,7 +210,7 @@ def _published(spark: SparkSession, sf_dir: str):
     ok, _bad = publish.split_violations(curated, publish.LANDING_RULES)
     spark.sql("CREATE SCHEMA IF NOT EXISTS tf_publish")
     table = f"tf_publish.neighborhoods_landing_{uuid.uuid4().hex[:8]}"
-    spark.sql(LANDING_DDL.format(table=table))
+    spark.sql(LANDING_DDL.format(table=table, location=scratch(spark, "publish")))
     publish.load_table(ok, table)
     return ok, table
 
