@@ -14,16 +14,21 @@ def label(lines: DataFrame) -> DataFrame:
                         file_date(F.col("archive")).alias("file_date"), "*")
 
 
-def land(lines: DataFrame, root: str, compression: str = "bzip2") -> None:
+def land(lines: DataFrame, root: str, compression: str = "bzip2", rebalance: bool = True) -> None:
     """L2: write each member's lines compressed under
     ``<root>/product=<p>/file_date=<d>/member=<name>/``. Only the members
     present are replaced (dynamic overwrite), like overwriting one file.
 
-    Lines keep their archive order inside a task; TSV readers do not depend
-    on line order."""
-    (lines.select("product", "file_date", "member", "value")
-          .write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic")
-          .option("compression", compression)
-          .partitionBy("product", "file_date", "member")
-          .text(root))
+    ``rebalance`` gathers each member's lines into few files before the
+    write (Spark's REBALANCE: AQE coalesces small members together and
+    splits a hot one), instead of every task writing a small file for
+    every member it happened to see. Line order is not kept; TSV readers
+    do not depend on it."""
+    out = lines.select("product", "file_date", "member", "value")
+    if rebalance:
+        out = out.hint("rebalance", "product", "file_date", "member")
+    (out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", compression)
+        .partitionBy("product", "file_date", "member")
+        .text(root))

@@ -29,6 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the (narrow) source rows over the cluster's cores before
+    an expensive per-row derivation, when the scan yields fewer splits than
+    cores (a small table is one parquet split). The shuffle moves the
+    source columns only; the wide text is built after it, in parallel."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _case(col: str, pairs, default: str) -> str:
     body = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs)
     return f"CASE {col} {body} ELSE '{default}' END"
@@ -69,7 +78,7 @@ def boundary_lines(customer: DataFrame, days=(DELIVERY_DAY,)) -> DataFrame:
     member starts with a header line. Those are the bad rows."""
     full = "concat_ws('\t', " + ", ".join(BOUNDARY_FIELDS_SQL) + ")"
     short = "concat_ws('\t', " + ", ".join(BOUNDARY_FIELDS_SQL[:5]) + ")"
-    rows = customer.select(E(MEMBER_SQL).alias("member"),
+    rows = spread(customer).select(E(MEMBER_SQL).alias("member"),
                            E(f"CASE WHEN c_nationkey = 24 THEN {short} ELSE {full} END").alias("value"))
     headers = rows.select("member").distinct().select("member", F.lit(HEADER_LINE).alias("value"))
     lines = rows.unionByName(headers)
@@ -102,7 +111,7 @@ def wide_types(n: int = 619):
 
 def wide_lines(customer: DataFrame, n: int = 619, day: str = DELIVERY_DAY) -> DataFrame:
     fields = [wide_value_sql(j + 1, t) for j, t in enumerate(wide_types(n))]
-    return customer.select(F.lit("community_info").alias("product"), F.lit(day).alias("file_date"),
+    return spread(customer).select(F.lit("community_info").alias("product"), F.lit(day).alias("file_date"),
                            F.lit("community-info-areas.tsv").alias("member"),
                            E("concat_ws('\t', " + ", ".join(fields) + ")").alias("value"))
 
@@ -144,11 +153,12 @@ ORDER_LINE_SQL = ("concat_ws('\t', CAST(o_orderkey AS STRING), CAST(o_custkey AS
 ARCHIVE_WORD_SQL = "CASE o_orderstatus WHEN 'O' THEN 'community-info' ELSE 'neighborhoods' END"
 
 
-def archive_members(orders: DataFrame, chunk: int = 5000) -> DataFrame:
-    """Orders as archive members: archive ``<yyyyMM01>-<word>-<chunk>.zip``
-    holds ``data/<word>-<yyyyMM>.tsv``; archives are key-range chunks."""
-    return orders.select(
-        E(f"date_format(date_trunc('MM', o_orderdate), 'yyyyMMdd') || '-' || {ARCHIVE_WORD_SQL} || '-' || "
+def archive_members(orders: DataFrame, chunk: int = 50000) -> DataFrame:
+    """Orders as archive members: archive ``<yyyy0101>-<word>-<chunk>.zip``
+    holds monthly members ``data/<word>-<yyyyMM>.tsv``; an archive is one
+    year of one key range, so none holds more than ``chunk`` orders."""
+    return spread(orders).select(
+        E(f"date_format(date_trunc('YEAR', o_orderdate), 'yyyyMMdd') || '-' || {ARCHIVE_WORD_SQL} || '-' || "
           f"CAST(CAST(o_orderkey / {chunk} AS BIGINT) AS STRING) || '.zip'").alias("archive"),
         E(f"'data/' || {ARCHIVE_WORD_SQL} || '-' || date_format(o_orderdate, 'yyyyMM') || '.tsv'").alias("member"),
         E(ORDER_LINE_SQL).alias("value"))

@@ -220,7 +220,7 @@ def oracle_sql() -> dict:
                             f"FROM (VALUES ('neighborhoods'), ('community_info')) p(product) "
                             f"LEFT JOIN ({INVENTORY}) i ON i.product = p.product GROUP BY p.product",
         "archive_unpack": "SELECT CASE o_orderstatus WHEN 'O' THEN 'community_info' ELSE 'neighborhoods' END AS product, "
-                          "strftime(date_trunc('month', o_orderdate), '%Y%m%d') AS file_date, "
+                          "strftime(date_trunc('year', o_orderdate), '%Y%m%d') AS file_date, "
                           "CASE o_orderstatus WHEN 'O' THEN 'community-info' ELSE 'neighborhoods' END || '-' || "
                           "strftime(o_orderdate, '%Y%m') || '.tsv' AS member, "
                           f"concat_ws({TAB}, CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "

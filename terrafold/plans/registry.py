@@ -124,7 +124,8 @@ def q_wide_contract_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_job_conf(spark)
     base = scratch(spark, "wide")
     contract = wide_contract(619)
-    landing.land(derive.wide_lines(derive.table(spark, sf_dir, "customer")), f"{base}/raw")
+    # one file per writer task: the single wide member is parsed in parallel
+    landing.land(derive.wide_lines(derive.table(spark, sf_dir, "customer")), f"{base}/raw", rebalance=False)
     from terrafold.operators import stage
     parsed = scan_landing(spark, f"{base}/raw/product=community_info", contract, prefix="community",
                           dates=[derive.DELIVERY_DAY])
