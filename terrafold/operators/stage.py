@@ -41,7 +41,7 @@ def stamp(df: DataFrame, load_date: dt.date | str | None = None, labels=(), labe
     return sqltext.select(df, cols)
 
 
-def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, bad_by=None):
     """One full-width parse, persisted, feeds both outputs.
 
     Persisting the whole parse (not a filtered subset) matters twice: the
@@ -51,7 +51,7 @@ def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.ME
     call ``parsed.unpersist()`` after both writes."""
     parsed = df.persist(storage)
     good = parsed.where(F.col(bad).isNull()).drop(bad)
-    bad_rows = parsed.where(F.col(bad).isNotNull()).select(bad)
+    bad_rows = parsed.where(F.col(bad).isNotNull()).select(bad, *([bad_by] if bad_by else []))
     return good, bad_rows, parsed
 
 
@@ -65,9 +65,14 @@ def write_history(df: DataFrame, path: str, by: str = "load_date", compression:
        .orc(path))
 
 
-def write_bad(df: DataFrame, path: str) -> None:
-    """Malformed lines as plain, uncompressed text."""
-    df.write.mode("overwrite").option("compression", "none").text(path)
+def write_bad(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Malformed lines as plain, uncompressed text. With ``by`` (the
+    delivery folder) each delivery's bad lines replace only its own folder,
+    so re-staging one date is idempotent."""
+    w = df.write.mode("overwrite").option("compression", "none")
+    if by:
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(by)
+    w.text(path)
 
 
 def register(spark: SparkSession, table: str) -> None:
@@ -76,15 +81,16 @@ def register(spark: SparkSession, table: str) -> None:
 
 
 def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str | None = None,
-        load_date=None, labels=(), contract=None, table: str | None = None, bad: str = BAD) -> dict:
+        load_date=None, labels=(), contract=None, table: str | None = None, bad: str = BAD,
+        bad_by: str | None = None) -> dict:
     """The stage job: stamp -> split -> bad sink -> history sink -> repair.
 
     Returns row counts read from the persisted parse (no second scan)."""
     stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad)
-    good, bad_rows, cached = split(stamped, bad)
+    good, bad_rows, cached = split(stamped, bad, bad_by=bad_by)
     try:
         if bad_path:
-            write_bad(bad_rows, bad_path)
+            write_bad(bad_rows, bad_path, by=bad_by)
         write_history(good, history_path)
         counts = cached.groupBy(F.col(bad).isNull().alias("good")).count().collect()
     finally:

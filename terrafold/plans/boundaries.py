@@ -17,14 +17,14 @@ LABELS = ("geo_type", "neighborhood_type")
 
 
 def stage_boundaries(spark: SparkSession, raw_root: str, history: str, bad: str | None = None, days=None,
-                     load_date=None, table: str | None = None, where=None) -> dict:
+                     load_date=None, table: str | None = None, where=None, bad_by: str | None = None) -> dict:
     """Stage job over landed boundary files (one or many delivery days)."""
     parsed = scan_landing(spark, f"{raw_root}/product=neighborhoods", NEIGHBORHOODS_RAW,
                           prefix="neighborhoods", dates=days)
     if where is not None:
         parsed = parsed.where(where)
     return stage.run(spark, parsed, history, bad, load_date=load_date, labels=LABELS,
-                     contract=NEIGHBORHOODS_RAW, table=table)
+                     contract=NEIGHBORHOODS_RAW, table=table, bad_by=bad_by)
 
 
 def curate_boundaries(spark: SparkSession, history: str, out: str | None = None, dates=None) -> DataFrame:

@@ -195,6 +195,9 @@ def oracle_sql() -> dict:
             f"WHERE CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10 GROUP BY member",
             f"SELECT '2024-02-01' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member",
         ]),
+        "incremental_stage": _union([
+            f"SELECT '{d}' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member"
+            for d in ("2024-01-01", "2024-02-01")]),
         "contract_orc_scan": "SELECT s_suppkey, s_name, CAST(NULL AS VARCHAR) AS s_phone, s_acctbal, "
                              "CASE WHEN s_nationkey < 12 THEN '2024-01-01' ELSE '2024-02-01' END AS load_date FROM supplier",
         "prefix_map": "SELECT p_partkey, CASE p_type " + " ".join(

@@ -67,6 +67,29 @@ def q_history_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_incremental_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage job driven by a file stream: two deliveries land one after
+    the other; each availableNow run restages only the new date."""
+    from terrafold.streaming import incremental
+
+    apply_job_conf(spark)
+    base = scratch(spark, "incremental")
+    raw, history, bad, ckpt = f"{base}/raw", f"{base}/stage", f"{base}/bad", f"{base}/_checkpoint"
+    customer = derive.table(spark, sf_dir, "customer")
+
+    def restage(days):
+        flows.stage_boundaries(spark, raw, history, bad, days=days, bad_by="parent_folder_name")
+
+    runs = []
+    for day in ("20240101", "20240201"):
+        landing.land(derive.boundary_lines(customer, [day]), raw)
+        runs.append(incremental.run(spark, raw, restage, checkpoint=ckpt, prefix="neighborhoods"))
+    if runs != [["20240101"], ["20240201"]]:
+        raise RuntimeError(f"each run should restage only its new date, got {runs}")
+    return (spark.read.orc(history).groupBy(F.col("load_date").cast("string").alias("load_date"), "geo_type")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 SUPPLIER_CONTRACT = T.StructType([
     T.StructField("created_datetime", T.TimestampType()), T.StructField("s_suppkey", T.LongType()),
     T.StructField("s_name", T.StringType()), T.StructField("s_phone", T.StringType()),
@@ -319,6 +342,7 @@ QUERIES = {
     "stage_bad_rows": q_stage_bad_rows,
     "curated_snapshot": q_curated_snapshot,
     "history_partition_overwrite": q_history_partition_overwrite,
+    "incremental_stage": q_incremental_stage,
     "contract_orc_scan": q_contract_orc_scan,
     "prefix_map": q_prefix_map,
     "area_code": q_area_code,
