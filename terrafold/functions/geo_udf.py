@@ -88,7 +88,7 @@ def shape_significance(xs: pd.Series, ys: pd.Series) -> pd.Series:
         if px is None:
             out.append(None)
             continue
-        out.append([[_ring_sig(rx, ry).tolist() for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
+        out.append([[_ring_sig(rx, ry) for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
     return pd.Series(out)
 
 

@@ -18,6 +18,9 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Arrow batches for the geometry UDFs are bounded by bytes, not only by
+    # row count: 10,000 large polygons must not land in one Python batch.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
 }
 
 
