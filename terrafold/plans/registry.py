@@ -144,27 +144,17 @@ def q_strip_srid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_wide_contract_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrafold.plans import community
+
     apply_job_conf(spark)
     base = scratch(spark, "wide")
     contract = wide_contract(619)
     # one file per writer task: the single wide member is parsed in parallel
     landing.land(derive.wide_lines(derive.table(spark, sf_dir, "customer")), f"{base}/raw", rebalance=False)
-    from terrafold.operators import stage
-    parsed = scan_landing(spark, f"{base}/raw/product=community_info", contract, prefix="community",
-                          dates=[derive.DELIVERY_DAY])
-    stage.run(spark, parsed, f"{base}/stage", f"{base}/bad", load_date="2024-01-15", contract=contract)
-    from terrafold.sources.contract import stage_contract
-    snap = curate.snapshot(curate.scan(spark, f"{base}/stage", stage_contract(contract, lineage=())))
-    names = [f.name for f in contract.fields if f.name != BAD]
-    sums = []
-    for f in contract.fields:
-        if f.name == BAD:
-            continue
-        v = f"length({sqltext.ident(f.name)})" if isinstance(f.dataType, T.StringType) else sqltext.ident(f.name)
-        sums.append(f"CAST(CAST(sum({v}) AS DECIMAL(38,4)) AS STRING) AS {sqltext.ident(f.name)}")
-    totals = sqltext.select(snap, sums)
-    stack = "stack({}, {}) AS (column_name, total)".format(len(names), ", ".join(f"'{n}', `{n}`" for n in names))
-    return totals.selectExpr(stack)
+    community.stage_community(spark, f"{base}/raw", contract, f"{base}/stage", f"{base}/bad",
+                              days=[derive.DELIVERY_DAY], load_date="2024-01-15")
+    snap = community.curate_community(spark, f"{base}/stage", contract)
+    return community.column_totals(snap, contract)
 
 
 # ---------------------------------------------------------------------------
