@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from terrafold.functions import geo
 from terrafold.functions.geo import col
 from terrafold.functions.geo_udf import shape_crossings, shape_significance
+from terrafold.session import spread
 
 # --- fixed values: the reduction ladder ---------------------------------------
 LADDER = (500, 100, 50, 25, 10, 5)   # tolerances in metres, tried in this order
@@ -40,8 +41,9 @@ def once(df: DataFrame, **cols) -> DataFrame:
 
 def vertices_shapes(df: DataFrame, wkt: str = "geoloc"):
     """G1: parse; returns ``(shapes, rejects)``. Rejected rows keep their
-    columns plus ``problem``; the rest carry ``shape``."""
-    parsed = once(df, shape=geo.parse_wkt(col(wkt)))
+    columns plus ``problem``; the rest carry ``shape``. Geometry is CPU
+    work per row, so a small input is first spread over the cores."""
+    parsed = once(spread(df), shape=geo.parse_wkt(col(wkt)))
     parsed = once(parsed, problem=geo.wkt_problem(col(wkt), "shape"))
     ok = parsed.where(F.col("problem").isNull()).drop("problem")
     rejects = parsed.where(F.col("problem").isNotNull()).drop("shape")

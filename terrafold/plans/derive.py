@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrafold.session import spread
 from terrafold.sources.contract import BAD, NEIGHBORHOODS_RAW, wide_contract
 
 E = F.expr
@@ -29,15 +30,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the (narrow) source rows over the cluster's cores before
-    an expensive per-row derivation, when the scan yields fewer splits than
-    cores (a small table is one parquet split). The shuffle moves the
-    source columns only; the wide text is built after it, in parallel."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _case(col: str, pairs, default: str) -> str:
     body = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in pairs)
     return f"CASE {col} {body} ELSE '{default}' END"

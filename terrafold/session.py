@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs rely on. Dynamic partition overwrite keeps other load
 # dates of a history table when one date is reloaded (S13); UTC matches the
@@ -81,3 +81,12 @@ def local_path(path: str) -> str:
 def ensure_local_dir(path: str) -> str:
     os.makedirs(local_path(path), exist_ok=True)
     return path
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin rows over the cluster's cores when the input has fewer
+    splits than cores (a small table is one parquet split), before
+    CPU-heavy per-row work. On large inputs -- more splits than cores --
+    this is a no-op, so it never adds a shuffle at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
