@@ -107,8 +107,9 @@ def new_inventory(manifest_df: DataFrame, watermarks: DataFrame, combined_mark:
         value = combined(watermarks).first()["last_date"]
         joined = manifest_df.withColumn("last_date", F.lit(value))
     else:
-        # one row per product: bounded by the number of products
-        joined = manifest_df.join(F.broadcast(watermarks.select("product", "last_date")), "product", "left")
+        # one row per product. No broadcast hint: AQE sees the aggregate's
+        # real size at run time and broadcasts it only under its threshold.
+        joined = manifest_df.join(watermarks.select("product", "last_date"), "product", "left")
     mark = F.coalesce(F.col("last_date"), F.lit(NO_DATE))
     prefix = F.col("file_date").try_cast("int")
     return joined.select(
@@ -124,5 +125,5 @@ def new_product_flags(inventory: DataFrame, products=("neighborhoods", "communit
     keys = inventory.sparkSession.createDataFrame([(p,) for p in products], ["product"])
     flags = (inventory.where(F.col("is_new")).groupBy("product")
              .agg(F.lit(True).alias("has_new")))
-    return (keys.join(F.broadcast(flags), "product", "left")
+    return (keys.join(flags, "product", "left")
             .select("product", F.coalesce("has_new", F.lit(False)).alias("has_new")))
