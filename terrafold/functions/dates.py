@@ -34,8 +34,3 @@ def load_date_from_path(path: str, default: dt.date | None = None) -> dt.date:
         log.warning("input folder %r is not a date; using today's UTC date", path)
         return default or dt.datetime.now(dt.timezone.utc).date()
 
-
-def folder_day(c) -> Column:
-    """Multi-folder reads: yyyyMMdd folder text -> date (NULL if not one)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.to_date(F.when(c.rlike(r"^\d{8}$"), c), "yyyyMMdd")
