@@ -57,12 +57,21 @@ def shared_dir(spark: SparkSession) -> str:
     Read from the session; only when the cluster names none (local tests)
     is a folder of our own set, so reliable checkpoints and intermediate
     tables survive the loss of an executor."""
-    sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if sc is not None:
+        d = d or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="terrafold-ckpt-")
-        sc.setCheckpointDir(d)
-    elif not sc.getCheckpointDir():
+        d = tempfile.mkdtemp(prefix="terrafold-ckpt-")  # local runs only: no cluster folder named
+        if sc is None:
+            try:
+                spark.conf.set("spark.checkpoint.dir", d)
+            except Exception:  # core settings may be read-only at run time
+                pass
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
@@ -88,5 +97,9 @@ def spread(df: DataFrame) -> DataFrame:
     splits than cores (a small table is one parquet split), before
     CPU-heavy per-row work. On large inputs -- more splits than cores --
     this is a no-op, so it never adds a shuffle at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (remote session): leave as is
+        return df
+    return df.repartition(cores) if parts < cores else df
