@@ -13,6 +13,11 @@ from terrafold.functions.dates import upload_day
 
 NO_DATE = "00000000"
 
+# The part of a manifest that is read; other keys are ignored. Declared, so
+# no inference pass reads every manifest page before the real read.
+MANIFEST_SCHEMA = ("result STRUCT<`last-updated`: STRING, "
+                   "inventory: ARRAY<STRUCT<filename: STRING, url: STRING>>>")
+
 # --- fixed values: product words in delivery names, first match wins --------
 PRODUCT_RULES = [
     ("community-info", "community_info"),
@@ -41,7 +46,7 @@ def manifest(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
     url}, ...]}}``. ``multi_line=True`` reads pretty-printed documents (one
     per file, not splittable); the default reads one document per line, so
     a paged manifest splits across tasks."""
-    docs = spark.read.option("multiLine", str(bool(multi_line)).lower()).json(path)
+    docs = spark.read.schema(MANIFEST_SCHEMA).option("multiLine", str(bool(multi_line)).lower()).json(path)
     items = docs.select(
         F.col("result.`last-updated`").alias("last_updated"),
         F.inline(F.col("result.inventory")),
