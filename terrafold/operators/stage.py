@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrafold.functions import sqltext
@@ -41,18 +41,32 @@ def stamp(df: DataFrame, load_date: dt.date | str | None = None, labels=(), labe
     return sqltext.select(df, cols)
 
 
-def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, bad_by=None):
-    """One full-width parse, persisted, feeds both outputs.
+def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, bad_by=None,
+          strategy: str = "persist"):
+    """Good rows (bad column dropped) and bad rows (the raw line).
 
-    Persisting the whole parse (not a filtered subset) matters twice: the
-    good write does not re-read and re-decompress the raw text, and column
-    pruning cannot shrink the parse to columns that always parse cleanly,
-    which would hide malformed rows (S4). Returns ``(good, bad, parsed)``;
-    call ``parsed.unpersist()`` after both writes."""
-    parsed = df.persist(storage)
+    Returns ``(good, bad, parsed)``; call ``parsed.unpersist()`` after both
+    writes when it is not None.
+
+    * ``persist`` (default): one full-width parse, persisted, feeds both
+      outputs -- the raw text is read and decompressed once.
+    * ``reparse``: no persist; each output scans the raw text. For a drop
+      too large to hold in executor memory and disk.
+
+    Either way every row is parsed at full width, so column pruning cannot
+    shrink the parse to columns that always parse cleanly and hide
+    malformed rows (S4): the good side needs every column anyway, and the
+    bad side keeps them all required through a zero-length slice of the
+    row (the result is the raw line unchanged)."""
+    if strategy not in ("persist", "reparse"):
+        raise ValueError(f"unknown split strategy {strategy!r}")
+    parsed = df.persist(storage) if strategy == "persist" else df
     good = parsed.where(F.col(bad).isNull()).drop(bad)
-    bad_rows = parsed.where(F.col(bad).isNotNull()).select(bad, *([bad_by] if bad_by else []))
-    return good, bad_rows, parsed
+    others = [F.col(c).cast("string") for c in parsed.columns if c != bad]
+    anchor = F.substring(F.concat_ws("", *others), 1, 0)
+    bad_rows = parsed.where(F.col(bad).isNotNull()).select(
+        F.concat(F.col(bad), anchor).alias(bad), *([bad_by] if bad_by else []))
+    return good, bad_rows, (parsed if strategy == "persist" else None)
 
 
 def write_history(df: DataFrame, path: str, by: str = "load_date", compression: str = "snappy") -> None:
@@ -82,20 +96,23 @@ def register(spark: SparkSession, table: str) -> None:
 
 def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str | None = None,
         load_date=None, labels=(), contract=None, table: str | None = None, bad: str = BAD,
-        bad_by: str | None = None) -> dict:
+        bad_by: str | None = None, strategy: str = "persist") -> dict:
     """The stage job: stamp -> split -> bad sink -> history sink -> repair.
 
-    Returns row counts read from the persisted parse (no second scan)."""
+    Row counts are observed while the sinks write (``DataFrame.observe``),
+    so counting costs no extra pass."""
     stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad)
-    good, bad_rows, cached = split(stamped, bad, bad_by=bad_by)
+    good, bad_rows, cached = split(stamped, bad, bad_by=bad_by, strategy=strategy)
+    good_obs, bad_obs = Observation("stage_good"), Observation("stage_bad")
+    good = good.observe(good_obs, F.count(F.lit(1)).alias("n"))
+    bad_rows = bad_rows.observe(bad_obs, F.count(F.lit(1)).alias("n"))
     try:
         if bad_path:
             write_bad(bad_rows, bad_path, by=bad_by)
         write_history(good, history_path)
-        counts = cached.groupBy(F.col(bad).isNull().alias("good")).count().collect()
     finally:
-        cached.unpersist()
+        if cached is not None:
+            cached.unpersist()
     if table:
         register(spark, table)
-    by = {r["good"]: r["count"] for r in counts}
-    return {"good": by.get(True, 0), "bad": by.get(False, 0)}
+    return {"good": good_obs.get.get("n", 0), "bad": bad_obs.get.get("n", 0) if bad_path else None}

@@ -124,3 +124,23 @@ def test_ddl_generated_from_contract():
     assert text.index("`geoloc`") < text.index("`load_date`")
     wide = catalog.ddl(C.wide_contract(619), "db.w", "/w")
     assert wide.count("decimal(16,4)") == 559
+
+
+def test_reparse_strategy_matches_persist(spark, tmp):
+    from terrafold.operators import stage as S
+
+    raw = f"{tmp}/raw"
+    lines = [HEADER, GOOD, ZERO, TEXT_NUM, SHORT, LONG]
+    _land(spark, raw, "20240101", lines)
+    from terrafold.sources.delimited import scan_landing
+
+    out = {}
+    for strategy in ("persist", "reparse"):
+        parsed = scan_landing(spark, f"{raw}/product=neighborhoods", C.NEIGHBORHOODS_RAW, prefix="neighborhoods")
+        counts = S.run(spark, parsed, f"{tmp}/h_{strategy}", f"{tmp}/b_{strategy}", labels=("geo_type",),
+                       contract=C.NEIGHBORHOODS_RAW, strategy=strategy)
+        good = sorted(r["geo_id"] for r in spark.read.orc(f"{tmp}/h_{strategy}").collect())
+        bad = sorted(r[0] for r in spark.read.text(f"{tmp}/b_{strategy}").collect())
+        out[strategy] = (counts, good, bad)
+    assert out["persist"] == out["reparse"]
+    assert out["persist"][0] == {"good": 2, "bad": 4} and TEXT_NUM in out["persist"][2]
