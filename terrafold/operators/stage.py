@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -103,7 +104,8 @@ def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str
     so counting costs no extra pass."""
     stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad)
     good, bad_rows, cached = split(stamped, bad, bad_by=bad_by, strategy=strategy)
-    good_obs, bad_obs = Observation("stage_good"), Observation("stage_bad")
+    tag = uuid.uuid4().hex[:8]  # observation names must not collide across concurrent jobs
+    good_obs, bad_obs = Observation(f"stage_good_{tag}"), Observation(f"stage_bad_{tag}")
     good = good.observe(good_obs, F.count(F.lit(1)).alias("n"))
     bad_rows = bad_rows.observe(bad_obs, F.count(F.lit(1)).alias("n"))
     try:
