@@ -144,3 +144,19 @@ def test_reparse_strategy_matches_persist(spark, tmp):
         out[strategy] = (counts, good, bad)
     assert out["persist"] == out["reparse"]
     assert out["persist"][0] == {"good": 2, "bad": 4} and TEXT_NUM in out["persist"][2]
+
+
+def test_rerun_is_idempotent(spark, tmp):
+    """A retried job (e.g. after losing executors) leaves the same state:
+    landing and staging the same delivery twice changes nothing."""
+    raw, hist, bad = f"{tmp}/raw", f"{tmp}/hist", f"{tmp}/bad"
+    lines = [HEADER, GOOD, ZERO, TEXT_NUM, SHORT, LONG]
+    snapshots = []
+    for _ in range(2):
+        _land(spark, raw, "20240101", lines)
+        counts = stage_boundaries(spark, raw, hist, bad, days=["20240101"])
+        h = sorted((r["geo_id"], str(r["load_date"])) for r in spark.read.orc(hist).collect())
+        b = sorted(r[0] for r in spark.read.text(bad).collect())
+        landed = sorted(r[0] for r in spark.read.text(f"{raw}/product=neighborhoods").collect())
+        snapshots.append((counts, h, b, landed))
+    assert snapshots[0] == snapshots[1]
