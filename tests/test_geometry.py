@@ -164,3 +164,18 @@ def test_key_violations(spark):
     df = spark.createDataFrame([("01", "a"), ("01", "a"), ("02", "b"), (None, "c")], "fips_code string, id string")
     got = sorted((r["id"], r["rule"], r["n"]) for r in G.key_violations(df).collect())
     assert got == [("a", "duplicate key", 2), ("c", "null key", 1)]
+
+
+def test_area_invariant_to_start_vertex(spark):
+    rng = np.random.default_rng(7)
+    ang = np.sort(rng.uniform(0, 2 * np.pi, 12))
+    pts = [(10 + 0.3 * math.cos(a), 45 + 0.2 * math.sin(a)) for a in ang]
+    rows = []
+    for k in range(len(pts)):
+        ring = pts[k:] + pts[:k]
+        ring = ring + [ring[0]]
+        rows.append((str(k), "POLYGON ((" + ", ".join(f"{x!r} {y!r}" for x, y in ring) + "))"))
+    ok, _ = G.vertices_shapes(spark.createDataFrame(rows, "geo_id string, geoloc string"))
+    areas = [r["area_m2"] for r in G.clean(ok).collect()]
+    assert len(areas) == len(pts)
+    assert max(areas) - min(areas) < 1e-6 * max(areas)
