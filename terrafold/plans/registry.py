@@ -350,3 +350,17 @@ QUERIES = {
     "shape_table": q_shape_table,
     "key_violations": q_key_violations,
 }
+
+
+# The supplied tables each query derives its input from (for row counts in).
+INPUT_TABLES = {
+    **{k: ["customer"] for k in ("stage_good_rows", "stage_bad_rows", "curated_snapshot",
+                                 "history_partition_overwrite", "incremental_stage", "area_code",
+                                 "null_sentinels", "wide_contract_projection", "publish_rows", "publish_count",
+                                 "target_contract_violations", "shape_table", "key_violations")},
+    **{k: ["supplier"] for k in ("contract_orc_scan", "strip_srid")},
+    **{k: ["part"] for k in ("prefix_map", "wkt_vertices", "ring_orientation", "polygon_area",
+                             "self_intersections", "simplify_ladder")},
+    **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
+                               "new_product_flag", "archive_unpack")},
+}
