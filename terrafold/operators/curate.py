@@ -22,6 +22,15 @@ def scan(spark: SparkSession, path: str, schema=None, dates=None) -> DataFrame:
     return df
 
 
+def latest_dates(spark: SparkSession, table: str, n: int = 1) -> list:
+    """The ``n`` most recent load dates of a registered history table, read
+    from the catalog's partition list (``SHOW PARTITIONS``): no data file is
+    opened, so curating the newest delivery does not scan the history."""
+    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    days = sorted({p.split("=", 1)[1] for p in parts if p.startswith("load_date=")})
+    return days[-n:] if n else days
+
+
 def drop_audit(df: DataFrame, cols=AUDIT) -> DataFrame:
     """Drop stage audit columns; absent names are ignored."""
     return df.drop(*cols)

@@ -98,6 +98,10 @@ def test_stage_good_plus_bad_is_raw_and_reload_keeps_other_dates(spark, tmp):
     # catalog table over the history, partitions registered
     catalog.register(spark, C.NEIGHBORHOODS_STAGE, "tf_test.neighborhoods_hist", hist, partition_by="load_date")
     assert spark.table("tf_test.neighborhoods_hist").count() == 4
+    latest = curate.latest_dates(spark, "tf_test.neighborhoods_hist")
+    assert latest == ["2024-02-01"]
+    one_day = curate.scan(spark, hist, C.NEIGHBORHOODS_STAGE, dates=latest)
+    assert one_day.count() == 3
     # curate: contract read, fips_code filled, audit columns gone, stamp first
     cur = curate_boundaries(spark, hist, f"{tmp}/cur")
     assert cur.columns[0] == "created_datetime" and "load_date" not in cur.columns and "file_name" not in cur.columns
