@@ -90,16 +90,26 @@ def export(df: DataFrame, columns=EXPORT_COLUMNS) -> DataFrame:
 def load_table(df: DataFrame, table: str, columns=EXPORT_COLUMNS, validate: bool = True) -> int:
     """P1-P3 into a catalog table: truncate-then-load (``INSERT OVERWRITE``
     with a column list, so omitted columns take the table's DEFAULT), then
-    compare row counts. Returns the loaded row count."""
+    compare row counts. The source rows are counted while they are written
+    (``DataFrame.observe``), so validation costs no second pass over the
+    source. Returns the loaded row count."""
+    import uuid
+
+    from pyspark.sql import Observation
+
     spark = df.sparkSession
-    view = f"_publish_src_{abs(hash(table)) % 10**8}"
-    export(df, columns).createOrReplaceTempView(view)
+    tag = uuid.uuid4().hex[:8]
+    obs = Observation(f"publish_{tag}")
+    view = f"_publish_src_{tag}"
+    export(df, columns).observe(obs, F.count(F.lit(1)).alias("n")).createOrReplaceTempView(view)
     try:
         cols = ", ".join(columns)
         spark.sql(f"INSERT OVERWRITE TABLE {table} ({cols}) SELECT {cols} FROM {view}")
-        return validate_count(df, spark.table(table)) if validate else -1
     finally:
         spark.catalog.dropTempView(view)
+    if not validate:
+        return -1
+    return validate_count(None, spark.table(table), source_count=obs.get.get("n", 0))
 
 
 def load_jdbc(df: DataFrame, url: str, table: str, columns=EXPORT_COLUMNS, writers: int = 2,
@@ -115,13 +125,14 @@ def load_jdbc(df: DataFrame, url: str, table: str, columns=EXPORT_COLUMNS, write
     return validate_count(df, None, target_count=int(target.first()["n"]))
 
 
-def validate_count(source: DataFrame, target: DataFrame | None, target_count: int | None = None) -> int:
+def validate_count(source: DataFrame | None, target: DataFrame | None, target_count: int | None = None,
+                   source_count: int | None = None) -> int:
     """Source and target row counts must agree."""
-    s = source.count()
-    t = target.count() if target_count is None else target_count
-    if s != t:
-        raise RuntimeError(f"row count mismatch: source {s}, target {t}")
-    return t
+    src = source.count() if source_count is None else source_count
+    tgt = target.count() if target_count is None else target_count
+    if src != tgt:
+        raise RuntimeError(f"row count mismatch: source {src}, target {tgt}")
+    return tgt
 
 
 def typed(df: DataFrame, wkt: str = "geoloc") -> DataFrame:
