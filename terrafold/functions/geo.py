@@ -234,7 +234,8 @@ def reduce_shape(s: str, sig: str, t: str) -> str:
 
 def _num(v: str) -> str:
     """Plain decimal text for a coordinate: no exponent, no trailing zeros."""
-    return f"regexp_replace(CAST(CAST({v} AS DECIMAL(38,15)) AS STRING), {_raw(r'\.?0+$')}, '')"
+    # decimal(38,15) text always has a point: trim trailing zeros, then the point
+    return f"rtrim('.', rtrim('0', CAST(CAST({v} AS DECIMAL(38,15)) AS STRING)))"
 
 
 def to_wkt(s: str) -> str:
