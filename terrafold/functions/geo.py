@@ -28,9 +28,14 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 RING = T.ArrayType(POINT)
 SHAPE = T.ArrayType(T.ArrayType(RING))
 
-# A part is '(' ring (',' ring)* ')'; a ring is '(' text without parens ')'.
-PART_RE = r"\(\s*(\([^()]*\)(?:\s*,\s*\([^()]*\))*)\s*\)"
-RING_RE = r"\(([^()]*)\)"
+# Parsing splits instead of matching repeated groups: Java's regex engine
+# recurses once per repetition of a group, which overflows the stack on a
+# polygon with a few thousand holes; split() scans iteratively.
+BODY_RE = r"(?s)^\s*[A-Za-z]+\s*\((.*)\)\s*$"       # text inside the outermost parentheses
+PART_SEP_RE = r"\)\s*\)\s*,\s*\(\s*\("            # between two parts of a multipolygon
+PART_ENDS_RE = r"^\s*\(\s*\(|\)\s*\)\s*$"           # outer parentheses of a multipolygon part
+RING_ENDS_RE = r"^\s*\(|\)\s*$"                    # outer parentheses of a polygon body
+RING_SEP_RE = r"\)\s*,\s*\("                        # between two rings
 
 _ids = itertools.count()
 _HALF_R2 = repr(-EARTH_RADIUS_M * EARTH_RADIUS_M / 2.0)
@@ -70,10 +75,22 @@ def ring_points(r: str) -> str:
 
 
 def parse_wkt(w: str) -> str:
-    """G1: POLYGON / MULTIPOLYGON text -> shape (see :func:`wkt_problem`)."""
+    """G1: POLYGON / MULTIPOLYGON text -> shape (see :func:`wkt_problem`).
+
+    The body inside the outer parentheses is split into parts (multipolygon
+    only), each part into rings, each ring into points."""
     p, r = _v("p"), _v("r")
-    return (f"transform(regexp_extract_all({w}, {_raw(PART_RE)}, 1), {p} -> "
-            f"transform(regexp_extract_all({p}, {_raw(RING_RE)}, 1), {r} -> {ring_points(r)}))")
+
+    def parts(body):
+        multi = (f"transform(split({body}, {_raw(PART_SEP_RE)}), {p} -> "
+                 f"regexp_replace({p}, {_raw(PART_ENDS_RE)}, ''))")
+        single = f"array(regexp_replace({body}, {_raw(RING_ENDS_RE)}, ''))"
+        return f"CASE WHEN {wkt_kind(w)} = 'MULTIPOLYGON' THEN {multi} ELSE {single} END"
+
+    q = _v("q")
+    shape = let(f"regexp_extract({w}, {_raw(BODY_RE)}, 1)", parts)
+    return (f"transform({shape}, {q} -> "
+            f"transform(split({q}, {_raw(RING_SEP_RE)}), {r} -> {ring_points(r)}))")
 
 
 def wkt_kind(w: str) -> str:

@@ -103,7 +103,7 @@ def test_parse_rejects(shapes_df):
     ok, rej = G.vertices_shapes(shapes_df)
     got = {r["geo_id"]: r["problem"] for r in rej.collect()}
     assert got == {"bad": "bad coordinate", "null": "null text", "point": "unsupported type",
-                   "z": "bad coordinate", "unbalanced": "no polygon",
+                   "z": "bad coordinate", "unbalanced": "unbalanced parentheses",
                    "extra_paren": "unbalanced parentheses"}
     assert ok.count() == len(ROWS) - len(got)
 
@@ -179,3 +179,14 @@ def test_area_invariant_to_start_vertex(spark):
     areas = [r["area_m2"] for r in G.clean(ok).collect()]
     assert len(areas) == len(pts)
     assert max(areas) - min(areas) < 1e-6 * max(areas)
+
+
+def test_many_holes_do_not_overflow(spark):
+    """Thousands of rings in one polygon: parsing must not recurse per ring."""
+    n = 5000
+    holes = ", ".join(f"({x + 0.1} 0.1, {x + 0.1} 0.2, {x + 0.2} 0.2, {x + 0.2} 0.1, {x + 0.1} 0.1)" for x in range(n))
+    df = spark.createDataFrame([("a", f"POLYGON ((0 0, {n + 1} 0, {n + 1} 1, 0 1, 0 0), {holes})")],
+                               "geo_id string, geoloc string")
+    ok, rej = G.vertices_shapes(df)
+    assert rej.count() == 0
+    assert G.clean(ok).select(F.size(F.get("shape", 0))).first()[0] == n + 1
