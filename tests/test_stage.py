@@ -164,3 +164,9 @@ def test_rerun_is_idempotent(spark, tmp):
         landed = sorted(r[0] for r in spark.read.text(f"{raw}/product=neighborhoods").collect())
         snapshots.append((counts, h, b, landed))
     assert snapshots[0] == snapshots[1]
+
+
+def test_shipped_contract_files_match_code():
+    here = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "terrafold", "contracts")
+    assert C.load(os.path.join(here, "neighborhoods_raw.json")) == C.NEIGHBORHOODS_RAW
+    assert C.load(os.path.join(here, "neighborhoods_stage.json")) == C.NEIGHBORHOODS_STAGE
