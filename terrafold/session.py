@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,35 @@ def apply_job_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, so that Python functions find it whatever folder workers start
+    in. Once per application; a remote session sends it as an artifact."""
+    import terrafold
+
+    root = os.path.dirname(os.path.abspath(terrafold.__file__))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # a remote (Connect) session has no SparkContext
+        app = None
+    if (app or str(id(spark))) in _SHIPPED:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="terrafold-ship-"), "terrafold.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith((".py", ".json")):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    if app:
+        spark.sparkContext.addPyFile(archive)
+    else:
+        spark.addArtifacts(archive, pyfile=True)
+    _SHIPPED.add(app or str(id(spark)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
