@@ -7,10 +7,12 @@ check, exact check on the full shingle sets, components by alternating stars.
    however many, cost one row each.
 2. Classes that share a band key meet a pivot chosen per bucket (a different
    one in each band), never each other. Signature bits drop pairs that are far
-   below the threshold (3.5 standard deviations); each class checks its
-   closest pivots on the full sets; links become components.
+   below the threshold (3.5 standard deviations), and an odd sketch - the parity of
+   the set's members in each of 2048 cells - drops pairs that cannot reach it: the cells in
+   which two sketches differ are a lower bound of the sets' difference. Each class checks
+   its closest pivots on the full sets; links become components.
 3. Within a bucket, classes that are still in different components are joined
-   on the band key, with the signature test as join condition, and the pairs
+   on the band key, with both tests as join condition, and the pairs
    that pass are confirmed on full sets. So no link between two components is
    lost, while members of one component are never paired.
 """
@@ -30,6 +32,8 @@ from pyspark.sql.window import Window
 from terrafold.llm.components import connected_components
 from terrafold.llm.textops import Bloom, blocks, hash_strings, mix, powers, windows, words, written
 
+#: Cells of the odd sketch.
+CELLS = 2048
 #: Pivots whose full sets a class is compared with before the bucket join handles the rest.
 FIRST_CHECKS = 3
 
@@ -62,6 +66,11 @@ def minima(s: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
     return out
 
 
+def odd_sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the set's members in each cell, packed into longs."""
+    return np.packbits((np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1).astype(np.uint8)).view(np.int64)
+
+
 def _signer(n: int, bands: int, rows: int):
     rng = np.random.default_rng(8)
     mul = rng.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -72,11 +81,11 @@ def _signer(n: int, bands: int, rows: int):
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches):
-            sizes, ids, keys, bits = [], [], [], []
+            sizes, ids, keys, bits, odd = [], [], [], [], []
             for s in shingle_sets(b.column("text"), n):
                 sizes.append(len(s))
                 if not len(s):
-                    ids.append(None), keys.append(None), bits.append(None)
+                    ids.append(None), keys.append(None), bits.append(None), odd.append(None)
                     continue
                 low = minima(s, mul, add)
                 ids.append(set_id(s))
@@ -84,10 +93,12 @@ def _signer(n: int, bands: int, rows: int):
                 keys.append(mix(k + salt).view(np.int64))
                 one = np.concatenate([(low >> np.uint32(17)) & np.uint32(1), np.zeros(pad, np.uint32)]).astype(np.uint8)
                 bits.append(np.packbits(one).view(np.int64))
+                odd.append(odd_sketch(s))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                 pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_id", "bands", "bits"])
+                 pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
+                 pa.array(odd, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "set_id", "bands", "bits", "odd"])
 
     return sign
 
@@ -131,7 +142,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     null ids has a null component_id and is kept whole. An empty table gives no rows.
     A pair at the very threshold shares no band with probability (1 - (num/den)^rows)^bands."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(src.mapInArrow(_signer(n, bands, rows), "doc_id long, n_shingles long, set_id long, bands array<long>, bits array<long>"), "minhash")
+    signed = written(src.mapInArrow(_signer(n, bands, rows), "doc_id long, n_shingles long, set_id long, bands array<long>, bits array<long>, odd array<long>"), "minhash")
     least = (signed.where("set_id is not null").groupBy("set_id", "n_shingles").agg(F.min("doc_id").alias("least_id")))
     # one row per class: the bands depend on the set alone, so any row of the class has them
     buckets = signed.where("set_id is not null").select(F.col("set_id").alias("node"), F.explode("bands").alias("key")).distinct()
@@ -139,15 +150,17 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
               .where("c > 1").select("key", F.col("p").bitwiseXOR(F.col("key")).alias("pivot")))
     met = written(buckets.join(pivots, "key"), "minhash")
     involved = met.select("node").distinct()
-    bits = written(signed.select(F.col("set_id").alias("node"), "n_shingles", "bits", "doc_id").join(involved, "node")
-                   .groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.min("doc_id").alias("doc_id")), "minhash")
+    bits = written(signed.select(F.col("set_id").alias("node"), "n_shingles", "bits", "odd", "doc_id").join(involved, "node")
+                   .groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("odd").alias("odd"), F.min("doc_id").alias("doc_id")), "minhash")
     total = bands * rows
     agree = total * (1 + num / den) / 2
     floor = math.floor(agree - 3.5 * math.sqrt(agree * (1 - agree / total)))
     words64 = -(-total // 64)
     differ = " + ".join(f"bit_count(a.bits[{i}] ^ b.bits[{i}])" for i in range(words64))
-    # the sizes alone bound the similarity; the bits estimate it
-    close = f"{den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n) and {differ} <= {total - floor}"
+    apart = " + ".join(f"bit_count(a.odd[{i}] ^ b.odd[{i}])" for i in range(CELLS // 64))
+    # the sizes bound the similarity, the bits estimate it, the odd sketches bound it again
+    close = (f"{den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n) and {differ} <= {total - floor} "
+             f"and {den} * (a.n + b.n - ({apart})) >= {num} * (a.n + b.n + ({apart}))")
     bloom = Bloom.of(bits.where("doc_id is not null"), Bloom.position("doc_id"))
     sets = written(src.withColumn("pos", Bloom.position("doc_id")).mapInArrow(_sets(n, bloom), "node long, items array<long>")
                    .join(involved, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "minhash")
@@ -168,7 +181,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     # what the pivots did not settle: members of one bucket in different components
     met2 = met.select("key", "node").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = met2.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = written(met2.join(mixed, "key").join(bits, "node").select("key", "node", "component", "n", "bits"), "minhash")
+    open_ = written(met2.join(mixed, "key").join(bits, "node").select("key", "node", "component", "n", "bits", "odd"), "minhash")
     rest = (open_.alias("a").join(open_.alias("b"), F.expr(f"a.key = b.key and a.node > b.node and a.component <> b.component and {close}"))
             .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")).distinct())
     links = first.unionByName(confirmed(rest))
