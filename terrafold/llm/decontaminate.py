@@ -38,6 +38,10 @@ _PLACEHOLDER = ["", "\x00number", "\x00unit", "\x00name"]
 
 def classify(word: str) -> tuple[int, str, bool, bool]:
     """(type if the word stands inside a sentence, its template text, whether it is capitalised, whether it ends a sentence)."""
+    if word.isalpha():
+        low = word.lower()
+        cap = word[0].isupper()
+        return (UNIT if low in UNITS else NAME if cap else LITERAL), low, cap, False
     core = word.strip(_EDGE).rstrip(".")
     low = core.lower()
     end = bool(_END.search(word))

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from terrafold.llm.textops import Words, blocks, bounded_sample, hash_strings, mix, raw, within, words
 
 #: Bound of the labelled sample, in documents per label (written out in the README).
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS = 1000
 WINDOW, STRIDE = 20, 12
 HIDDEN, ATTENTION = 8, 4
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 15
@@ -69,7 +69,7 @@ def grams(vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             there.append(ok)
     there = np.stack(there, axis=1)
     per = np.add.reduceat(there.sum(axis=1), begin) if n else np.zeros(0, np.int64)
-    return np.stack(rows, axis=1)[there].astype(np.int64), (np.cumsum(per) - per).astype(np.int64)
+    return np.stack(rows, axis=1)[there].astype(np.int32), (np.cumsum(per) - per).astype(np.int64)
 
 
 def window_starts(w: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -229,15 +229,20 @@ def _rows(vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ((hash_strings(vocab) % np.uint64(WORD_ROWS)).astype(np.int64), *grams(vocab))
 
 
-def _log_odds(rows: np.ndarray, owner: np.ndarray, y: np.ndarray, used: np.ndarray, size: int) -> np.ndarray:
-    """Shrunk log-odds of each hashed row, from the number of toxic and clean texts that hold it."""
+def _log_odds(w: Words, ids: np.ndarray, gram: np.ndarray, begin: np.ndarray, per_word: np.ndarray, y: np.ndarray, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shrunk log-odds of each hashed word row and n-gram row, from the number of toxic and clean texts that hold it."""
+    count = {"word": np.zeros((2, WORD_ROWS)), "char": np.zeros((2, CHAR_ROWS))}
+    for i in np.flatnonzero(used):
+        own = np.unique(w.codes[w.starts[i] : w.starts[i + 1]])
+        rows = gram[np.repeat(begin[own], per_word[own]) + within(per_word[own])]
+        count["word"][int(y[i]), np.unique(ids[own])] += 1
+        count["char"][int(y[i]), np.unique(rows)] += 1
     toxic, clean = y[used].sum(), (1 - y[used]).sum()
-    pairs = np.unique(owner * size + rows)
-    text, row = pairs // size, pairs % size
-    pos = np.bincount(row, weights=y[text], minlength=size)
-    neg = np.bincount(row, weights=1 - y[text], minlength=size)
-    odds = np.log((pos + 0.5) / (toxic + 1)) - np.log((neg + 0.5) / (clean + 1))
-    return odds * (pos + neg) / (pos + neg + 4)
+    out = []
+    for neg, pos in count.values():
+        odds = np.log((pos + 0.5) / (toxic + 1)) - np.log((neg + 0.5) / (clean + 1))
+        out.append(odds * (pos + neg) / (pos + neg + 4))
+    return out[0], out[1]
 
 
 def fit(texts: list[str | None], labels: list[int], prior: float | None = None, seed: int = 1) -> Model:
@@ -264,11 +269,7 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
         mine = np.ones(len(y), bool)
     else:
         mine = ~for_table
-    seen = np.unique(word_text[for_table[word_text]] * len(w.vocab) + w.codes[for_table[word_text]])
-    text_of, word_of = seen // len(w.vocab), seen % len(w.vocab)
-    net.p["word"][:, 0] = _log_odds(ids[word_of], text_of, y, for_table, WORD_ROWS)
-    grams_of = np.repeat(begin[word_of], per_word[word_of]) + within(per_word[word_of])
-    net.p["char"][:, 0] = _log_odds(gram[grams_of], np.repeat(text_of, per_word[word_of]), y, for_table, CHAR_ROWS)
+    net.p["word"][:, 0], net.p["char"][:, 0] = _log_odds(w, ids, gram, begin, per_word, y, for_table)
     shown = mine[owner]
     first, owner = first[shown], owner[shown]
     grid = window_words(w, first, owner)
