@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from terrafold.llm.textops import Words, blocks, bounded_sample, hash_strings, mix, raw, within, words
 
 #: Bound of the labelled sample, in documents per label (written out in the README).
-SAMPLE_DOCS = 1000
+SAMPLE_DOCS = 1500
 WINDOW, STRIDE = 20, 12
 HIDDEN, ATTENTION = 8, 4
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 15
