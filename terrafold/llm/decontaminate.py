@@ -128,9 +128,10 @@ def matches(docs: DataFrame, bench: DataFrame, window: int = WINDOW, need: int =
     bits = Bloom.of(items, _positions(F.col("hash")))
     src = docs.select(doc_key().alias("doc_key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = src.mapInArrow(_windows_of(window, need, "doc_key", bits), "id long, hash long, at long, slots array<string>")
-    met = (found.select(F.col("id").alias("doc_key"), "hash", F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots")).distinct()
+    # two branches read the matches; the texts are read once
+    met = written(found.select(F.col("id").alias("doc_key"), "hash", F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots")).distinct()
            .join(items.select(F.col("id").alias("item_id"), "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots")), "hash")
-           .where("size(doc_slots) = size(item_slots)"))
+           .where("size(doc_slots) = size(item_slots)"), "leaks")
     # pairs of slot values within one alignment of the item: each item value must have one document value
     run = met.withColumn("offset", F.col("doc_at") - F.col("item_at"))
     pairs = run.select("doc_key", "item_id", "offset", F.explode(F.arrays_zip("item_slots", "doc_slots")).alias("s")).select(
