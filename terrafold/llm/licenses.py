@@ -75,7 +75,8 @@ def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     for a in anchors:
         has = has | F.contains(F.col("line"), F.lit(a))
     lines = low.where(_any(F.col("text"), anchors)).select("key", F.explode(F.split("text", "\n")).alias("line")).where(has)
-    lines = lines.select("key", F.col("line"), _words(F.col("line")).alias("ws")).where(F.arrays_overlap("ws", F.array(*map(F.lit, anchors))))
+    # two branches read these lines; the texts are read once for both
+    lines = written(lines.select("key", F.col("line"), _words(F.col("line")).alias("ws")).where(F.arrays_overlap("ws", F.array(*map(F.lit, anchors)))), "license")
     distinct = written(lines.select(F.col("line"), "ws").distinct(), "license")
     tf = distinct.select("line", F.explode("ws").alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
     # words of these lines that no template has weigh by the least common count, 0: the heaviest, so never in a line's favour
