@@ -5,8 +5,8 @@ character. Every line emits that neighbourhood - itself and each one-character d
 hashed keys; equal keys meet, the edit distance is verified, and a line goes if an
 earlier one lies within the bound.
 
-A deletion's key comes with its position (the first of a run of equal characters). Lines
-that share both differ in that one character at most, so a bucket is all
+A deletion's key comes with its position. Lines that share both differ in that one
+character at most, so a bucket is all
 linked: each member only meets the bucket's earliest, and no pairs are formed among
 them. Insertions meet through the string itself, which is one line per key.
 
@@ -48,10 +48,8 @@ def deletion_keys(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     here = np.concatenate([[np.uint64(0)], np.cumsum(value * p[pos], dtype=np.uint64)])
     # the same sums with every character moved one place to the left
     moved = np.concatenate([[np.uint64(0)], np.cumsum(value * np.where(pos > 0, p[np.maximum(pos - 1, 0)], np.uint64(0)), dtype=np.uint64)])
-    first = np.ones(len(cp), bool)
-    first[1:] = (cp[1:] != cp[:-1]) | (row[1:] != row[:-1])
-    at = np.flatnonzero(first)
-    r = row[at]
+    at = np.arange(len(cp))
+    r = row
     end = starts + lens
     gone = here[at] - here[starts[r]] + moved[end[r]] - moved[at + 1]
     whole = here[end] - here[starts]

@@ -58,7 +58,7 @@ def grams(vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     running = np.zeros(len(marked), np.uint32)
     rows, there = [], []
     for k in range(max(GRAMS)):
-        running[: len(marked) - k] += _SALT[k][marked[k:]]
+        running[: max(0, len(marked) - k)] += _SALT[k][marked[k:]]
         if k + 1 in GRAMS:
             ok = left >= k + 1
             if k + 1 == GRAMS[0]:
