@@ -100,7 +100,8 @@ def wkt_kind(w: str) -> str:
 def wkt_problem(w: str, s: str) -> str:
     """Why a text is rejected, or NULL. Structure is checked by counting:
     the parentheses must be exactly those of the parts and rings found, and
-    every point must be two numbers. (A single whole-text regex would
+    every point must be two numbers, a longitude within 180 and a latitude
+    within 90 degrees; NaN and infinities are not. (A single whole-text regex would
     recurse once per point in Java's engine and overflow on big rings.)"""
     acc, p, p2, r, q = _v("acc"), _v("p"), _v("p"), _v("r"), _v("q")
     kind = wkt_kind(w)
@@ -108,7 +109,8 @@ def wkt_problem(w: str, s: str) -> str:
     n_open = f"(length({w}) - length(replace({w}, '(', '')))"
     n_close = f"(length({w}) - length(replace({w}, ')', '')))"
     bad_point = (f"exists({s}, {p2} -> exists({p2}, {r} -> {r} IS NULL OR "
-                 f"exists({r}, {q} -> {q}.x IS NULL OR {q}.y IS NULL)))")
+                 f"exists({r}, {q} -> {q}.x IS NULL OR {q}.y IS NULL "
+                 f"OR NOT abs({q}.x) <= 180D OR NOT abs({q}.y) <= 90D)))")  # NaN compares above all numbers
 
     def body(k):
         expected = f"(CASE WHEN {k} = 'POLYGON' THEN 1 + {n_rings} ELSE 1 + size({s}) + {n_rings} END)"

@@ -78,6 +78,18 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     ).where(F.col("name") != "").distinct())
 
 
+def _digits(c: Column) -> tuple[Column, Column]:
+    """Length and text of a digit string without leading zeros: ordered as numbers of any length."""
+    text = F.regexp_replace(c, "^0+(?=.)", "")
+    return F.length(text), text
+
+
+def _later(a: Column, b: Column) -> Column:
+    """Whether digit string ``a`` is the larger number, however long they are."""
+    (la, ta), (lb, tb) = _digits(a), _digits(b)
+    return (la > lb) | ((la == lb) & (ta > tb))
+
+
 def last_loaded(listing_df: DataFrame, by=("product",), products=None) -> DataFrame:
     """M3/M7: per product, the largest all-digit folder name compared as a
     number, returned as its original text; ``00000000`` when there is none.
@@ -85,7 +97,7 @@ def last_loaded(listing_df: DataFrame, by=("product",), products=None) -> DataFr
     ``products`` lists products that must appear even with no folder."""
     digits = listing_df.where(F.col("name").rlike(r"^[0-9]+$"))
     agg = digits.groupBy(*by).agg(
-        F.max_by("name", F.col("name").cast("decimal(38,0)")).alias("last_date"))
+        F.max_by("name", F.struct(*_digits(F.col("name")))).alias("last_date"))
     if products is not None and by:
         keys = listing_df.sparkSession.createDataFrame([(p,) for p in products], [by[0]])
         agg = keys.join(agg, list(by), "left")
@@ -116,12 +128,12 @@ def new_inventory(manifest_df: DataFrame, watermarks: DataFrame, combined_mark:
         # real size at run time and broadcasts it only under its threshold.
         joined = manifest_df.join(watermarks.select("product", "last_date"), "product", "left")
     mark = F.coalesce(F.col("last_date"), F.lit(NO_DATE))
-    prefix = F.col("file_date").try_cast("int")
+    numeric = F.coalesce(F.col("file_date").rlike("^[0-9]+$"), F.lit(False))
     return joined.select(
         *manifest_df.columns,
         mark.alias("last_date"),
-        prefix.isNotNull().alias("prefix_ok"),
-        (prefix > mark.try_cast("int")).alias("is_new"),
+        numeric.alias("prefix_ok"),
+        F.when(numeric, _later(F.col("file_date"), mark)).alias("is_new"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 
 from pyspark import StorageLevel
@@ -13,23 +14,27 @@ from terrafold.functions import sqltext
 from terrafold.sources.contract import BAD, require
 
 LINEAGE = ("file_name", "parent_folder_name")
+log = logging.getLogger(__name__)
 
 
 def stamp(df: DataFrame, load_date: dt.date | str | None = None, labels=(), label_from: str = "file_name",
-          contract=None, keep_lineage: bool = True, bad: str = BAD) -> DataFrame:
+          contract=None, keep_lineage: bool = True, bad: str = BAD, run_date: dt.date | str | None = None) -> DataFrame:
     """Created stamp, load date, label columns copied from the source
     file name, then the contract columns in contract order -- one select,
     whatever the width (built as one SQL text: a 620-column projection is
     one parse, not 620 Column objects).
 
     ``load_date=None`` takes each row's date from its dated folder, so one
-    scan over many drops stamps each row with its own delivery date."""
+    scan over many drops stamps each row with its own delivery date. A
+    folder that is no date gives ``run_date``, else the UTC date of now (S7)."""
     if labels or keep_lineage:
         require(df, LINEAGE)  # S6
     if load_date is not None:
         ld = f"CAST({sqltext.lit(str(load_date))} AS DATE)"
     else:
-        ld = f"to_date(CASE WHEN parent_folder_name RLIKE '^[0-9]{{8}}$' THEN parent_folder_name END, 'yyyyMMdd')"
+        day = run_date or dt.datetime.now(dt.timezone.utc).date()
+        ld = (f"coalesce(CAST(CASE WHEN parent_folder_name RLIKE '^[0-9]{{8}}$' THEN try_to_timestamp(parent_folder_name, 'yyyyMMdd') END AS DATE), "
+              f"CAST({sqltext.lit(str(day))} AS DATE))")
     data_cols = [c for c in (contract.fieldNames() if contract is not None else df.columns)
                  if c not in LINEAGE and c != bad]
     cols = ["current_timestamp() AS created_datetime", f"{ld} AS load_date"]
@@ -97,24 +102,44 @@ def register(spark: SparkSession, table: str) -> None:
 
 def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str | None = None,
         load_date=None, labels=(), contract=None, table: str | None = None, bad: str = BAD,
-        bad_by: str | None = None, strategy: str = "persist") -> dict:
+        bad_by: str | None = None, strategy: str = "persist", reload_dates=(), run_date=None) -> dict:
     """The stage job: stamp -> split -> bad sink -> history sink -> repair.
 
+    ``reload_dates`` are the load dates this run replaces: one that turns out
+    to have no good row is removed from the history, so withdrawn rows do not
+    stay (S13). Bad rows are counted even where no sink is given.
+
     Row counts are observed while the sinks write (``DataFrame.observe``),
     so counting costs no extra pass."""
-    stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad)
+    stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad, run_date=run_date)
     good, bad_rows, cached = split(stamped, bad, bad_by=bad_by, strategy=strategy)
     tag = uuid.uuid4().hex[:8]  # observation names must not collide across concurrent jobs
     good_obs, bad_obs = Observation(f"stage_good_{tag}"), Observation(f"stage_bad_{tag}")
-    good = good.observe(good_obs, F.count(F.lit(1)).alias("n"))
+    days = sorted({str(d) for d in reload_dates})
+    good = good.observe(good_obs, F.count(F.lit(1)).alias("n"),
+                        *[F.count_if(F.col("load_date") == F.lit(d).cast("date")).alias(f"d{i}") for i, d in enumerate(days)])
     bad_rows = bad_rows.observe(bad_obs, F.count(F.lit(1)).alias("n"))
     try:
         if bad_path:
             write_bad(bad_rows, bad_path, by=bad_by)
+        n_bad = bad_obs.get.get("n", 0) if bad_path else bad_rows.count()
         write_history(good, history_path)
     finally:
         if cached is not None:
             cached.unpersist()
+    if n_bad and not bad_path:
+        log.warning("%d malformed lines and no folder to keep them in", n_bad)
+    for i, d in enumerate(days):
+        if not good_obs.get.get(f"d{i}", 0):
+            _remove(spark, f"{history_path}/load_date={d}")
+            if table:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_date = DATE '{d}')")
     if table:
         register(spark, table)
-    return {"good": good_obs.get.get("n", 0), "bad": bad_obs.get.get("n", 0) if bad_path else None}
+    return {"good": good_obs.get.get("n", 0), "bad": n_bad}
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder on whatever file system it is on; nothing if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

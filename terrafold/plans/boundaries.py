@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,14 +18,26 @@ LABELS = ("geo_type", "neighborhood_type")
 
 
 def stage_boundaries(spark: SparkSession, raw_root: str, history: str, bad: str | None = None, days=None,
-                     load_date=None, table: str | None = None, where=None, bad_by: str | None = None) -> dict:
-    """Stage job over landed boundary files (one or many delivery days)."""
+                     load_date=None, table: str | None = None, bad_by: str | None = None, run_date=None) -> dict:
+    """Stage job over landed boundary files (one or many delivery days); the
+    given days are replaced, also by nothing."""
     parsed = scan_landing(spark, f"{raw_root}/product=neighborhoods", NEIGHBORHOODS_RAW,
                           prefix="neighborhoods", dates=days)
-    if where is not None:
-        parsed = parsed.where(where)
     return stage.run(spark, parsed, history, bad, load_date=load_date, labels=LABELS,
-                     contract=NEIGHBORHOODS_RAW, table=table, bad_by=bad_by)
+                     contract=NEIGHBORHOODS_RAW, table=table, bad_by=bad_by, reload_dates=_dates(days, load_date), run_date=run_date)
+
+
+def _dates(days, load_date) -> list[str]:
+    """Load dates of delivery folders: the given one, else those folder names that are dates."""
+    if load_date is not None:
+        return [str(load_date)]
+    out = []
+    for d in days or []:
+        try:
+            out.append(str(dt.datetime.strptime(str(d), "%Y%m%d").date()))
+        except ValueError:
+            pass
+    return out
 
 
 def curate_boundaries(spark: SparkSession, history: str, out: str | None = None, dates=None) -> DataFrame:
@@ -86,6 +99,9 @@ def publish_and_shape(spark: SparkSession, curated: DataFrame, landing_table: st
     cols = [c for c in geometry.SHAPE_COLUMNS if c in table.columns]
     table.select(*cols).write.mode("overwrite").parquet(shape_path)
     written = spark.read.parquet(shape_path)
+    # the rejects too must be on storage before the landing table goes
+    shape_rejects.write.mode("overwrite").parquet(f"{shape_path}_rejects")
+    shape_rejects = spark.read.parquet(f"{shape_path}_rejects")
     if drop_landing:
         geometry.drop_staging(spark, landing_table)
     return Published(loaded, rejected, written, shape_rejects, geometry.key_violations(written))

@@ -195,6 +195,16 @@ def oracle_sql() -> dict:
             f"WHERE CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10 GROUP BY member",
             f"SELECT '2024-02-01' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member",
         ]),
+        "history_empty_reload": f"SELECT '2024-02-01' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member",
+        "load_date_fallback": _union([
+            f"SELECT '2024-01-01' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member",
+            f"SELECT '2024-03-05' AS load_date, member AS geo_type, 2 * count(*) AS n FROM ({GOOD}) g GROUP BY member"]),
+        "manifest_long_prefixes": "SELECT o_orderkey, o_orderstatus <> 'P' AS prefix_ok, CASE WHEN o_orderstatus <> 'P' THEN "
+                                  "CAST(strftime(o_orderdate, '%Y%m%d') || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS HUGEINT) > "
+                                  "CASE WHEN o_orderstatus = 'O' THEN 19970101 ELSE 19960101000000000000 END END AS is_new FROM orders",
+        "shape_rejects": "SELECT p_partkey, CASE p_partkey % 10 WHEN 5 THEN 'unsupported type' WHEN 6 THEN 'unbalanced parentheses' "
+                         "WHEN 7 THEN 'null text' WHEN 8 THEN 'unexpected character' ELSE 'bad coordinate' END AS problem "
+                         "FROM part WHERE p_partkey % 10 <> 0",
         "incremental_stage": _union([
             f"SELECT '{d}' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member"
             for d in ("2024-01-01", "2024-02-01")]),

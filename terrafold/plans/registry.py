@@ -54,14 +54,41 @@ def q_history_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame
     days = ["20240101", "20240201"]
     landing.land(derive.boundary_lines(derive.table(spark, sf_dir, "customer"), days), raw)
     flows.stage_boundaries(spark, raw, history, days=days)                   # both days
-    flows.stage_boundaries(spark, raw, history, days=["20240101"], load_date="2024-01-01",
-                           where=F.col("longitude") >= 10)                   # smaller reload of day 1
+    smaller = derive.table(spark, sf_dir, "customer").where("CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10")
+    landing.land(derive.boundary_lines(smaller, days[:1]), f"{base}/again")  # day 1 comes again, with fewer rows
+    flows.stage_boundaries(spark, f"{base}/again", history, f"{base}/bad", days=days[:1], load_date="2024-01-01")
     table = f"tf_stage.neighborhoods_hist_{uuid.uuid4().hex[:8]}"
     catalog.register(spark, NEIGHBORHOODS_STAGE, table, history, partition_by="load_date")
     return (spark.table(table).groupBy(F.col("load_date").cast("string").alias("load_date"), "geo_type")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_history_empty_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day 1 comes again with malformed lines only: its old rows must go, and day 2 stay."""
+    apply_job_conf(spark)
+    base = scratch(spark, "reload")
+    history, days = f"{base}/stage", ["20240101", "20240201"]
+    customer = derive.table(spark, sf_dir, "customer")
+    landing.land(derive.boundary_lines(customer, days), f"{base}/raw")
+    flows.stage_boundaries(spark, f"{base}/raw", history, f"{base}/bad", days=days)
+    broken = derive.boundary_lines(customer, days[:1]).withColumn("value", F.lit("no fields at all"))
+    landing.land(broken, f"{base}/again")
+    flows.stage_boundaries(spark, f"{base}/again", history, f"{base}/bad2", days=days[:1])
+    return (spark.read.orc(history).groupBy(F.col("load_date").cast("string").alias("load_date"), "geo_type")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_load_date_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders that are a date, an impossible date and no date: the last two take the run's date."""
+    apply_job_conf(spark)
+    base = scratch(spark, "fallback")
+    days = ["20240101", "20241399", "latest"]
+    landing.land(derive.boundary_lines(derive.table(spark, sf_dir, "customer"), days), f"{base}/raw")
+    flows.stage_boundaries(spark, f"{base}/raw", f"{base}/stage", f"{base}/bad", days=days, run_date="2024-03-05")
+    return (spark.read.orc(f"{base}/stage").groupBy(F.col("load_date").cast("string").alias("load_date"), "geo_type")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def q_incremental_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage job driven by a file stream: two deliveries land one after
     the other; each availableNow run restages only the new date."""
@@ -172,6 +199,15 @@ def q_manifest_new_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv.select("filename", "product", "file_date", "upload_date", "last_date", "prefix_ok", "is_new")
 
 
+def q_manifest_long_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefixes far above the integer range, and some that are no number."""
+    items = derive.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.expr("CASE WHEN o_orderstatus = 'O' THEN 'community_info' ELSE 'neighborhoods' END").alias("product"),
+        F.expr("CASE WHEN o_orderstatus = 'P' THEN 'x' ELSE '' END || date_format(o_orderdate, 'yyyyMMdd') || lpad(CAST(o_orderkey AS STRING), 12, '0')").alias("file_date"))
+    marks = spark.createDataFrame([("neighborhoods", "19960101000000000000"), ("community_info", "19970101")], "product string, last_date string")
+    return delivery.new_inventory(items, marks).select("o_orderkey", "prefix_ok", "is_new")
+
+
 def q_last_loaded_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _watermarks(spark, sf_dir)
 
@@ -279,6 +315,22 @@ def q_wkt_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("p_partkey", "part", "ring", "seq", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
+REJECT_TEXTS = {
+    0: ("POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))", None), 1: ("POLYGON ((NaN 0, 1 0, 1 1, 0 1, NaN 0))", "bad coordinate"),
+    2: ("POLYGON ((Infinity 0, 1 0, 1 1, Infinity 0))", "bad coordinate"), 3: ("POLYGON ((1e30 0, 1 0, 1 1, 1e30 0))", "bad coordinate"),
+    4: ("POLYGON ((0 95, 1 0, 1 1, 0 95))", "bad coordinate"), 5: ("POINT (1 2)", "unsupported type"),
+    6: ("POLYGON ((0 0, 1 0, 1 1, 0 0)", "unbalanced parentheses"), 7: (None, "null text"), 8: ("POLYGON ((0 0, 1 #, 1 1, 0 0))", "unexpected character"),
+    9: ("MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((5 5, 6 5, 181 6, 5 5)))", "bad coordinate"),
+}
+
+
+def q_shape_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part carries one of the texts; all but the first must be rejected, with the reason."""
+    text = "CASE p_partkey % 10 " + " ".join(f"WHEN {k} THEN " + ("NULL" if t is None else f"'{t}'") for k, (t, _) in REJECT_TEXTS.items()) + " END"
+    _ok, rejects = geometry.vertices_shapes(derive.table(spark, sf_dir, "part").select("p_partkey", F.expr(text).alias("geoloc")))
+    return rejects.select("p_partkey", "problem")
+
+
 def q_ring_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = geometry.once(_part_shapes(spark, sf_dir).select("p_partkey", "shape"), before=geo.clean_shape("shape"))
     s = geometry.once(s.drop("shape"), after=geo.orient_shape("before"))
@@ -327,6 +379,10 @@ QUERIES = {
     "stage_bad_rows": q_stage_bad_rows,
     "curated_snapshot": q_curated_snapshot,
     "history_partition_overwrite": q_history_partition_overwrite,
+    "history_empty_reload": q_history_empty_reload,
+    "load_date_fallback": q_load_date_fallback,
+    "manifest_long_prefixes": q_manifest_long_prefixes,
+    "shape_rejects": q_shape_rejects,
     "incremental_stage": q_incremental_stage,
     "contract_orc_scan": q_contract_orc_scan,
     "prefix_map": q_prefix_map,
@@ -355,12 +411,12 @@ QUERIES = {
 # The supplied tables each query derives its input from (for row counts in).
 INPUT_TABLES = {
     **{k: ["customer"] for k in ("stage_good_rows", "stage_bad_rows", "curated_snapshot",
-                                 "history_partition_overwrite", "incremental_stage", "area_code",
+                                 "history_partition_overwrite", "history_empty_reload", "load_date_fallback", "incremental_stage", "area_code",
                                  "null_sentinels", "wide_contract_projection", "publish_rows", "publish_count",
                                  "target_contract_violations", "shape_table", "key_violations")},
     **{k: ["supplier"] for k in ("contract_orc_scan", "strip_srid")},
     **{k: ["part"] for k in ("prefix_map", "wkt_vertices", "ring_orientation", "polygon_area",
-                             "self_intersections", "simplify_ladder")},
+                             "self_intersections", "simplify_ladder", "shape_rejects")},
     **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
-                               "new_product_flag", "archive_unpack")},
+                               "new_product_flag", "archive_unpack", "manifest_long_prefixes")},
 }

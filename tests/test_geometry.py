@@ -184,8 +184,9 @@ def test_area_invariant_to_start_vertex(spark):
 def test_many_holes_do_not_overflow(spark):
     """Thousands of rings in one polygon: parsing must not recurse per ring."""
     n = 5000
-    holes = ", ".join(f"({x + 0.1} 0.1, {x + 0.1} 0.2, {x + 0.2} 0.2, {x + 0.2} 0.1, {x + 0.1} 0.1)" for x in range(n))
-    df = spark.createDataFrame([("a", f"POLYGON ((0 0, {n + 1} 0, {n + 1} 1, 0 1, 0 0), {holes})")],
+    at = [round(x * 0.03, 2) for x in range(n)]  # within the range of longitudes
+    holes = ", ".join(f"({x:.2f}1 0.1, {x:.2f}1 0.2, {x:.2f}2 0.2, {x:.2f}2 0.1, {x:.2f}1 0.1)" for x in at)
+    df = spark.createDataFrame([("a", f"POLYGON ((-1 0, 170 0, 170 1, -1 1, -1 0), {holes})")],
                                "geo_id string, geoloc string")
     ok, rej = G.vertices_shapes(df)
     assert rej.count() == 0

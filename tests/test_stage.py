@@ -91,8 +91,8 @@ def test_stage_good_plus_bad_is_raw_and_reload_keeps_other_dates(spark, tmp):
     counts = stage_boundaries(spark, raw, hist, bad, days=["20240101", "20240201"])
     assert counts["good"] + counts["bad"] == 13 and counts["good"] == 5
     # reload day 1 with fewer rows: day 2 must stay (dynamic overwrite)
-    stage_boundaries(spark, raw, hist, bad, days=["20240101"], load_date="2024-01-01",
-                     where=F.col("geo_id") == "g1")
+    _land(spark, f"{tmp}/again", "20240101", [HEADER, GOOD])
+    stage_boundaries(spark, f"{tmp}/again", hist, bad, days=["20240101"], load_date="2024-01-01")
     h = spark.read.orc(hist).groupBy(F.col("load_date").cast("string").alias("d")).count()
     assert {r["d"]: r["count"] for r in h.collect()} == {"2024-01-01": 1, "2024-02-01": 3}
     # catalog table over the history, partitions registered
@@ -170,3 +170,14 @@ def test_shipped_contract_files_match_code():
     here = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "terrafold", "contracts")
     assert C.load(os.path.join(here, "neighborhoods_raw.json")) == C.NEIGHBORHOODS_RAW
     assert C.load(os.path.join(here, "neighborhoods_stage.json")) == C.NEIGHBORHOODS_STAGE
+
+
+def test_reload_without_good_rows_clears_the_date(spark, tmp):
+    hist = f"{tmp}/hist"
+    _land(spark, f"{tmp}/raw", "20240101", [HEADER, GOOD])
+    _land(spark, f"{tmp}/raw", "20240201", [HEADER, GOOD])
+    stage_boundaries(spark, f"{tmp}/raw", hist, days=["20240101", "20240201"])
+    _land(spark, f"{tmp}/again", "20240101", [SHORT, LONG])
+    counts = stage_boundaries(spark, f"{tmp}/again", hist, days=["20240101"])
+    assert counts == {"good": 0, "bad": 2}  # counted although no folder was given
+    assert [str(r[0]) for r in spark.read.orc(hist).select("load_date").collect()] == ["2024-02-01"]
