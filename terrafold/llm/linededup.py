@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from terrafold.llm.textops import Bloom, blocks, mix, powers, within, written
 
@@ -106,13 +107,16 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     hashed = lines.select(F.xxhash64("line").alias("h"), "doc", "no", "line")
     texts = written(hashed.mapInArrow(_passing(bloom), hashed.schema).join(open_, ["h", "doc", "no"])
                     .select("h", "doc", "no", "line").dropDuplicates(["h"]), "lines")
-    near = written(texts.mapInArrow(_neighbourhoods, "h long, doc long, no int, key long, pos int"), "lines")
-    order = F.struct("doc", "no", "h")
-    bucket = near.groupBy("key", "pos").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1 and pos >= 0")
-    same = near.join(bucket.select("key", "pos", "first"), ["key", "pos"]).select("h", F.col("first.h").alias("other"))
+    # one shuffle and one sort by key serve both windows; a key's lines are one character from its string, so their number is bounded by alphabet and length
+    near = texts.mapInArrow(_neighbourhoods, "h long, doc long, no int, key long, pos int")
+    in_bucket = Window.partitionBy("key", "pos").orderBy("doc", "no", "h")
+    in_key = Window.partitionBy("key").orderBy("pos", "doc", "no", "h")
+    met = (near.repartition("key").withColumn("first", F.first("h").over(in_bucket)).withColumn("low", F.first(F.struct("pos", "h")).over(in_key))
+           .where((F.col("pos") >= 0) & ((F.col("first") != F.col("h")) | (F.col("low.pos") == WHOLE))))
+    met = written(met.select("h", "first", F.when(F.col("low.pos") == WHOLE, F.col("low.h")).alias("whole")), "lines")
+    same = met.select("h", F.col("first").alias("other"))
     # a line that is another's deletion: either may be the earlier one
-    whole = near.where(F.col("pos") == WHOLE).select("key", F.col("h").alias("other"))
-    grown = near.where(F.col("pos") >= 0).join(whole, "key").select("h", "other")
+    grown = met.where("whole is not null").select("h", F.col("whole").alias("other"))
     pairs = same.unionByName(grown).unionByName(grown.select(F.col("other").alias("h"), F.col("h").alias("other"))).where("h <> other").distinct()
     a = texts.select("h", F.col("line").alias("l1"), F.col("doc").alias("d1"), F.col("no").alias("n1"))
     b = texts.select(F.col("h").alias("other"), F.col("line").alias("l2"), F.col("doc").alias("d2"), F.col("no").alias("n2"))
