@@ -1,16 +1,7 @@
-"""Build wide projections as one SQL text instead of one Column per field.
-
-Every Column built in Python is a round trip to the JVM; a 620-column
-projection built that way costs hundreds of calls before Spark plans
-anything. One SQL string over a temporary view is parsed in one call and
-yields the same logical plan."""
+"""SQL text helpers for wide projections: names and literals quoted for ``selectExpr``."""
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame
-
 
 def ident(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -18,14 +9,3 @@ def ident(name: str) -> str:
 
 def lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def select(df: DataFrame, exprs) -> DataFrame:
-    """``df.selectExpr(*exprs)`` in a single parse."""
-    spark = df.sparkSession
-    view = f"_tf_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    try:
-        return spark.sql(f"SELECT {', '.join(exprs)} FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)

@@ -38,8 +38,8 @@ def drop_audit(df: DataFrame, cols=AUDIT) -> DataFrame:
 
 def restamp(df: DataFrame, name: str = "created_datetime") -> DataFrame:
     """A fresh created stamp first, then every column."""
-    return sqltext.select(df, [f"current_timestamp() AS {sqltext.ident(name)}"]
-                          + [sqltext.ident(c) for c in df.columns if c != name])
+    return df.selectExpr(f"current_timestamp() AS {sqltext.ident(name)}",
+                         *[sqltext.ident(c) for c in df.columns if c != name])
 
 
 def clean_neighborhoods(df: DataFrame, geo_rules=clean.GEO_TYPE_RULES,

@@ -68,14 +68,14 @@ def upload_date(manifest_df: DataFrame) -> DataFrame:
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """Folder listing ``(product, name)`` of a landed tree, taken from the
-    paths of the files in it (file contents are not read)."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    rel = F.regexp_extract(F.col("path"), r"/product=([^/]+)/file_date=([^/]+)/", 0)
-    return (files.select(
-        F.regexp_extract(rel, r"product=([^/]+)", 1).alias("product"),
-        F.regexp_extract(rel, r"file_date=([^/]+)", 1).alias("name"),
-    ).where(F.col("name") != "").distinct())
+    """Folder listing ``(product, name)`` of a landed tree: its delivery folders only, one
+    glob two levels deep. Files below them are never listed, so the cost is the
+    number of deliveries, not of files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/product=*/file_date=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    names = [(s.getPath().getParent().getName().split("=", 1)[1], s.getPath().getName().split("=", 1)[1])
+             for s in found or [] if s.isDirectory()]
+    return spark.createDataFrame(names, "product string, name string")
 
 
 def _digits(c: Column) -> tuple[Column, Column]:
@@ -114,15 +114,22 @@ def gate(last_date: Column, upload: Column) -> Column:
     return last_date < upload
 
 
-def new_inventory(manifest_df: DataFrame, watermarks: DataFrame, combined_mark: bool = False) -> DataFrame:
+def new_inventory(manifest_df: DataFrame, watermarks: DataFrame, combined_mark: bool = False, products=None) -> DataFrame:
     """M5 (+M7/M8): items whose numeric name prefix is strictly after the
     watermark. Per-product watermark by default; ``combined_mark=True`` uses
     one watermark for all. A non-numeric prefix gives ``prefix_ok = false``
-    instead of aborting the whole list."""
+    instead of aborting the whole list.
+
+    ``products`` names all products that items can have; their watermarks, one row
+    each, are then broadcast, and the manifest is not shuffled."""
     if combined_mark:
         # one scalar watermark (a max over a handful of products)
         value = combined(watermarks).first()["last_date"]
         joined = manifest_df.withColumn("last_date", F.lit(value))
+    elif products is not None:
+        # as many rows as the list has names, whatever the listing holds
+        marks = last_of(watermarks, products)
+        joined = manifest_df.join(F.broadcast(marks), "product", "left")
     else:
         # one row per product. No broadcast hint: AQE sees the aggregate's
         # real size at run time and broadcasts it only under its threshold.
@@ -137,6 +144,11 @@ def new_inventory(manifest_df: DataFrame, watermarks: DataFrame, combined_mark:
     )
 
 
+def last_of(watermarks: DataFrame, products) -> DataFrame:
+    """The watermarks of the listed products, at most one row for each."""
+    return watermarks.where(F.col("product").isin(list(products))).groupBy("product").agg(F.max("last_date").alias("last_date"))
+
+
 def new_product_flags(inventory: DataFrame, products=("neighborhoods", "community_info")) -> DataFrame:
     """M9: per product, true iff any new item classifies to it."""
     keys = inventory.sparkSession.createDataFrame([(p,) for p in products], ["product"])

@@ -39,11 +39,11 @@ def once(df: DataFrame, **cols) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*fields))))
 
 
-def vertices_shapes(df: DataFrame, wkt: str = "geoloc"):
+def vertices_shapes(df: DataFrame, wkt: str = "geoloc", partitions: int | None = None):
     """G1: parse; returns ``(shapes, rejects)``. Rejected rows keep their
     columns plus ``problem``; the rest carry ``shape``. Geometry is CPU
-    work per row, so a small input is first spread over the cores."""
-    parsed = once(spread(df), shape=geo.parse_wkt(col(wkt)))
+    work per row: ``partitions`` first spreads an input of few splits."""
+    parsed = once(spread(df, partitions), shape=geo.parse_wkt(col(wkt)))
     parsed = once(parsed, problem=geo.wkt_problem(col(wkt), "shape"))
     ok = parsed.where(F.col("problem").isNull()).drop("problem")
     rejects = parsed.where(F.col("problem").isNotNull()).drop("shape")
@@ -116,17 +116,13 @@ def crossings(df: DataFrame, keys, shape: str = "shape") -> DataFrame:
     return df.select(*keys, F.explode(found).alias("_c")).select(*keys, "_c.part", "_c.ring", "_c.seg_i", "_c.seg_j")
 
 
-def to_wkt(df: DataFrame, shape: str, out: str) -> DataFrame:
-    return df.withColumn(out, F.expr(geo.to_wkt(col(shape))))
-
-
 def shapes(df: DataFrame, wkt: str = "geoloc", ladder=LADDER, keep_pct: float = KEEP_PCT,
-           id_col: str = "geo_id", columns=None):
+           id_col: str = "geo_id", columns=None, partitions: int | None = None):
     """The final shape table -- ``geo_id`` renamed ``id``, the cleaned
     ``geoloc``, ``geoloc_reduced`` and ``geoloc_reduced_level``. Returns
     ``(table, rejects)``; rows whose text does not parse, or that clean to
     nothing, are rejects."""
-    ok, rejects = vertices_shapes(df, wkt)
+    ok, rejects = vertices_shapes(df, wkt, partitions)
     ok = clean(ok)
     empty = ok.where(F.size("shape") == 0).drop("shape", "area_m2").withColumn("problem", F.lit("empty after cleaning"))
     ok = ok.where(F.size("shape") > 0)

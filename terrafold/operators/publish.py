@@ -8,9 +8,10 @@ the export half way.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from terrafold.functions import geo
@@ -93,10 +94,6 @@ def load_table(df: DataFrame, table: str, columns=EXPORT_COLUMNS, validate: bool
     compare row counts. The source rows are counted while they are written
     (``DataFrame.observe``), so validation costs no second pass over the
     source. Returns the loaded row count."""
-    import uuid
-
-    from pyspark.sql import Observation
-
     spark = df.sparkSession
     tag = uuid.uuid4().hex[:8]
     obs = Observation(f"publish_{tag}")
@@ -118,11 +115,14 @@ def load_jdbc(df: DataFrame, url: str, table: str, columns=EXPORT_COLUMNS, write
     with at most ``writers`` connections, read the count back. Not exercised
     by the tests: no database server is started here."""
     props = {"truncate": "true", "numPartitions": str(writers), **(properties or {})}
-    export(df, columns).write.jdbc(url, table, mode="overwrite", properties=props)
+    obs = Observation(f"jdbc_{uuid.uuid4().hex[:8]}")
+    rows = export(df, columns).observe(obs, F.count(F.lit(1)).alias("n"))
+    # numPartitions alone would coalesce, and run all of the upstream job in that many tasks
+    rows.repartition(writers).write.jdbc(url, table, mode="overwrite", properties=props)
     if not validate:
         return -1
     target = df.sparkSession.read.jdbc(url, f"(SELECT COUNT(*) AS n FROM {table}) t", properties=properties or {})
-    return validate_count(df, None, target_count=int(target.first()["n"]))
+    return validate_count(None, None, target_count=int(target.first()["n"]), source_count=obs.get.get("n", 0))
 
 
 def validate_count(source: DataFrame | None, target: DataFrame | None, target_count: int | None = None,

@@ -21,8 +21,8 @@ def stamp(df: DataFrame, load_date: dt.date | str | None = None, labels=(), labe
           contract=None, keep_lineage: bool = True, bad: str = BAD, run_date: dt.date | str | None = None) -> DataFrame:
     """Created stamp, load date, label columns copied from the source
     file name, then the contract columns in contract order -- one select,
-    whatever the width (built as one SQL text: a 620-column projection is
-    one parse, not 620 Column objects).
+    whatever the width (as SQL text: a 620-column projection is
+    one call, not 620 Column objects).
 
     ``load_date=None`` takes each row's date from its dated folder, so one
     scan over many drops stamps each row with its own delivery date. A
@@ -44,20 +44,19 @@ def stamp(df: DataFrame, load_date: dt.date | str | None = None, labels=(), labe
         cols.append(sqltext.ident(bad))
     if keep_lineage:
         cols += [sqltext.ident(c) for c in LINEAGE]
-    return sqltext.select(df, cols)
+    return df.selectExpr(*cols)
 
 
 def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.MEMORY_AND_DISK, bad_by=None,
-          strategy: str = "persist"):
+          strategy: str = "reparse"):
     """Good rows (bad column dropped) and bad rows (the raw line).
 
     Returns ``(good, bad, parsed)``; call ``parsed.unpersist()`` after both
     writes when it is not None.
 
-    * ``persist`` (default): one full-width parse, persisted, feeds both
-      outputs -- the raw text is read and decompressed once.
-    * ``reparse``: no persist; each output scans the raw text. For a drop
-      too large to hold in executor memory and disk.
+    * ``reparse`` (default): each output scans the raw text; nothing is held.
+    * ``persist``: one full-width parse, persisted on the executors, feeds both
+      outputs. For a drop known to fit there.
 
     Either way every row is parsed at full width, so column pruning cannot
     shrink the parse to columns that always parse cleanly and hide
@@ -75,9 +74,14 @@ def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.ME
     return good, bad_rows, (parsed if strategy == "persist" else None)
 
 
-def write_history(df: DataFrame, path: str, by: str = "load_date", compression: str = "snappy") -> None:
+def write_history(df: DataFrame, path: str, by: str = "load_date", compression: str = "snappy", observe=()) -> None:
     """ORC history partitioned by load date. Dynamic overwrite
-    replaces only the dates present in ``df``; other dates stay."""
+    replaces only the dates present in ``df``; other dates stay. The rebalance
+    gathers a date's rows into few files; AQE splits a large date. ``observe`` (an
+    observation and its metrics) sits above it: AQE drops what is below an empty shuffle."""
+    df = df.hint("rebalance", by)
+    if observe:
+        df = df.observe(*observe)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", compression)
@@ -95,14 +99,19 @@ def write_bad(df: DataFrame, path: str, by: str | None = None) -> None:
     w.text(path)
 
 
-def register(spark: SparkSession, table: str) -> None:
-    """Make newly written partitions visible in the catalog."""
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+def register(spark: SparkSession, table: str, dates=None) -> None:
+    """Make newly written partitions visible in the catalog: those of ``dates``, or
+    whatever a listing of the whole table finds when they are not known."""
+    if dates is None:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    elif dates:
+        parts = " ".join(f"PARTITION (load_date = DATE '{d}')" for d in dates)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
 
 
 def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str | None = None,
         load_date=None, labels=(), contract=None, table: str | None = None, bad: str = BAD,
-        bad_by: str | None = None, strategy: str = "persist", reload_dates=(), run_date=None) -> dict:
+        bad_by: str | None = None, strategy: str = "reparse", reload_dates=(), run_date=None) -> dict:
     """The stage job: stamp -> split -> bad sink -> history sink -> repair.
 
     ``reload_dates`` are the load dates this run replaces: one that turns out
@@ -116,26 +125,30 @@ def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str
     tag = uuid.uuid4().hex[:8]  # observation names must not collide across concurrent jobs
     good_obs, bad_obs = Observation(f"stage_good_{tag}"), Observation(f"stage_bad_{tag}")
     days = sorted({str(d) for d in reload_dates})
-    good = good.observe(good_obs, F.count(F.lit(1)).alias("n"),
-                        *[F.count_if(F.col("load_date") == F.lit(d).cast("date")).alias(f"d{i}") for i, d in enumerate(days)])
+    counts = [F.count(F.lit(1)).alias("n"),
+              *[F.count_if(F.col("load_date") == F.lit(d).cast("date")).alias(f"d{i}") for i, d in enumerate(days)]]
     bad_rows = bad_rows.observe(bad_obs, F.count(F.lit(1)).alias("n"))
     try:
         if bad_path:
             write_bad(bad_rows, bad_path, by=bad_by)
-        n_bad = bad_obs.get.get("n", 0) if bad_path else bad_rows.count()
-        write_history(good, history_path)
+        else:  # parsed at full width and counted, kept nowhere
+            bad_rows.write.format("noop").mode("overwrite").save()
+        n_bad = bad_obs.get.get("n", 0)
+        write_history(good, history_path, observe=(good_obs, *counts))
     finally:
         if cached is not None:
             cached.unpersist()
     if n_bad and not bad_path:
         log.warning("%d malformed lines and no folder to keep them in", n_bad)
-    for i, d in enumerate(days):
-        if not good_obs.get.get(f"d{i}", 0):
+    per_day = {d: good_obs.get.get(f"d{i}", 0) for i, d in enumerate(days)}
+    for d, n in per_day.items():
+        if not n:
             _remove(spark, f"{history_path}/load_date={d}")
             if table:
                 spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_date = DATE '{d}')")
     if table:
-        register(spark, table)
+        known = sum(per_day.values()) == good_obs.get.get("n", 0)  # else rows took the run's date
+        register(spark, table, [d for d, n in per_day.items() if n] if known else None)
     return {"good": good_obs.get.get("n", 0), "bad": n_bad}
 
 

@@ -78,6 +78,7 @@ def curated_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 class Published:
     loaded: int                 # rows in the landing table (count-checked)
     rejected: DataFrame         # curated rows that break the landing contract, with the rules broken
+    typed_rejects: DataFrame    # landed rows that break the typed contract (P5), written
     shapes: DataFrame           # the written shape table, read back
     shape_rejects: DataFrame    # rows whose geometry did not parse or cleaned to nothing
     key_violations: DataFrame   # duplicate / NULL (fips_code, id); empty when publishable
@@ -87,14 +88,15 @@ def publish_and_shape(spark: SparkSession, curated: DataFrame, landing_table: st
                       rules=None, drop_landing: bool = True) -> Published:
     """The export and geometry build, in the reference's order:
     P4 contract check -> P1-P3 truncate-then-load with count check ->
-    P5/G1-G10 shapes from the landing table, written once -> G11 key check
+    P5 typed contract -> G1-G10 shapes from the landing table, written once -> G11 key check
     on the written table -> G12 staging clean-up. ``landing_table`` must
     exist (e.g. created from the warehouse DDL)."""
     from terrafold.operators import geometry, publish
 
     ok, rejected = publish.split_violations(curated, rules or publish.LANDING_RULES)
     loaded = publish.load_table(ok, landing_table)
-    landed = spark.table(landing_table)
+    landed, typed_rejects = publish.split_violations(spark.table(landing_table), publish.TYPED_RULES)
+    typed_rejects.write.mode("overwrite").parquet(f"{shape_path}_typed_rejects")
     table, shape_rejects = geometry.shapes(landed)
     cols = [c for c in geometry.SHAPE_COLUMNS if c in table.columns]
     table.select(*cols).write.mode("overwrite").parquet(shape_path)
@@ -104,4 +106,4 @@ def publish_and_shape(spark: SparkSession, curated: DataFrame, landing_table: st
     shape_rejects = spark.read.parquet(f"{shape_path}_rejects")
     if drop_landing:
         geometry.drop_staging(spark, landing_table)
-    return Published(loaded, rejected, written, shape_rejects, geometry.key_violations(written))
+    return Published(loaded, rejected, spark.read.parquet(f"{shape_path}_typed_rejects"), written, shape_rejects, geometry.key_violations(written))

@@ -50,6 +50,6 @@ def column_totals(df: DataFrame, contract: T.StructType) -> DataFrame:
             continue
         v = f"length({sqltext.ident(f.name)})" if isinstance(f.dataType, T.StringType) else sqltext.ident(f.name)
         sums.append(f"CAST(CAST(sum({v}) AS DECIMAL(38,4)) AS STRING) AS {sqltext.ident(f.name)}")
-    totals = sqltext.select(df, sums)
+    totals = df.selectExpr(*sums)
     pairs = ", ".join(f"{sqltext.lit(n)}, {sqltext.ident(n)}" for n in names)
     return totals.selectExpr(f"stack({len(names)}, {pairs}) AS (column_name, total)")

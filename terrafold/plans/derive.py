@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.session import spread
+from terrafold.session import spread, tasks_for
 from terrafold.sources.contract import BAD, NEIGHBORHOODS_RAW, wide_contract
 
 E = F.expr
@@ -70,7 +70,7 @@ def boundary_lines(customer: DataFrame, days=(DELIVERY_DAY,)) -> DataFrame:
     member starts with a header line. Those are the bad rows."""
     full = "concat_ws('\t', " + ", ".join(BOUNDARY_FIELDS_SQL) + ")"
     short = "concat_ws('\t', " + ", ".join(BOUNDARY_FIELDS_SQL[:5]) + ")"
-    rows = spread(customer).select(E(MEMBER_SQL).alias("member"),
+    rows = spread(customer, tasks_for(customer)).select(E(MEMBER_SQL).alias("member"),
                            E(f"CASE WHEN c_nationkey = 24 THEN {short} ELSE {full} END").alias("value"))
     headers = rows.select("member").distinct().select("member", F.lit(HEADER_LINE).alias("value"))
     lines = rows.unionByName(headers)
@@ -103,7 +103,7 @@ def wide_types(n: int = 619):
 
 def wide_lines(customer: DataFrame, n: int = 619, day: str = DELIVERY_DAY) -> DataFrame:
     fields = [wide_value_sql(j + 1, t) for j, t in enumerate(wide_types(n))]
-    return spread(customer).select(F.lit("community_info").alias("product"), F.lit(day).alias("file_date"),
+    return spread(customer, tasks_for(customer)).select(F.lit("community_info").alias("product"), F.lit(day).alias("file_date"),
                            F.lit("community-info-areas.tsv").alias("member"),
                            E("concat_ws('\t', " + ", ".join(fields) + ")").alias("value"))
 
@@ -149,7 +149,7 @@ def archive_members(orders: DataFrame, chunk: int = 50000) -> DataFrame:
     """Orders as archive members: archive ``<yyyy0101>-<word>-<chunk>.zip``
     holds monthly members ``data/<word>-<yyyyMM>.tsv``; an archive is one
     year of one key range, so none holds more than ``chunk`` orders."""
-    return spread(orders).select(
+    return spread(orders, tasks_for(orders)).select(
         E(f"date_format(date_trunc('YEAR', o_orderdate), 'yyyyMMdd') || '-' || {ARCHIVE_WORD_SQL} || '-' || "
           f"CAST(CAST(o_orderkey / {chunk} AS BIGINT) AS STRING) || '.zip'").alias("archive"),
         E(f"'data/' || {ARCHIVE_WORD_SQL} || '-' || date_format(o_orderdate, 'yyyyMM') || '.tsv'").alias("member"),

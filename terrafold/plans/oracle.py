@@ -226,6 +226,10 @@ def oracle_sql() -> dict:
                       "|| ' ' || CAST(s_suppkey AS VARCHAR) || ')', 'SRID=4326;', '', 'g') AS geoloc FROM supplier",
         "wide_contract_projection": _wide_sql(),
         "manifest_new_inventory": INVENTORY,
+        "combined_new_inventory": f"SELECT i.filename, i.product, i.file_date, w.last_date, "
+                                  f"TRY_CAST(i.file_date AS INTEGER) IS NOT NULL AS prefix_ok, "
+                                  f"TRY_CAST(i.file_date AS INTEGER) > CAST(w.last_date AS INTEGER) AS is_new "
+                                  f"FROM ({ITEMS}) i CROSS JOIN (SELECT max(last_date) AS last_date FROM ({WATERMARKS}) m) w",
         "last_loaded_date": WATERMARKS,
         "combined_watermark": f"SELECT max(last_date) AS last_date, '20010801' AS upload_date, "
                               f"max(last_date) < '20010801' AS newer_upload FROM ({WATERMARKS}) w",
@@ -240,6 +244,7 @@ def oracle_sql() -> dict:
                           "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'), "
                           "o_orderpriority) AS value FROM orders",
         "publish_rows": PUBLISHABLE,
+        "typed_rows": f"SELECT {CURATED_COLS}, 1 AS n_parts FROM ({PUBLISHABLE}) p WHERE fips_code IS NOT NULL",
         "publish_count": f"SELECT count(*) AS source_rows, count(*) AS target_rows FROM ({PUBLISHABLE}) p",
         "target_contract_violations": _union([
             f"SELECT geo_id, '{col}' AS column_name, '{rule}' AS rule FROM ({LANDING_ROWS}) l WHERE {cond}"

@@ -18,7 +18,7 @@ from terrafold.functions import clean, geo
 from terrafold.operators import curate, delivery, geometry, landing, publish
 from terrafold.plans import boundaries as flows
 from terrafold.plans import catalog, derive
-from terrafold.session import apply_job_conf, scratch
+from terrafold.session import apply_job_conf, scratch, tasks_for
 from terrafold.sources import archive
 from terrafold.sources.contract import BAD, NEIGHBORHOODS_STAGE, wide_contract
 
@@ -183,6 +183,9 @@ def q_wide_contract_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Delivery discovery (M1-M9)
 # ---------------------------------------------------------------------------
 
+PRODUCTS = ["neighborhoods", "community_info"]
+
+
 def _manifest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "manifest")
     derive.manifest_pages(derive.table(spark, sf_dir, "orders")).write.mode("overwrite").text(path)
@@ -191,14 +194,20 @@ def _manifest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = derive.folder_listing(derive.table(spark, sf_dir, "orders"))
-    return delivery.last_loaded(listing, products=["neighborhoods", "community_info"])
+    return delivery.last_loaded(listing, products=PRODUCTS)
 
 
 def q_manifest_new_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inv = delivery.new_inventory(_manifest_items(spark, sf_dir), _watermarks(spark, sf_dir))
+    inv = delivery.new_inventory(_manifest_items(spark, sf_dir), _watermarks(spark, sf_dir), products=PRODUCTS)
     return inv.select("filename", "product", "file_date", "upload_date", "last_date", "prefix_ok", "is_new")
 
 
+def q_combined_new_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item against one mark, the latest over the products (M8)."""
+    inv = delivery.new_inventory(_manifest_items(spark, sf_dir), _watermarks(spark, sf_dir), combined_mark=True)
+    return inv.select("filename", "product", "file_date", "last_date", "prefix_ok", "is_new")
+
+
 def q_manifest_long_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prefixes far above the integer range, and some that are no number."""
     items = derive.table(spark, sf_dir, "orders").select(
@@ -274,6 +283,14 @@ def q_publish_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(F.col("side") == "target", F.col("n"))).alias("target_rows"))
 
 
+def q_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed rows that meet the typed contract, typed, with the parts of their shape (P5)."""
+    _ok, table = _published(spark, sf_dir)
+    ok, _rejects = publish.split_violations(spark.table(table), publish.TYPED_RULES)
+    typed = publish.typed(ok).withColumn("n_parts", F.size("shape")).drop("created_datetime", "shape")
+    return _decimals_to_double(typed)
+
+
 LANDING_ROW_SQL = {
     "geo_type": "CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'neighborhood_lev_m' WHEN 'BUILDING' THEN 'neighborhood_lev_n' "
                 "WHEN 'FURNITURE' THEN 'neighborhood_lev_b' WHEN 'HOUSEHOLD' THEN 'neighborhood_lev_s' END",
@@ -305,8 +322,12 @@ def q_target_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Geometry (G1-G12)
 # ---------------------------------------------------------------------------
 
+def _vertices(df: DataFrame):
+    return geometry.vertices_shapes(df, partitions=tasks_for(df))
+
+
 def _part_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok, _rejects = geometry.vertices_shapes(derive.part_shapes(derive.table(spark, sf_dir, "part")))
+    ok, _rejects = _vertices(derive.part_shapes(derive.table(spark, sf_dir, "part")))
     return ok
 
 
@@ -327,7 +348,7 @@ REJECT_TEXTS = {
 def q_shape_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part carries one of the texts; all but the first must be rejected, with the reason."""
     text = "CASE p_partkey % 10 " + " ".join(f"WHEN {k} THEN " + ("NULL" if t is None else f"'{t}'") for k, (t, _) in REJECT_TEXTS.items()) + " END"
-    _ok, rejects = geometry.vertices_shapes(derive.table(spark, sf_dir, "part").select("p_partkey", F.expr(text).alias("geoloc")))
+    _ok, rejects = _vertices(derive.table(spark, sf_dir, "part").select("p_partkey", F.expr(text).alias("geoloc")))
     return rejects.select("p_partkey", "problem")
 
 
@@ -352,7 +373,7 @@ def q_self_intersections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_simplify_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok, _ = geometry.vertices_shapes(derive.spike_shapes(derive.table(spark, sf_dir, "part")))
+    ok, _ = _vertices(derive.spike_shapes(derive.table(spark, sf_dir, "part")))
     r = geometry.reduce(geometry.significance(geometry.clean(ok)))
     return r.select("p_partkey", F.col("reduced_level").cast("int").alias("geoloc_reduced_level"),
                     F.size(F.get(F.get("reduced", 0), 0)).alias("n_points"))
@@ -360,7 +381,7 @@ def q_simplify_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shape_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = flows.curated_customers(spark, sf_dir)
-    table, _rejects = geometry.shapes(curated)
+    table, _rejects = geometry.shapes(curated, partitions=tasks_for(curated))
     return table.select(*[c for c in geometry.SHAPE_COLUMNS if c in table.columns])
 
 
@@ -394,9 +415,11 @@ QUERIES = {
     "last_loaded_date": q_last_loaded_date,
     "combined_watermark": q_combined_watermark,
     "new_product_flag": q_new_product_flag,
+    "combined_new_inventory": q_combined_new_inventory,
     "archive_unpack": q_archive_unpack,
     "publish_rows": q_publish_rows,
     "publish_count": q_publish_count,
+    "typed_rows": q_typed_rows,
     "target_contract_violations": q_target_contract_violations,
     "wkt_vertices": q_wkt_vertices,
     "ring_orientation": q_ring_orientation,
@@ -412,11 +435,11 @@ QUERIES = {
 INPUT_TABLES = {
     **{k: ["customer"] for k in ("stage_good_rows", "stage_bad_rows", "curated_snapshot",
                                  "history_partition_overwrite", "history_empty_reload", "load_date_fallback", "incremental_stage", "area_code",
-                                 "null_sentinels", "wide_contract_projection", "publish_rows", "publish_count",
+                                 "null_sentinels", "wide_contract_projection", "publish_rows", "publish_count", "typed_rows",
                                  "target_contract_violations", "shape_table", "key_violations")},
     **{k: ["supplier"] for k in ("contract_orc_scan", "strip_srid")},
     **{k: ["part"] for k in ("prefix_map", "wkt_vertices", "ring_orientation", "polygon_area",
                              "self_intersections", "simplify_ladder", "shape_rejects")},
     **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
-                               "new_product_flag", "archive_unpack", "manifest_long_prefixes")},
+                               "new_product_flag", "combined_new_inventory", "archive_unpack", "manifest_long_prefixes")},
 }

@@ -3,7 +3,9 @@ scratch folder every job writes intermediate tables to."""
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -84,9 +86,9 @@ def ship(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when the cluster names none (local tests)
-    is a folder of our own set, so reliable checkpoints and intermediate
-    tables survive the loss of an executor."""
+    Read from the session, so reliable checkpoints and intermediate tables
+    survive the loss of an executor. A local session that names none gets a
+    folder of its own, deleted when Python ends; on a cluster that is an error."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -95,12 +97,10 @@ def shared_dir(spark: SparkSession) -> str:
     if sc is not None:
         d = d or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="terrafold-ckpt-")  # local runs only: no cluster folder named
-        if sc is None:
-            try:
-                spark.conf.set("spark.checkpoint.dir", d)
-            except Exception:  # core settings may be read-only at run time
-                pass
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="terrafold-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
@@ -111,25 +111,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/terrafold/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few driver-side file writes (schema
-    contracts in tests)."""
-    return path[5:] if path.startswith("file:") else path
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows dealt evenly over ``partitions`` tasks before CPU-heavy per-row work; None leaves ``df`` as it is."""
+    return df.repartition(partitions) if partitions else df
 
 
-def ensure_local_dir(path: str) -> str:
-    os.makedirs(local_path(path), exist_ok=True)
-    return path
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin rows over the cluster's cores when the input has fewer
-    splits than cores (a small table is one parquet split), before
-    CPU-heavy per-row work. On large inputs -- more splits than cores --
-    this is a no-op, so it never adds a shuffle at scale."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (remote session): leave as is
-        return df
-    return df.repartition(cores) if parts < cores else df
+def tasks_for(df: DataFrame, split_bytes: int = 32 << 20) -> int | None:
+    """The cluster's cores where the planned size of ``df`` gives them less than ``split_bytes`` each (one split of
+    a small table would keep all but one idle), else None. Read from the optimizer's statistics: no job runs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return cores if size < cores * split_bytes else None

@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 LINES_SCHEMA = "archive string, member string, line_no long, value string"
 
 
-def _unpack(suffix: str, batch_rows: int, encoding: str):
+def _unpack(suffix: str, batch_rows: int, encoding: str, batch_bytes: int):
     def fn(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 archive = posixpath.basename(path)
                 buf = {"archive": [], "member": [], "line_no": [], "value": []}
+                size = 0
                 with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     for info in zf.infolist():
                         if info.is_dir() or not info.filename.endswith(suffix):
@@ -35,18 +36,20 @@ def _unpack(suffix: str, batch_rows: int, encoding: str):
                                 buf["member"].append(member)
                                 buf["line_no"].append(i)
                                 buf["value"].append(line.rstrip("\r\n"))
-                                if len(buf["value"]) >= batch_rows:
+                                size += len(line)
+                                if len(buf["value"]) >= batch_rows or size >= batch_bytes:
                                     yield pd.DataFrame(buf)
-                                    buf = {k: [] for k in buf}
+                                    buf, size = {k: [] for k in buf}, 0
                 if buf["value"]:
                     yield pd.DataFrame(buf)
     return fn
 
 
 def unpack(spark: SparkSession, path: str, suffix: str = ".tsv", glob: str = "*.zip",
-           batch_rows: int = 50_000, encoding: str = "utf-8") -> DataFrame:
+           batch_rows: int = 50_000, encoding: str = "utf-8", batch_bytes: int = 16 << 20) -> DataFrame:
     """L1: one row per line of every member ending with ``suffix``; the
-    member name is its base name, folders inside the archive are dropped."""
+    member name is its base name, folders inside the archive are dropped. A batch
+    ends at ``batch_rows`` lines or ``batch_bytes`` characters: a line can hold a whole polygon."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    return files.mapInPandas(_unpack(suffix, batch_rows, encoding), LINES_SCHEMA)
+    return files.mapInPandas(_unpack(suffix, batch_rows, encoding, batch_bytes), LINES_SCHEMA)

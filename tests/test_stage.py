@@ -56,7 +56,7 @@ def test_scan_folder_split_and_lineage(spark, tmp):
     parsed = scan_folder(spark, f"{tmp}/raw/20240115", C.NEIGHBORHOODS_RAW, prefix="neighborhoods")
     st = stage.stamp(parsed, load_date_from_path(f"{tmp}/raw/20240115"), labels=("geo_type", "neighborhood_type"),
                      contract=C.NEIGHBORHOODS_RAW)
-    good, bad, cached = stage.split(st)
+    good, bad, cached = stage.split(st, strategy="persist")
     g = {r["geo_id"]: r for r in good.collect()}
     b = sorted(r[0] for r in bad.collect())
     cached.unpersist()
