@@ -96,13 +96,20 @@ def _orient(ax, ay, bx, by, cx, cy):
     return np.sign((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
 
 
-def ring_crossings(x: np.ndarray, y: np.ndarray):
+def unwrap(lon) -> np.ndarray:
+    """Longitudes made continuous by whole turns: a ring that does not pass the antimeridian keeps its values."""
+    lon = np.asarray(lon, dtype=float)
+    return lon - 360.0 * np.cumsum(np.round(np.diff(lon, prepend=lon[:1]) / 360.0))
+
+
+def ring_crossings(x: np.ndarray, y: np.ndarray, proper: bool = False):
     """Pairs (i, j), i < j, of non-adjacent edges of a closed ring that meet.
 
     Edges are swept in order of their smallest x: each edge is tested only
     against edges whose x-range starts before its own ends, then boxes,
     then orientation signs. Adjacent edges (sharing a vertex, including the
-    last and first) are not pairs."""
+    last and first) are not pairs. ``proper`` asks only whether two edges
+    cross inside both (touching is no crossing) and stops at the first pair."""
     x = np.asarray(x, dtype=float)
     y = np.asarray(y, dtype=float)
     m = len(x) - 1
@@ -128,6 +135,11 @@ def ring_crossings(x: np.ndarray, y: np.ndarray):
         o2 = _orient(ax[i], ay[i], bx[i], by[i], bx[cand], by[cand])
         o3 = _orient(ax[cand], ay[cand], bx[cand], by[cand], ax[i], ay[i])
         o4 = _orient(ax[cand], ay[cand], bx[cand], by[cand], bx[i], by[i])
+        if proper:
+            hit = cand[(o1 * o2 < 0) & (o3 * o4 < 0)]
+            if hit.size:
+                return [(int(min(i, hit[0])), int(max(i, hit[0])))]
+            continue
         hit = cand[(o1 * o2 <= 0) & (o3 * o4 <= 0)]
         for j in hit:
             found.append((int(min(i, j)), int(max(i, j))))
@@ -144,6 +156,14 @@ def shape_crossings(xs: pd.Series, ys: pd.Series) -> pd.Series:
             for pi, (pxp, pyp) in enumerate(zip(px, py)):
                 for ri, (rx, ry) in enumerate(zip(pxp, pyp)):
                     rows += [{"part": pi, "ring": ri, "seg_i": i, "seg_j": j}
-                             for i, j in ring_crossings(rx, ry)]
+                             for i, j in ring_crossings(unwrap(rx), ry)]
         out.append(rows)
     return pd.Series(out)
+
+
+@F.pandas_udf(T.BooleanType())
+def shape_self_crosses(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    """G3 as a decision: does any ring of the shape properly cross itself?"""
+    return pd.Series([px is not None and any(ring_crossings(unwrap(rx), ry, proper=True)
+                                             for pxp, pyp in zip(px, py) for rx, ry in zip(pxp, pyp))
+                      for px, py in zip(xs, ys)], dtype=bool)

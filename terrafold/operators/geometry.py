@@ -12,19 +12,18 @@ from pyspark.sql import functions as F
 
 from terrafold.functions import geo
 from terrafold.functions.geo import col
-from terrafold.functions.geo_udf import shape_crossings, shape_significance
+from terrafold.functions.geo_udf import shape_crossings, shape_self_crosses, shape_significance
 from terrafold.session import spread
 
 # --- fixed values: the reduction ladder ---------------------------------------
 LADDER = (500, 100, 50, 25, 10, 5)   # tolerances in metres, tried in this order
 KEEP_PCT = 97.0                      # reduced area must stay strictly above this
 UNREDUCED_LEVEL = 1                  # level reported when no tolerance passes
-# -----------------------------------------------------------------------------
-
-# The order the final table lists its columns in.
+# the order the final table lists its columns in
 SHAPE_COLUMNS = ["created_datetime", "geo_type", "neighborhood_type", "id", "name", "fips_code", "state_abbr",
                  "state_fips_code", "county", "county_fips_code", "metro", "incorporated_place", "longitude",
                  "latitude", "geoloc", "geoloc_reduced", "geoloc_reduced_level"]
+# -----------------------------------------------------------------------------
 
 
 def once(df: DataFrame, **cols) -> DataFrame:
@@ -69,16 +68,6 @@ def vertices(df: DataFrame, keys, shape: str = "shape") -> DataFrame:
     return v.select(*keys, "part", "ring", "seq", F.col("_v.x").alias("lon"), F.col("_v.y").alias("lat"))
 
 
-def ring_areas(df: DataFrame, keys, shape: str = "shape") -> DataFrame:
-    """G5 per ring: signed spherical area and orientation."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    p = df.select(*keys, F.posexplode(shape).alias("part", "_p"))
-    r = p.select(*keys, "part", F.posexplode("_p").alias("ring", "_r"))
-    r = once(r, signed_area_m2=geo.ring_signed_area("_r"))
-    return r.select(*keys, "part", "ring", "signed_area_m2", F.expr(
-        "CASE WHEN signed_area_m2 > 0 THEN 'ccw' WHEN signed_area_m2 < 0 THEN 'cw' ELSE 'flat' END").alias("orientation"))
-
-
 def area(df: DataFrame, shape: str = "shape", out: str = "area_m2") -> DataFrame:
     """Shape area in m^2 (already present after :func:`clean`)."""
     return df if out in df.columns else df.withColumn(out, F.expr(geo.shape_area(col(shape))))
@@ -120,20 +109,25 @@ def shapes(df: DataFrame, wkt: str = "geoloc", ladder=LADDER, keep_pct: float =
            id_col: str = "geo_id", columns=None, partitions: int | None = None):
     """The final shape table -- ``geo_id`` renamed ``id``, the cleaned
     ``geoloc``, ``geoloc_reduced`` and ``geoloc_reduced_level``. Returns
-    ``(table, rejects)``; rows whose text does not parse, or that clean to
-    nothing, are rejects."""
+    ``(table, rejects)``; rows whose text does not parse, that clean to
+    nothing, or with a ring that properly crosses itself (its area cancels,
+    so no level can be told; touching rings are published) are rejects."""
     ok, rejects = vertices_shapes(df, wkt, partitions)
     ok = clean(ok)
     empty = ok.where(F.size("shape") == 0).drop("shape", "area_m2").withColumn("problem", F.lit("empty after cleaning"))
-    ok = ok.where(F.size("shape") > 0)
-    ok = reduce(significance(ok), ladder, keep_pct)
+    x, y = F.expr(geo.coords(col("shape"), "x")), F.expr(geo.coords(col("shape"), "y"))
+    # one Python stage for both kernels
+    ok = once(ok.where(F.size("shape") > 0), sig=shape_significance(x, y), _crosses=shape_self_crosses(x, y))
+    crossed = (ok.where("_crosses").drop("shape", "area_m2", "sig", "_crosses")
+               .withColumn("problem", F.lit("ring crosses itself")))
+    ok = reduce(ok.where("NOT _crosses").drop("_crosses"), ladder, keep_pct)
     cols = columns if columns is not None else [c for c in df.columns if c not in (wkt, id_col)]
     out = ok.select(*[F.col(c) for c in cols if c != id_col],
                     *([F.col(id_col).alias("id")] if id_col in df.columns else []),
                     F.expr(geo.to_wkt("shape")).alias(wkt),
                     F.expr(geo.to_wkt("reduced")).alias(f"{wkt}_reduced"),
                     F.col("reduced_level").cast("int").alias(f"{wkt}_reduced_level"))
-    return out, rejects.unionByName(empty, allowMissingColumns=True)
+    return out, rejects.unionByName(empty, allowMissingColumns=True).unionByName(crossed, allowMissingColumns=True)
 
 
 def key_violations(df: DataFrame, keys=("fips_code", "id")) -> DataFrame:

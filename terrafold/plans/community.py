@@ -2,8 +2,7 @@
 
 Same operators as the boundaries product with another contract; nothing
 here names a column. The vendor's contract is a JSON file
-(``contract.load``); ``contract.wide_contract`` builds one with the same
-run of types for tests."""
+(``contract.load``); ``derive.wide_contract`` makes up one for tests."""
 
 from __future__ import annotations
 
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from terrafold.operators import curate, stage
-from terrafold.sources.contract import BAD, stage_contract
+from terrafold.plans import catalog
+from terrafold.sources.contract import BAD, snapshot_contract, stage_contract
 from terrafold.sources.delimited import scan_landing
 
 PRODUCT = "community_info"
@@ -37,6 +37,22 @@ def curate_community(spark: SparkSession, history: str, contract: T.StructType,
     return spark.read.orc(out)
 
 
+def register_community(spark: SparkSession, contract: T.StructType, history: str, curated: str,
+                       history_table: str, curated_table: str) -> None:
+    """The history (partitioned by load date) and the curated snapshot as external tables."""
+    catalog.register(spark, stage_contract(contract, lineage=()), history_table, history, partition_by="load_date")
+    catalog.register(spark, snapshot_contract(contract, lineage=()), curated_table, curated,
+                     properties=catalog.EMPTY_AS_NULL_PROPERTIES)
+
+
+def row_hashes(df: DataFrame, key: str, contract: T.StructType) -> DataFrame:
+    """``(key, row_hash)``: md5 of every column as text in contract order, tab between (NULL: empty)."""
+    from terrafold.functions import sqltext
+
+    cells = ", ".join(f"coalesce(CAST({sqltext.ident(f.name)} AS STRING), '')" for f in contract.fields if f.name != BAD)
+    return df.selectExpr(f"{sqltext.ident(key)} AS row_key", f"md5(concat_ws('\t', {cells})) AS row_hash")
+
+
 def column_totals(df: DataFrame, contract: T.StructType) -> DataFrame:
     """Per-column totals, unpivoted to ``(column_name, total)``: numeric
     columns summed exactly as decimal(38,4), text columns by length. One

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrafold.session import spread, tasks_for
-from terrafold.sources.contract import BAD, NEIGHBORHOODS_RAW, wide_contract
+from terrafold.sources.contract import BAD, NEIGHBORHOODS_RAW
 
 E = F.expr
 
@@ -81,31 +82,54 @@ def boundary_lines(customer: DataFrame, days=(DELIVERY_DAY,)) -> DataFrame:
     return out
 
 
-# --- wide demographic rows ----------------------------------------------------
-def wide_value_sql(j: int, dtype: str) -> str:
-    """Text of column ``j`` (1-based) of a wide row derived from a customer."""
-    if dtype == "string":
-        return ["'area'", "CAST(c_custkey AS STRING)", "c_name"][j - 1]
-    if dtype == "int":
-        return f"CAST(c_custkey + {j} AS STRING)"
-    if dtype == "decimal(9,6)":
-        return "CAST(CAST(c_acctbal / 100 AS DECIMAL(12,4)) AS STRING)"
-    if dtype == "decimal(8,4)":
-        return "CAST(CAST(c_acctbal / 100 AS DECIMAL(8,4)) AS STRING)"
-    if dtype == "decimal(21,4)":
-        return "CAST(CAST(c_acctbal * 1000 AS DECIMAL(21,4)) AS STRING)"
-    return f"CAST(CAST(c_acctbal * {j % 7 + 1} AS DECIMAL(16,4)) AS STRING)"
+# --- wide rows: synthetic test data ------------------------------------------
+WIDE_COLUMNS = 619
+WIDE_CYCLE = ("decimal(16,4)", "int", "decimal(8,4)", "decimal(16,4)", "decimal(9,6)", "decimal(21,4)", "string")
+WIDE_BAD_SQL = "(c_nationkey = 24 OR c_acctbal > 9900)"
+
 
+def wide_types(n: int = WIDE_COLUMNS) -> list[str]:
+    """A layout made up for the tests: key and name, then a cycle of types."""
+    return (["string", "string"] + [WIDE_CYCLE[j % len(WIDE_CYCLE)] for j in range(max(0, n - 2))])[:n]
 
-def wide_types(n: int = 619):
-    return [f.dataType.simpleString() for f in wide_contract(n, with_bad=False).fields]
 
+def wide_contract(n: int = WIDE_COLUMNS, with_bad: bool = True) -> T.StructType:
+    fields = [T.StructField(f"c{j:03d}", T._parse_datatype_string(t), True) for j, t in enumerate(wide_types(n), 1)]
+    return T.StructType(fields + ([T.StructField(BAD, T.StringType(), True)] if with_bad else []))
 
-def wide_lines(customer: DataFrame, n: int = 619, day: str = DELIVERY_DAY) -> DataFrame:
-    fields = [wide_value_sql(j + 1, t) for j, t in enumerate(wide_types(n))]
-    return spread(customer, tasks_for(customer)).select(F.lit("community_info").alias("product"), F.lit(day).alias("file_date"),
-                           F.lit("community-info-areas.tsv").alias("member"),
-                           E("concat_ws('\t', " + ", ".join(fields) + ")").alias("value"))
+
+def wide_value_sql(j: int, dtype: str) -> str:
+    """Text of column ``j`` (1-based), exactly as its type prints it. Its position is in
+    the value, so no two columns agree; every fiftieth is empty for one nation, and the
+    fourth is no integer where the balance is above 9900."""
+    sign = "CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END || "
+    if j <= 2:
+        return ["CAST(c_custkey AS STRING)", "c_name"][j - 1]
+    text = {
+        "string": f"'t{j} ' || c_mktsegment",
+        "int": f"CAST(c_custkey + {j} AS STRING)",
+        "decimal(16,4)": f"{sign}CAST(c_custkey + {j} AS STRING) || '.{j:04d}'",
+        "decimal(8,4)": f"{sign}CAST((c_custkey + {j}) % 9000 + 1 AS STRING) || '.{j:04d}'",
+        "decimal(9,6)": f"{sign}CAST(c_custkey % 179 + 1 AS STRING) || '.{j:06d}'",
+        "decimal(21,4)": f"{sign}CAST(c_custkey * 1000003 + {j} AS STRING) || '.{j:04d}'",
+    }[dtype]
+    if j == 4:
+        text = f"CASE WHEN c_acctbal > 9900 THEN 'x' ELSE '' END || {text}"
+    return f"CASE WHEN c_nationkey = 5 THEN '' ELSE {text} END" if j % 50 == 12 else text
+
+
+def wide_line_sql(n: int = WIDE_COLUMNS, tab: str = "'\t'") -> str:
+    """All fields of one wide line."""
+    return f"concat_ws({tab}, " + ", ".join(wide_value_sql(j, t) for j, t in enumerate(wide_types(n), 1)) + ")"
+
+
+def wide_lines(customer: DataFrame, n: int = WIDE_COLUMNS, day: str = DELIVERY_DAY) -> DataFrame:
+    """Customers as wide lines; those of nation 24 end after five fields."""
+    lines = spread(customer, tasks_for(customer)).select("c_nationkey", E(wide_line_sql(n)).alias("line"))
+    return lines.select(
+        F.lit("community_info").alias("product"), F.lit(day).alias("file_date"),
+        F.lit("community-info-areas.tsv").alias("member"),
+        E("CASE WHEN c_nationkey = 24 THEN substring_index(line, '\t', 5) ELSE line END").alias("value"))
 
 
 # --- delivery manifests -------------------------------------------------------
@@ -225,14 +249,14 @@ def part_shapes(part: DataFrame) -> DataFrame:
 
 
 # Spike squares for the reduction ladder: (side in degrees, spike depth in
-# metres) by part key modulo 6; the spike's apex points out of the bottom
+# metres) by part key modulo 7; the spike's apex points out of the bottom
 # edge's midpoint, so dropping it loses depth/(2*side) of the area.
-SPIKES = [(0.01, 30), (0.01, 200), (0.01, 80), (0.002, 30), (0.001, 8), (0.0005, 4)]
+SPIKES = [(0.01, 30), (0.01, 200), (0.01, 80), (0.002, 30), (0.001, 8), (0.0005, 4), (0.002, 20)]
 METRES_PER_DEGREE = 6371008.8 * 3.141592653589793 / 180.0
 
 
 def spike_shapes(part: DataFrame) -> DataFrame:
-    k = "p_partkey % 6"
+    k = "p_partkey % 7"
     side = "CASE " + " ".join(f"WHEN {k} = {i} THEN {s}D" for i, (s, _) in enumerate(SPIKES)) + " END"
     depth = "CASE " + " ".join(f"WHEN {k} = {i} THEN {d}D" for i, (_, d) in enumerate(SPIKES)) + " END"
     df = part.select("p_partkey",
@@ -250,3 +274,16 @@ def spike_shapes(part: DataFrame) -> DataFrame:
     ring = F.concat_ws(", ", pt(x0, y0), pt(x0 + s / 2, y0 - d), pt(x0 + s, y0), pt(x0 + s, y0 + s),
                        pt(x0, y0 + s), pt(x0, y0))
     return df.select("p_partkey", F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("geoloc"))
+
+
+def dateline_shapes(part: DataFrame) -> DataFrame:
+    """One ring over the antimeridian per part: a square, or for even keys a bow-tie."""
+    y = "p_partkey % 80"
+    low, high = f"CAST({y} AS STRING)", f"CAST({y} + 1 AS STRING)"
+    pts = [f"'179.9 ' || {low}", f"'-179.9 ' || {low}", f"'-179.9 ' || {high}", f"'179.7 ' || {high}"]
+
+    def ring(order):
+        return "'POLYGON ((' || " + " || ', ' || ".join(pts[i] for i in order) + " || '))'"
+
+    return part.select("p_partkey", E(f"CASE WHEN p_partkey % 2 = 0 THEN {ring([0, 2, 1, 3, 0])} "
+                                      f"ELSE {ring([0, 1, 2, 3, 0])} END").alias("geoloc"))

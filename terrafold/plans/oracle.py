@@ -9,7 +9,6 @@ from __future__ import annotations
 from terrafold.plans import derive
 from terrafold.plans.derive import BOUNDARY_FIELDS_SQL, HEADER_LINE, MEMBER_SQL, SHAPE_KINDS
 from terrafold.plans.registry import LANDING_ROW_SQL, PART_CODES
-from terrafold.sources.contract import wide_contract
 
 TAB = "chr(9)"
 
@@ -107,31 +106,21 @@ FROM ({ITEMS}) i LEFT JOIN ({WATERMARKS}) w ON i.product = w.product"""
 
 
 def _wide_sql() -> str:
-    types = [f.dataType.simpleString() for f in wide_contract(619, with_bad=False).fields]
-    names = [f.name for f in wide_contract(619, with_bad=False).fields]
-    typed, sums = [], []
-    for j, (n, t) in enumerate(zip(names, types), start=1):
-        if t == "string":
-            typed.append(f"{['''CAST('area' AS VARCHAR)''', 'CAST(c_custkey AS VARCHAR)', 'c_name'][j - 1]} AS {n}")
-            sums.append(f"CAST(CAST(sum(length({n})) AS DECIMAL(38,4)) AS VARCHAR) AS {n}")
-            continue
-        if t == "int":
-            typed.append(f"c_custkey + {j} AS {n}")
-        elif t == "decimal(9,6)":
-            typed.append(f"CAST(c_acctbal / 100 AS DECIMAL(12,4)) AS {n}")
-        elif t == "decimal(8,4)":
-            typed.append(f"CAST(c_acctbal / 100 AS DECIMAL(8,4)) AS {n}")
-        elif t == "decimal(21,4)":
-            typed.append(f"CAST(c_acctbal * 1000 AS DECIMAL(21,4)) AS {n}")
-        else:
-            typed.append(f"CAST(c_acctbal * {j % 7 + 1} AS DECIMAL(16,4)) AS {n}")
-        sums.append(f"CAST(CAST(sum({n}) AS DECIMAL(38,4)) AS VARCHAR) AS {n}")
+    typed, sums, names = [], [], []
+    for j, t in enumerate(derive.wide_types(), start=1):
+        n = f"c{j:03d}"
+        names.append(n)
+        typed.append(f"CAST(nullif({derive.wide_value_sql(j, t)}, '') AS {'VARCHAR' if t == 'string' else t}) AS {n}")
+        v = f"length({n})" if t == "string" else n
+        sums.append(f"CAST(CAST(sum({v}) AS DECIMAL(38,4)) AS VARCHAR) AS {n}")
     name_list = ", ".join(f"'{n}'" for n in names)
-    val_list = ", ".join(names)
-    return (f"WITH w AS (SELECT {', '.join(typed)} FROM customer), s AS (SELECT {', '.join(sums)} FROM w) "
-            f"SELECT unnest([{name_list}]) AS column_name, unnest([{val_list}]) AS total FROM s")
+    return (f"WITH w AS (SELECT {', '.join(typed)} FROM customer WHERE NOT {derive.WIDE_BAD_SQL}), "
+            f"s AS (SELECT {', '.join(sums)} FROM w) "
+            f"SELECT unnest([{name_list}]) AS column_name, unnest([{', '.join(names)}]) AS total FROM s")
 
 
+WIDE_LINE = (f"CASE WHEN c_nationkey = 24 THEN {derive.wide_line_sql(5, TAB)} ELSE {derive.wide_line_sql(tab=TAB)} END")
+
 # Expected vertex tables of the five shape kinds after cleaning and
 # orientation: (kind, part, ring, seq, dx, dy), offsets in hundredths.
 SQ = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
@@ -154,6 +143,10 @@ FROM ({PARTS}) p JOIN {TEMPLATE} ON p.kind = t.kind"""
 # (kind, part, ring, orientation as parsed, after orientation)
 ORIENT = ("(VALUES (0, 0, 0, 'ccw', 'ccw'), (0, 0, 1, 'cw', 'cw'), (1, 0, 0, 'cw', 'ccw'), (2, 0, 0, 'ccw', 'ccw'), "
           "(2, 1, 0, 'ccw', 'ccw'), (3, 0, 0, 'ccw', 'ccw'), (4, 0, 0, 'ccw', 'ccw')) t(kind, part, ring, b, a)")
+# the first tolerance that keeps enough of a spiked square, and the points left there
+SPIKE_LEVEL = ("CASE p_partkey % 7 WHEN 0 THEN 500 WHEN 1 THEN 100 WHEN 2 THEN 50 WHEN 3 THEN 25 WHEN 4 THEN 5 "
+               "WHEN 6 THEN 10 ELSE 1 END")
+SPIKE_POINTS = "CASE WHEN p_partkey % 7 = 0 THEN 5 ELSE 6 END"
 R = 6371008.8
 AREA = f"""WITH v AS ({VERTS}),
 e AS (SELECT p_partkey, part, ring, lon, lat,
@@ -225,6 +218,24 @@ def oracle_sql() -> dict:
                       "THEN 'SRID=4326;SRID=4326;' ELSE 'SRID=4326;' END || 'POINT (' || CAST(s_nationkey AS VARCHAR) "
                       "|| ' ' || CAST(s_suppkey AS VARCHAR) || ')', 'SRID=4326;', '', 'g') AS geoloc FROM supplier",
         "wide_contract_projection": _wide_sql(),
+        # the line is what the typed columns print, so its hash is the row's
+        "wide_curated_rows": _union([
+            f"SELECT 'curated' AS side, CAST(c_custkey AS VARCHAR) AS row_key, md5({WIDE_LINE}) AS row_hash "
+            f"FROM customer WHERE NOT {derive.WIDE_BAD_SQL}",
+            f"SELECT 'history' AS side, CAST(c_custkey AS VARCHAR) AS row_key, '2024-01-15' AS row_hash "
+            f"FROM customer WHERE NOT {derive.WIDE_BAD_SQL}"]),
+        "wide_bad_rows": f"SELECT {WIDE_LINE} AS _bad_data FROM customer WHERE {derive.WIDE_BAD_SQL}",
+        "curated_table": f"SELECT {CURATED_COLS} FROM ({CURATED}) k",
+        "shape_decisions": _union([
+            f"SELECT 'spike' AS kind, p_partkey, {SPIKE_LEVEL} AS geoloc_reduced_level, 6 AS geoloc_points, "
+            f"{SPIKE_POINTS} AS geoloc_reduced_points, CAST(NULL AS VARCHAR) AS problem FROM part",
+            # at 60 degrees south a 0.01 degree hole is 0.56 km wide: its corners are 497 m off the diagonal, so it goes at 500 m
+            "SELECT 'grid' AS kind, p_partkey, CASE WHEN p_partkey % 5 < 4 THEN 500 END AS geoloc_reduced_level, n AS geoloc_points, "
+            "CASE WHEN p_partkey % 5 = 0 AND p_partkey % 120 = 0 THEN 5 ELSE n END AS geoloc_reduced_points, CASE WHEN p_partkey % 5 = 4 THEN 'ring crosses itself' END AS problem "
+            "FROM (SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 10 WHEN 2 THEN 10 WHEN 4 THEN NULL ELSE 5 END AS n FROM part) g",
+            "SELECT 'dateline' AS kind, p_partkey, CASE WHEN p_partkey % 2 = 1 THEN 500 END AS geoloc_reduced_level, "
+            "CASE WHEN p_partkey % 2 = 1 THEN 5 END AS geoloc_points, CASE WHEN p_partkey % 2 = 1 THEN 5 END AS geoloc_reduced_points, "
+            "CASE WHEN p_partkey % 2 = 0 THEN 'ring crosses itself' END AS problem FROM part"]),
         "manifest_new_inventory": INVENTORY,
         "combined_new_inventory": f"SELECT i.filename, i.product, i.file_date, w.last_date, "
                                   f"TRY_CAST(i.file_date AS INTEGER) IS NOT NULL AS prefix_ok, "
@@ -254,9 +265,7 @@ def oracle_sql() -> dict:
                             f"FROM ({PARTS}) p JOIN {ORIENT} ON p.kind = t.kind",
         "polygon_area": AREA,
         "self_intersections": "SELECT p_partkey, 0 AS part, 0 AS ring, 0 AS seg_i, 2 AS seg_j FROM part WHERE p_partkey % 5 = 4",
-        "simplify_ladder": "SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 500 WHEN 1 THEN 100 WHEN 2 THEN 50 "
-                           "WHEN 3 THEN 25 WHEN 4 THEN 5 ELSE 1 END AS geoloc_reduced_level, "
-                           "CASE WHEN p_partkey % 6 = 0 THEN 5 ELSE 6 END AS n_points FROM part",
+        "simplify_ladder": f"SELECT p_partkey, {SPIKE_LEVEL} AS geoloc_reduced_level, {SPIKE_POINTS} AS n_points FROM part",
         "shape_table": f"SELECT geo_type, neighborhood_type, geo_id AS id, name, fips_code, state_abbr, state_fips_code, "
                        f"county, county_fips_code, metro, incorporated_place, longitude, latitude, geoloc, "
                        f"geoloc AS geoloc_reduced, 500 AS geoloc_reduced_level FROM ({CURATED}) k",

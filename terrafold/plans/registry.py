@@ -20,7 +20,9 @@ from terrafold.plans import boundaries as flows
 from terrafold.plans import catalog, derive
 from terrafold.session import apply_job_conf, scratch, tasks_for
 from terrafold.sources import archive
-from terrafold.sources.contract import BAD, NEIGHBORHOODS_STAGE, wide_contract
+from terrafold.sources.contract import BAD, NEIGHBORHOODS_STAGE
+from terrafold.sources.contract import load as load_contract
+from terrafold.sources.contract import save as save_contract
 
 def _decimals_to_double(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
@@ -165,18 +167,56 @@ def q_strip_srid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("s_suppkey", clean.strip_srid("geoloc").alias("geoloc"))
 
 
-def q_wide_contract_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _wide_staged(spark: SparkSession, sf_dir: str):
+    """The wide drop landed and staged by a contract read from a file; returns ``(folder, contract)``."""
     from terrafold.plans import community
 
     apply_job_conf(spark)
     base = scratch(spark, "wide")
-    contract = wide_contract(619)
+    contract = load_contract(save_contract(derive.wide_contract(), f"{base}/contract", spark), spark)
     # one file per writer task: the single wide member is parsed in parallel
     landing.land(derive.wide_lines(derive.table(spark, sf_dir, "customer")), f"{base}/raw", rebalance=False)
     community.stage_community(spark, f"{base}/raw", contract, f"{base}/stage", f"{base}/bad",
                               days=[derive.DELIVERY_DAY], load_date="2024-01-15")
-    snap = community.curate_community(spark, f"{base}/stage", contract)
-    return community.column_totals(snap, contract)
+    return base, contract
+
+
+def q_wide_contract_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from terrafold.plans import community
+
+    base, contract = _wide_staged(spark, sf_dir)
+    return community.column_totals(community.curate_community(spark, f"{base}/stage", contract), contract)
+
+
+def q_wide_curated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every curated wide row through the catalog: its key, its load date in the history, a hash over all columns in order."""
+    from terrafold.plans import community
+
+    base, contract = _wide_staged(spark, sf_dir)
+    community.curate_community(spark, f"{base}/stage", contract, f"{base}/curated")
+    mark = uuid.uuid4().hex[:8]
+    hist, cur = f"tf_stage.community_hist_{mark}", f"tf_curated.community_{mark}"
+    community.register_community(spark, contract, f"{base}/stage", f"{base}/curated", hist, cur)
+    rows = community.row_hashes(spark.table(cur), "c001", contract).select(F.lit("curated").alias("side"), "row_key", "row_hash")
+    kept = spark.table(hist).select(F.lit("history").alias("side"), F.col("c001").alias("row_key"),
+                                    F.col("load_date").cast("string").alias("row_hash"))
+    return rows.unionByName(kept)
+
+
+def q_wide_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, _contract = _wide_staged(spark, sf_dir)
+    return spark.read.text(f"{base}/bad").select(F.col("value").alias(BAD))
+
+
+def q_curated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The curated boundaries as an external table with the empty-as-null property."""
+    st = flows.staged_customers(spark, sf_dir)
+    path = st.history.replace("/stage", "/curated")
+    flows.curate_boundaries(spark, st.history, path)
+    table = f"tf_curated.neighborhoods_{uuid.uuid4().hex[:8]}"
+    catalog.register(spark, T.StructType([f for f in NEIGHBORHOODS_STAGE.fields if f.name not in ("load_date", BAD)]),
+                     table, path, properties=catalog.EMPTY_AS_NULL_PROPERTIES)
+    return _decimals_to_double(spark.table(table).drop("created_datetime"))
 
 
 # ---------------------------------------------------------------------------
@@ -379,6 +419,22 @@ def q_simplify_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.size(F.get(F.get("reduced", 0), 0)).alias("n_points"))
 
 
+def q_shape_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole shape job over spiked, reversed, multi-part, holed, open and self-crossing
+    polygons: the chosen level and the points before and after, or the reason of the reject."""
+    part = derive.table(spark, sf_dir, "part")
+    texts = derive.spike_shapes(part).withColumn("kind", F.lit("spike")).unionByName(
+        derive.part_shapes(part).withColumn("kind", F.lit("grid"))).unionByName(
+        derive.dateline_shapes(part).withColumn("kind", F.lit("dateline")))
+    table, rejects = geometry.shapes(texts, id_col="p_partkey", partitions=tasks_for(texts))
+    points = lambda c: F.size(F.split(c, ",")).alias(f"{c}_points")
+    none = F.lit(None)
+    return table.select("kind", F.col("id").alias("p_partkey"), "geoloc_reduced_level", points("geoloc"), points("geoloc_reduced"),
+                        none.cast("string").alias("problem")).unionByName(
+        rejects.select("kind", "p_partkey", *[none.cast("int").alias(c) for c in
+                                              ("geoloc_reduced_level", "geoloc_points", "geoloc_reduced_points")], "problem"))
+
+
 def _shape_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = flows.curated_customers(spark, sf_dir)
     table, _rejects = geometry.shapes(curated, partitions=tasks_for(curated))
@@ -411,6 +467,10 @@ QUERIES = {
     "null_sentinels": q_null_sentinels,
     "strip_srid": q_strip_srid,
     "wide_contract_projection": q_wide_contract_projection,
+    "wide_curated_rows": q_wide_curated_rows,
+    "wide_bad_rows": q_wide_bad_rows,
+    "curated_table": q_curated_table,
+    "shape_decisions": q_shape_decisions,
     "manifest_new_inventory": q_manifest_new_inventory,
     "last_loaded_date": q_last_loaded_date,
     "combined_watermark": q_combined_watermark,
@@ -435,11 +495,12 @@ QUERIES = {
 INPUT_TABLES = {
     **{k: ["customer"] for k in ("stage_good_rows", "stage_bad_rows", "curated_snapshot",
                                  "history_partition_overwrite", "history_empty_reload", "load_date_fallback", "incremental_stage", "area_code",
-                                 "null_sentinels", "wide_contract_projection", "publish_rows", "publish_count", "typed_rows",
+                                 "null_sentinels", "wide_contract_projection", "wide_curated_rows", "wide_bad_rows",
+                                 "curated_table", "publish_rows", "publish_count", "typed_rows",
                                  "target_contract_violations", "shape_table", "key_violations")},
     **{k: ["supplier"] for k in ("contract_orc_scan", "strip_srid")},
     **{k: ["part"] for k in ("prefix_map", "wkt_vertices", "ring_orientation", "polygon_area",
-                             "self_intersections", "simplify_ladder", "shape_rejects")},
+                             "self_intersections", "simplify_ladder", "shape_rejects", "shape_decisions")},
     **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
                                "new_product_flag", "combined_new_inventory", "archive_unpack", "manifest_long_prefixes")},
 }

@@ -8,6 +8,7 @@ renamed by position; the vendor's own name survives as field metadata
 from __future__ import annotations
 
 import json
+import pkgutil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,17 +23,21 @@ def from_json(text: str) -> T.StructType:
 def load(path: str, spark: SparkSession | None = None) -> T.StructType:
     """Contract JSON -> StructType, metadata kept.
 
-    Local paths are opened directly; any other URI (hdfs://, s3a://, ...)
-    is read through Spark's file layer as one small whole-text record."""
-    if spark is not None and "://" in path and not path.startswith("file:"):
-        text = spark.read.text(path, wholetext=True).first()[0]
-    else:
-        with open(path[5:] if path.startswith("file:") else path) as fh:
-            text = fh.read()
-    return from_json(text)
-
-
-def save(schema: T.StructType, path: str) -> str:
+    With a session the file (or the folder :func:`save` wrote) is read through
+    Spark's file layer as one small whole-text record, from any store Spark
+    knows; without one, from the driver's disk."""
+    if spark is not None:
+        return from_json(spark.read.text(path, wholetext=True).where("trim(value) <> ''").first()[0])
+    with open(path[5:] if path.startswith("file:") else path) as fh:
+        return from_json(fh.read())
+
+
+def save(schema: T.StructType, path: str, spark: SparkSession | None = None) -> str:
+    """The contract as JSON: a file, or with a session a folder of one text file."""
+    if spark is not None:
+        one = spark.createDataFrame([(json.dumps(schema.jsonValue()),)], "value string").coalesce(1)
+        one.write.mode("overwrite").text(path)
+        return path
     with open(path[5:] if path.startswith("file:") else path, "w") as fh:
         fh.write(json.dumps(schema.jsonValue(), indent=2))
     return path
@@ -57,71 +62,15 @@ def without(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name not in names])
 
 
-def _f(name, dtype, original=None):
-    return T.StructField(name, dtype, True, {"original_name": original} if original else {})
-
-
-# --- fixed values: the boundaries product's contracts -----------------------
-# Raw TSV columns, in file order, with the vendor's names where they differ.
-NEIGHBORHOODS_RAW = T.StructType([
-    _f("geo_id", T.StringType(), "id"),
-    _f("name", T.StringType()),
-    _f("state_abbr", T.StringType(), "state"),
-    _f("state_fips_code", T.StringType(), "statefpcd"),
-    _f("metro", T.StringType()),
-    _f("incorporated_place", T.StringType(), "incplace"),
-    _f("county", T.StringType()),
-    _f("county_fips_code", T.StringType(), "countyfpcd"),
-    _f("longitude", T.DecimalType(9, 6)),
-    _f("latitude", T.DecimalType(9, 6)),
-    _f("geoloc", T.StringType(), "geometry"),
-    _f(BAD, T.StringType()),
-])
-
-# Stage history read contract, in order (fips_code is filled by curate).
-NEIGHBORHOODS_STAGE = T.StructType([
-    _f("created_datetime", T.TimestampType()),
-    _f("geo_type", T.StringType()),
-    _f("neighborhood_type", T.StringType()),
-    _f("geo_id", T.StringType()),
-    _f("name", T.StringType()),
-    _f("fips_code", T.StringType()),
-    _f("state_abbr", T.StringType()),
-    _f("state_fips_code", T.StringType()),
-    _f("metro", T.StringType()),
-    _f("incorporated_place", T.StringType()),
-    _f("county", T.StringType()),
-    _f("county_fips_code", T.StringType()),
-    _f("longitude", T.DecimalType(9, 6)),
-    _f("latitude", T.DecimalType(9, 6)),
-    _f("geoloc", T.StringType()),
-    _f("load_date", T.DateType()),
-    _f(BAD, T.StringType()),
-])
-# -----------------------------------------------------------------------------
-
-
-def wide_contract(n_columns: int = 619, with_bad: bool = True) -> T.StructType:
-    """Contract with the same run of types as the 619-column demographic
-    product, under neutral names ``c001``..: three strings, two coordinates,
-    one area, five integer counts, a long run of decimal(16,4) with four
-    decimal(21,4) income totals inside it, and 46 decimal(8,4) climate
-    columns at the end. Built from the rule, not from a name list: the real
-    vendor contract is a JSON file handed to :func:`load`."""
-    d164, d214, d84 = T.DecimalType(16, 4), T.DecimalType(21, 4), T.DecimalType(8, 4)
-    head = [T.StringType()] * 3 + [T.DecimalType(9, 6)] * 2 + [d164] + [T.IntegerType()] * 5
-    climate = 46
-    body_len = n_columns - len(head) - climate
-    body = [d164] * body_len
-    for pos in (291, 292, 307, 322):  # income totals, 0-based within the table
-        if len(head) <= pos < len(head) + body_len:
-            body[pos - len(head)] = d214
-    types = (head + body + [d84] * climate)[:n_columns]
-    width = max(3, len(str(n_columns)))
-    fields = [T.StructField(f"c{i + 1:0{width}d}", t, True) for i, t in enumerate(types)]
-    if with_bad:
-        fields.append(T.StructField(BAD, T.StringType(), True))
-    return T.StructType(fields)
+def shipped(name: str) -> T.StructType:
+    """A contract of the package's ``contracts`` folder (also from the zip the executors get)."""
+    return from_json(pkgutil.get_data("terrafold", f"contracts/{name}.json").decode())
+
+
+# The boundaries product: raw TSV columns in file order with the vendor's names as
+# metadata, and the read contract of its stage history (fips_code is filled by curate).
+NEIGHBORHOODS_RAW = shipped("neighborhoods_raw")
+NEIGHBORHOODS_STAGE = shipped("neighborhoods_stage")
 
 
 def stage_contract(raw: T.StructType, lineage=("geo_type",), bad: str = BAD) -> T.StructType:
@@ -134,3 +83,8 @@ def stage_contract(raw: T.StructType, lineage=("geo_type",), bad: str = BAD) ->
     cols += [f for f in raw.fields if f.name != bad and f.name not in lineage]
     cols += [T.StructField("load_date", T.DateType(), True), T.StructField(bad, T.StringType(), True)]
     return T.StructType(cols)
+
+
+def snapshot_contract(raw: T.StructType, lineage=("geo_type",), bad: str = BAD) -> T.StructType:
+    """Contract of the curated snapshot: the stage history's without its load date and bad-row column."""
+    return without(stage_contract(raw, lineage, bad), "load_date", bad)

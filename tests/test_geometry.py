@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrafold.functions import geo
-from terrafold.functions.geo_udf import project, ring_crossings, significance
+from terrafold.functions.geo_udf import project, ring_crossings, significance, unwrap
 from terrafold.operators import geometry as G
 
 
@@ -72,6 +72,35 @@ def test_crossings_match_brute_force(seed):
     assert ring_crossings(x, y) == brute_crossings(x, y)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_proper_crossings_match_brute_force(seed):
+    rng = np.random.default_rng(500 + seed)
+    n = int(rng.integers(4, 12))
+    x, y = rng.integers(0, 9, n).astype(float), rng.integers(0, 9, n).astype(float)
+    x, y = np.append(x, x[0]), np.append(y, y[0])
+
+    def side(i, k):
+        return (x[i + 1] - x[i]) * (y[k] - y[i]) - (y[i + 1] - y[i]) * (x[k] - x[i])
+    want = any(side(i, j) * side(i, j + 1) < 0 and side(j, i) * side(j, i + 1) < 0 for i, j in brute_crossings(x, y))
+    assert bool(ring_crossings(x, y, proper=True)) == want
+
+
+def test_unwrap_only_shifts_whole_turns():
+    assert unwrap([10.1, 20.3, 10.1]).tolist() == [10.1, 20.3, 10.1]
+    assert unwrap([179.5, -179.5, -179.0, 179.5]).tolist() == [179.5, 180.5, 181.0, 179.5]
+    assert len(unwrap([])) == 0
+
+
+def test_self_crossing_rings_are_rejected_and_touching_ones_published(spark):
+    rows = [("bow", "POLYGON ((0 0, 2 1, 2 0, 0 2, 0 0))"), ("ok", "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"),
+            ("touch", "POLYGON ((0 0, 4 0, 2 2, 4 4, 0 4, 2 2, 0 0))"),
+            ("bow-dateline", "POLYGON ((179.9 0, -179.9 1, -179.9 0, 179.7 1, 179.9 0))")]
+    table, rejects = G.shapes(spark.createDataFrame(rows, "geo_id string, geoloc string"))
+    assert {r["geo_id"]: r["problem"] for r in rejects.collect()} == {
+        "bow": "ring crosses itself", "bow-dateline": "ring crosses itself"}
+    assert {r["id"] for r in table.collect()} == {"ok", "touch"}
+
+
 def test_projection_unwraps_antimeridian():
     x, _ = project(np.array([179.5, -179.5]), np.array([0.0, 0.0]))
     assert 100_000 < x[1] - x[0] < 120_000

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrafold.functions.dates import load_date_from_path
 from terrafold.operators import curate, landing, stage
-from terrafold.plans import catalog
+from terrafold.plans import catalog, derive
 from terrafold.plans.boundaries import curate_boundaries, stage_boundaries
 from terrafold.sources import contract as C
 from terrafold.sources.delimited import scan_folder
@@ -33,13 +33,18 @@ def test_contract_roundtrip(tmp):
     assert back["geo_id"].metadata == {"original_name": "id"}
 
 
-def test_wide_contract_type_runs():
-    w = C.wide_contract(619, with_bad=False)
-    kinds = [f.dataType.simpleString() for f in w.fields]
-    assert len(kinds) == 619
-    assert kinds.count("string") == 3 and kinds.count("int") == 5
-    assert kinds.count("decimal(8,4)") == 46 and kinds.count("decimal(21,4)") == 4
-    assert kinds.count("decimal(16,4)") == 559 and kinds.count("decimal(9,6)") == 2
+def test_contract_roundtrip_through_spark(spark, tmp):
+    for contract in (C.NEIGHBORHOODS_RAW, derive.wide_contract()):
+        assert C.load(C.save(contract, f"{tmp}/c", spark), spark) == contract
+    path = C.save(C.NEIGHBORHOODS_RAW, f"{tmp}/pretty.json")    # many lines, one record
+    assert C.load(path, spark) == C.NEIGHBORHOODS_RAW
+
+
+def test_wide_lines_tell_every_column_apart():
+    w = derive.wide_contract(with_bad=False)
+    assert len(w.fields) == 619 and len(set(w.fieldNames())) == 619
+    texts = [derive.wide_value_sql(j, t) for j, t in enumerate(derive.wide_types(), 1)]
+    assert len(set(texts)) == 619
 
 
 def test_require_fails_on_missing(spark):
@@ -126,8 +131,8 @@ def test_ddl_generated_from_contract():
                        properties=catalog.EMPTY_AS_NULL_PROPERTIES)
     assert "`_bad_data`" not in text and "PARTITIONED BY (load_date)" in text
     assert text.index("`geoloc`") < text.index("`load_date`")
-    wide = catalog.ddl(C.wide_contract(619), "db.w", "/w")
-    assert wide.count("decimal(16,4)") == 559
+    wide = catalog.ddl(derive.wide_contract(), "db.w", "/w")
+    assert wide.count("`c") == 619
 
 
 def test_reparse_strategy_matches_persist(spark, tmp):
@@ -166,10 +171,12 @@ def test_rerun_is_idempotent(spark, tmp):
     assert snapshots[0] == snapshots[1]
 
 
-def test_shipped_contract_files_match_code():
+def test_shipped_contracts_are_the_code_constants():
     here = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "terrafold", "contracts")
     assert C.load(os.path.join(here, "neighborhoods_raw.json")) == C.NEIGHBORHOODS_RAW
     assert C.load(os.path.join(here, "neighborhoods_stage.json")) == C.NEIGHBORHOODS_STAGE
+    lineage = {"created_datetime", "geo_type", "neighborhood_type", "fips_code", "load_date"}
+    assert set(C.NEIGHBORHOODS_STAGE.fieldNames()) - lineage == set(C.NEIGHBORHOODS_RAW.fieldNames())
 
 
 def test_reload_without_good_rows_clears_the_date(spark, tmp):
