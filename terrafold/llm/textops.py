@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from terrafold.session import scratch
 
 #: Text bytes handled at once inside a task: bounds numpy's working memory whatever the Arrow batch holds.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
+#: Rows of an Arrow batch on its way to Python: long before its texts fill a block many times over.
+BATCH_ROWS = 1000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64)
@@ -33,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches that whole texts travel in, on both sides: by default 10,000 rows, whatever their length."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 * BLOCK_BYTES))
+
+
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of at most ``limit`` text bytes (a longer text is a slice of its own)."""
     for batch in batches:
@@ -46,6 +54,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
                 start, total = i, 0
             total += n
         yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers are kept for later tasks
 
 
 def mix(h: np.ndarray) -> np.ndarray:
