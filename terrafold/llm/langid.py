@@ -32,6 +32,8 @@ from terrafold.llm.textops import blocks, bounded_sample
 SAMPLE_DOCS = 60
 SAMPLE_CHARS = 40_000
 BLOCK = 1024
+#: Text bytes that walk together: a numpy step costs the same for few blocks as for many.
+TOGETHER_BYTES = 4 << 20
 MAX_ALPHABET = 96
 SPACE, OTHER = 0, 1
 
@@ -183,7 +185,7 @@ def _predict(model_of):
         model = model_of.value
         langs = list(model.samples)
         bits = np.array([math.log2(max(2, len(t))) for t in model.samples.values()])
-        for b in blocks(batches):
+        for b in blocks(batches, limit=TOGETHER_BYTES):
             if langs:
                 phrases, chars, letters = parse(b.column("text"), model)
                 entropy = phrases * bits[:, None] / np.maximum(chars, 1)
