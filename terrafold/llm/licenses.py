@@ -1,11 +1,10 @@
-"""License scans (DataFrame only): sparse TF-IDF cosine of lines to license templates, then
-inheritance from the nearest ancestor directory.
+"""License scans (DataFrame only): sparse TF-IDF cosine of lines, header blocks and whole license files to
+license templates, then inheritance from the nearest ancestor directory.
 
-A file's own license is that of its best line, header or not, over the whole text. Idf
-weights come from the number of files that hold each template word. A line can reach
-the threshold only if it shares enough weight with a template: the template's
-heaviest words are its anchors, the rest of it alone stays below the threshold, so lines
-without an anchor are dropped before any word is counted.
+A file's own license is that of its best part, over the whole text: a line, or a block of consecutive lines
+as long as a template, or all of a license file. Idf weights come from the number of files that hold each word.
+A part can reach the threshold only if it shares enough weight with a template, so texts and parts with fewer
+of a template's words than its heaviest need are dropped before any word is counted.
 
 Files named like a license file speak for their directory. A file without a license of its own
 takes that of its nearest ancestor directory which has one: each file's ancestor paths are
@@ -19,16 +18,52 @@ from pyspark.sql.window import Window
 
 from terrafold.llm.textops import written
 
-# License statements by SPDX name.
+# License statements, file headers and whole license texts by SPDX name; a name may have several.
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Proprietary", "All rights reserved."),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions
+and limitations under the License."""),
+    ("GPL-3.0", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."""),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with
+this file, You can obtain one at https://mozilla.org/MPL/2.0/."""),
+    ("CC-BY-4.0", """This work is licensed under the Creative Commons Attribution 4.0 International License. To view a copy of this license, visit
+http://creativecommons.org/licenses/by/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."""),
+    ("CC-BY-NC-4.0", """This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License. To view a copy of this license, visit
+http://creativecommons.org/licenses/by-nc/4.0/ or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."""),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),
+to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense,
+and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS
+IN THE SOFTWARE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE
+LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
 ]
 THRESHOLD = 0.75
 LICENSE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
@@ -40,12 +75,12 @@ def _words(text):
 
 
 def template_weights(spark: SparkSession, templates: list[tuple[str, str]], counts: DataFrame, files: int) -> DataFrame:
-    """(license, word, weight): unit-length TF-IDF vectors of the templates. ``counts``: word, df over all files."""
-    t = spark.createDataFrame(templates, "license string, template string")
-    tf = t.select("license", F.explode(_words(F.col("template"))).alias("word")).groupBy("license", "word").agg(F.count(F.lit(1)).alias("tf"))
+    """(no, license, word, idf, weight): unit-length TF-IDF vectors of the templates by number. ``counts``: word, df over all files."""
+    t = spark.createDataFrame([(i, *x) for i, x in enumerate(templates)], "no int, license string, template string")
+    tf = t.select("no", "license", F.explode(_words(F.col("template"))).alias("word")).groupBy("no", "license", "word").agg(F.count(F.lit(1)).alias("tf"))
     w = tf.join(counts, "word", "left").withColumn("idf", _idf(files)).withColumn("w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("license")))
-    return w.select("license", "word", "idf", (F.col("w") / norm).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("no")))
+    return w.select("no", "license", "word", "idf", (F.col("w") / norm).alias("weight"))
 
 
 def _idf(files: int):
@@ -53,48 +88,72 @@ def _idf(files: int):
 
 
 def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """``files`` (key, text) -> (key, own_license, own_score) of the files whose best line reaches ``threshold``.
+    """``files`` (key, text and, if there, whole) -> (key, own_license, own_score) of the files of which a part reaches ``threshold``.
 
-    Cosine of a line's TF-IDF vector and a template's; a word that is in no template has the idf of its own count,
-    which only lines that passed the anchors need. Ties go to the smaller license name."""
+    Parts are each line; blocks of consecutive lines, from each line on, up to and just beyond the number of words of each
+    template (a header or license text over several lines); and the whole text where ``whole`` is true. Cosine of a part's TF-IDF vector and a
+    template's; a word that is in no template has the idf of its own count. Ties go to the smaller license name."""
     spark = files.sparkSession
     vocab = sorted({w for _, t in templates for w in _plain_words(t)})
-    low = files.select("key", F.lower("text").alias("text")).where("text is not null")
+    whole = F.coalesce(F.col("whole"), F.lit(False)) if "whole" in files.columns else F.lit(False)
+    low = files.select("key", F.lower("text").alias("text"), whole.alias("whole")).where("text is not null")
     # document counts of the template words, over all files and whole texts
-    held = low.select(F.explode(F.array_intersect(F.split("text", _SPLIT), F.array(*map(F.lit, vocab)))).alias("word"))
+    held = low.select(F.explode(F.array_intersect(F.split("text", _SPLIT), _constant(vocab))).alias("word"))
     counts = written(held.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "license")
     n = files.count()
     weights = written(template_weights(spark, templates, counts, n), "license")
-    light = Window.partitionBy("license").orderBy("weight", "word")
-    # the lightest words whose weights together stay below the threshold can never reach it alone
-    anchors = [r["word"] for r in weights.withColumn("sum", F.sum(F.col("weight") ** 2).over(light))
-               .where(F.col("sum") >= threshold**2 - 1e-9).select("word").distinct().orderBy("word").collect()]  # at most the templates' words
-    if not anchors:
+    heavy = Window.partitionBy("no").orderBy(F.desc("weight"), "word")
+    # a part's cosine is at most the norm of the template's words in it: with fewer distinct words than the heaviest that reach the threshold, it is below
+    least = {r["no"]: r["least"] for r in weights.withColumn("sum", F.sum(F.col("weight") ** 2).over(heavy)).withColumn("rank", F.row_number().over(heavy))
+             .where(F.col("sum") >= threshold**2 - 1e-9).groupBy("no").agg(F.min("rank").alias("least")).collect()}  # one row per template
+    if not least:
         return files.select("key", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("own_score")).limit(0)
-    has = F.lit(False)
-    for a in anchors:
-        has = has | F.contains(F.col("line"), F.lit(a))
-    lines = low.where(_any(F.col("text"), anchors)).select("key", F.explode(F.split("text", "\n")).alias("line")).where(has)
-    # two branches read these lines; the texts are read once for both
-    lines = written(lines.select("key", F.col("line"), _words(F.col("line")).alias("ws")).where(F.arrays_overlap("ws", F.array(*map(F.lit, anchors)))), "license")
-    distinct = written(lines.select(F.col("line"), "ws").distinct(), "license")
-    tf = distinct.select("line", F.explode("ws").alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
+    plain = {i: _plain_words(templates[i][1]) for i in least}
+    held_by = {i: _constant(sorted(set(plain[i]))) for i in least}
+
+    def fits(words, i):
+        return F.size(F.array_intersect(words, held_by[i])) >= least[i]
+
+    def fits_any(words):
+        has = F.lit(False)
+        for i in least:
+            has = has | fits(words, i)
+        return has
+
+    present = low.withColumn("present", F.array_intersect(F.split("text", _SPLIT), _constant(vocab))).where(F.size("present") >= min(least.values())).where(fits_any(F.col("present")))
+    # few texts hold enough of a template's words; the texts are read once for all that follows
+    texts = written(present.select("key", "whole", "present", F.filter(F.transform(F.split("text", "\n"), _words), lambda ws: F.size(ws) > 0).alias("lines")), "license")
+    parts = [F.filter("lines", lambda ws: fits_any(ws)), F.when(F.col("whole"), F.array(F.flatten("lines")))]
+
+    none = F.array().cast("array<string>")
+
+    def from_each_line(i):
+        size = len(plain[i])
+        near = F.transform(F.sequence(F.lit(1), F.size("lines")), lambda at: F.slice("lines", at, F.lit(size)))
+        reach = F.transform(near, lambda b: F.aggregate(b, none, lambda acc, ws: F.when(F.size(acc) < size, F.concat(acc, ws)).otherwise(acc)))
+        short = F.transform(near, lambda b: F.aggregate(b, F.struct(none.alias("ws"), F.lit(True).alias("more")), lambda acc, ws: F.struct(
+            F.when(acc["more"] & (F.size(acc["ws"]) + F.size(ws) <= size), F.concat(acc["ws"], ws)).otherwise(acc["ws"]).alias("ws"),
+            (acc["more"] & (F.size(acc["ws"]) + F.size(ws) <= size)).alias("more")), lambda acc: acc["ws"]))
+        return F.when(fits(F.col("present"), i), F.filter(F.concat(reach, short), lambda ws: fits(ws, i)))
+
+    parts += [from_each_line(i) for i in least]
+    lines = texts.select("key", F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<array<string>>")) for x in parts])).alias("ws"))
+    lines = written(lines.select("key", F.array_join("ws", " ").alias("line")).distinct(), "license")
+    tf = lines.select("line").distinct().select("line", F.explode(F.split("line", " ")).alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
     # words of these lines that no template has weigh by the least common count, 0: the heaviest, so never in a line's favour
     idf = weights.select("word", "idf").distinct()
-    tf = tf.join(idf, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(F.lit(float(n)) + 1) + 1))
+    tf = written(tf.join(idf, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(F.lit(float(n)) + 1) + 1)).select("line", "word", "w"), "license")
     norms = tf.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = tf.join(weights.select("word", "license", "weight"), "word").groupBy("line", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    dots = tf.join(weights.select("word", "no", "license", "weight"), "word").groupBy("line", "no", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     score = dots.join(norms, "line").select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
     best = score.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
-    return (lines.select("key", "line").join(best, "line").groupBy("key").agg(F.min("b").alias("b"))
+    return (lines.join(best, "line").groupBy("key").agg(F.min("b").alias("b"))
             .select("key", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("own_score")))
 
 
-def _any(text, anchors: list[str]):
-    has = F.lit(False)
-    for a in anchors:
-        has = has | F.contains(text, F.lit(a))
-    return has
+def _constant(words: list[str]):
+    """An array of words in one call (folded to a literal)."""
+    return F.split(F.lit(" ".join(words)), " ")
 
 
 def _plain_words(text: str) -> list[str]:
@@ -114,7 +173,8 @@ def scan_licenses(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES
     inherit; a null path has no directory, so it inherits nothing. Rows that share a path are scanned apart, and repeated rows give
     equal rows; empty tables give no rows. The number of templates is a parameter held by the driver."""
     f = files.select(F.col("path").cast("string").alias("path"), F.col("text").cast("string").alias("text")).withColumn("key", F.xxhash64("path", "text"))
-    own = written(own_license(f.select("key", "text"), templates, threshold), "license")
+    named = F.coalesce(F.col("path").rlike(LICENSE_FILE), F.lit(False))
+    own = written(own_license(f.select("key", "text", named.alias("whole")), templates, threshold), "license")
     d = written(f.select("path", "key").join(own, "key", "left"), "license")
     # '/a/b/c' has the ancestors '/a/b', '/a', '' at distance 0, 1, 2
     parts = F.split("path", "/")

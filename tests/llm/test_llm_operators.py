@@ -231,6 +231,18 @@ def test_license_scores_match_brute_force(spark):
     assert got == want
 
 
+def test_license_headers_and_texts_of_several_lines(spark):
+    text = {(n, len(t) > 100): t for n, t in licenses.TEMPLATES}
+    gpl, mit = text["GPL-3.0", True].split(), text["MIT", True].split()
+    header = "\n".join("# " + " ".join(gpl[i : i + 9]) for i in range(0, len(gpl), 9))
+    body = "\n".join(" ".join(mit[i : i + 8]) for i in range(0, len(mit), 8))
+    rows = [("src/a.py", "#!/usr/bin/python\n# Copyright 2020 Foo\n#\n" + header + "\nimport os\n" + "x = 1\n" * 400), ("LICENSE", "Copyright (c) 2020 Foo\n\n" + body),
+            ("one.py", "# Licensed under the MIT License."), ("two.c", "/* This work is licensed under the GNU General\n * Public License, version 3. */\nint x;")]
+    rows += [(f"plain{i}", "ordinary words that no license has, in a line") for i in range(20)]
+    got = {r["path"]: r["own_license"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "path string, text string")).collect() if r["own_license"]}
+    assert got == {"src/a.py": "GPL-3.0", "LICENSE": "MIT", "one.py": "MIT", "two.c": "GPL-3.0"}
+
+
 def test_decontamination_finds_copies_and_reparameterised_items(spark):
     item = "If Anna buys 3 apples and 4 pears for 12 dollars, how much does Anna pay for each fruit that she takes home today?"
     bench = spark.createDataFrame([(1, item, 0), (2, "too short", 0), (3, None, 0), (None, item, 0), (4, "1 2 3 4 5 6 7 8 9 10 11 12", 0)], "item_id long, text string, doc_id int")
