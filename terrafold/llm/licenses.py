@@ -92,13 +92,13 @@ def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 
     Parts are each line; blocks of consecutive lines, from each line on, up to and just beyond the number of words of each
     template (a header or license text over several lines); and the whole text where ``whole`` is true. Cosine of a part's TF-IDF vector and a
-    template's; a word that is in no template has the idf of its own count. Ties go to the smaller license name."""
+    template's; every word, in a template or not, has the idf of its own count. Ties go to the smaller license name."""
     spark = files.sparkSession
     vocab = sorted({w for _, t in templates for w in _plain_words(t)})
     whole = F.coalesce(F.col("whole"), F.lit(False)) if "whole" in files.columns else F.lit(False)
     low = files.select("key", F.lower("text").alias("text"), whole.alias("whole")).where("text is not null")
-    # document counts of the template words, over all files and whole texts
-    held = low.select(F.explode(F.array_intersect(F.split("text", _SPLIT), _constant(vocab))).alias("word"))
+    # document counts of every word, over all files and whole texts; partial counts first, so a frequent word is one row per task
+    held = low.select(F.explode(F.array_distinct(F.split("text", _SPLIT))).alias("word"))
     counts = written(held.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "license")
     n = files.count()
     weights = written(template_weights(spark, templates, counts, n), "license")
@@ -140,9 +140,8 @@ def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     lines = texts.select("key", F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<array<string>>")) for x in parts])).alias("ws"))
     lines = written(lines.select("key", F.array_join("ws", " ").alias("line")).distinct(), "license")
     tf = lines.select("line").distinct().select("line", F.explode(F.split("line", " ")).alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
-    # words of these lines that no template has weigh by the least common count, 0: the heaviest, so never in a line's favour
-    idf = weights.select("word", "idf").distinct()
-    tf = written(tf.join(idf, "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.log(F.lit(float(n)) + 1) + 1)).select("line", "word", "w"), "license")
+    # every word of a part is a word of some file, so it has a count
+    tf = written(tf.join(counts, "word").withColumn("w", F.col("tf") * _idf(n)).select("line", "word", "w"), "license")
     norms = tf.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = tf.join(weights.select("word", "no", "license", "weight"), "word").groupBy("line", "no", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     score = dots.join(norms, "line").select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)

@@ -231,6 +231,20 @@ def test_license_scores_match_brute_force(spark):
     assert got == want
 
 
+def test_license_scores_count_words_of_no_template(spark):
+    import math
+
+    texts = ["Released under the MIT License. ing heon"] + ["the ing heon of"] * 400
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "key string, text string")
+    got = {r["key"]: (r["own_license"], r["own_score"]) for r in licenses.own_license(df).collect()}
+    split = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
+    idf = lambda w: math.log((len(texts) + 1) / (sum(w in split(t) for t in texts) + 1)) + 1
+    line, template = ({w: idf(w) for w in split(t)} for t in (texts[0], "Released under the MIT License."))
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = sum(x * line[w] for w, x in template.items()) / norm(line) / norm(template)
+    assert got == {"0": ("MIT", pytest.approx(want, abs=2e-6))}
+
+
 def test_license_headers_and_texts_of_several_lines(spark):
     text = {(n, len(t) > 100): t for n, t in licenses.TEMPLATES}
     gpl, mit = text["GPL-3.0", True].split(), text["MIT", True].split()
