@@ -274,6 +274,14 @@ def test_decontamination_finds_copies_and_reparameterised_items(spark):
     assert decontaminate.without_leaks(docs(spark, rows), bench.limit(0)).count() == len(rows)
 
 
+def test_decontamination_keeps_the_windows_beside_a_conflict(spark):
+    item = "If Anna buys 3 apples and 4 pears for 12 dollars, how much does Anna pay for each fruit that she takes home today?"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(12, item.replace("Anna pay", "Bob pay")), (13, item.replace("3", "5").replace("4", "5")), (14, "nothing of it")]
+    left = {r["doc_id"] for r in decontaminate.without_leaks(docs(spark, rows), bench, **decontaminate.WHOLE).collect()}
+    assert left == {14}
+
+
 def test_decontamination_windows_match_brute_force(spark):
     rng = random.Random(7)
     vocab = ["v%s" % c for c in "abcdefghijklmnop"]
