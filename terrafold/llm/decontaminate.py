@@ -28,7 +28,7 @@ COVERAGE = 0.5
 #: So many consecutive words of an item contaminate, however long it is.
 RUN = 13
 #: What the registered query and the pipeline ask for beside the coverage.
-WHOLE = {"by_window": True}
+WHOLE = {"run": RUN, "short": True, "by_window": True}
 UNITS = frozenset("""mm cm dm m km in ft yd mi mile miles inch inches foot feet yard yards meter meters metre metres kilometer kilometers
 kilometre kilometres mg g kg t lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons tonne tonnes ml cl l liter liters litre litres
 gallon gallons s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years

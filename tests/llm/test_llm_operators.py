@@ -282,6 +282,17 @@ def test_decontamination_keeps_the_windows_beside_a_conflict(spark):
     assert left == {14}
 
 
+def test_decontamination_finds_long_passages_and_short_items(spark):
+    item = " ".join(f"{a}{b}" for a in "bcdfghjkl" for b in ("ana", "ele", "iri", "oto", "unu", "ysy", "omo"))
+    word = item.split()
+    names = "the Mary Lisbon Peter Oslo Anna Berlin John Madrid Rosa Lima 7 sailed"
+    bench = spark.createDataFrame([(1, item), (2, "which river crosses three capitals"), (3, names)], "item_id long, text string")
+    rows = [(1, "so then " + " ".join(word[20:33]) + " and more"), (2, "so then " + " ".join(word[20:32]) + " and more"), (3, "asked: Which river crosses three capitals? in a test"),
+            (4, "which river crosses four capitals"), (5, names), (6, names.replace("Mary", "Eve").replace("7", "9")), (7, "nothing of it")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs(spark, rows), bench, **decontaminate.WHOLE).collect()}
+    assert got == {(1, 1), (3, 2), (5, 3), (6, 3)}
+
+
 def test_decontamination_windows_match_brute_force(spark):
     rng = random.Random(7)
     vocab = ["v%s" % c for c in "abcdefghijklmnop"]
