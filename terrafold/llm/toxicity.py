@@ -29,7 +29,7 @@ from terrafold.llm.textops import Words, blocks, bounded_sample, hash_strings, m
 
 #: Bound of the labelled sample, in documents per label (written out in the README).
 SAMPLE_DOCS = 1500
-WINDOW, STRIDE = 20, 12
+WINDOW, STRIDE = 20, 1
 HIDDEN, ATTENTION = 8, 4
 WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 15
 WORD_DIM, CHAR_DIM = 4, 4
@@ -87,6 +87,14 @@ def window_words(w: Words, first: np.ndarray, text: np.ndarray) -> np.ndarray:
     return np.where(inside, w.codes[np.minimum(at, len(w.codes) - 1)], len(w.vocab))
 
 
+def window_grid(w: Words, first: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """``window_words`` of all windows, built in parts and held in 32 bits."""
+    out = np.empty((len(first), WINDOW), np.int32)
+    for i in range(0, len(first), TOGETHER):
+        out[i : i + TOGETHER] = window_words(w, first[i : i + TOGETHER], text[i : i + TOGETHER])
+    return out
+
+
 @dataclass
 class Net:
     """Weights by name. Per direction (f, b) and gate (z, r, c): W from the input, U from the state, c the offset."""
@@ -214,7 +222,10 @@ class Model:
         if len(first):
             ids, gram, begin = _rows(w.vocab)
             x = self.net.inputs(ids, gram, begin)
-            logit = self.net.logits(x, window_words(w, first, owner), len(w.vocab)).astype(np.float64)
+            # a long text has as many windows as words: their words are laid out a part at a time
+            xw = self.net.products(x)
+            part = lambda i: window_words(w, first[i : i + TOGETHER], owner[i : i + TOGETHER])
+            logit = np.concatenate([self.net.forward(xw, np.ascontiguousarray(part(i).T), len(w.vocab)) for i in range(0, len(first), TOGETHER)]).astype(np.float64)
             begins = np.flatnonzero(np.diff(owner, prepend=-1))
             top[owner[begins]] = np.maximum.reduceat(logit, begins)
         number = np.bincount(owner, minlength=len(text))
@@ -273,15 +284,16 @@ def fit(texts: list[str | None], labels: list[int], prior: float | None = None,
     net.p["word"][:, 0], net.p["char"][:, 0] = _log_odds(w, ids, gram, begin, per_word, y, for_table)
     shown = mine[owner]
     first, owner = first[shown], owner[shown]
-    grid = window_words(w, first, owner)
+    grid = window_grid(w, first, owner)
     # repetition alone is not toxic: windows that repeat a word of a clean text are clean examples
     clean_words = w.codes[y[word_text] == 0]
     if len(clean_words):
-        grid = np.concatenate([grid, np.repeat(rng.choice(clean_words, REPEATS)[:, None], WINDOW, axis=1)])
+        grid = np.concatenate([grid, np.repeat(rng.choice(clean_words, REPEATS)[:, None], WINDOW, axis=1).astype(np.int32)])
     truth = np.concatenate([y[owner], np.zeros(len(grid) - len(first))])
     x = net.inputs(ids, gram, begin)
     # before the first epoch the log-odds alone rank the windows
-    logit = (x[:, 0] + x[:, WORD_DIM])[grid].max(axis=1).astype(np.float64)
+    odds = x[:, 0] + x[:, WORD_DIM]
+    logit = np.concatenate([odds[grid[i : i + TOGETHER]].max(axis=1) for i in range(0, len(grid), TOGETHER)]).astype(np.float64)
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     has = np.flatnonzero(np.bincount(owner, minlength=len(y)))
     step = 0

@@ -219,6 +219,12 @@ def test_windows_cover_every_word_once_at_least():
         assert set(got[got < n].tolist()) == set(range(n))
 
 
+def test_every_run_of_words_is_a_window():
+    w = textops.words(pa.array([" ".join("w%d" % i for i in range(50)), "", "a b c"]))
+    first, owner = toxicity.window_starts(w)
+    assert first.tolist() == [*range(31), 50] and owner.tolist() == [0] * 31 + [2]
+
+
 def test_fit_learns_marked_words_and_survives_degenerate_samples():
     rng = random.Random(0)
     plain = lambda k: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps"]) + rng.choice("abcdef") for _ in range(k))
