@@ -138,15 +138,16 @@ def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
 
     parts += [from_each_line(i) for i in least]
     lines = texts.select("key", F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<array<string>>")) for x in parts])).alias("ws"))
-    lines = written(lines.select("key", F.array_join("ws", " ").alias("line")).distinct(), "license")
-    tf = lines.select("line").distinct().select("line", F.explode(F.split("line", " ")).alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
-    # every word of a part is a word of some file, so it has a count
-    tf = written(tf.join(counts, "word").withColumn("w", F.col("tf") * _idf(n)).select("line", "word", "w"), "license")
-    norms = tf.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dots = tf.join(weights.select("word", "no", "license", "weight"), "word").groupBy("line", "no", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    score = dots.join(norms, "line").select("line", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
+    lines = written(lines.select("key", F.xxhash64("ws").alias("line"), "ws").distinct(), "license")
+    tf = lines.select("line", "ws").dropDuplicates(["line"]).select("line", F.explode("ws").alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
+    # every word of a part is a word of some file, so it has a count; a word's weights in all templates lie side by side, and one pass gives the norm and all products
+    ours = weights.groupBy("word").agg(*[F.sum(F.when(F.col("no") == i, F.col("weight"))).alias(f"in{i}") for i in least])
+    tf = tf.join(counts.join(ours, "word", "left"), "word").withColumn("w", F.col("tf") * _idf(n))
+    sums = tf.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *[F.sum(F.col("w") * F.col(f"in{i}")).alias(f"dot{i}") for i in least])
+    dots = F.array(*[F.struct(F.lit(templates[i][0]).alias("license"), F.col(f"dot{i}").alias("dot")) for i in least])
+    score = sums.select("line", "norm", F.explode(dots).alias("d")).select("line", "d.license", F.round(F.col("d.dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
     best = score.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
-    return (lines.join(best, "line").groupBy("key").agg(F.min("b").alias("b"))
+    return (lines.select("key", "line").join(best, "line").groupBy("key").agg(F.min("b").alias("b"))
             .select("key", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("own_score")))
 
 
