@@ -88,3 +88,38 @@ m AS (SELECT u.*, fit.rule, fit.verdict AS ruled,
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict,
        coalesce(rule, pattern) AS matched FROM m
 """
+
+ORACLE["op12_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS h FROM documents),
+k AS (SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS k1, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS k2,
+             ('0x' || h[17:24])::BIGINT % 100 AS h3, ('0x' || h[25:32])::BIGINT % 100 AS h4 FROM d),
+c AS (SELECT *, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 100 THEN 'plain'
+                     WHEN h4 < 50 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(u[1:least(k1, k2)], '') AS p, array_to_string(u[least(k1, k2) + 1:greatest(k1, k2)], '') AS m,
+             array_to_string(u[greatest(k1, k2) + 1:], '') AS s FROM k)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256 FROM c
+"""
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+w AS (SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+k AS (SELECT lang, term FROM (SELECT DISTINCT id, lang, term FROM w) GROUP BY ALL HAVING count(*) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+a AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, CAST(1 + (1000000000 * (n + 1)) // (sum(n) OVER o + count(*) OVER o) AS BIGINT) AS p
+      FROM a WINDOW o AS (PARTITION BY lang, source)),
+l AS (SELECT lang, term, CAST(1 + (1000000000 * (n + 1)) // (sum(n) OVER o + count(*) OVER o) AS BIGINT) AS q
+      FROM (SELECT lang, term, sum(n) AS n FROM a GROUP BY ALL) WINDOW o AS (PARTITION BY lang)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+y AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+      FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+      UNION ALL
+      SELECT p.lang, p.source, 'term', p.term, (p.p - l.q) * (p.p - l.q) // l.q FROM p JOIN l USING (lang, term) WHERE p.n > 0 AND p.p > l.q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM y QUALIFY part = 'pair' OR rank <= 200
+"""
