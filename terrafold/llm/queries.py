@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrafold.llm import decontaminate, divergence, fim, langid, licenses, linededup, mixing, neardup, secrets, topk, toxicity, url_rules
+from terrafold.llm import decontaminate, divergence, fim, html_extract, langid, licenses, linededup, mixing, neardup, secrets, topk, toxicity, url_rules
 from terrafold.llm.textops import table
 from terrafold.llm.url_rules import Rule
 
@@ -80,6 +80,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = fim.fill_in_middle(table(spark, sf_dir, "documents"), unit="line", seed=7, percent=100, spm_percent=50)
     return got.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -93,7 +97,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_line_dedup, op3_topk, op4_licenses, op5_decontamination,
                             op6_language, op7_mixing, op8_near_duplicates, op9_url_rules, op10_secrets,
-                            op12_fill_in_middle, op13_source_divergence)}
+                            op11_html_extraction, op12_fill_in_middle, op13_source_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
