@@ -5,7 +5,7 @@ A shape is ``array<array<array<struct<x:double,y:double>>>>``: parts, rings
 y = latitude, degrees). Keeping a polygon in its own row means parsing,
 cleaning, orientation, area and the reduction ladder are narrow JVM
 expressions (higher-order functions) -- no explode, no shuffle, no regroup.
-Only Douglas-Peucker significance and the crossing test run in Python,
+Only Douglas-Peucker significance and the validity of rings run in Python,
 as Arrow-batched scalar UDFs over whole rows (see ``geo_udf``).
 
 The builders return SQL text (wrap with ``F.expr``): one parse on the JVM
@@ -17,6 +17,7 @@ or lambda variable; intermediates are bound once with :func:`let`.
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import types as T
 
@@ -38,7 +39,8 @@ RING_ENDS_RE = r"^\s*\(|\)\s*$"                    # outer parentheses of a poly
 RING_SEP_RE = r"\)\s*,\s*\("                        # between two rings
 
 _ids = itertools.count()
-_HALF_R2 = repr(-EARTH_RADIUS_M * EARTH_RADIUS_M / 2.0)
+_HALF_R2 = repr(-EARTH_RADIUS_M * EARTH_RADIUS_M / 2.0) + "D"
+_SPHERE = 4.0 * math.pi * EARTH_RADIUS_M * EARTH_RADIUS_M
 
 
 def _v(prefix: str = "v") -> str:
@@ -130,12 +132,18 @@ def ring_signed_area(r: str) -> str:
     A = -R^2/2 * sum (lon2 - lon1)(2 + sin lat1 + sin lat2) over the edges
     (Chamberlain & Duquette, JPL Publication 07-03); the longitude step is
     unwrapped into [-180, 180) so a ring crossing the antimeridian takes
-    the short way. ``r`` must be a variable or column."""
+    the short way. That sum is what lies between the ring and the south pole.
+    Where the steps add up to a whole turn, the ring runs around a pole and parts the sphere in
+    two: its area is the smaller side, signed by whether that side lies on the left. ``r`` must be a variable or column."""
     a, b, acc, t = _v("a"), _v("b"), _v("acc"), _v("t")
     m = f"greatest(size({r}) - 1, 0)"
-    terms = (f"zip_with(slice({r}, 1, {m}), slice({r}, 2, {m}), ({a}, {b}) -> "
-             f"radians(pmod({b}.x - {a}.x + 180D, 360D) - 180D) * (2D + sin(radians({a}.y)) + sin(radians({b}.y))))")
-    return f"(aggregate({terms}, 0D, ({acc}, {t}) -> {acc} + {t}) * {_HALF_R2})"
+    step = f"(pmod({b}.x - {a}.x + 180D, 360D) - 180D)"
+    terms = (f"zip_with(slice({r}, 1, {m}), slice({r}, 2, {m}), ({a}, {b}) -> named_struct('l', {step}, "
+             f"'s', radians({step}) * (2D + sin(radians({a}.y)) + sin(radians({b}.y)))))")
+    sums = f"aggregate({terms}, named_struct('l', 0D, 's', 0D), ({acc}, {t}) -> named_struct('l', {acc}.l + {t}.l, 's', {acc}.s + {t}.s))"
+    # s > 0 runs east, with the north on its left; |s| R^2 / 2 lies south of the ring
+    return let(sums, lambda v: f"CASE WHEN abs({v}.l) < 180D THEN {v}.s * {_HALF_R2} WHEN abs({v}.s) * {_HALF_R2} > {-_SPHERE / 2!r}D "
+                               f"THEN {v}.s * {_HALF_R2} ELSE sign({v}.s) * ({_SPHERE!r}D + abs({v}.s) * {_HALF_R2}) END")
 
 
 def clean_ring(r: str) -> str:

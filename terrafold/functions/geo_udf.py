@@ -1,7 +1,7 @@
-"""The two per-row geometry kernels that built-in expressions cannot state:
-Douglas-Peucker significance (G6) and ring self-crossings (G3).
+"""The per-row geometry kernels that built-in expressions cannot state: Douglas-Peucker significance (G6), ring
+crossings (G3), fitting rings (G2) and the first valid rung of the reduction ladder (G7).
 
-Both are scalar pandas UDFs: Arrow hands over a batch of rows, each row is
+All are scalar pandas UDFs: Arrow hands over a batch of rows, each row is
 one shape, and the work per shape is numpy over its own vertices. No
 grouping is involved, so there is no shuffle and no group larger than the
 row that already holds the polygon.
@@ -15,25 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrafold.functions.geo import EARTH_RADIUS_M
+from terrafold.functions.geo_rings import ring_crossings, ring_fault, unwrap
 
 SIG_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
 CROSS_TYPE = T.ArrayType(T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("ring", T.IntegerType()),
     T.StructField("seg_i", T.IntegerType()), T.StructField("seg_j", T.IntegerType()),
 ]))
-
-
-def project(lon: np.ndarray, lat: np.ndarray):
-    """Local equirectangular metres around the ring's mean latitude, with
-    longitudes unwrapped from the first vertex (antimeridian safe). The
-    scale error grows with the ring's north-south extent (~0.5% at 5 deg)."""
-    lon = np.asarray(lon, dtype=float)
-    lat = np.asarray(lat, dtype=float)
-    d = np.diff(lon, prepend=lon[:1])
-    d = (d + 180.0) % 360.0 - 180.0
-    ulon = lon[0] + np.cumsum(d)
-    k = np.cos(np.radians(lat.mean()))
-    return EARTH_RADIUS_M * np.radians(ulon) * k, EARTH_RADIUS_M * np.radians(lat)
+CROSSED = "ring crosses itself"
 
 
 def seg_dist(px, py, ax, ay, bx, by):
@@ -46,13 +35,36 @@ def seg_dist(px, py, ax, ay, bx, by):
     return np.hypot(px - (ax + t * dx), py - (ay + t * dy))
 
 
-def significance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def unit_vectors(lon, lat) -> np.ndarray:
+    lon, lat = np.radians(np.asarray(lon, dtype=float)), np.radians(np.asarray(lat, dtype=float))
+    return np.stack([np.cos(lat) * np.cos(lon), np.cos(lat) * np.sin(lon), np.sin(lat)], axis=-1)
+
+
+def chord_angle(d: np.ndarray) -> np.ndarray:
+    """The angle between two unit vectors, from their difference."""
+    return 2.0 * np.arcsin(np.minimum(np.sqrt((d * d).sum(axis=-1)) / 2.0, 1.0))
+
+
+def arc_dist(p: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distance in metres from points to the great-circle arc a-b: across it where a point lies beside it, else to the
+    nearer end. All vectors are taken as differences from an end, so that short arcs keep their precision."""
+    da, db = p - a, p - b
+    ends = np.minimum(chord_angle(da), chord_angle(db))
+    n = np.cross(a, b - a)
+    size = np.sqrt((n * n).sum())
+    if size == 0.0:
+        return EARTH_RADIUS_M * ends
+    n = n / size
+    beside = (da @ np.cross(n, a) >= 0) & (db @ np.cross(n, b) <= 0)
+    return EARTH_RADIUS_M * np.where(beside, np.arcsin(np.minimum(np.abs(da @ n), 1.0)), ends)
+
+
+def split_significance(n: int, distances) -> np.ndarray:
     """Per-vertex Douglas-Peucker significance: the split distance at which
     the vertex is chosen, capped by its parent's. Douglas-Peucker at
     tolerance t keeps exactly the vertices with significance > t, so one
-    pass serves every tolerance. Iterative (explicit stack), O(n log n)
-    typical."""
-    n = len(x)
+    pass serves every tolerance. ``distances(lo, hi)`` are those of the vertices
+    between two others. Iterative (explicit stack), O(n log n) typical."""
     sig = np.zeros(n)
     if n == 0:
         return sig
@@ -62,7 +74,7 @@ def significance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         lo, hi, cap = stack.pop()
         if hi - lo < 2:
             continue
-        d = seg_dist(x[lo + 1:hi], y[lo + 1:hi], x[lo], y[lo], x[hi], y[hi])
+        d = distances(lo, hi)
         k = int(np.argmax(d))
         s = min(float(d[k]), cap)
         k += lo + 1
@@ -72,12 +84,15 @@ def significance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return sig
 
 
-def _ring_sig(lon, lat):
-    lon = np.asarray(lon, dtype=float)
-    if len(lon) == 0:
-        return lon
-    x, y = project(lon, lat)
-    return significance(x, y)
+def significance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Significance in the plane."""
+    return split_significance(len(x), lambda lo, hi: seg_dist(x[lo + 1:hi], y[lo + 1:hi], x[lo], y[lo], x[hi], y[hi]))
+
+
+def sphere_significance(lon, lat) -> np.ndarray:
+    """Significance on the sphere, in metres: distances to great-circle arcs, exact at any latitude and extent."""
+    v = unit_vectors(lon, lat)
+    return split_significance(len(v), lambda lo, hi: arc_dist(v[lo + 1:hi], v[lo], v[hi]))
 
 
 @F.pandas_udf(SIG_TYPE)
@@ -88,64 +103,10 @@ def shape_significance(xs: pd.Series, ys: pd.Series) -> pd.Series:
         if px is None:
             out.append(None)
             continue
-        out.append([[_ring_sig(rx, ry) for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
+        out.append([[sphere_significance(rx, ry) for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
     return pd.Series(out)
 
 
-def _orient(ax, ay, bx, by, cx, cy):
-    return np.sign((bx - ax) * (cy - ay) - (by - ay) * (cx - ax))
-
-
-def unwrap(lon) -> np.ndarray:
-    """Longitudes made continuous by whole turns: a ring that does not pass the antimeridian keeps its values."""
-    lon = np.asarray(lon, dtype=float)
-    return lon - 360.0 * np.cumsum(np.round(np.diff(lon, prepend=lon[:1]) / 360.0))
-
-
-def ring_crossings(x: np.ndarray, y: np.ndarray, proper: bool = False):
-    """Pairs (i, j), i < j, of non-adjacent edges of a closed ring that meet.
-
-    Edges are swept in order of their smallest x: each edge is tested only
-    against edges whose x-range starts before its own ends, then boxes,
-    then orientation signs. Adjacent edges (sharing a vertex, including the
-    last and first) are not pairs. ``proper`` asks only whether two edges
-    cross inside both (touching is no crossing) and stops at the first pair."""
-    x = np.asarray(x, dtype=float)
-    y = np.asarray(y, dtype=float)
-    m = len(x) - 1
-    if m < 4:
-        return []
-    ax, ay, bx, by = x[:-1], y[:-1], x[1:], y[1:]
-    xmin, xmax = np.minimum(ax, bx), np.maximum(ax, bx)
-    ymin, ymax = np.minimum(ay, by), np.maximum(ay, by)
-    order = np.argsort(xmin, kind="stable")
-    xs_sorted = xmin[order]
-    found = []
-    for pos, i in enumerate(order):
-        end = np.searchsorted(xs_sorted, xmax[i], side="right")
-        cand = order[pos + 1:end]
-        if cand.size == 0:
-            continue
-        cand = cand[(ymin[cand] <= ymax[i]) & (ymax[cand] >= ymin[i])]
-        lo, hi = np.minimum(cand, i), np.maximum(cand, i)
-        cand = cand[(hi - lo > 1) & ~((lo == 0) & (hi == m - 1))]
-        if cand.size == 0:
-            continue
-        o1 = _orient(ax[i], ay[i], bx[i], by[i], ax[cand], ay[cand])
-        o2 = _orient(ax[i], ay[i], bx[i], by[i], bx[cand], by[cand])
-        o3 = _orient(ax[cand], ay[cand], bx[cand], by[cand], ax[i], ay[i])
-        o4 = _orient(ax[cand], ay[cand], bx[cand], by[cand], bx[i], by[i])
-        if proper:
-            hit = cand[(o1 * o2 < 0) & (o3 * o4 < 0)]
-            if hit.size:
-                return [(int(min(i, hit[0])), int(max(i, hit[0])))]
-            continue
-        hit = cand[(o1 * o2 <= 0) & (o3 * o4 <= 0)]
-        for j in hit:
-            found.append((int(min(i, j)), int(max(i, j))))
-    return sorted(set(found))
-
-
 @F.pandas_udf(CROSS_TYPE)
 def shape_crossings(xs: pd.Series, ys: pd.Series) -> pd.Series:
     """Every crossing edge pair inside one ring of the shape."""
@@ -161,9 +122,40 @@ def shape_crossings(xs: pd.Series, ys: pd.Series) -> pd.Series:
     return pd.Series(out)
 
 
-@F.pandas_udf(T.BooleanType())
-def shape_self_crosses(xs: pd.Series, ys: pd.Series) -> pd.Series:
-    """G3 as a decision: does any ring of the shape properly cross itself?"""
-    return pd.Series([px is not None and any(ring_crossings(unwrap(rx), ry, proper=True)
-                                             for pxp, pyp in zip(px, py) for rx, ry in zip(pxp, pyp))
-                      for px, py in zip(xs, ys)], dtype=bool)
+def shape_problem(px, py) -> str | None:
+    """The first thing that makes a cleaned shape invalid: a ring properly crosses itself, or rings do not fit together."""
+    if any(ring_crossings(unwrap(rx), ry, proper=True) for pxp, pyp in zip(px, py) for rx, ry in zip(pxp, pyp)):
+        return CROSSED
+    return ring_fault([[(rx, ry) for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
+
+
+@F.pandas_udf(T.StringType())
+def shape_fault(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    """G2/G3 as a decision: why the shape is invalid, or null."""
+    return pd.Series([None if px is None or len(px) == 0 else shape_problem(px, py) for px, py in zip(xs, ys)], dtype=object)
+
+
+def reduced_rings(px, py, sig, tolerance: float):
+    """The rings that reduction at a tolerance leaves (see :func:`geo.reduce_shape`)."""
+    xs, ys = [], []
+    for pxp, pyp, psig in zip(px, py, sig):
+        kept = [(np.asarray(rx)[k], np.asarray(ry)[k]) for rx, ry, rs in zip(pxp, pyp, psig) for k in [np.asarray(rs) > tolerance]]
+        if kept and len(kept[0][0]) >= 4:
+            kept = [r for r in kept if len(r[0]) >= 4]
+            xs.append([r[0] for r in kept])
+            ys.append([r[1] for r in kept])
+    return xs, ys
+
+
+@F.pandas_udf(T.IntegerType())
+def first_valid_rung(xs: pd.Series, ys: pd.Series, sigs: pd.Series, rungs: pd.Series) -> pd.Series:
+    """The first of a shape's tolerances at which its reduced rings are valid, or null."""
+    out = []
+    for px, py, sig, tried in zip(xs, ys, sigs, rungs):
+        level = None
+        for t in () if px is None or tried is None else tried:
+            if shape_problem(*reduced_rings(px, py, sig, float(t))) is None:
+                level = int(t)
+                break
+        out.append(level)
+    return pd.Series(out, dtype="Int32")

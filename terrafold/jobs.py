@@ -22,7 +22,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from terrafold.operators import delivery, geometry, landing, publish  # noqa: E402
+from terrafold.operators import delivery, landing, publish  # noqa: E402
 from terrafold.plans import boundaries  # noqa: E402
 from terrafold.session import apply_job_conf, ship  # noqa: E402
 from terrafold.sources import archive  # noqa: E402
@@ -67,13 +67,9 @@ def publish_(spark: SparkSession, a) -> dict:
 
 
 def shape(spark: SparkSession, a) -> dict:
-    landed, untyped = publish.split_violations(spark.table(a.table), publish.TYPED_RULES)
-    table, rejects = geometry.shapes(landed)
-    cols = [c for c in geometry.SHAPE_COLUMNS if c in table.columns]
-    table.select(*cols).write.mode("overwrite").parquet(a.out)
-    written = spark.read.parquet(a.out)
-    return {"shapes": written.count(), "untyped": _kept(untyped, a.bad and f"{a.bad}/typed"),
-            "rejected": _kept(rejects, a.bad and f"{a.bad}/shape"), "key_violations": geometry.key_violations(written).count()}
+    """Stops without replacing anything if a key is duplicate or NULL."""
+    shapes, untyped, rejects = boundaries.build_shapes(spark, spark.table(a.table), a.out, a.bad and f"{a.bad}/typed", a.bad and f"{a.bad}/shape")
+    return {"shapes": shapes.count(), "untyped": untyped.count(), "rejected": rejects.count(), "key_violations": 0}
 
 
 STEPS = {"discover": discover, "land": land, "stage": stage, "curate": curate, "publish": publish_, "shape": shape}

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrafold.operators import curate, landing, stage
+from terrafold.operators import curate, geometry, landing, publish, stage
 from terrafold.plans import derive
 from terrafold.session import apply_job_conf, scratch
 from terrafold.sources.contract import NEIGHBORHOODS_RAW, NEIGHBORHOODS_STAGE
@@ -80,30 +80,41 @@ class Published:
     rejected: DataFrame         # curated rows that break the landing contract, with the rules broken
     typed_rejects: DataFrame    # landed rows that break the typed contract (P5), written
     shapes: DataFrame           # the written shape table, read back
-    shape_rejects: DataFrame    # rows whose geometry did not parse or cleaned to nothing
-    key_violations: DataFrame   # duplicate / NULL (fips_code, id); empty when publishable
+    shape_rejects: DataFrame    # rows whose geometry did not parse, cleaned to nothing or is invalid
+    key_violations: DataFrame   # empty: a shape table with duplicate or NULL keys is not published
+
+
+def build_shapes(spark: SparkSession, landed: DataFrame, shape_path: str, typed_path: str | None = None, rejects_path: str | None = None):
+    """P5 and G1-G11 over landed rows. Outcomes are computed once, into the shared folder; the keys of the shape
+    table are checked there, and only then are the shape table and the rejects replaced.
+    Returns ``(shapes, typed_rejects, shape_rejects)``, the rejects written where a path is given; raises :class:`geometry.KeyViolations` and leaves
+    everything as it was if a key is duplicate or NULL."""
+    ok, untyped = publish.split_violations(landed, publish.TYPED_RULES)
+    path = scratch(spark, "outcomes")
+    geometry.outcomes(ok).write.parquet(path)
+    table, rejects = geometry.split_outcomes(spark.read.parquet(path))
+    geometry.check_keys(table)
+    table.select(*[c for c in geometry.SHAPE_COLUMNS if c in table.columns]).write.mode("overwrite").parquet(shape_path)
+    return spark.read.parquet(shape_path), _kept(untyped, typed_path), _kept(rejects, rejects_path)
+
+
+def _kept(rejects: DataFrame, path: str | None) -> DataFrame:
+    if not path:
+        return rejects
+    rejects.write.mode("overwrite").parquet(path)
+    return rejects.sparkSession.read.parquet(path)
 
 
 def publish_and_shape(spark: SparkSession, curated: DataFrame, landing_table: str, shape_path: str,
                       rules=None, drop_landing: bool = True) -> Published:
     """The export and geometry build, in the reference's order:
     P4 contract check -> P1-P3 truncate-then-load with count check ->
-    P5 typed contract -> G1-G10 shapes from the landing table, written once -> G11 key check
-    on the written table -> G12 staging clean-up. ``landing_table`` must
+    P5 typed contract -> G1-G10 shapes from the landing table, computed once -> G11 key check, which stops
+    here with the old shape table and the landing table in place -> G10 written -> G12 staging clean-up. ``landing_table`` must
     exist (e.g. created from the warehouse DDL)."""
-    from terrafold.operators import geometry, publish
-
     ok, rejected = publish.split_violations(curated, rules or publish.LANDING_RULES)
     loaded = publish.load_table(ok, landing_table)
-    landed, typed_rejects = publish.split_violations(spark.table(landing_table), publish.TYPED_RULES)
-    typed_rejects.write.mode("overwrite").parquet(f"{shape_path}_typed_rejects")
-    table, shape_rejects = geometry.shapes(landed)
-    cols = [c for c in geometry.SHAPE_COLUMNS if c in table.columns]
-    table.select(*cols).write.mode("overwrite").parquet(shape_path)
-    written = spark.read.parquet(shape_path)
-    # the rejects too must be on storage before the landing table goes
-    shape_rejects.write.mode("overwrite").parquet(f"{shape_path}_rejects")
-    shape_rejects = spark.read.parquet(f"{shape_path}_rejects")
+    shapes, typed_rejects, shape_rejects = build_shapes(spark, spark.table(landing_table), shape_path, f"{shape_path}_typed_rejects", f"{shape_path}_rejects")
     if drop_landing:
         geometry.drop_staging(spark, landing_table)
-    return Published(loaded, rejected, spark.read.parquet(f"{shape_path}_typed_rejects"), written, shape_rejects, geometry.key_violations(written))
+    return Published(loaded, rejected, typed_rejects, shapes, shape_rejects, geometry.key_violations(shapes))

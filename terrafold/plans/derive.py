@@ -287,3 +287,85 @@ def dateline_shapes(part: DataFrame) -> DataFrame:
 
     return part.select("p_partkey", E(f"CASE WHEN p_partkey % 2 = 0 THEN {ring([0, 2, 1, 3, 0])} "
                                       f"ELSE {ring([0, 1, 2, 3, 0])} END").alias("geoloc"))
+
+
+# Rings that do or do not fit together, by part key modulo 12 (offsets in hundredths of a degree), with the problem.
+def _poly(*rings) -> str:
+    return "'POLYGON (' || " + " || ', ' || ".join(_ring(r) for r in rings) + " || ')'"
+
+
+def _multi(*parts) -> str:
+    return "'MULTIPOLYGON (' || " + " || ', ' || ".join("'(' || " + " || ', ' || ".join(_ring(r) for r in p) + " || ')'" for p in parts) + " || ')'"
+
+
+def _box(x: int, y: int, w: int, h: int):
+    return [(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]
+
+
+FIT_KINDS = {
+    0: (_poly(_box(0, 0, 10, 10), _box(2, 2, 3, 3)), None),
+    1: (_poly(_box(0, 0, 10, 10), _box(20, 2, 3, 3)), "hole outside its shell"),
+    2: (_poly(_box(0, 0, 10, 10), _box(8, 2, 4, 3)), "hole crosses its shell"),
+    3: (_poly(_box(0, 0, 10, 10), _box(1, 1, 4, 4), _box(3, 3, 4, 4)), "holes overlap"),
+    4: (_poly(_box(0, 0, 10, 10), _box(1, 1, 6, 6), _box(2, 2, 2, 2)), "holes overlap"),
+    5: (_multi([_box(0, 0, 10, 10)], [_box(5, 5, 10, 10)]), "parts overlap"),
+    6: (_multi([_box(0, 0, 10, 10)], [_box(2, 2, 3, 3)]), "parts overlap"),
+    7: (_multi([_box(0, 0, 10, 10), _box(2, 2, 6, 6)], [_box(3, 3, 2, 2)]), None),
+    8: (_multi([_box(0, 0, 10, 10)], [_box(10, 0, 10, 10)]), None),
+    9: (_poly(_box(0, 0, 10, 10), [(5, 0), (10, 5), (5, 10), (0, 5), (5, 0)]), None),
+    10: (_poly([(0, 0), (10, 0), (10, 10), (5, 4), (0, 10), (0, 0)], [(0, 10), (10, 10), (5, 0), (0, 10)]), "hole crosses its shell"),
+    11: (_poly([(0, 0), (20, 10), (20, 0), (0, 20), (0, 0)], _box(1, 1, 1, 1)), "ring crosses itself"),
+}
+
+
+def fitting_shapes(part: DataFrame) -> DataFrame:
+    """One polygon per part, by key one of :data:`FIT_KINDS`."""
+    kinds = "CASE p_partkey % 12 " + " ".join(f"WHEN {k} THEN {v}" for k, (v, _) in FIT_KINDS.items()) + " END"
+    return part.select("p_partkey", E(GRID_X).alias("gx"), E(GRID_Y).alias("gy")).select("p_partkey", E(kinds).alias("geoloc"))
+
+
+def polar_shapes(part: DataFrame) -> DataFrame:
+    """One ring around a pole per part: 60 to 89 degrees by key, every eight steps of longitude, four ways (pole and sense)."""
+    lat = "CAST((p_partkey % 30 + 60) * CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE -1 END AS STRING)"
+    lon = "CAST((k * 45 + p_partkey % 45 + 180) % 360 - 180 AS STRING)"
+    ring = (f"transform(CASE WHEN p_partkey % 4 < 2 THEN sequence(0, 8) ELSE sequence(8, 0) END, k -> {lon} || ' ' || {lat})")
+    return part.select("p_partkey", E(f"'POLYGON ((' || array_join({ring}, ', ') || '))'").alias("geoloc"))
+
+
+NOTCH = [(0.0, 0.0), (0.02, 0.0), (0.02, 0.02), (0.013, 0.02), (0.01, 0.01865), (0.007, 0.02), (0.0, 0.02), (0.0, 0.0)]
+WEDGE = [(0.01, 0.0188), (0.016, 0.03), (0.004, 0.03), (0.01, 0.0188)]
+
+
+def interlocked_shapes(part: DataFrame) -> DataFrame:
+    """A square with a notch 150 m deep, and a large wedge whose tip stands in the notch (even keys) or above it (odd keys)."""
+    def ring(points, up):
+        pts = [f"format_string('%.6f %.6f', x0 + {x!r}D, y0 + {y + up!r}D)" for x, y in points]
+        return "'((' || " + " || ', ' || ".join(pts) + " || '))'"
+    df = part.select("p_partkey", E("(p_partkey % 300) * 0.5D - 75D").alias("x0"), E("(p_partkey % 10) * 0.1D - 0.5D").alias("y0"))
+    wedge = f"CASE WHEN p_partkey % 2 = 0 THEN {ring(WEDGE, 0.0)} ELSE {ring(WEDGE, 0.01)} END"
+    return df.select("p_partkey", E(f"'MULTIPOLYGON (' || {ring(NOTCH, 0.0)} || ', ' || {wedge} || ')'").alias("geoloc"))
+
+
+TALL = ("p_partkey % 160 - 80", "p_partkey % 60 + 15")   # start latitude, rise of the ring in degrees
+
+
+def tall_shapes(part: DataFrame) -> DataFrame:
+    """A long triangle per part that starts at any latitude up to 80 degrees and spans up to 74: three distinct corners a, p, q."""
+    lat, rise = TALL
+    y2 = f"(CASE WHEN {lat} > 0 THEN ({lat}) - ({rise}) ELSE ({lat}) + ({rise}) END)"
+    num = lambda v: f"CAST({v} AS STRING)"
+    a, p, q = (f"{num('p_partkey % 90')} || ' ' || {num(lat)}", f"{num('p_partkey % 90 + 20')} || ' ' || {num(lat)}", f"{num('p_partkey % 90 + 50')} || ' ' || {num(y2)}")
+    return part.select("p_partkey", E(f"'POLYGON ((' || {a} || ', ' || {p} || ', ' || {q} || ', ' || {a} || '))'").alias("geoloc"))
+
+
+RING_CORNERS = 4000
+
+
+def brand_rings(part: DataFrame) -> DataFrame:
+    """One ring per brand and range of keys (so no ring outgrows it) with a corner per part, in key order: it staggers to the
+    right and runs back below. Sixty-fourths of a degree are exact."""
+    corner = "named_struct('k', p_partkey, 'd', CAST(p_partkey * 37 % 7 AS INT), 'y', CAST(p_partkey * 53 % 11 AS INT))"
+    rings = part.groupBy("p_brand", E(f"p_partkey div {RING_CORNERS}").alias("block")).agg(F.sort_array(F.collect_list(E(corner))).alias("c"))
+    at = "transform(c, (v, i) -> named_struct('x', (i * 2 + v.d) / 64D, 'y', v.y / 64D))"
+    back = "array(named_struct('x', (size(c) * 2 + 9) / 64D, 'y', -1D), named_struct('x', -1D, 'y', -1D), get(p, 0))"
+    return rings.select("p_brand", "block", "c", E(at).alias("p")).select("p_brand", "block", E(f"array(array(concat(p, {back})))").alias("shape"))

@@ -159,6 +159,34 @@ r AS (SELECT p_partkey, part, ring,
 SELECT p_partkey, round(sum(CASE WHEN ring = 0 THEN abs(a) ELSE -abs(a) END), 1) AS area_m2
 FROM r GROUP BY p_partkey"""
 
+# unit vectors of a corner at (longitude, latitude)
+_VECTOR = "[cos(radians({y})) * cos(radians({x})), cos(radians({y})) * sin(radians({x})), sin(radians({y}))]::DOUBLE[3]"
+_LAT, _RISE = derive.TALL
+_LAT2 = f"(CASE WHEN {_LAT} > 0 THEN ({_LAT}) - ({_RISE}) ELSE ({_LAT}) + ({_RISE}) END)"
+GREAT_CIRCLE = f"""WITH v AS (SELECT p_partkey, {_VECTOR.format(x='p_partkey % 90', y=_LAT)} AS a, {_VECTOR.format(x='p_partkey % 90 + 20', y=_LAT)} AS p,
+                 {_VECTOR.format(x='p_partkey % 90 + 50', y=_LAT2)} AS q FROM part),
+n AS (SELECT *, array_cross_product(a, q) AS n FROM v),
+d AS (SELECT p_partkey, {2 * R!r} * asin(array_distance(a, q) / 2) AS aq, {R!r} * CASE
+        WHEN array_inner_product(array_cross_product(n, a), p) >= 0 AND array_inner_product(array_cross_product(n, q), p) <= 0
+        THEN asin(abs(array_inner_product(n, p)) / sqrt(array_inner_product(n, n)))
+        ELSE 2 * asin(least(array_distance(a, p), array_distance(q, p)) / 2) END AS across FROM n)
+SELECT p_partkey, 1 AS seq, round(least(aq, across)) AS sig_m FROM d UNION ALL SELECT p_partkey, 2, round(aq) FROM d"""
+
+LARGE_RINGS = f"""WITH c AS (SELECT p_brand, p_partkey // {derive.RING_CORNERS} AS block, p_partkey * 37 % 7 AS d, p_partkey * 53 % 11 AS y,
+       row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY p_brand, p_partkey // {derive.RING_CORNERS}) AS n
+       FROM part WINDOW w AS (PARTITION BY p_brand, p_partkey // {derive.RING_CORNERS} ORDER BY p_partkey)),
+pt AS (SELECT p_brand, block, i, (2 * i + d) / 64::DOUBLE AS x, y / 64::DOUBLE AS y FROM c
+       UNION ALL SELECT p_brand, block, n, (2 * n + 9) / 64::DOUBLE, -1 FROM c WHERE i = 0 UNION ALL SELECT p_brand, block, n + 1, -1, -1 FROM c WHERE i = 0
+       UNION ALL SELECT p_brand, block, n + 2, d / 64::DOUBLE, y / 64::DOUBLE FROM c WHERE i = 0),
+e AS (SELECT p_brand, block, i, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS cy, max(i) OVER (PARTITION BY p_brand, block) AS m
+      FROM pt WINDOW w AS (PARTITION BY p_brand, block ORDER BY i))
+SELECT s.p_brand, s.block, 0 AS part, 0 AS ring, s.i AS seg_i, t.i AS seg_j FROM e s JOIN e t ON s.p_brand = t.p_brand AND s.block = t.block
+ AND t.i > s.i + 1 AND NOT (s.i = 0 AND t.i = s.m - 1) AND least(s.ax, s.bx) <= greatest(t.ax, t.bx) AND least(t.ax, t.bx) <= greatest(s.ax, s.bx)
+ AND least(s.ay, s.cy) <= greatest(t.ay, t.cy) AND least(t.ay, t.cy) <= greatest(s.ay, s.cy)
+ AND sign((s.bx - s.ax) * (t.ay - s.ay) - (s.cy - s.ay) * (t.ax - s.ax)) * sign((s.bx - s.ax) * (t.cy - s.ay) - (s.cy - s.ay) * (t.bx - s.ax)) <= 0
+ AND sign((t.bx - t.ax) * (s.ay - t.ay) - (t.cy - t.ay) * (s.ax - t.ax)) * sign((t.bx - t.ax) * (s.cy - t.ay) - (t.cy - t.ay) * (s.bx - t.ax)) <= 0
+WHERE s.bx IS NOT NULL AND t.bx IS NOT NULL"""
+
 VIOLATION_CHECKS = [
     ("geo_type", "not null", "geo_type IS NULL"),
     ("neighborhood_type", "not null", "neighborhood_type IS NULL"),
@@ -266,6 +294,12 @@ def oracle_sql() -> dict:
         "polygon_area": AREA,
         "self_intersections": "SELECT p_partkey, 0 AS part, 0 AS ring, 0 AS seg_i, 2 AS seg_j FROM part WHERE p_partkey % 5 = 4",
         "simplify_ladder": f"SELECT p_partkey, {SPIKE_LEVEL} AS geoloc_reduced_level, {SPIKE_POINTS} AS n_points FROM part",
+        "ring_faults": "SELECT p_partkey, problem, problem IS NULL AS has_shape FROM (SELECT p_partkey, CASE p_partkey % 12 "
+                       + " ".join(f"WHEN {k} THEN '{problem}'" for k, (_, problem) in derive.FIT_KINDS.items() if problem) + " END AS problem FROM part) f",
+        "polar_areas": f"SELECT p_partkey, round({2 * R * R / 1e6!r} * pi() * (1 - sin(radians(p_partkey % 30 + 60))), 2) AS area_km2, p_partkey % 2 = 0 AS runs_east FROM part",
+        "valid_rungs": "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 100 ELSE 500 END AS geoloc_reduced_level, CAST(NULL AS VARCHAR) AS problem FROM part",
+        "great_circle_significance": GREAT_CIRCLE,
+        "large_ring_crossings": LARGE_RINGS,
         "shape_table": f"SELECT geo_type, neighborhood_type, geo_id AS id, name, fips_code, state_abbr, state_fips_code, "
                        f"county, county_fips_code, metro, incorporated_place, longitude, latitude, geoloc, "
                        f"geoloc AS geoloc_reduced, 500 AS geoloc_reduced_level FROM ({CURATED}) k",

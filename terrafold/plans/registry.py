@@ -435,6 +435,38 @@ def q_shape_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
                                               ("geoloc_reduced_level", "geoloc_points", "geoloc_reduced_points")], "problem"))
 
 
+def q_ring_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shapes whose rings fit together or not: a hole outside or across its shell, holes or parts that overlap, rings that only touch."""
+    texts = derive.fitting_shapes(derive.table(spark, sf_dir, "part"))
+    return geometry.outcomes(texts, partitions=tasks_for(texts)).select("p_partkey", "problem", F.col("_wkt").isNotNull().alias("has_shape"))
+
+
+def q_polar_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rings around either pole in either sense: the area is the cap's, and cleaning turns the pole to the left."""
+    ok, _ = _vertices(derive.polar_shapes(derive.table(spark, sf_dir, "part")))
+    first = "get(get(get(shape, 0), 0), {i}).x"
+    east = f"pmod({first.format(i=1)} - {first.format(i=0)} + 180D, 360D) - 180D > 0"
+    return geometry.clean(ok).select("p_partkey", F.round(F.col("area_m2") / 1e6, 2).alias("area_km2"), F.expr(east).alias("runs_east"))
+
+
+def q_valid_rungs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rung whose reduced parts overlap is skipped, however much area it keeps."""
+    texts = derive.interlocked_shapes(derive.table(spark, sf_dir, "part"))
+    return geometry.outcomes(texts, partitions=tasks_for(texts)).select("p_partkey", F.col("_level").alias("geoloc_reduced_level"), "problem")
+
+
+def q_great_circle_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Significance of the corners of tall rings at any latitude, in whole metres."""
+    ok, _ = _vertices(derive.tall_shapes(derive.table(spark, sf_dir, "part")))
+    s = geometry.significance(ok).select("p_partkey", F.posexplode(F.expr("get(get(sig, 0), 0)")).alias("seq", "sig"))
+    return s.where("seq IN (1, 2)").select("p_partkey", "seq", F.round("sig").alias("sig_m"))
+
+
+def q_large_ring_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Crossings of one long ring per brand, met tile by tile."""
+    return geometry.crossings(derive.brand_rings(derive.table(spark, sf_dir, "part")), ["p_brand", "block"], split_edges=50)
+
+
 def _shape_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     curated = flows.curated_customers(spark, sf_dir)
     table, _rejects = geometry.shapes(curated, partitions=tasks_for(curated))
@@ -486,6 +518,11 @@ QUERIES = {
     "polygon_area": q_polygon_area,
     "self_intersections": q_self_intersections,
     "simplify_ladder": q_simplify_ladder,
+    "ring_faults": q_ring_faults,
+    "polar_areas": q_polar_areas,
+    "valid_rungs": q_valid_rungs,
+    "great_circle_significance": q_great_circle_significance,
+    "large_ring_crossings": q_large_ring_crossings,
     "shape_table": q_shape_table,
     "key_violations": q_key_violations,
 }
@@ -500,7 +537,8 @@ INPUT_TABLES = {
                                  "target_contract_violations", "shape_table", "key_violations")},
     **{k: ["supplier"] for k in ("contract_orc_scan", "strip_srid")},
     **{k: ["part"] for k in ("prefix_map", "wkt_vertices", "ring_orientation", "polygon_area",
-                             "self_intersections", "simplify_ladder", "shape_rejects", "shape_decisions")},
+                             "self_intersections", "simplify_ladder", "shape_rejects", "shape_decisions",
+                             "ring_faults", "polar_areas", "valid_rungs", "great_circle_significance", "large_ring_crossings")},
     **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
                                "new_product_flag", "combined_new_inventory", "archive_unpack", "manifest_long_prefixes")},
 }

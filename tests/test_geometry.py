@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrafold.functions import geo
-from terrafold.functions.geo_udf import project, ring_crossings, significance, unwrap
+from terrafold.functions.geo_rings import ring_crossings, unwrap
+from terrafold.functions.geo_udf import arc_dist, significance, unit_vectors
 from terrafold.operators import geometry as G
 
 
@@ -101,9 +102,10 @@ def test_self_crossing_rings_are_rejected_and_touching_ones_published(spark):
     assert {r["id"] for r in table.collect()} == {"ok", "touch"}
 
 
-def test_projection_unwraps_antimeridian():
-    x, _ = project(np.array([179.5, -179.5]), np.array([0.0, 0.0]))
-    assert 100_000 < x[1] - x[0] < 120_000
+def test_distances_take_the_short_way_over_the_antimeridian():
+    v = unit_vectors([179.5, -179.5, -179.4], [0.0, 0.0, 0.0])
+    assert 100_000 < arc_dist(v[1:2], v[0], v[0])[0] < 120_000
+    assert arc_dist(v[1:2], v[0], v[2])[0] < 1e-6
 
 
 ROWS = [
