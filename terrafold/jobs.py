@@ -46,8 +46,16 @@ def discover(spark: SparkSession, a) -> dict:
 
 
 def land(spark: SparkSession, a) -> dict:
+    """Empty members land as empty files; with --ledger each member is told new, changed, renamed or resent, and recorded."""
+    found = landing.label(archive.members(spark, a.source))
+    told = {}
+    if a.ledger:
+        told = {r["arrival"]: r["count"] for r in landing.arrivals(found, landing.ledger(spark, a.ledger)).groupBy("arrival").count().collect()}
     landing.land(landing.label(archive.unpack(spark, a.source)), a.out)
-    return {}
+    empty = landing.land_empty(found, a.out)
+    if a.ledger:
+        landing.record(found, a.ledger)
+    return {**told, "empty": empty}
 
 
 def stage(spark: SparkSession, a) -> dict:
@@ -85,6 +93,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     p.add_argument("--bad", help="folder for rows the step refuses")
     p.add_argument("--table", help="catalog table")
     p.add_argument("--landed", help="landed root (discover)")
+    p.add_argument("--ledger", help="ledger of landed members (land)")
     p.add_argument("--pretty", action="store_true", help="the manifest is one multi-line document (discover)")
     p.add_argument("--combined", action="store_true", help="one mark for all products (discover)")
     p.add_argument("--days", nargs="+", help="delivery folders (stage)")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,14 @@ def snapshot(df: DataFrame, steps=(), drop=AUDIT) -> DataFrame:
 def write(df: DataFrame, path: str) -> None:
     """C11: unpartitioned ORC snapshot, overwritten."""
     df.write.mode("overwrite").orc(path)
+
+
+def replace(df: DataFrame, table: str, runs: str) -> str:
+    """C11 without a gap: the snapshot is written to a folder of its own below ``runs``, then one catalog statement points the
+    external ``table`` there. A job that fails before leaves the old snapshot readable. Returns the folder."""
+    path = f"{runs}/run-{uuid.uuid4().hex[:12]}"
+    write(df, path)
+    spark = df.sparkSession
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(table)
+    return path

@@ -152,6 +152,55 @@ def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str
     return {"good": good_obs.get.get("n", 0), "bad": n_bad}
 
 
+def reload(spark: SparkSession, parsed: DataFrame, table: str, runs: str, bad_path: str | None = None, load_date=None, labels=(),
+           contract=None, bad: str = BAD, bad_by: str | None = None, reload_dates=(), run_date=None) -> dict:
+    """The stage job into a catalog table, in one pass over the text and without a moment in which a date is half replaced.
+
+    One job parses the text once and writes both outcomes to a folder of this run below ``runs``: good rows by load date, bad lines
+    beside them. The bad lines, few, go on to their sink. Only then does each date of ``table``
+    change over, by one catalog statement that points its partition to the new files; a date of ``reload_dates`` without a good row
+    is dropped. A run that fails before leaves the table's rows as they were, and readers of the old files finish on them:
+    old run folders stay until somebody deletes them."""
+    stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad, run_date=run_date)
+    days = sorted({str(d) for d in reload_dates})
+    run_path = f"{runs}/run-{uuid.uuid4().hex[:12]}"
+    is_bad = F.col(bad).isNotNull()
+    kept = {bad, "load_date", bad_by}
+    both = stamped.select(*[F.col(c) if c in kept else F.when(~is_bad, F.col(c)).alias(c) for c in stamped.columns],
+                          F.when(is_bad, "bad").otherwise("good").alias("outcome"))
+    seen = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    both = both.hint("rebalance", "outcome", "load_date").observe(seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad"))
+    both.write.option("compression", "snappy").partitionBy("outcome", "load_date").orc(run_path)
+    counts = {"good": seen.get.get("good", 0), "bad": seen.get.get("bad", 0)}
+    if bad_path:
+        names = [bad, *([bad_by] if bad_by else [])]
+        fields = ", ".join(f"`{n}` string" for n in names)
+        lines = spark.read.schema(fields).orc(f"{run_path}/outcome=bad") if counts["bad"] else spark.createDataFrame([], fields)
+        write_bad(lines.select(*names), bad_path, by=bad_by)
+    elif counts["bad"]:
+        log.warning("%d malformed lines and no folder to keep them in", counts["bad"])
+    switch(spark, table, f"{run_path}/outcome=good", days)
+    return counts
+
+
+def switch(spark: SparkSession, table: str, folder: str, dates=()) -> None:
+    """Point the partitions of the load dates found in ``folder`` to it; other ``dates`` are dropped."""
+    new = {n.split("=", 1)[1] for n in _names(spark, folder) if n.startswith("load_date=")}
+    for d in sorted(new):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (load_date = DATE '{d}') LOCATION '{folder}/load_date={d}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION (load_date = DATE '{d}') SET LOCATION '{folder}/load_date={d}'")
+    for d in sorted(set(map(str, dates)) - new):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_date = DATE '{d}')")
+    spark.catalog.refreshTable(table)
+
+
+def _names(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder of whatever file system; none if it is not there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder on whatever file system it is on; nothing if it is not there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -27,6 +27,14 @@ def stage_boundaries(spark: SparkSession, raw_root: str, history: str, bad: str
                      contract=NEIGHBORHOODS_RAW, table=table, bad_by=bad_by, reload_dates=_dates(days, load_date), run_date=run_date)
 
 
+def reload_boundaries(spark: SparkSession, raw_root: str, table: str, runs: str, bad: str | None = None, days=None, load_date=None,
+                      bad_by: str | None = None, run_date=None) -> dict:
+    """:func:`stage_boundaries` into a catalog table whose dates change over by location, with one pass over the text."""
+    parsed = scan_landing(spark, f"{raw_root}/product=neighborhoods", NEIGHBORHOODS_RAW, prefix="neighborhoods", dates=days)
+    return stage.reload(spark, parsed, table, runs, bad, load_date=load_date, labels=LABELS, contract=NEIGHBORHOODS_RAW, bad_by=bad_by,
+                        reload_dates=_dates(days, load_date), run_date=run_date)
+
+
 def _dates(days, load_date) -> list[str]:
     """Load dates of delivery folders: the given one, else those folder names that are dates."""
     if load_date is not None:

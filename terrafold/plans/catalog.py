@@ -32,14 +32,14 @@ def ddl(schema: T.StructType, table: str, location: str | None = None, partition
 
 
 def register(spark: SparkSession, schema: T.StructType, table: str, location: str, partition_by=None,
-             fmt: str = "ORC", comment: str | None = None, properties: dict | None = None) -> None:
+             fmt: str = "ORC", comment: str | None = None, properties: dict | None = None, repair: bool = True) -> None:
     """D1-D3 + S14: create the database, recreate the external table over
-    ``location`` and register its existing partitions."""
+    ``location`` and register its existing partitions (``repair``; a table whose folder is not there yet has none)."""
     if "." in table:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.split('.')[0]}")  # D1
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(ddl(schema, table, location, partition_by, fmt, comment, properties))
-    if partition_by:
+    if partition_by and repair:
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
 

@@ -202,6 +202,21 @@ def _union(selects) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
+def _vendor_rows() -> str:
+    file = derive.VENDOR_FILE.replace("AS STRING", "AS VARCHAR")
+    lineage = f"{file} AS file_name, '{derive.DELIVERY_DAY}' AS parent_folder_name FROM customer"
+    headers = " ".join(f"WHEN '{s}' THEN '{derive.vendor_header(s)}'" for s in derive.VENDOR_ORDERS)
+    line = derive.vendor_line(TAB)
+    columns = STAGE_COLS.replace("  member AS geo_type, member AS neighborhood_type,\n", "")
+    none = ", ".join(f"CAST(NULL AS {'DOUBLE' if f.name in ('longitude', 'latitude') else 'VARCHAR'}) AS {f.name}" for f in derive.NEIGHBORHOODS_RAW.fields if f.name != derive.BAD)
+    known = "c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD')"
+    return _union([
+        f"SELECT {columns}, CAST(NULL AS VARCHAR) AS _bad_data, {lineage} WHERE {known} AND c_acctbal >= 0",
+        f"SELECT {none}, {line} AS _bad_data, {lineage} WHERE NOT ({known}) OR c_acctbal < 0",
+        f"SELECT DISTINCT {none}, CASE c_mktsegment {headers} END AS _bad_data, {lineage} WHERE NOT ({known})",
+    ])
+
+
 def oracle_sql() -> dict:
     return {
         "stage_good_rows": f"SELECT '2024-01-15' AS load_date, {STAGE_COLS}, member AS file_name, "
@@ -282,6 +297,19 @@ def oracle_sql() -> dict:
                           f"concat_ws({TAB}, CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, "
                           "CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'), "
                           "o_orderpriority) AS value FROM orders",
+        "delivery_ledger": f"WITH o AS (SELECT *, CASE o_orderstatus WHEN 'O' THEN 'community-info' ELSE 'neighborhoods' END AS word FROM orders), "
+                           "a AS (SELECT DISTINCT strftime(date_trunc('year', o_orderdate), '%Y%m%d') || '-' || word || '-' || CAST(o_orderkey // 50000 AS VARCHAR) || '.zip' AS archive, "
+                           "replace(word, '-', '_') AS product, strftime(date_trunc('year', o_orderdate), '%Y%m%d') AS file_date, "
+                           "word || '-' || strftime(o_orderdate, '%Y%m') || '.tsv' AS member, year(o_orderdate) >= 1998 AS first, month(o_orderdate) % 2 = 0 AS other FROM o) "
+                           "SELECT archive, product, file_date, member, CASE WHEN first THEN 'new' WHEN other THEN 'changed' ELSE 'resent' END AS arrival FROM a "
+                           "UNION ALL SELECT DISTINCT archive, product, file_date, 'empty.tsv', CASE WHEN first THEN 'new' ELSE 'resent' END FROM a",
+        "history_switch": _union([
+            f"SELECT '2024-01-01' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g WHERE CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10 GROUP BY member",
+            f"SELECT '2024-03-01' AS load_date, member AS geo_type, count(*) AS n FROM ({GOOD}) g GROUP BY member",
+            # the second drop's bad lines: headers and short rows of day 1, every line of day 2
+            "SELECT 'bad', '', (SELECT count(*) FROM customer WHERE c_nationkey = 24 AND CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10) + (SELECT count(*) FROM customer) "
+            f"+ (SELECT count(DISTINCT member) FROM ({CUST}) c WHERE CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10) + (SELECT count(DISTINCT member) FROM ({CUST}) c)"]),
+        "header_bound_scan": _vendor_rows(),
         "publish_rows": PUBLISHABLE,
         "typed_rows": f"SELECT {CURATED_COLS}, 1 AS n_parts FROM ({PUBLISHABLE}) p WHERE fips_code IS NOT NULL",
         "publish_count": f"SELECT count(*) AS source_rows, count(*) AS target_rows FROM ({PUBLISHABLE}) p",

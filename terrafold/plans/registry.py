@@ -20,9 +20,10 @@ from terrafold.plans import boundaries as flows
 from terrafold.plans import catalog, derive
 from terrafold.session import apply_job_conf, scratch, tasks_for
 from terrafold.sources import archive
-from terrafold.sources.contract import BAD, NEIGHBORHOODS_STAGE
+from terrafold.sources.contract import BAD, NEIGHBORHOODS_RAW, NEIGHBORHOODS_STAGE
 from terrafold.sources.contract import load as load_contract
 from terrafold.sources.contract import save as save_contract
+from terrafold.sources.delimited import scan_headed
 
 def _decimals_to_double(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
@@ -91,6 +92,35 @@ def q_load_date_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_history_switch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history as a table whose dates change over by location: two days land, day 1 comes again with fewer rows and day 2 with none good."""
+    apply_job_conf(spark)
+    base, days = scratch(spark, "switch"), ["20240101", "20240201", "20240301"]
+    customer = derive.table(spark, sf_dir, "customer")
+    table = f"tf_stage.neighborhoods_switch_{uuid.uuid4().hex[:8]}"
+    catalog.register(spark, NEIGHBORHOODS_STAGE, table, f"{base}/table", partition_by="load_date", repair=False)
+    smaller = customer.where("CAST(c_acctbal / 100 AS DECIMAL(12,4)) >= 10")
+    broken = derive.boundary_lines(customer, days[1:2]).withColumn("value", F.lit("no fields at all"))
+    landing.land(derive.boundary_lines(customer, days), f"{base}/one")
+    landing.land(derive.boundary_lines(smaller, days[:1]).unionByName(broken), f"{base}/two")
+    seen = []
+    for name, some in (("one", days), ("two", days[:2])):
+        seen.append(flows.reload_boundaries(spark, f"{base}/{name}", table, f"{base}/runs", f"{base}/bad-{name}", days=some))
+    got = spark.table(table).groupBy(F.col("load_date").cast("string").alias("load_date"), "geo_type").agg(F.count(F.lit(1)).alias("n"))
+    bad = spark.read.text(f"{base}/bad-two").groupBy(F.lit("bad").alias("load_date"), F.lit("").alias("geo_type")).agg(F.count(F.lit(1)).alias("n"))
+    return got.unionByName(bad)
+
+
+def q_header_bound_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor files in the vendor's layout, each with its own column order; a file with an unknown header is bad rows."""
+    folder = f"{scratch(spark, 'vendor')}/{derive.DELIVERY_DAY}"
+    derive.write_vendor_files(derive.table(spark, sf_dir, "customer"), folder).agg(F.sum("lines")).collect()
+    rows = scan_headed(spark, folder, NEIGHBORHOODS_RAW, prefix="neighborhoods")
+    # all columns: a narrower read would not see the values that do not fit
+    typed = [F.when(F.col(BAD).isNull(), F.col(f.name)).alias(f.name) for f in NEIGHBORHOODS_RAW.fields if f.name != BAD]
+    return _decimals_to_double(rows.select(*typed, BAD, "file_name", "parent_folder_name"))
+
+
 def q_incremental_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage job driven by a file stream: two deliveries land one after
     the other; each availableNow run restages only the new date."""
@@ -286,6 +316,17 @@ def q_archive_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("product", F.col("file_date").cast("string").alias("file_date"), "member", "value")
 
 
+def q_delivery_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops against the ledger: members landed as they are, with other content, and for the first time."""
+    base, orders = scratch(spark, "ledger"), derive.table(spark, sf_dir, "orders")
+    first = derive.archive_members(orders.where("o_orderdate < TIMESTAMP_NTZ '1998-01-01 00:00:00'"))
+    for lines, name in ((first, "one"), (derive.later_lines(orders), "two")):
+        derive.write_archives(lines, f"{base}/{name}").agg(F.sum("lines")).collect()
+    landing.record(landing.label(archive.members(spark, f"{base}/one")), f"{base}/ledger")
+    got = landing.arrivals(landing.label(archive.members(spark, f"{base}/two")), landing.ledger(spark, f"{base}/ledger"))
+    return got.select("archive", "product", "file_date", "member", "arrival")
+
+
 # ---------------------------------------------------------------------------
 # Publish (P1-P5)
 # ---------------------------------------------------------------------------
@@ -509,6 +550,9 @@ QUERIES = {
     "new_product_flag": q_new_product_flag,
     "combined_new_inventory": q_combined_new_inventory,
     "archive_unpack": q_archive_unpack,
+    "delivery_ledger": q_delivery_ledger,
+    "history_switch": q_history_switch,
+    "header_bound_scan": q_header_bound_scan,
     "publish_rows": q_publish_rows,
     "publish_count": q_publish_count,
     "typed_rows": q_typed_rows,
@@ -531,7 +575,7 @@ QUERIES = {
 # The supplied tables each query derives its input from (for row counts in).
 INPUT_TABLES = {
     **{k: ["customer"] for k in ("stage_good_rows", "stage_bad_rows", "curated_snapshot",
-                                 "history_partition_overwrite", "history_empty_reload", "load_date_fallback", "incremental_stage", "area_code",
+                                 "history_partition_overwrite", "history_empty_reload", "load_date_fallback", "incremental_stage", "area_code", "history_switch", "header_bound_scan",
                                  "null_sentinels", "wide_contract_projection", "wide_curated_rows", "wide_bad_rows",
                                  "curated_table", "publish_rows", "publish_count", "typed_rows",
                                  "target_contract_violations", "shape_table", "key_violations")},
@@ -540,5 +584,5 @@ INPUT_TABLES = {
                              "self_intersections", "simplify_ladder", "shape_rejects", "shape_decisions",
                              "ring_faults", "polar_areas", "valid_rungs", "great_circle_significance", "large_ring_crossings")},
     **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
-                               "new_product_flag", "combined_new_inventory", "archive_unpack", "manifest_long_prefixes")},
+                               "new_product_flag", "combined_new_inventory", "archive_unpack", "manifest_long_prefixes", "delivery_ledger")},
 }

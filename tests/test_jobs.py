@@ -17,7 +17,9 @@ def test_land_stage_curate_publish_shape(spark, tmp, tmp_path):
     with zipfile.ZipFile(tmp_path / "zips" / "20240115-neighborhoods-x.zip", "w") as z:
         for m in sorted({r["member"] for r in lines}):
             z.writestr(f"data/{m}", "".join(r["value"] + "\n" for r in lines if r["member"] == m))
-    jobs.main(["land", "--in", f"{tmp}/zips", "--out", f"{tmp}/raw"], spark)
+    n = len({r["member"] for r in lines})
+    land = ["land", "--in", f"{tmp}/zips", "--out", f"{tmp}/raw", "--ledger", f"{tmp}/ledger"]
+    assert jobs.main(land, spark) == {"new": n, "empty": 0} and jobs.main(land, spark) == {"resent": n, "empty": 0}
     got = jobs.main(["stage", "--in", f"{tmp}/raw", "--out", f"{tmp}/hist", "--bad", f"{tmp}/bad"], spark)
     assert got["good"] + got["bad"] == len(lines) and got["bad"] > 0
     assert {str(r[0]) for r in spark.read.orc(f"{tmp}/hist").select("load_date").distinct().collect()} == {"2024-01-15"}

@@ -188,3 +188,104 @@ def test_reload_without_good_rows_clears_the_date(spark, tmp):
     counts = stage_boundaries(spark, f"{tmp}/again", hist, days=["20240101"])
     assert counts == {"good": 0, "bad": 2}  # counted although no folder was given
     assert [str(r[0]) for r in spark.read.orc(hist).select("load_date").collect()] == ["2024-02-01"]
+
+
+def _switch_table(spark, tmp, name):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS tf_reload")
+    catalog.register(spark, C.NEIGHBORHOODS_STAGE, f"tf_reload.{name}", f"{tmp}/table", partition_by="load_date", repair=False)
+    return f"tf_reload.{name}"
+
+
+def _reload(spark, tmp, table, n, lines, days=("20240115",)):
+    from terrafold.plans.boundaries import reload_boundaries
+
+    df = spark.createDataFrame([("neighborhoods", d, "neighborhoods-1m.tsv", v) for d in days for v in lines], "product string, file_date string, member string, value string")
+    landing.land(df, f"{tmp}/raw{n}")
+    return reload_boundaries(spark, f"{tmp}/raw{n}", table, f"{tmp}/runs", f"{tmp}/bad{n}", days=list(days), bad_by="parent_folder_name")
+
+
+def _ids(spark, table):
+    return sorted((str(r["load_date"]), r["geo_id"]) for r in spark.table(table).collect())
+
+
+def test_reload_parses_once_and_splits(spark, tmp):
+    table = _switch_table(spark, tmp, "once")
+    got = _reload(spark, tmp, table, 1, [HEADER, GOOD, ZERO, TEXT_NUM, SHORT, LONG], days=("20240115", "20240116"))
+    assert got == {"good": 4, "bad": 8}
+    assert _ids(spark, table) == [("2024-01-15", "g1"), ("2024-01-15", "g2"), ("2024-01-16", "g1"), ("2024-01-16", "g2")]
+    bad = spark.read.text(f"{tmp}/bad1")
+    assert sorted(r[0] for r in bad.where("parent_folder_name = 20240115").select("value").collect()) == sorted([HEADER, TEXT_NUM, SHORT, LONG])
+    # the same rows as the two-pass job
+    stage_boundaries(spark, f"{tmp}/raw1", f"{tmp}/hist", f"{tmp}/bad_two", days=["20240115", "20240116"])
+    cols = [c for c in C.NEIGHBORHOODS_STAGE.fieldNames() if c not in ("created_datetime", C.BAD)]
+    two = spark.read.schema(C.NEIGHBORHOODS_STAGE).orc(f"{tmp}/hist").select(*cols)
+    assert sorted(map(str, spark.table(table).select(*cols).collect())) == sorted(map(str, two.collect()))
+
+
+def test_one_scan_of_the_text_feeds_both_outcomes(spark, tmp, monkeypatch):
+    plans = []
+    monkeypatch.setattr(stage, "switch", lambda *a: None)
+    write = type(spark.range(1).write).orc
+
+    def orc(self, path, **kw):
+        plans.append((path, self._df._jdf.queryExecution().executedPlan().toString()))
+        return write(self, path, **kw)
+    monkeypatch.setattr(type(spark.range(1).write), "orc", orc)
+    _reload(spark, tmp, _switch_table(spark, tmp, "plan"), 1, [GOOD, SHORT])
+    assert len(plans) == 1 and plans[0][1].count("FileScan csv") == 1 and "InMemoryTableScan" not in plans[0][1]
+
+
+def test_a_run_that_fails_before_the_switch_leaves_the_old_rows(spark, tmp, monkeypatch):
+    import pytest
+
+    table = _switch_table(spark, tmp, "fails")
+    _reload(spark, tmp, table, 1, [GOOD, ZERO])
+    with monkeypatch.context() as m:
+        m.setattr(stage, "switch", lambda *a: (_ for _ in ()).throw(RuntimeError("lost the driver")))
+        with pytest.raises(RuntimeError, match="lost the driver"):
+            _reload(spark, tmp, table, 2, [GOOD.replace("g1", "g9")])
+    assert _ids(spark, table) == [("2024-01-15", "g1"), ("2024-01-15", "g2")]
+    _reload(spark, tmp, table, 3, [GOOD.replace("g1", "g9")])
+    assert _ids(spark, table) == [("2024-01-15", "g9")]
+    _reload(spark, tmp, table, 4, [SHORT])
+    assert _ids(spark, table) == []
+
+
+def test_a_failed_snapshot_leaves_the_old_one(spark, tmp):
+    import pytest
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS tf_reload")
+    spark.sql("DROP TABLE IF EXISTS tf_reload.snap")
+    spark.sql(f"CREATE TABLE tf_reload.snap (id BIGINT) USING ORC LOCATION '{tmp}/none'")
+    curate.replace(spark.range(3), "tf_reload.snap", f"{tmp}/snaps")
+    with pytest.raises(Exception):
+        curate.replace(spark.range(5).selectExpr("raise_error('bad row') AS id"), "tf_reload.snap", f"{tmp}/snaps")
+    assert spark.table("tf_reload.snap").count() == 3
+    curate.replace(spark.range(5), "tf_reload.snap", f"{tmp}/snaps")
+    assert spark.table("tf_reload.snap").count() == 5
+
+
+def test_headers_bind_columns(spark, tmp):
+    import bz2
+
+    from terrafold.sources.delimited import column_order, scan_headed
+
+    names = [f.metadata.get("original_name", f.name) for f in C.NEIGHBORHOODS_RAW.fields if f.name != C.BAD]
+    fields = GOOD.split("\t")
+    back = list(reversed(range(11)))
+    write_drop(f"{tmp}/v", "20240115", "neighborhoods-a.tsv", ["\t".join(names), GOOD, SHORT])
+    os.makedirs(f"{tmp}/v/20240115/with space")
+    with open(f"{tmp}/v/20240115/neighborhoods b%20c.tsv.bz2", "wb") as fh:
+        fh.write(bz2.compress(("\t".join(f' "{names[i].upper()}" ' for i in back) + "\r\n" + "\t".join(fields[i] for i in back).replace("g1", "g7") + "\n").encode()))
+    write_drop(f"{tmp}/v", "20240115", "neighborhoods-x.tsv", ["\t".join(names[:-1] + ["what"]), GOOD])
+    write_drop(f"{tmp}/v", "20240115", "neighborhoods-y.tsv", [GOOD])
+    open(f"{tmp}/v/20240115/neighborhoods-empty.tsv", "w").close()
+    df = scan_headed(spark, f"{tmp}/v/20240115", C.NEIGHBORHOODS_RAW, prefix="neighborhoods")
+    assert df.columns == scan_folder(spark, f"{tmp}/v/20240115", C.NEIGHBORHOODS_RAW, prefix="neighborhoods").columns
+    rows = df.collect()
+    good = {r["geo_id"]: r for r in rows if r[C.BAD] is None}
+    assert set(good) == {"g1", "g7"} and good["g7"]["state_abbr"] == "CA" and good["g7"]["geoloc"].startswith("SRID") and good["g7"]["metro"] == "Metro"
+    assert good["g1"]["parent_folder_name"] == "20240115" and good["g7"]["file_name"].endswith(".tsv.bz2")
+    bad = sorted((r["file_name"], r[C.BAD]) for r in rows if r[C.BAD] is not None)
+    assert bad == sorted([("neighborhoods-a.tsv", SHORT), ("neighborhoods-x.tsv", "\t".join(names[:-1] + ["what"])), ("neighborhoods-x.tsv", GOOD), ("neighborhoods-y.tsv", GOOD)])
+    assert column_order("\t".join(names + names[:1]), C.without(C.NEIGHBORHOODS_RAW, C.BAD)) is None
