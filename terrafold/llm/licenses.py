@@ -3,8 +3,8 @@ license templates, then inheritance from the nearest ancestor directory.
 
 A file's own license is that of its best part, over the whole text: a line, or a block of consecutive lines
 as long as a template, or all of a license file. Idf weights come from the number of files that hold each word.
-A part can reach the threshold only if it shares enough weight with a template, so texts and parts with fewer
-of a template's words than its heaviest need are dropped before any word is counted.
+A part's cosine is at most the norm of the template's words that it holds, so texts and parts whose words weigh less
+than the threshold are dropped before any word is counted. That bound leaves few texts: it is the rare words of a template that weigh.
 
 Files named like a license file speak for their directory. A file without a license of its own
 takes that of its nearest ancestor directory which has one: each file's ancestor paths are
@@ -90,9 +90,9 @@ def _idf(files: int):
 def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (key, text and, if there, whole) -> (key, own_license, own_score) of the files of which a part reaches ``threshold``.
 
-    Parts are each line; blocks of consecutive lines, from each line on, up to and just beyond the number of words of each
-    template (a header or license text over several lines); and the whole text where ``whole`` is true. Cosine of a part's TF-IDF vector and a
-    template's; every word, in a template or not, has the idf of its own count. Ties go to the smaller license name."""
+    Parts are each line and, where ``whole`` is true, the whole text, against every template; and for each
+    template the blocks of consecutive lines, from each line on, up to and just beyond its number of words (a header or license text over
+    several lines), against that template. The score is the cosine of a part's TF-IDF vector and a template's; every word, in a template or not, has the idf of its own count. Ties go to the smaller license name."""
     spark = files.sparkSession
     vocab = sorted({w for _, t in templates for w in _plain_words(t)})
     whole = F.coalesce(F.col("whole"), F.lit(False)) if "whole" in files.columns else F.lit(False)
@@ -102,28 +102,35 @@ def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     counts = written(held.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "license")
     n = files.count()
     weights = written(template_weights(spark, templates, counts, n), "license")
-    heavy = Window.partitionBy("no").orderBy(F.desc("weight"), "word")
-    # a part's cosine is at most the norm of the template's words in it: with fewer distinct words than the heaviest that reach the threshold, it is below
-    least = {r["no"]: r["least"] for r in weights.withColumn("sum", F.sum(F.col("weight") ** 2).over(heavy)).withColumn("rank", F.row_number().over(heavy))
-             .where(F.col("sum") >= threshold**2 - 1e-9).groupBy("no").agg(F.min("rank").alias("least")).collect()}  # one row per template
-    if not least:
-        return files.select("key", F.lit(None).cast("string").alias("own_license"), F.lit(None).cast("double").alias("own_score")).limit(0)
-    plain = {i: _plain_words(templates[i][1]) for i in least}
-    held_by = {i: _constant(sorted(set(plain[i]))) for i in least}
+    # the weights of the templates, which the driver holds anyway: per template its words and their squared weights
+    ours = {}
+    for r in weights.collect():
+        ours.setdefault(r["no"], []).append((r["word"], r["weight"] ** 2))
+    plain = {i: _plain_words(templates[i][1]) for i in ours}
+    words_of = {i: _constant([w for w, _ in sorted(ours[i])]) for i in ours}
+    squares = {i: _constant([repr(x) for _, x in sorted(ours[i])]).cast("array<double>") for i in ours}
+    # scores are rounded to 6 digits
+    least = (threshold - 1e-6) ** 2 if threshold > 0 else 0.0
 
     def fits(words, i):
-        return F.size(F.array_intersect(words, held_by[i])) >= least[i]
+        """Do the template's words among these weigh enough?"""
+        shared = F.array_intersect(words, words_of[i])
+        return F.aggregate(shared, F.lit(0.0), lambda acc, w: acc + F.element_at(squares[i], F.array_position(words_of[i], w).cast("int"))) >= least
 
     def fits_any(words):
         has = F.lit(False)
-        for i in least:
+        for i in ours:
             has = has | fits(words, i)
         return has
 
-    present = low.withColumn("present", F.array_intersect(F.split("text", _SPLIT), _constant(vocab))).where(F.size("present") >= min(least.values())).where(fits_any(F.col("present")))
+    present = low.withColumn("present", F.array_intersect(F.split("text", _SPLIT), _constant(vocab))).where(F.size("present") > 0)
+    # evaluated once: the condition below it reads a column, not the split text
+    present = present.select("key", "whole", "text", F.explode(F.array("present")).alias("present")).where(fits_any(F.col("present")))
     # few texts hold enough of a template's words; the texts are read once for all that follows
     texts = written(present.select("key", "whole", "present", F.filter(F.transform(F.split("text", "\n"), _words), lambda ws: F.size(ws) > 0).alias("lines")), "license")
-    parts = [F.filter("lines", lambda ws: fits_any(ws)), F.when(F.col("whole"), F.array(F.flatten("lines")))]
+    # (words, number of the template they are scored against, -1: every one)
+    against = lambda words, i: F.transform(words, lambda ws: F.struct(ws.alias("ws"), F.lit(i).alias("no")))
+    parts = [against(F.filter("lines", lambda ws: fits_any(ws)), -1), F.when(F.col("whole"), against(F.array(F.flatten("lines")), -1))]
 
     none = F.array().cast("array<string>")
 
@@ -136,18 +143,18 @@ def own_license(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
             (acc["more"] & (F.size(acc["ws"]) + F.size(ws) <= size)).alias("more")), lambda acc: acc["ws"]))
         return F.when(fits(F.col("present"), i), F.filter(F.concat(reach, short), lambda ws: fits(ws, i)))
 
-    parts += [from_each_line(i) for i in least]
-    lines = texts.select("key", F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<array<string>>")) for x in parts])).alias("ws"))
-    lines = written(lines.select("key", F.xxhash64("ws").alias("line"), "ws").distinct(), "license")
+    parts += [against(from_each_line(i), i) for i in ours]
+    lines = texts.select("key", F.explode(F.concat(*[F.coalesce(x, F.array().cast("array<struct<ws:array<string>,no:int>>")) for x in parts])).alias("p"))
+    lines = written(lines.select("key", F.xxhash64("p.ws").alias("line"), "p.no", "p.ws").dropDuplicates(["key", "line", "no"]), "license")
     tf = lines.select("line", "ws").dropDuplicates(["line"]).select("line", F.explode("ws").alias("word")).groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
     # every word of a part is a word of some file, so it has a count; a word's weights in all templates lie side by side, and one pass gives the norm and all products
-    ours = weights.groupBy("word").agg(*[F.sum(F.when(F.col("no") == i, F.col("weight"))).alias(f"in{i}") for i in least])
-    tf = tf.join(counts.join(ours, "word", "left"), "word").withColumn("w", F.col("tf") * _idf(n))
-    sums = tf.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *[F.sum(F.col("w") * F.col(f"in{i}")).alias(f"dot{i}") for i in least])
-    dots = F.array(*[F.struct(F.lit(templates[i][0]).alias("license"), F.col(f"dot{i}").alias("dot")) for i in least])
-    score = sums.select("line", "norm", F.explode(dots).alias("d")).select("line", "d.license", F.round(F.col("d.dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    best = score.groupBy("line").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
-    return (lines.select("key", "line").join(best, "line").groupBy("key").agg(F.min("b").alias("b"))
+    by_word = weights.groupBy("word").agg(*[F.sum(F.when(F.col("no") == i, F.col("weight"))).alias(f"in{i}") for i in ours])
+    tf = tf.join(counts.join(by_word, "word", "left"), "word").withColumn("w", F.col("tf") * _idf(n))
+    sums = tf.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *[F.sum(F.col("w") * F.col(f"in{i}")).alias(f"dot{i}") for i in ours])
+    dots = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(templates[i][0]).alias("license"), F.col(f"dot{i}").alias("dot")) for i in ours])
+    score = sums.select("line", "norm", F.explode(dots).alias("d")).select("line", "d.i", "d.license", F.round(F.col("d.dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
+    hits = lines.select("key", "line", "no").join(score, "line").where((F.col("no") < 0) | (F.col("no") == F.col("i")))
+    return (hits.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("s"), "license")).alias("b"))
             .select("key", F.col("b.license").alias("own_license"), (-F.col("b.s")).alias("own_score")))
 
 

@@ -43,10 +43,14 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_files(docs: DataFrame) -> DataFrame:
-    """Documents as a file tree: source / language / hundred / name. Short texts stand as license files."""
-    name = F.when(F.length("text") < 400, F.lit("LICENSE-")).otherwise(F.lit("file-"))
-    return docs.select("doc_id", F.concat(F.lit("/"), "source", F.lit("/"), "lang", F.lit("/"), F.floor(F.col("doc_id") / 100).cast("string"), F.lit("/"), name,
-                                          F.col("doc_id").cast("string")).alias("path"), "text")
+    """Documents as a file tree: source / language / hundred / file, or for texts under 400 characters a license file, at one of the three levels by a
+    hash of its id. A null source, language or id is named ``none``, a null text counts as long."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("none"))
+    folders = [part("source"), part("lang"), F.coalesce(F.floor(F.col("doc_id") / 100).cast("string"), F.lit("none"))]
+    short = F.coalesce(F.length("text") < 400, F.lit(False))
+    depth = F.when(short, F.pmod(F.xxhash64("doc_id"), F.lit(3)) + 1).otherwise(3).cast("int")
+    name = F.concat(F.when(short, F.lit("LICENSE-")).otherwise(F.lit("file-")), part("doc_id"))
+    return docs.select("doc_id", F.concat_ws("/", F.lit(""), F.concat_ws("/", F.slice(F.array(*folders), F.lit(1), depth)), name).alias("path"), "text")
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -476,3 +476,66 @@ def test_pipeline_stages_and_oracles(spark):
     assert not leak & {r["doc_id"] for r in clean.collect()} and clean.columns == d.columns
     assert clean.count() >= d.count() - len(leak) - 1
     assert corpus_pipeline.mix_sources(spark, d, SF).count() == d.count()
+
+
+def test_license_blocks_and_whole_files_match_brute_force(spark):
+    """Every block from every line for every template, every line and every whole license file, with no bound."""
+    import math
+    import random
+    from collections import Counter
+
+    split = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if w]
+    templates = [("A", "grant of patent rights to every user"), ("B", "no warranty"), ("B", "this program comes with no warranty of any kind and with no promise to fit a purpose"), ("C", "all rights reserved")]
+    rng = random.Random(9)
+    vocab = sorted({w for _, t in templates for w in split(t)}) + ["plain", "code", "x1", "the"]
+    rows = []
+    for k in range(60):
+        ws = []
+        for _ in range(rng.randrange(1, 5)):
+            t = split(rng.choice(templates)[1]) if rng.random() < 0.6 else [rng.choice(vocab) for _ in range(rng.randrange(1, 12))]
+            ws += [w if rng.random() < 0.85 else rng.choice(vocab) for w in t]
+        text = "".join(w + rng.choice([" ", " ", " ", "\n", "\n\n", ", "]) for w in ws)
+        rows.append((k, text, k % 3 == 0))
+    rows += [(100, None, True), (101, "", True), (102, "...\n\n", True), (103, "no\nwarranty", False)]
+    n, df = len(rows), Counter(w for _, t, _ in rows for w in set(split(t or "")))
+    idf = lambda w: math.log((n + 1) / (df[w] + 1)) + 1
+    vec = lambda ws: {w: c * idf(w) for w, c in Counter(ws).items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    want = {}
+    for key, text, whole in rows:
+        lines = [ws for ws in (split(x) for x in (text or "").split("\n")) if ws]
+        parts = [(p, None) for p in list(lines) + ([[w for ws in lines for w in ws]] if whole and lines else [])]
+        for no, (_, t) in enumerate(templates):
+            size = len(split(t))
+            for at in range(len(lines)):
+                reach, short, more = [], [], True
+                for ws in lines[at : at + size]:
+                    reach = reach + ws if len(reach) < size else reach
+                    more = more and len(short) + len(ws) <= size
+                    short = short + ws if more else short
+                parts += [(p, no) for p in (reach, short) if p]
+        best = None
+        for p, only in parts:
+            a = vec(p)
+            for no, (name, t) in enumerate(templates):
+                if only not in (None, no):
+                    continue
+                b = vec(split(t))
+                s = round(sum(x * b.get(w, 0) for w, x in a.items()) / norm(a) / norm(b), 6)
+                if s >= 0.7:
+                    best = min(best or (9, ""), (-s, name))
+        if best:
+            want[key] = (best[1], -best[0])
+    got = {r["key"]: (r["own_license"], r["own_score"]) for r in licenses.own_license(spark.createDataFrame(rows, "key int, text string, whole boolean"), templates, 0.7).collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and len(want) > 25
+    assert all(abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
+
+
+def test_document_files_stand_at_several_depths(spark):
+    from terrafold.llm.queries import document_files
+
+    rows = [(i, "short" if i % 2 else "long " * 100, None if i % 5 == 0 else "en", None if i % 7 == 0 else "s") for i in range(60)] + [(None, None, None, None)]
+    got = document_files(docs(spark, rows)).collect()
+    assert all(r["path"] is not None for r in got)
+    depths = {r["path"].count("/") for r in got if "LICENSE-" in r["path"]}
+    assert depths == {2, 3, 4} and {r["path"].count("/") for r in got if "file-" in r["path"]} == {4}
