@@ -11,8 +11,10 @@ check, exact check on the full shingle sets, components by alternating stars.
    the set's members in each of 2048 cells - drops pairs that cannot reach it: the cells in
    which two sketches differ are a lower bound of the sets' difference. Each class checks
    its closest pivots on the full sets; links become components.
-3. Within a bucket, classes that are still in different components are joined
-   on the band key, with both tests as join condition, and the pairs
+3. In each bucket that still holds several components, all members of others meet the one with the most
+   links so far: copies of one text that are close to it, but not to each other, come together here.
+4. Within a bucket, classes that are still in different components are joined
+   on the band key, with both tests as join condition, each pair in the first bucket it shares, and the pairs
    that pass are confirmed on full sets. So no link between two components is
    lost, while members of one component are never paired.
 """
@@ -36,6 +38,8 @@ from terrafold.llm.textops import Bloom, blocks, hash_strings, mix, powers, wind
 CELLS = 2048
 #: Pivots whose full sets a class is compared with before the bucket join handles the rest.
 FIRST_CHECKS = 3
+#: Times that the members of open buckets meet a hub before that.
+HUB_ROUNDS = 2
 
 
 def shingle_sets(text: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -131,6 +135,13 @@ def _list(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offs, col.values.to_numpy(zero_copy_only=False)
 
 
+def _open(met: DataFrame, part: DataFrame) -> DataFrame:
+    """(key, node, component) of the buckets that hold more than one component."""
+    both = met.select("key", "node").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = both.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
+    return both.join(mixed, "key")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bands: int = 40, rows: int = 6) -> DataFrame:
     """``docs`` (doc_id long, text; other columns are ignored) -> one row per document row:
     doc_id, n_shingles, component_id, kept.
@@ -150,8 +161,9 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
               .where("c > 1").select("key", F.col("p").bitwiseXOR(F.col("key")).alias("pivot")))
     met = written(buckets.join(pivots, "key"), "minhash")
     involved = met.select("node").distinct()
-    bits = written(signed.select(F.col("set_id").alias("node"), "n_shingles", "bits", "odd", "doc_id").join(involved, "node")
-                   .groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("odd").alias("odd"), F.min("doc_id").alias("doc_id")), "minhash")
+    bits = written(signed.select(F.col("set_id").alias("node"), "n_shingles", "bits", "odd", "bands", "doc_id").join(involved, "node")
+                   .groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("odd").alias("odd"),
+                                        F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")), "minhash")
     total = bands * rows
     agree = total * (1 + num / den) / 2
     floor = math.floor(agree - 3.5 * math.sqrt(agree * (1 - agree / total)))
@@ -177,14 +189,29 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
             .where(close).select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v"), F.expr(differ).alias("far")))
     nearest = Window.partitionBy("u").orderBy("far", "v")
     first = written(confirmed(star.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= FIRST_CHECKS)), "links")
-    part = connected_components(first)
-    # what the pivots did not settle: members of one bucket in different components
-    met2 = met.select("key", "node").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = met2.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = written(met2.join(mixed, "key").join(bits, "node").select("key", "node", "component", "n", "bits", "odd"), "minhash")
-    rest = (open_.alias("a").join(open_.alias("b"), F.expr(f"a.key = b.key and a.node > b.node and a.component <> b.component and {close}"))
-            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")).distinct())
-    links = first.unionByName(confirmed(rest))
+    links, part = first, connected_components(first)
+    for _ in range(HUB_ROUNDS):
+        # buckets with members in different components: all of them meet the member with the most links so far
+        open_ = _open(met, part)
+        degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+        ranked = open_.join(degree, "node", "left").select("key", "node", "component", F.struct(F.coalesce("d", F.lit(0)).alias("d"), "node", "component").alias("h"))
+        ranked = written(ranked, "minhash")
+        hubs = ranked.groupBy("key").agg(F.max("h").alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component"))
+        meet = ranked.join(hubs, "key").where("component <> hub_component")
+        meet = meet.select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).distinct()
+        meet = (meet.join(bits.alias("a"), F.col("u") == F.col("a.node")).join(bits.alias("b"), F.col("v") == F.col("b.node"))
+                .where(close).select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")))
+        more = written(confirmed(meet), "links")
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+        part = connected_components(links)
+    # what pivots and hubs did not settle: members of one bucket in different components, each pair in its first common bucket only
+    open_ = written(_open(met, part).join(bits, "node").select("key", "node", "component", "n", "bits", "odd", "bands"), "minhash")
+    once = "get(filter(zip_with(a.bands, b.bands, (x, y) -> CASE WHEN x = y THEN x END), z -> z IS NOT NULL), 0) = a.key"
+    rest = (open_.alias("a").join(open_.alias("b"), F.expr(f"a.key = b.key and a.node > b.node and a.component <> b.component and {close} and {once}"))
+            .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")))
+    links = links.unionByName(confirmed(rest))
     comp = connected_components(links)
     label = (least.select(F.col("set_id").alias("node"), "least_id").join(comp, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
