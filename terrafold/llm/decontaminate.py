@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrafold.llm.textops import Bloom, blocks, hash_strings, windows, words, written
+from terrafold.llm.textops import Bloom, blocks, free, hash_strings, windows, words, written
 
 WINDOW = 8
 #: A window needs this many literal words; one made of placeholders says nothing.
@@ -220,5 +220,6 @@ def leaks(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
 
 def without_leaks(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """Rows of ``docs``, all columns, that no item contaminates."""
-    bad = written(matches(docs, bench, **options).select(F.col("doc_key").alias("_leak")).distinct(), "leaks")
-    return docs.join(bad, doc_key() == F.col("_leak"), "left_anti")
+    leak = free(docs, "leak")
+    bad = written(matches(docs, bench, **options).select(F.col("doc_key").alias(leak)).distinct(), "leaks")
+    return docs.join(bad, doc_key() == F.col(leak), "left_anti")

@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from terrafold.llm.textops import Bloom, blocks, mix, powers, within, written
+from terrafold.llm.textops import Bloom, blocks, free, mix, powers, within, written
 
-#: Shorter lines (after trimming) are never dropped: a short line within one edit of another says little.
+#: Shorter lines (after trimming) go only if an earlier one is equal: a short line within one edit of another says little.
 MIN_CHARS = 20
 EDITS = 1
 WHOLE = -1
@@ -81,22 +81,23 @@ def row_key():
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc, row, no, line: trimmed, lower-cased lines of MIN_CHARS characters or more; ids of null come last."""
+    """doc, row, no, line: trimmed, lower-cased lines that are not empty; ids of null come last."""
     d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1)).alias("doc"), row_key().alias("row"),
                     F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("no", "line"))
-    return d.withColumn("line", F.lower(F.trim("line")))
+    return d.withColumn("line", F.lower(F.trim("line"))).where("line <> ''")
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(row, no) of every line that has an earlier line, by (doc_id, line number), within one edit.
+    """(row, no) of every line that has an equal earlier line, by (doc_id, line number), or if both have ``min_chars`` characters one within one edit.
 
     ``row`` is a hash of id and text; see ``dedup_lines`` for the cases."""
-    lines = _lines(docs).where(F.length("line") >= min_chars)
+    lines = _lines(docs)
     half = F.floor(F.length("line") / 2).cast("int")
     less = F.floor((F.length("line") - 1) / 2).cast("int")
     keys = F.array(F.xxhash64(F.lit("a"), F.substring("line", F.lit(1), half)), F.xxhash64(F.lit("z"), F.right("line", half)),
                    F.xxhash64(F.lit("a"), F.substring("line", F.lit(1), less)), F.xxhash64(F.lit("z"), F.right("line", less)))
-    seen = written(lines.select("doc", "row", "no", F.xxhash64("line").alias("h"), F.array_distinct(keys).alias("halves")), "lines")
+    seen = written(lines.select("doc", "row", "no", F.xxhash64("line").alias("h"),
+                                F.when(F.length("line") >= min_chars, F.array_distinct(keys)).alias("halves")), "lines")
     # the earliest place of each distinct line, as the least (doc, no); partial minima, so a line of a third of all rows is one row per task
     first = written(seen.groupBy("h").agg(F.min(F.struct("doc", "no")).alias("at"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")), "lines")
     shared = first.select("h", F.explode("halves").alias("half"))
@@ -134,15 +135,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     n_lines, n_dropped.
 
     Lines are the parts between newlines; they are compared trimmed and lower-cased, and kept as written. A
-    line goes if an earlier line, by (doc_id, line number), is within one edit, itself dropped or not; lines shorter than
-    ``min_chars`` always stay. Rows repeated in full are one document: all keep the same lines. Rows that share an id
+    line goes if an earlier line, by (doc_id, line number), is equal to it or, where both have at least ``min_chars`` characters, within one edit of it, itself
+    dropped or not; blank lines always stay. Rows repeated in full are one document: all keep the same lines. Rows that share an id
     and differ in text tie by line number: equal lines at equal places both stay. Null ids come after
     all others; a null text stays null with 0 lines; an empty text is one empty line. Empty tables give no rows;
-    columns named n_lines or n_dropped are replaced."""
-    gone = written(dropped_lines(docs, min_chars).groupBy("row").agg(F.collect_list("no").alias("_gone")), "lines")  # at most a document's lines
-    d = docs.drop("n_lines", "n_dropped").withColumn("_row", row_key())
-    d = d.join(gone.withColumnRenamed("row", "_row"), "_row", "left")
+    columns named n_lines or n_dropped are replaced, all others come back as they are."""
+    row, gone_ = free(docs, "row"), free(docs, "gone")
+    gone = written(dropped_lines(docs, min_chars).groupBy("row").agg(F.collect_list("no").alias("gone")), "lines")  # at most a document's lines
+    d = docs.drop("n_lines", "n_dropped").withColumn(row, row_key())
+    d = d.join(gone.select(F.col("row").alias(row), F.col("gone").alias(gone_)), row, "left")
     parts = F.split(F.col("text").cast("string"), "\n")
-    left = F.array_join(F.filter(parts, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    return d.select(*[F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
-                    F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"), F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).alias("n_dropped"))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone_))
+    left = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
+    none = F.col(gone_).isNull()
+    return d.select(*[F.when(none, F.col("text")).otherwise(left).alias("text") if c == "text" else F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")],
+                    F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).alias("n_lines"), F.when(none, 0).otherwise(F.size(gone_)).alias("n_dropped"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrafold.llm.components import connected_components
-from terrafold.llm.textops import Bloom, blocks, hash_strings, mix, powers, windows, words, written
+from terrafold.llm.textops import Bloom, blocks, free, hash_strings, mix, powers, windows, words, written
 
 #: Cells of the odd sketch.
 CELLS = 2048
@@ -75,7 +75,7 @@ def odd_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount((s & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1).astype(np.uint8)).view(np.int64)
 
 
-def _signer(n: int, bands: int, rows: int):
+def _signer(n: int, bands: int, rows: int, keep: tuple[str, ...]):
     rng = np.random.default_rng(8)
     mul = rng.integers(0, 2**31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     add = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
@@ -101,8 +101,8 @@ def _signer(n: int, bands: int, rows: int):
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
                  pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
-                 pa.array(odd, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_id", "bands", "bits", "odd"])
+                 pa.array(odd, pa.list_(pa.int64())), *[b.column(c) for c in keep]],
+                names=["doc_id", "n_shingles", "set_id", "bands", "bits", "odd", *keep])
 
     return sign
 
@@ -142,9 +142,10 @@ def _open(met: DataFrame, part: DataFrame) -> DataFrame:
     return both.join(mixed, "key")
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bands: int = 40, rows: int = 6) -> DataFrame:
-    """``docs`` (doc_id long, text; other columns are ignored) -> one row per document row:
-    doc_id, n_shingles, component_id, kept.
+def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bands: int = 40, rows: int = 6,
+                    keep: tuple[str, ...] = (), among: DataFrame | None = None) -> DataFrame:
+    """``docs`` (doc_id long, text; other columns are ignored but for ``keep``) -> one row per document row:
+    doc_id, n_shingles, component_id, kept, and the columns ``keep``. With ``among`` (doc_id) only rows with one of its ids take part.
 
     Links join documents whose ``n``-word shingle sets have den * |both| >= num * |either|.
     component_id is the least doc_id reachable, kept tells whether it is the row's own.
@@ -152,8 +153,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     rows that repeat the least doc_id are all kept. Null doc_ids take part; a group of only
     null ids has a null component_id and is kept whole. An empty table gives no rows.
     A pair at the very threshold shares no band with probability (1 - (num/den)^rows)^bands."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(src.mapInArrow(_signer(n, bands, rows), "doc_id long, n_shingles long, set_id long, bands array<long>, bits array<long>, odd array<long>"), "minhash")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    signed = src.mapInArrow(_signer(n, bands, rows, tuple(keep)), "doc_id long, n_shingles long, set_id long, bands array<long>, bits array<long>, odd array<long>" + kinds)
+    if among is not None:  # the signatures meet the ids, not the texts
+        signed = signed.join(among.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    signed = written(signed, "minhash")
     least = (signed.where("set_id is not null").groupBy("set_id", "n_shingles").agg(F.min("doc_id").alias("least_id")))
     # one row per class: the bands depend on the set alone, so any row of the class has them
     buckets = signed.where("set_id is not null").select(F.col("set_id").alias("node"), F.explode("bands").alias("key")).distinct()
@@ -217,7 +222,37 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
              .withColumn("component", F.coalesce("component", "node")))
     low = label.groupBy("component").agg(F.min("least_id").alias("component_id"))
     label = label.join(low, "component").select(F.col("node").alias("set_id"), "component_id")
-    out = signed.select("doc_id", "n_shingles", "set_id").join(label, "set_id", "left")
+    out = signed.select("doc_id", "n_shingles", "set_id", *keep).join(label, "set_id", "left")
     own = F.col("set_id").isNull()
     out = out.withColumn("component_id", F.when(own, F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *keep)
+
+
+def without_near_copies(docs: DataFrame, originals: DataFrame | None = None, **options) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text and any columns), all columns, without near copies of a row with a smaller id.
+
+    With ``originals`` (doc_id, text) the links are those of the texts that ``originals`` gives for the ids of ``docs``: stages before may have
+    taken from a copy what made it one. An id that ``originals`` lacks or repeats links by its own text in ``docs``. Rows are told
+    apart by id and text: of rows that share an id, only those that are copies go. Rows that repeat the least id of their group in full all
+    stay; rows of null id go where their group has an id, else stay; null and empty texts stay. An empty table gives no rows."""
+    id_, mark = free(docs, "id"), free(docs, "mark")
+    row = F.xxhash64("text")
+    one = lambda df: df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row.alias("mark"))
+    if originals is None:
+        links = near_duplicates(one(docs), keep=("mark",), **options)
+    else:
+        ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+        known = written(originals.groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("doc_id is not null and count = 1")
+                        .select("doc_id").join(ids, "doc_id", "left_semi"), "originals")
+        own = ids.join(known, ids["doc_id"].eqNullSafe(known["doc_id"]), "left_anti")
+        source = one(originals).withColumn("mark", F.lit(None).cast("long"))
+        among = known
+        if not own.isEmpty():
+            mine = one(docs)
+            mine = mine.join(known, mine["doc_id"].eqNullSafe(known["doc_id"]), "left_anti")
+            theirs = source.join(known, "doc_id", "left_semi")
+            source, among = theirs.unionByName(mine), None
+        links = near_duplicates(source, keep=("mark",), among=among, **options)
+    gone = written(links.where(~F.col("kept")).select(F.col("doc_id").alias(id_), F.col("mark").alias(mark)).distinct(), "near-copies")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (row.eqNullSafe(F.col(mark)) if originals is None else F.coalesce(row == F.col(mark), F.lit(True)))
+    return docs.join(gone, same, "left_anti")

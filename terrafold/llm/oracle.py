@@ -10,17 +10,17 @@ WITH lines AS (
   FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS no
         FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))),
 norm AS (SELECT *, lower(trim(raw, ' ')) AS line FROM lines),
-firsts AS (SELECT line, min({'d': doc_id, 'n': no}) AS place FROM norm WHERE length(line) >= 20 GROUP BY line),
+firsts AS (SELECT line, min({'d': doc_id, 'n': no}) AS place FROM norm WHERE line <> '' GROUP BY line),
 halves AS (
   SELECT DISTINCT line, place, unnest([
     'a' || left(line, (length(line) // 2)::INT), 'z' || right(line, (length(line) // 2)::INT),
     'a' || left(line, ((length(line) - 1) // 2)::INT), 'z' || right(line, ((length(line) - 1) // 2)::INT)]) AS half
-  FROM firsts),
+  FROM firsts WHERE length(line) >= 20),
 near AS (SELECT DISTINCT b.line FROM halves a JOIN halves b ON a.half = b.half
          WHERE a.line <> b.line AND a.place < b.place AND abs(length(a.line) - length(b.line)) <= 1 AND levenshtein(a.line, b.line) <= 1),
 marked AS (
   SELECT m.doc_id, m.no, m.raw, m.n,
-         length(m.line) >= 20 AND (near.line IS NOT NULL OR {'d': m.doc_id, 'n': m.no} <> f.place) AS gone
+         m.line <> '' AND (near.line IS NOT NULL OR {'d': m.doc_id, 'n': m.no} <> f.place) AS gone
   FROM norm m LEFT JOIN firsts f ON f.line = m.line LEFT JOIN near ON near.line = m.line)
 SELECT doc_id, max(n)::INT AS n_lines, count(*) FILTER (WHERE gone)::INT AS n_dropped,
        sha256(coalesce(string_agg(raw, chr(10) ORDER BY no) FILTER (WHERE NOT coalesce(gone, false)), '')) AS kept_sha256

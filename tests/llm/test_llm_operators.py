@@ -112,7 +112,7 @@ def brute_lines(rows):
             order.append(((d is None, d or 0, no), (d, t), no, line.strip(" ").lower()))
     gone = {}
     for k, doc, no, line in order:
-        if len(line) >= 20 and any(k2 < k and len(l2) >= 20 and dist1(line, l2) for k2, _, _, l2 in order):
+        if line and any(k2 < k and (line == l2 or (min(len(line), len(l2)) >= 20 and dist1(line, l2))) for k2, _, _, l2 in order):
             gone.setdefault(doc, set()).add(no)
     out = []
     for d, t in rows:
@@ -145,6 +145,17 @@ def test_line_dedup_matches_brute_force(spark):
     kept = linededup.dedup_lines(docs(spark, rows))
     assert kept.columns == [*docs(spark, []).columns, "n_lines", "n_dropped"]
     assert linededup.dedup_lines(docs(spark, [])).count() == 0
+    # columns named like helpers come back as they are
+    odd = docs(spark, rows).withColumns({"row": F.lit(7), "_row": F.lit(8), "gone": F.lit("x"), "_gone": F.lit("y"), "n_lines": F.lit(1)})
+    back = linededup.dedup_lines(odd)
+    assert sorted([tuple(r) for r in back.select("doc_id", "text", "n_lines", "n_dropped").collect()], key=str) == brute_lines(rows)
+    assert {tuple(r) for r in back.select("row", "_row", "gone", "_gone").collect()} == {(7, 8, "x", "y")}
+
+
+def test_line_dedup_of_one_long_text_is_linear(spark):
+    rows = [(1, "\n".join(f"line number {i % 30000} of a long text" for i in range(60000)))]
+    r = linededup.dedup_lines(docs(spark, rows)).first()
+    assert r["n_lines"] == 60000 and r["n_dropped"] >= 30000 and r["text"].split("\n")[0] == "line number 0 of a long text"
 
 
 def test_top_k_matches_brute_force(spark):
@@ -539,3 +550,37 @@ def test_document_files_stand_at_several_depths(spark):
     assert all(r["path"] is not None for r in got)
     depths = {r["path"].count("/") for r in got if "LICENSE-" in r["path"]}
     assert depths == {2, 3, 4} and {r["path"].count("/") for r in got if "file-" in r["path"]} == {4}
+
+
+def test_near_copies_go_by_id_and_text(spark):
+    base = [f"w{i}" for i in range(60)]
+    copy = " ".join(base[:-1] + ["other"])
+    rows = [(3, " ".join(base)), (5, copy), (5, "a text of its own that nothing else in this table resembles at all"), (9, " ".join(base) + " end"),
+            (None, " ".join(base)), (None, "an own text of a row without any id that resembles no other one here"), (11, None), (12, ""), (13, "")]
+    got = neardup.without_near_copies(docs(spark, rows).withColumns({"id": F.lit(1), "mark": F.lit(2)}))
+    assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=str) == sorted([rows[i] for i in (0, 2, 5, 6, 7, 8)], key=str)
+    assert {(r["id"], r["mark"]) for r in got.collect()} == {(1, 2)}
+    assert neardup.without_near_copies(docs(spark, []), docs(spark, [])).count() == 0
+
+
+def test_near_copies_are_told_by_the_texts_before_line_dedup(spark):
+    lines = [f"line {i} of a text with words {i * 7} and {i * 13} in it" for i in range(20)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines[:-1] + ["a last line of its own"])), (3, "\n".join(lines[:10] + [f"new {i} entirely {i * 3} different {i * 5} here" for i in range(10)])),
+            (4, "nothing in common with any other document of this small table")]
+    before = docs(spark, rows)
+    after = linededup.dedup_lines(before).select(*before.columns)
+    left = {r["doc_id"]: r["text"] for r in after.collect()}
+    assert left[2] == "a last line of its own"                       # what line dedup leaves of the copy
+    assert {r["doc_id"] for r in neardup.without_near_copies(after).collect()} == {1, 2, 3, 4}
+    got = neardup.without_near_copies(after, before)
+    assert {r["doc_id"]: r["text"] for r in got.collect()} == {k: left[k] for k in (1, 3, 4)}
+    # ids that the originals repeat or lack link by their own text; a copy whose original went stays
+    assert {r["doc_id"] for r in neardup.without_near_copies(after, before.unionByName(before.where("doc_id = 2"))).collect()} == {1, 2, 3, 4}
+    assert {r["doc_id"] for r in neardup.without_near_copies(after.where("doc_id > 1"), before).collect()} == {2, 3, 4}
+
+
+def test_without_leaks_keeps_columns_named_like_helpers(spark):
+    bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog and runs far away into the deep dark forest")], "item_id long, text string")
+    df = docs(spark, [(1, "plain words"), (2, "the quick brown fox jumps over the lazy dog and runs far away into the deep dark forest")]).withColumns({"leak": F.lit(1), "_leak": F.lit(2)})
+    got = decontaminate.without_leaks(df, bench, **decontaminate.WHOLE)
+    assert [r["doc_id"] for r in got.collect()] == [1] and got.columns == df.columns
