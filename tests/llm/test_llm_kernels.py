@@ -239,3 +239,45 @@ def test_fit_learns_marked_words_and_survives_degenerate_samples():
     assert got[0] > 0.5 > got[1] and got[2] == got[3] == pytest.approx(1 / 3)
     assert toxicity.fit([], []).score(pa.array(["a"])).tolist() == pytest.approx([0.5], abs=0.51)
     assert toxicity.fit(["", None], [1, 0]).score(pa.array(["a b"]))[0] == pytest.approx(0.5, abs=0.01)
+
+
+def plain_score(model, text):
+    """Every window on its own, word by word, in double precision; the gate, pooling and calibration written out."""
+    import math
+    import re
+
+    p = {k: v.astype(float) for k, v in model.net.p.items()}
+    soft = lambda x: x / (1 + np.abs(x))
+    ws = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not ws:
+        return model.empty
+    ids, gram, begin = toxicity._rows(pa.array(ws))
+    ends = [*begin[1:], len(gram)]
+    vectors = [np.concatenate([p["word"][i], p["char"][gram[a:b]].max(axis=0)]) for i, a, b in zip(ids, begin, ends)]
+    logits = []
+    for at in range(max(1, len(ws) - toxicity.WINDOW + 1)):
+        window, states = vectors[at : at + toxicity.WINDOW], {}
+        # padding behind a short text is read as zero vectors, and pooled by nothing
+        padded = window + [np.zeros(toxicity.DIM)] * (toxicity.WINDOW - len(window))
+        for s, order in (("f", range(toxicity.WINDOW)), ("b", range(toxicity.WINDOW - 1, -1, -1))):
+            h, states[s] = np.zeros(toxicity.HIDDEN), {}
+            for t in order:
+                z, r = ((1 + soft(padded[t] @ p[f"W{s}{g}"] + p[f"c{s}{g}"] + h @ p[f"U{s}{g}"])) / 2 for g in "zr")
+                c = soft(padded[t] @ p[f"W{s}c"] + p[f"c{s}c"] + (r * h) @ p[f"U{s}c"])
+                h = h + z * (c - h)
+                states[s][t] = h
+        both = [np.concatenate([states["f"][t], states["b"][t]]) for t in range(len(window))]
+        e = [math.exp(soft(h @ p["A"]) @ p["v"]) for h in both]
+        logits.append(sum(x * (h @ p["o"]) for x, h in zip(e, both)) / sum(e) + p["bias"][0])
+    z = model.calibration @ [1, max(logits), math.log1p(len(logits))]
+    return 1 / (1 + math.exp(-min(30, max(-30, z))))
+
+
+def test_scores_are_those_of_a_plain_pass_over_every_window():
+    rng = np.random.default_rng(3)
+    vocab = ["word%d" % i for i in range(80)] + ["é", "x", "漢字", "bad0", "bad1"]
+    texts = [" ".join(rng.choice(vocab, rng.integers(1, 60))) + (" bad0 bad1" if i % 2 else "") for i in range(60)]
+    model = toxicity.fit(texts, [i % 2 for i in range(60)], 0.2)
+    shown = [*texts[:12], None, "", "  \n ", "one", " ".join(rng.choice(vocab, 400)), "BAD0\tbad1"]
+    got = model.score(pa.array(shown))
+    assert np.allclose(got, [plain_score(model, t) for t in shown], atol=2e-4)
