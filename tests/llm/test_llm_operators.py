@@ -1,9 +1,11 @@
 """The training-data operators on small tables, against brute force, with nulls, ties, repeats, empties and extra columns."""
 
 import hashlib
+import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -584,3 +586,33 @@ def test_without_leaks_keeps_columns_named_like_helpers(spark):
     df = docs(spark, [(1, "plain words"), (2, "the quick brown fox jumps over the lazy dog and runs far away into the deep dark forest")]).withColumns({"leak": F.lit(1), "_leak": F.lit(2)})
     got = decontaminate.without_leaks(df, bench, **decontaminate.WHOLE)
     assert [r["doc_id"] for r in got.collect()] == [1] and got.columns == df.columns
+
+
+def test_random_spans_match_a_plain_scan_of_the_corpus(spark):
+    """Pairs, p-values and the cut from plain loops over all texts; the statistics themselves are tested in the kernels."""
+    rng = random.Random(12)
+    alphabet = secrets.LOWER + secrets.UPPER + secrets.DIGITS + "+/"
+    words_ = "some ordinary words about InternationalOrganization usr/local/share/something python3 site-packages readTheWholeFile and so on".split()
+    rows = []
+    for i in range(120):
+        out = [rng.choice(words_) for _ in range(rng.randrange(1, 60))]
+        if i % 4 == 0:
+            kind = rng.choice([alphabet, secrets.LOWER + secrets.DIGITS, "0123456789ABCDEF", "aB7+"])
+            out.insert(rng.randrange(len(out) + 1), "".join(rng.choice(kind) for _ in range(rng.randrange(20, 70))))
+        rows.append((i, rng.choice([" ", "\n", ", "]).join(out)))
+    rows += [(None, "x" * 30), (7, rows[7][1]), (500, None), (501, ""), (502, "é" + "Zz9+" * 10 + "漢")]
+    pairs = np.zeros((66, 66))
+    for _, t in rows:
+        for a, b in zip(t or "", (t or "")[1:]):
+            if a in secrets.ALPHABET and b in secrets.ALPHABET:
+                pairs[secrets.ALPHABET.index(a), secrets.ALPHABET.index(b)] += 1
+    known = secrets.encodings(pairs)
+    found = [[(m.start(), m.end(), *(secrets.fisher(p) for p in secrets.battery(m[0], known[secrets.infer(m[0])]))) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t or "")] for _, t in rows]
+    bins = [min(secrets.BINS - 1, int(-4 * math.log10(max(x[3], 1e-300)))) for f in found for x in f]
+    passing = [i for i in set(bins) if 10 ** (-i / 4) <= 0.001 * sum(b >= i for b in bins) / len(bins)]
+    cut = min(passing, default=secrets.BINS)
+    want = sorted(((d, ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(secrets.pattern_spans(t or "") + [(a, b, "random") for a, b, r, o in f
+                   if r >= 0.001 and int(-4 * math.log10(max(o, 1e-300))) >= cut], key=lambda s: (s[0], secrets.KINDS.index(s[2]))))) for (d, t), f in zip(rows, found)), key=str)
+    got = secrets.find_secrets(docs(spark, rows))
+    assert sorted([(r["doc_id"], r["spans"]) for r in got.collect()], key=str) == want
+    assert sum("random" in s for _, s in want) >= 10
