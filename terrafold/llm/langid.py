@@ -34,7 +34,8 @@ SAMPLE_CHARS = 40_000
 BLOCK = 1024
 #: Text bytes that walk together: a numpy step costs the same for few blocks as for many.
 TOGETHER_BYTES = 4 << 20
-MAX_ALPHABET = 96
+#: Transitions of an automaton are a table up to so many entries, sorted keys beyond (many letters); both are the same function.
+TABLE_ENTRIES = 1 << 24
 SPACE, OTHER = 0, 1
 
 
@@ -43,10 +44,22 @@ def _fold(ch: str) -> str:
 
 
 def _letter(ch: str) -> bool:
-    return unicodedata.category(ch)[0] in "LM"
+    return unicodedata.category(ch)[0] == "L"
 
 
-def build_automaton(codes: list[int], alphabet: int) -> np.ndarray:
+class Sparse:
+    """Transitions by sorted keys state * alphabet + code; -1 where there is none. Indexed like the table."""
+
+    def __init__(self, keys: np.ndarray, to: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], to[order].astype(np.int32)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        i = np.minimum(np.searchsorted(self.keys, at), len(self.keys) - 1)
+        return np.where(self.keys[i] == at, self.to[i], np.int32(-1))
+
+
+def build_automaton(codes: list[int], alphabet: int, table_entries: int | None = None) -> np.ndarray | Sparse:
     """Transitions [state * alphabet + code] of the suffix automaton of ``codes``; -1 where there is none."""
     nxt, link, length, last = [{}], [-1], [0], 0
     for c in codes:
@@ -68,6 +81,9 @@ def build_automaton(codes: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
+    if len(nxt) * alphabet > (TABLE_ENTRIES if table_entries is None else table_entries):
+        pairs = np.array([(s * alphabet + c, t) for s, edges in enumerate(nxt) for c, t in edges.items()], np.int64).reshape(-1, 2)
+        return Sparse(pairs[:, 0], pairs[:, 1])
     out = np.full((len(nxt), alphabet), -1, np.int32)
     for s, edges in enumerate(nxt):
         for c, t in edges.items():
@@ -76,7 +92,7 @@ def build_automaton(codes: list[int], alphabet: int) -> np.ndarray:
 
 
 class Model:
-    """Sample text per language and the alphabet they share. The automata are built where they are used, once
+    """Sample text per language and the alphabet they share: every letter of the samples. The automata are built where they are used, once
     per process; only the bounded samples travel."""
 
     def __init__(self, samples: dict[str, str]):
@@ -86,7 +102,7 @@ class Model:
             for ch in text:
                 if _letter(ch):
                     counts[_fold(ch)] = counts.get(_fold(ch), 0) + 1
-        self.letters = sorted(sorted(counts), key=lambda c: -counts[c])[:MAX_ALPHABET]
+        self.letters = sorted(sorted(counts), key=lambda c: -counts[c])
         self.key = hashlib.sha256(pickle.dumps(self.samples)).hexdigest()
 
     @property
@@ -107,7 +123,7 @@ def _ready(model: Model) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     if model.key not in _READY:
         _READY.clear()
         at = {c: i + 2 for i, c in enumerate(model.letters)}
-        code = np.where(_letters_of_unicode(), np.uint8(OTHER), np.uint8(SPACE)).astype(np.uint8)
+        code = np.where(_letters_of_unicode(), OTHER, SPACE).astype(np.uint8 if model.alphabet <= 256 else np.int32)
         for ch, i in at.items():
             for form in {ch, ch.upper()[:1], ch.title()[:1]}:
                 if _fold(form) == ch:
@@ -125,7 +141,7 @@ def encode(text: str, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return got[keep], np.flatnonzero(keep)
 
 
-def count_phrases(grid: np.ndarray, lengths: np.ndarray, auto: np.ndarray, alphabet: int) -> np.ndarray:
+def count_phrases(grid: np.ndarray, lengths: np.ndarray, auto: np.ndarray | Sparse, alphabet: int) -> np.ndarray:
     """Phrases of each block: ``grid[t]`` holds character t of all blocks, longest block first."""
     n = len(lengths)
     state, phrases = np.zeros(n, np.int32), (lengths > 0).astype(np.int64)
@@ -133,7 +149,7 @@ def count_phrases(grid: np.ndarray, lengths: np.ndarray, auto: np.ndarray, alpha
     for t in range(len(grid)):
         m = active[t]
         c = grid[t, :m]
-        to = auto[state[:m] * alphabet + c]
+        to = auto[state[:m].astype(np.int64) * alphabet + c]
         bad = to < 0
         if bad.any():
             where = np.flatnonzero(bad)
@@ -172,7 +188,7 @@ def parse(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.nda
     phrases = np.zeros((len(autos), n), np.int64)
     if len(row):
         grid = np.zeros((int(length[0]), len(row)), np.int32)
-        padded = np.concatenate([got, np.zeros(BLOCK, np.uint8)])
+        padded = np.concatenate([got, np.zeros(BLOCK, got.dtype)])
         for lo in range(0, len(row), 4096):
             grid[:, lo : lo + 4096] = padded[first[None, lo : lo + 4096] + np.arange(len(grid))[:, None]]
         for i, auto in enumerate(autos.values()):
@@ -210,16 +226,27 @@ def held_out(doc_id, mod: int, remainder: int):
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """``docs`` (doc_id, text, lang): a sample of about ``sample_docs`` documents per language, chosen by a hash of
-    the id, cut at ``sample_chars`` characters per language, is all that reaches the driver.
+    the id, at most ``sample_chars`` characters per language, is all that reaches the driver. Each document gives as many
+    characters as any other, or all it has.
     Null langs and null texts teach nothing; no labelled text gives a model that answers `und`."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     rows = bounded_sample(known, "lang", sample_docs, "doc_id", columns=["lang", "doc_id", "text"]).select(
         "lang", "doc_id", F.substring("text", 1, sample_chars).alias("text")).collect()
-    texts: dict[str, str] = {}
+    texts: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        have = texts.get(r["lang"], "")
-        texts[r["lang"]] = (have + " " + r["text"])[:sample_chars]
-    return Model(texts)
+        texts.setdefault(r["lang"], []).append(r["text"])
+    return Model({lang: " ".join(t[: fair_share([len(t) + 1 for t in got], sample_chars)] for t in got) for lang, got in texts.items()})
+
+
+def fair_share(sizes: list[int], total: int) -> int:
+    """The largest length c such that parts of min(size, c) fit into ``total``."""
+    left = total
+    for i, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - i)
+        if size > share:
+            return share
+        left -= size
+    return max(sizes, default=0)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

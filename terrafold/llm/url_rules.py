@@ -6,18 +6,18 @@ that it holds for with all subdomains. Every rule is a regular expression over
 literal tokens, the one that the fewest distinct URLs contain. A URL's own
 tokens fetch the rules to try. A token of a rule counts as literal only if the
 pattern itself ends it on both sides, so the URL must hold it as a token too;
-rules without such a token are tried on every URL."""
+rules without such a token are tried on every URL, apart from the index."""
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A rule list is a parameter, held by the driver; its size is checked.
-MAX_RULES = 100_000
+#: Rules without a literal token that are tried in one pass over the URLs.
+TOGETHER = 200
 SPLIT = re.compile(r"[^A-Za-z0-9]+")
 
 
@@ -61,39 +61,45 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def judge(pages: DataFrame, rules: list[Rule], default: str = "allow") -> DataFrame:
+RULES = "name string, regex string, verdict string, exact boolean, length int, tokens array<string>"
+
+
+def rule_table(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """Rules as a table that :func:`judge` takes; a large list is better kept as one than built each time."""
+    return spark.createDataFrame([(r.name, r.regex, r.verdict, r.exact, len(r.name), r.tokens) for r in rules], RULES)
+
+
+def judge(pages: DataFrame, rules: list[Rule] | DataFrame, default: str = "allow") -> DataFrame:
     """``pages`` (page_id, url; others ignored) -> one row per page row: page_id, host, path, rule,
-    verdict, matched.
+    verdict, matched. ``rules``: a list, or a table as :func:`rule_table` builds it, of any size.
 
     rule: name of the longest exact rule that fits, else null; verdict: that rule's, else that of
     the longest other rule that fits (matched names it), else ``default``. Ties in length go to the
-    smaller name. Null URLs and those without ``://`` have empty host and path. Null page_ids and
+    smaller name, then to the smaller verdict. Null URLs and those without ``://`` have empty host and path. Null page_ids and
     repeated rows are judged like any row; distinct URLs are judged once, so a URL that a third of the rows
     share costs one. Empty tables give no rows; an empty rule list gives the default everywhere."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} are supported")
     spark = pages.sparkSession
     src = pages.select("page_id", host_of(F.col("url").cast("string")).alias("host"), path_of(F.col("url").cast("string")).alias("path"))
-    out = ["page_id", "host", "path", "rule", "verdict", "matched"]
-    if not rules:
-        return src.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"), F.lit(None).cast("string").alias("matched"))
+    listed = rules if isinstance(rules, DataFrame) else rule_table(spark, rules)
     urls = src.select("host", "path").distinct()
     tokens = F.array_distinct(F.filter(F.split(F.concat("host", F.lit("/"), "path"), "[^A-Za-z0-9]+"), lambda t: t != ""))
-    by_token = urls.select("host", "path", F.explode(F.array_append(tokens, F.lit(""))).alias("token"))
-    listed = spark.createDataFrame([(i, r.name, r.regex, r.verdict, r.exact, len(r.name), r.tokens) for i, r in enumerate(rules)],
-                                   "id int, name string, regex string, verdict string, exact boolean, length int, tokens array<string>")
-    literal = listed.select("id", F.explode("tokens").alias("token"))
+    by_token = urls.select("host", "path", F.explode(tokens).alias("token"))
+    literal = listed.select("regex", F.explode("tokens").alias("token"))
     # how many distinct URLs hold each token that a rule could be filed under
     counts = by_token.join(literal.select("token").distinct(), "token", "left_semi").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    rarest = (literal.join(counts, "token", "left").groupBy("id")
+    rarest = (literal.join(counts, "token", "left").groupBy("regex")
               .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))["token"].alias("token")))
-    index = listed.join(rarest, "id", "left").withColumn("token", F.coalesce("token", F.lit(""))).drop("tokens", "id")
-    tried = by_token.join(index, "token").where(F.expr("rlike(concat(host, path), regex)"))
-    rank = F.struct(F.col("exact").alias("e"), F.col("length").alias("l"))
-    # longest first, then the smaller name: the least of (not exact, -length, name)
+    index = listed.join(rarest, "regex").drop("tokens")
+    fields = ["name", "verdict", "exact", "length"]
+    tried = by_token.join(index, "token").where(F.expr("rlike(concat(host, path), regex)")).select("host", "path", *fields)
+    # the patterns of rules without a literal token are conditions of one pass over the URLs, some at a time
+    free = listed.where(F.size("tokens") == 0).select("regex", *fields).distinct().collect()
+    for i in range(0, len(free), TOGETHER):
+        hits = F.array(*[F.when(F.concat("host", "path").rlike(r["regex"]), F.struct(*[F.lit(r[c]).alias(c) for c in fields])) for r in free[i : i + TOGETHER]])
+        tried = tried.unionByName(urls.select("host", "path", F.explode(F.array_compact(hits)).alias("r")).select("host", "path", "r.*"))
+    # exact first, then the longest, then the smaller name
     best = (tried.groupBy("host", "path")
-            .agg(F.min(F.struct((~rank["e"]).alias("o"), (-rank["l"]).alias("l"), "name", "verdict")).alias("b"))
+            .agg(F.min(F.struct((~F.col("exact")).alias("o"), (-F.col("length")).alias("l"), "name", "verdict")).alias("b"))
             .select(F.col("host").alias("h"), F.col("path").alias("p"), F.col("b.o").alias("other"), F.col("b.name").alias("matched"), F.col("b.verdict").alias("ruled")))
     got = src.join(best, (F.col("host") == F.col("h")) & (F.col("path") == F.col("p")), "left")
-    return got.select("page_id", "host", "path", F.when(~F.col("other"), F.col("matched")).alias("rule"),
-                      F.coalesce("ruled", F.lit(default)).alias("verdict"), "matched").select(*out)
+    return got.select("page_id", "host", "path", F.when(~F.col("other"), F.col("matched")).alias("rule"), F.coalesce("ruled", F.lit(default)).alias("verdict"), "matched")

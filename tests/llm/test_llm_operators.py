@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -616,3 +617,82 @@ def test_random_spans_match_a_plain_scan_of_the_corpus(spark):
     got = secrets.find_secrets(docs(spark, rows))
     assert sorted([(r["doc_id"], r["spans"]) for r in got.collect()], key=str) == want
     assert sum("random" in s for _, s in want) >= 10
+
+
+def test_thousands_of_url_rules_match_brute_force(spark):
+    rng = random.Random(21)
+    part = lambda: "".join(rng.choice("abcde") for _ in range(rng.randrange(1, 4)))
+    rules = []
+    for _ in range(3000):
+        kind = rng.randrange(4)
+        path = "/" + part() + rng.choice(["/", "*", "-" + part() + "/", "*" + part() + "/"])
+        rules.append(url_rules.Rule(rng.choice(["block", "allow"]), "" if kind == 0 else f"{part()}.{part()}.net" if kind < 3 else f"{part()}.org", path if kind else "*" + part() + "*" + part() + "*", exact=kind > 0))
+    rules += [url_rules.Rule("block", "", "/a*", exact=False), rules[5], rules[6]]
+    urls = [f"http://{part()}.{part()}.{part()}.{rng.choice(['net', 'org'])}/{part()}/{part()}-{part()}/?q" for _ in range(300)] + [None, "x", "http://a.b.net", "http://a.b.net/a"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id int, url string")
+    assert sum(not r.tokens for r in rules) > 300
+    want = []
+    for i, u in enumerate(urls):
+        rest = u.split("://", 1)[1] if u and "://" in u else ""
+        host = re.split("[/?#]", rest)[0].lower()
+        path = re.split("[?#]", rest[len(host):])[0]
+        fit = sorted((not r.exact, -len(r.name), r.name, r.verdict) for r in rules if re.match(r.regex, host + path))
+        want.append((i, host, path, fit[0][2] if fit and not fit[0][0] else None, fit[0][3] if fit else "allow", fit[0][2] if fit else None))
+    for given in (rules, url_rules.rule_table(spark, rules)):
+        assert sorted(tuple(r) for r in url_rules.judge(df, given).collect()) == want
+    assert sum(w[5] is not None for w in want) > 50
+
+
+def test_language_prediction_is_the_least_entropy_of_a_plain_parse(spark):
+    """Argmin, ties, score and letters, over samples of many letters and texts of marks alone."""
+    rng = random.Random(5)
+    han = [chr(0x4E00 + i) for i in range(400)]
+    samples = {"en": "the cat sat on the mat and the dog ran to it", "xx": "the cat sat on the mat and the dog ran to it",
+               "zh": "".join(rng.choice(han[:220]) for _ in range(500)), "ja": "".join(rng.choice(han[180:]) for _ in range(500))}
+    model = langid.Model(samples)
+    assert model.alphabet > 300
+    texts = ["the cat ran", "on that mat it sat", "", None, "123 !", "́̂", "á", "".join(rng.choice(han[:200]) for _ in range(60)),
+             "".join(rng.choice(han[230:]) for _ in range(60)), "zzz the", "Ж", "the cat " * 600]
+    at = {c: i + 2 for i, c in enumerate(model.letters)}
+
+    def coded(t):
+        out = []
+        for ch in t:
+            c = at.get(langid._fold(ch), langid.OTHER) if langid._letter(ch) else langid.SPACE
+            if c != langid.SPACE or not out or out[-1] != langid.SPACE:
+                out.append(c)
+        return out
+
+    def phrases(codes, sample):
+        n, inner = 0, ",".join(map(str, sample)) + ","
+        for lo in range(0, len(codes), langid.BLOCK):
+            block, i = codes[lo : lo + langid.BLOCK], 0
+            while i < len(block):
+                j = i + 1
+                while j <= len(block) and ("," + ",".join(map(str, block[i:j])) + ",") in "," + inner:
+                    j += 1
+                i = max(i + 1, j - 1)
+                n += 1
+        return n
+
+    want = []
+    for t in texts:
+        codes = coded(t or "")
+        if not any(c != langid.SPACE for c in codes):
+            want.append(("und", 0.0))
+            continue
+        h = sorted((phrases(codes, coded(s)) * math.log2(len(s)) / len(codes), lang) for lang, s in samples.items())
+        want.append((h[0][1], 1 - h[0][0] / h[1][0]))
+    df = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    for entries in (langid.TABLE_ENTRIES, 0):
+        langid._READY.clear()
+        got = {}
+        autos = {lang: langid.build_automaton(coded(s), model.alphabet, entries) for lang, s in model.samples.items()}
+        assert isinstance(autos["zh"], langid.Sparse) == (entries == 0)
+        langid._READY[model.key] = langid._ready(model)[0], autos
+        found, chars, letters = langid.parse(pa.array(texts, pa.string()), model)
+        got = [[phrases(coded(t or ""), coded(s)) for t in texts] for s in model.samples.values()]
+        assert found.tolist() == got
+    rows = langid.identify(df, model).orderBy("doc_id").collect()
+    assert [(r["lang_pred"], round(r["score"], 9)) for r in rows] == [(lang, round(s, 9)) for lang, s in want]
+    assert langid.fair_share([3, 10, 10], 15) == 6 and langid.fair_share([3, 3], 100) == 3 and langid.fair_share([], 5) == 0
