@@ -11,7 +11,7 @@ check, exact check on the full shingle sets, components by alternating stars.
    the set's members in each of 2048 cells - drops pairs that cannot reach it: the cells in
    which two sketches differ are a lower bound of the sets' difference. Each class checks
    its closest pivots on the full sets; links become components.
-3. In each bucket that still holds several components, all members of others meet the one with the most
+3. While a large bucket still holds several components, the members of others meet the one with the most
    links so far: copies of one text that are close to it, but not to each other, come together here.
 4. Within a bucket, classes that are still in different components are joined
    on the band key, with both tests as join condition, each pair in the first bucket it shares, and the pairs
@@ -38,8 +38,8 @@ from terrafold.llm.textops import Bloom, blocks, free, hash_strings, mix, powers
 CELLS = 2048
 #: Pivots whose full sets a class is compared with before the bucket join handles the rest.
 FIRST_CHECKS = 3
-#: Times that the members of open buckets meet a hub before that.
-HUB_ROUNDS = 2
+#: Times that the members of open buckets meet a hub before that, as long as a bucket has more than so many.
+HUB_ROUNDS, OPEN_MEMBERS = 3, 64
 
 
 def shingle_sets(text: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -142,6 +142,11 @@ def _open(met: DataFrame, part: DataFrame) -> DataFrame:
     return both.join(mixed, "key")
 
 
+def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: each node's link to its component stands for all its links so far."""
+    return written(connected_components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)), "minhash")
+
+
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bands: int = 40, rows: int = 6,
                     keep: tuple[str, ...] = (), among: DataFrame | None = None) -> DataFrame:
     """``docs`` (doc_id long, text; other columns are ignored but for ``keep``) -> one row per document row:
@@ -194,30 +199,33 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
             .where(close).select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v"), F.expr(differ).alias("far")))
     nearest = Window.partitionBy("u").orderBy("far", "v")
     first = written(confirmed(star.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= FIRST_CHECKS)), "links")
-    links, part = first, connected_components(first)
+    part = written(connected_components(first), "minhash")
+    open_ = written(_open(met, part), "minhash")
     for _ in range(HUB_ROUNDS):
-        # buckets with members in different components: all of them meet the member with the most links so far
-        open_ = _open(met, part)
-        degree = links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
+        largest = open_.groupBy("key").count().agg(F.max("count")).first()[0]
+        if (largest or 0) <= OPEN_MEMBERS:
+            break
+        # members of all open buckets meet the one with the most links so far, if it is in another component
+        degree = first.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
         ranked = open_.join(degree, "node", "left").select("key", "node", "component", F.struct(F.coalesce("d", F.lit(0)).alias("d"), "node", "component").alias("h"))
-        ranked = written(ranked, "minhash")
         hubs = ranked.groupBy("key").agg(F.max("h").alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component"))
-        meet = ranked.join(hubs, "key").where("component <> hub_component")
+        meet = open_.join(hubs, "key").where("component <> hub_component")
         meet = meet.select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).distinct()
         meet = (meet.join(bits.alias("a"), F.col("u") == F.col("a.node")).join(bits.alias("b"), F.col("v") == F.col("b.node"))
                 .where(close).select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")))
         more = written(confirmed(meet), "links")
         if more.isEmpty():
             break
-        links = links.unionByName(more)
-        part = connected_components(links)
+        first = first.unionByName(more)
+        part = _merged(part, more)
+        open_ = written(_open(met, part), "minhash")
     # what pivots and hubs did not settle: members of one bucket in different components, each pair in its first common bucket only
-    open_ = written(_open(met, part).join(bits, "node").select("key", "node", "component", "n", "bits", "odd", "bands"), "minhash")
+    open_ = written(open_.join(bits, "node").select("key", "node", "component", "n", "bits", "odd", "bands"), "minhash")
     once = "get(filter(zip_with(a.bands, b.bands, (x, y) -> CASE WHEN x = y THEN x END), z -> z IS NOT NULL), 0) = a.key"
     rest = (open_.alias("a").join(open_.alias("b"), F.expr(f"a.key = b.key and a.node > b.node and a.component <> b.component and {close} and {once}"))
             .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")))
-    links = links.unionByName(confirmed(rest))
-    comp = connected_components(links)
+    more = written(confirmed(rest), "links")
+    comp = part if more.isEmpty() else _merged(part, more)
     label = (least.select(F.col("set_id").alias("node"), "least_id").join(comp, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     low = label.groupBy("component").agg(F.min("least_id").alias("component_id"))

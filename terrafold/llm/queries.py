@@ -104,6 +104,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op11_html_extraction, op12_fill_in_middle, op13_source_divergence)}
 
 
+#: The supplied tables that each query reads.
+INPUT_TABLES = {**{name: ["documents"] for name in QUERIES}, "op1_toxicity": ["documents", "labels"], "op3_topk": ["embeddings"],
+                "op5_decontamination": ["documents", "benchmark"], "op9_url_rules": ["pages"], "op11_html_extraction": ["pages"]}
+
+
 def oracle_sql() -> dict[str, str]:
     from terrafold.llm.oracle import ORACLE
 

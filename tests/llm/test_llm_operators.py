@@ -85,7 +85,9 @@ def test_near_duplicates_match_brute_force(spark, n, num, rows_per_band):
     assert sorted([tuple(r) for r in got], key=str) == brute_near(rows, n, num, 100)
 
 
-def test_near_duplicates_of_a_hot_group_and_an_empty_table(spark):
+@pytest.mark.parametrize("members", [64, 2])
+def test_near_duplicates_of_a_hot_group_and_an_empty_table(spark, monkeypatch, members):
+    monkeypatch.setattr(neardup, "OPEN_MEMBERS", members)
     rng = random.Random(5)
     base = ["t%d" % i for i in range(150)]
     rows = []
