@@ -274,3 +274,60 @@ def to_wkt(s: str) -> str:
                lambda ps: f"CASE WHEN size({ps}) = 0 THEN CAST(NULL AS STRING) "
                           f"WHEN size({ps}) = 1 THEN concat('POLYGON ', get({ps}, 0)) "
                           f"ELSE concat('MULTIPOLYGON (', array_join({ps}, ', '), ')') END")
+
+
+def _double_hex(v: str) -> str:
+    """The eight bytes of a double, as hex digits, highest byte first: sign, exponent and fraction by exact arithmetic with powers
+    of two. Numbers under 2.3e-308 give zero."""
+    def bits(a, e):
+        fraction = f"CAST(({a} / power(2D, {e}) - 1D) * 4503599627370496D AS BIGINT)"
+        return f"lpad(hex(shiftleft(CAST({e} + 1023 AS BIGINT), 52) + {fraction} + CASE WHEN {v} < 0 THEN -9223372036854775808 ELSE 0L END), 16, '0')"
+
+    def exponent(a):
+        # log2 may miss by one next to a power of two
+        return let(f"CAST(floor(log2({a})) AS INT)", lambda e0: let(
+            f"{e0} + CASE WHEN {a} >= power(2D, {e0} + 1) THEN 1 WHEN {a} < power(2D, {e0}) THEN -1 ELSE 0 END", lambda e: bits(a, e)))
+    return f"CASE WHEN abs({v}) < 2.2250738585072014E-308D THEN '0000000000000000' ELSE {let(f'abs({v})', exponent)} END"
+
+
+def to_wkb(s: str) -> str:
+    """P5: shape -> well-known binary (big-endian polygon, or multipolygon of several parts); NULL if empty. Expressions only."""
+    p, r, q = _v("p"), _v("r"), _v("q")
+    count = lambda n: f"lpad(hex(CAST({n} AS BIGINT)), 8, '0')"
+    point = f"concat({_double_hex(q + '.x')}, {_double_hex(q + '.y')})"
+    ring = f"concat({count(f'size({r})')}, array_join(transform({r}, {q} -> {point}), ''))"
+    part = f"concat('0000000003', {count(f'size({p})')}, array_join(transform({p}, {r} -> {ring}), ''))"
+    return let(f"transform({s}, {p} -> {part})", lambda ps: f"unhex(CASE WHEN size({ps}) = 1 THEN get({ps}, 0) "
+               f"WHEN size({ps}) > 1 THEN concat('0000000006', {count(f'size({ps})')}, array_join({ps}, '')) END)")
+
+
+def _read_int(b: str, at: str) -> str:
+    return f"CAST(conv(hex(substring({b}, CAST({at} AS INT), 4)), 16, 10) AS INT)"
+
+
+def _read_double(b: str, at: str) -> str:
+    def value(h):
+        head = f"CAST(conv(substring({h}, 1, 3), 16, 10) AS INT)"
+        fraction = f"CAST(conv(substring({h}, 4, 13), 16, 10) AS BIGINT) / 4503599627370496D"
+        return (f"CASE WHEN {head} % 2048 = 0 THEN 0D ELSE (1D + {fraction}) * power(2D, {head} % 2048 - 1023) * CASE WHEN {head} >= 2048 THEN -1D ELSE 1D END END")
+    return let(f"hex(substring({b}, CAST({at} AS INT), 8))", value)
+
+
+def from_wkb(b: str) -> str:
+    """Well-known binary as :func:`to_wkb` writes it -> shape. ``b`` must be a column or variable."""
+    acc, k, acc2, k2, i = _v("acc"), _v("k"), _v("acc"), _v("k"), _v("i")
+    ring_type = RING.simpleString()
+    empty_part, empty_shape = f"CAST(array() AS array<{ring_type}>)", f"CAST(array() AS {SHAPE.simpleString()})"
+
+    def ring(at, n):
+        spot = f"{at} + 4 + 16 * {i}"
+        return f"transform(sequence(0, {n} - 1), {i} -> named_struct('x', {_read_double(b, spot)}, 'y', {_read_double(b, f'{spot} + 8')}))"
+
+    def next_ring(a):
+        return let(_read_int(b, f"{a}.at"), lambda n: f"named_struct('at', {a}.at + 4 + 16 * {n}, 'rings', concat({a}.rings, array({ring(f'{a}.at', n)})))")
+    rings = (f"aggregate(sequence(1, {_read_int(b, f'{acc}.at + 5')}), named_struct('at', {acc}.at + 9, 'rings', {empty_part}), "
+             f"({acc2}, {k2}) -> {next_ring(acc2)})")
+    part = let(rings, lambda r: f"named_struct('at', {r}.at, 'parts', concat({acc}.parts, array({r}.rings)))")
+    multi = f"{_read_int(b, '2')} = 6"
+    return (f"CASE WHEN {b} IS NOT NULL THEN aggregate(sequence(1, CASE WHEN {multi} THEN {_read_int(b, '6')} ELSE 1 END), "
+            f"named_struct('at', CASE WHEN {multi} THEN 10 ELSE 1 END, 'parts', {empty_shape}), ({acc}, {k}) -> {part}, {acc} -> {acc}.parts) END")

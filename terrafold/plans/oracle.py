@@ -159,6 +159,15 @@ r AS (SELECT p_partkey, part, ring,
 SELECT p_partkey, round(sum(CASE WHEN ring = 0 THEN abs(a) ELSE -abs(a) END), 1) AS area_m2
 FROM r GROUP BY p_partkey"""
 
+# the eight bytes of a double, as in IEEE 754: sign, exponent, fraction
+_BITS = ("CASE WHEN {v} = 0 THEN repeat('0', 16) ELSE printf('%03x%013x', CAST(floor(log2(abs({v}))) AS BIGINT) + 1023 + CASE WHEN {v} < 0 THEN 2048 ELSE 0 END, "
+         "CAST((abs({v}) / pow(2.0, floor(log2(abs({v})))) - 1) * 4503599627370496 AS BIGINT)) END")
+WKB = f"""WITH v AS ({VERTS}),
+r AS (SELECT p_partkey, part, ring, printf('%08x', count(*)) || string_agg({_BITS.format(v='CAST(lon AS DOUBLE)')} || {_BITS.format(v='CAST(lat AS DOUBLE)')}, '' ORDER BY seq) AS h FROM v GROUP BY ALL),
+p AS (SELECT p_partkey, part, '0000000003' || printf('%08x', count(*)) || string_agg(h, '' ORDER BY ring) AS h FROM r GROUP BY ALL),
+s AS (SELECT p_partkey, CASE WHEN count(*) = 1 THEN string_agg(h, '') ELSE '0000000006' || printf('%08x', count(*)) || string_agg(h, '' ORDER BY part) END AS h FROM p GROUP BY ALL)
+SELECT p_partkey, upper(h) AS wkb, true AS same FROM s"""
+
 # unit vectors of a corner at (longitude, latitude)
 _VECTOR = "[cos(radians({y})) * cos(radians({x})), cos(radians({y})) * sin(radians({x})), sin(radians({y}))]::DOUBLE[3]"
 _LAT, _RISE = derive.TALL
@@ -312,6 +321,9 @@ def oracle_sql() -> dict:
         "header_bound_scan": _vendor_rows(),
         "publish_rows": PUBLISHABLE,
         "typed_rows": f"SELECT {CURATED_COLS}, 1 AS n_parts FROM ({PUBLISHABLE}) p WHERE fips_code IS NOT NULL",
+        "publish_flow": f"SELECT 'shapes' AS what, count(*) AS n FROM ({PUBLISHABLE}) p WHERE fips_code IS NOT NULL UNION ALL "
+                        f"SELECT 'typed_rejects', count(*) FROM ({PUBLISHABLE}) p WHERE fips_code IS NULL UNION ALL "
+                        "SELECT * FROM (VALUES ('shape_rejects', 0), ('key_violations', 0), ('landing_tables', 0)) z",
         "publish_count": f"SELECT count(*) AS source_rows, count(*) AS target_rows FROM ({PUBLISHABLE}) p",
         "target_contract_violations": _union([
             f"SELECT geo_id, '{col}' AS column_name, '{rule}' AS rule FROM ({LANDING_ROWS}) l WHERE {cond}"
@@ -322,6 +334,7 @@ def oracle_sql() -> dict:
         "polygon_area": AREA,
         "self_intersections": "SELECT p_partkey, 0 AS part, 0 AS ring, 0 AS seg_i, 2 AS seg_j FROM part WHERE p_partkey % 5 = 4",
         "simplify_ladder": f"SELECT p_partkey, {SPIKE_LEVEL} AS geoloc_reduced_level, {SPIKE_POINTS} AS n_points FROM part",
+        "geography_wkb": WKB,
         "ring_faults": "SELECT p_partkey, problem, problem IS NULL AS has_shape FROM (SELECT p_partkey, CASE p_partkey % 12 "
                        + " ".join(f"WHEN {k} THEN '{problem}'" for k, (_, problem) in derive.FIT_KINDS.items() if problem) + " END AS problem FROM part) f",
         "polar_areas": f"SELECT p_partkey, round({2 * R * R / 1e6!r} * pi() * (1 - sin(radians(p_partkey % 30 + 60))), 2) AS area_km2, p_partkey % 2 = 0 AS runs_east FROM part",

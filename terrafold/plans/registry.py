@@ -364,6 +364,18 @@ def q_publish_count(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(F.col("side") == "target", F.col("n"))).alias("target_rows"))
 
 
+def q_publish_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract check, load, typed check, shapes, key gate and staging clean-up in one go (P1-P5, G1-G12): what came of the rows."""
+    _ok, table = _published(spark, sf_dir)
+    path = scratch(spark, "flow")
+    out = flows.publish_and_shape(spark, flows.curated_customers(spark, sf_dir), table, path)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+    left = F.lit(int(spark.catalog.tableExists(table))).cast("long")
+    got = count(out.shapes, "shapes").unionByName(count(out.typed_rejects, "typed_rejects")).unionByName(count(out.shape_rejects, "shape_rejects"))
+    got = got.unionByName(count(out.key_violations, "key_violations"))
+    return got.unionByName(spark.range(1).select(F.lit("landing_tables").alias("what"), left.alias("n")))
+
+
 def q_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed rows that meet the typed contract, typed, with the parts of their shape (P5)."""
     _ok, table = _published(spark, sf_dir)
@@ -433,6 +445,13 @@ def q_shape_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("p_partkey", "problem")
 
 
+def q_geography_wkb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned shapes as well-known binary (P5), and whether it reads back as the same shape."""
+    s = geometry.once(geometry.clean(_part_shapes(spark, sf_dir)).select("p_partkey", "shape"), wkb=geo.to_wkb("shape"))
+    s = geometry.once(s, back=geo.from_wkb("wkb"))
+    return s.select("p_partkey", F.hex("wkb").alias("wkb"), (F.col("back") == F.col("shape")).alias("same"))
+
+
 def q_ring_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = geometry.once(_part_shapes(spark, sf_dir).select("p_partkey", "shape"), before=geo.clean_shape("shape"))
     s = geometry.once(s.drop("shape"), after=geo.orient_shape("before"))
@@ -556,12 +575,14 @@ QUERIES = {
     "publish_rows": q_publish_rows,
     "publish_count": q_publish_count,
     "typed_rows": q_typed_rows,
+    "publish_flow": q_publish_flow,
     "target_contract_violations": q_target_contract_violations,
     "wkt_vertices": q_wkt_vertices,
     "ring_orientation": q_ring_orientation,
     "polygon_area": q_polygon_area,
     "self_intersections": q_self_intersections,
     "simplify_ladder": q_simplify_ladder,
+    "geography_wkb": q_geography_wkb,
     "ring_faults": q_ring_faults,
     "polar_areas": q_polar_areas,
     "valid_rungs": q_valid_rungs,
@@ -577,12 +598,12 @@ INPUT_TABLES = {
     **{k: ["customer"] for k in ("stage_good_rows", "stage_bad_rows", "curated_snapshot",
                                  "history_partition_overwrite", "history_empty_reload", "load_date_fallback", "incremental_stage", "area_code", "history_switch", "header_bound_scan",
                                  "null_sentinels", "wide_contract_projection", "wide_curated_rows", "wide_bad_rows",
-                                 "curated_table", "publish_rows", "publish_count", "typed_rows",
+                                 "curated_table", "publish_flow", "publish_rows", "publish_count", "typed_rows",
                                  "target_contract_violations", "shape_table", "key_violations")},
     **{k: ["supplier"] for k in ("contract_orc_scan", "strip_srid")},
     **{k: ["part"] for k in ("prefix_map", "wkt_vertices", "ring_orientation", "polygon_area",
                              "self_intersections", "simplify_ladder", "shape_rejects", "shape_decisions",
-                             "ring_faults", "polar_areas", "valid_rungs", "great_circle_significance", "large_ring_crossings")},
+                             "geography_wkb", "ring_faults", "polar_areas", "valid_rungs", "great_circle_significance", "large_ring_crossings")},
     **{k: ["orders"] for k in ("manifest_new_inventory", "last_loaded_date", "combined_watermark",
                                "new_product_flag", "combined_new_inventory", "archive_unpack", "manifest_long_prefixes", "delivery_ledger")},
 }

@@ -222,3 +222,23 @@ def test_many_holes_do_not_overflow(spark):
     ok, rej = G.vertices_shapes(df)
     assert rej.count() == 0
     assert G.clean(ok).select(F.size(F.get("shape", 0))).first()[0] == n + 1
+
+
+def test_wkb_round_trip_and_bytes(spark):
+    import struct
+
+    rng = np.random.default_rng(2)
+    odd = [0.0, -0.0, 1.0, -1.0, 0.1, 179.99999999999997, -180.0, 1e-300, 2.0**-1022, 0.9999999999999999, 1.0000000000000002, 3.0, 64.0, 63.99999999999999, 1 / 3, -1e-7]
+    rings = [[(float(a), float(b)) for a, b in rng.uniform(-180, 180, (n, 2))] for n in (4, 9, 300)] + [[(a, b) for a in odd for b in (odd[5], odd[7])]]
+    shapes = [[[rings[0]]], [[rings[1], rings[0]], [rings[2]]], [[rings[3]]], [[rings[0]] * 40]]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(shapes)] + [(9, [])], f"id int, shape {geo.SHAPE.simpleString()}")
+    s = G.once(G.once(df, wkb=geo.to_wkb("shape")), back=geo.from_wkb("wkb"))
+    got = {r["id"]: r for r in s.collect()}
+
+    def polygon(part):
+        return b"\x00" + struct.pack(">II", 3, len(part)) + b"".join(struct.pack(">I", len(r)) + b"".join(struct.pack(">dd", x + 0.0, y + 0.0) for x, y in r) for r in part)
+    for i, shape in enumerate(shapes):
+        want = polygon(shape[0]) if len(shape) == 1 else b"\x00" + struct.pack(">II", 6, len(shape)) + b"".join(map(polygon, shape))
+        assert bytes(got[i]["wkb"]) == want
+        assert [[[tuple(p) for p in r] for r in part] for part in got[i]["back"]] == [[[(x, y) for x, y in r] for r in part] for part in shape]
+    assert got[9]["wkb"] is None and got[9]["back"] is None
