@@ -48,6 +48,9 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert ale
 NOISE = set("""ad ads advert adverts advertisement advertising sponsor sponsored banner promo nav navbar navigation menu breadcrumb breadcrumbs sidebar aside
 masthead footer cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login search social share
 sharing comment comments commentlist respond replies discussion disqus related recommended widget toolbar pagination pager skip""".split())
+#: After a word of NOISE these say that the element is that thing; other words ("share-enabled") describe something else.
+THING = set("""area bar block body box button col container content footer form group header inner item items link links list message notice panel
+region row section slot text thread title toggle unit widget wrap wrapper""".split())
 WHOLE_PAGE = {"html", "body", "main", "article"}
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"'<]|"[^"<]*"|'[^'<]*')*+>|[^>]*(?:>|\Z))""", re.S)
@@ -208,8 +211,10 @@ def left_out(tag: str, names: dict, article: bool) -> bool:
             if token in NOISE and tag != "body":
                 return True
             continue
-        parts = re.split(r"[-_]+", token.strip("-_"))
-        if parts[0] not in ("has", "with", "no", "without", "is") and (parts[-1] in NOISE or parts[0] in NOISE or (not article and "header" in (parts[0], parts[-1]))):
+        parts = [p for p in re.split(r"[-_]+", token) if p and not p.isdigit()]
+        if not parts or parts[0] in ("has", "with", "no", "without", "is"):
+            continue
+        if parts[-1] in NOISE or (parts[0] in NOISE and parts[-1] in THING) or (not article and parts[-1] == "header"):
             return True
     return False
 

@@ -66,6 +66,8 @@ def test_page_rules():
     assert free.texts == ["Some text here that is long", "tail < 3 < 4 <5"]
     assert he.Page("<nav><p>x<div></nav></div><p>kept").texts == ["kept"]
     assert he.Page("<div><nav>never closed</div><p>kept</p>").texts == ["kept"]
+    kept = he.Page('<div class="page share-enabled search-results menu-open ad-free"><p>kept</p><div class="ad-1">x</div><div class="promo_box">x</div><div id="user-comments">x</div></div>')
+    assert kept.texts == ["kept"]
     assert he.Page("").texts == [] == he.Page("<p").texts == he.Page("<!-- <p>x").texts
 
 
