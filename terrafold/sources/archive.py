@@ -13,6 +13,7 @@ import io
 import os
 import posixpath
 import struct
+import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -209,6 +211,8 @@ class ZipMembers(DataSource):
 
 
 def _read(spark: SparkSession, path: str, **options) -> DataFrame:
+    # the worker that plans a data source gets no package of this session, so the classes travel by value
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(ZipMembers)
     return spark.read.format(FORMAT).options(path=path, **{k: str(v) for k, v in options.items()}).load()
 
