@@ -42,3 +42,17 @@ def test_oracle_small_queries(spark):
     for name in ["prefix_map", "area_code", "null_sentinels", "strip_srid", "last_loaded_date",
                  "target_contract_violations", "shape_rejects", "manifest_long_prefixes", "simplify_ladder", "self_intersections"]:
         _check(spark, name)
+
+
+def test_oracle_shapes(spark):
+    for name in ["ring_faults", "polar_areas", "valid_rungs", "great_circle_significance", "large_ring_crossings", "geography_wkb"]:
+        _check(spark, name)
+
+
+def test_oracle_deliveries(spark):
+    for name in ["delivery_ledger", "history_switch", "header_bound_scan"]:
+        _check(spark, name)
+
+
+def test_every_query_names_its_tables():
+    assert set(entry.input_tables()) == set(entry.queries())
