@@ -35,7 +35,7 @@ WORD_ROWS, CHAR_ROWS = 1 << 15, 1 << 15
 WORD_DIM, CHAR_DIM = 4, 4
 DIM = WORD_DIM + CHAR_DIM
 GRAMS = (3, 4, 5)
-EPOCHS, BATCH, RATE = 8, 256, 0.01
+EPOCHS, BATCH, RATE = 12, 256, 0.01
 #: Training windows that repeat one word of a clean text; the hardest quarter is shown in each epoch.
 REPEATS = 4000
 #: Windows that advance together: their states stay in the processor's cache.
