@@ -1,8 +1,8 @@
 """The per-row geometry kernels that built-in expressions cannot state: Douglas-Peucker significance (G6), ring
 crossings (G3), fitting rings (G2) and the first valid rung of the reduction ladder (G7).
 
-All are scalar pandas UDFs: Arrow hands over a batch of rows, each row is
-one shape, and the work per shape is numpy over its own vertices. No
+All are scalar UDFs over Arrow batches of rows, each row one shape. The functions here work on one shape;
+the UDFs call their forms over a whole batch (:mod:`geo_batch`), which fall back on these for large shapes. No
 grouping is involved, so there is no shuffle and no group larger than the
 row that already holds the polygon.
 """
@@ -11,10 +11,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrafold.functions import geo_batch
 from terrafold.functions.geo import EARTH_RADIUS_M
+from terrafold.functions.geo_batch import CROSSED
 from terrafold.functions.geo_rings import ring_crossings, ring_fault, unwrap
 
 SIG_TYPE = T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))
@@ -22,7 +26,6 @@ CROSS_TYPE = T.ArrayType(T.StructType([
     T.StructField("part", T.IntegerType()), T.StructField("ring", T.IntegerType()),
     T.StructField("seg_i", T.IntegerType()), T.StructField("seg_j", T.IntegerType()),
 ]))
-CROSSED = "ring crosses itself"
 
 
 def seg_dist(px, py, ax, ay, bx, by):
@@ -95,16 +98,14 @@ def sphere_significance(lon, lat) -> np.ndarray:
     return split_significance(len(v), lambda lo, hi: arc_dist(v[lo + 1:hi], v[lo], v[hi]))
 
 
-@F.pandas_udf(SIG_TYPE)
-def shape_significance(xs: pd.Series, ys: pd.Series) -> pd.Series:
+@F.arrow_udf(SIG_TYPE)
+def shape_significance(shape: pa.Array) -> pa.Array:
     """Nested significance array, same layout as the shape."""
-    out = []
-    for px, py in zip(xs, ys):
-        if px is None:
-            out.append(None)
-            continue
-        out.append([[sphere_significance(rx, ry) for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
-    return pd.Series(out)
+    s = geo_batch.Shapes.of(shape)
+    got = pa.array(geo_batch.significance(s.x, s.y, s.ring))
+    for starts in (s.ring, s.part):
+        got = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), got)
+    return pa.ListArray.from_arrays(pa.array(s.shape, pa.int32()), got, mask=shape.is_null())
 
 
 @F.pandas_udf(CROSS_TYPE)
@@ -129,10 +130,10 @@ def shape_problem(px, py) -> str | None:
     return ring_fault([[(rx, ry) for rx, ry in zip(pxp, pyp)] for pxp, pyp in zip(px, py)])
 
 
-@F.pandas_udf(T.StringType())
-def shape_fault(xs: pd.Series, ys: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def shape_fault(shape: pa.Array) -> pa.Array:
     """G2/G3 as a decision: why the shape is invalid, or null."""
-    return pd.Series([None if px is None or len(px) == 0 else shape_problem(px, py) for px, py in zip(xs, ys)], dtype=object)
+    return pa.array(geo_batch.problems(geo_batch.Shapes.of(shape)), pa.string())
 
 
 def reduced_rings(px, py, sig, tolerance: float):
@@ -147,15 +148,12 @@ def reduced_rings(px, py, sig, tolerance: float):
     return xs, ys
 
 
-@F.pandas_udf(T.IntegerType())
-def first_valid_rung(xs: pd.Series, ys: pd.Series, sigs: pd.Series, rungs: pd.Series) -> pd.Series:
+@F.arrow_udf(T.IntegerType())
+def first_valid_rung(shape: pa.Array, sig: pa.Array, rungs: pa.Array) -> pa.Array:
     """The first of a shape's tolerances at which its reduced rings are valid, or null."""
-    out = []
-    for px, py, sig, tried in zip(xs, ys, sigs, rungs):
-        level = None
-        for t in () if px is None or tried is None else tried:
-            if shape_problem(*reduced_rings(px, py, sig, float(t))) is None:
-                level = int(t)
-                break
-        out.append(level)
-    return pd.Series(out, dtype="Int32")
+    none = pc.or_(shape.is_null(), sig.is_null())
+    tried = geo_batch.counts_to_starts(pc.if_else(none, 0, rungs.value_lengths()).fill_null(0).to_numpy(zero_copy_only=False))
+    values = pc.if_else(none, None, rungs).flatten().to_numpy(zero_copy_only=False)
+    s = geo_batch.Shapes.of(shape)
+    points = sig.flatten().flatten().flatten().to_numpy(zero_copy_only=False)
+    return pa.array(geo_batch.first_valid(s, points, values, tried), pa.int32())

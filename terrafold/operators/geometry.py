@@ -82,7 +82,7 @@ def area(df: DataFrame, shape: str = "shape", out: str = "area_m2") -> DataFrame
 
 def significance(df: DataFrame, shape: str = "shape", out: str = "sig") -> DataFrame:
     """Per-vertex Douglas-Peucker significance, computed once."""
-    return once(df, **{out: shape_significance(*_axes(shape))})
+    return once(df, **{out: shape_significance(F.col(shape))})
 
 
 def _axes(shape: str):
@@ -102,7 +102,7 @@ def reduce(df: DataFrame, ladder=LADDER, keep_pct: float = KEEP_PCT, shape: str
         tried = ", ".join(f"CASE WHEN 100D * {geo.reduced_area(s, g, f'{float(t)}D')} / nullif(area_m2, 0D) > {float(keep_pct)}D "
                           f"THEN {float(t)}D END" for t in ladder)
         df = once(df, _tried=f"filter(array({tried}), t_ -> t_ IS NOT NULL)")
-        df = once(df, reduced_level=F.coalesce(first_valid_rung(*_axes(shape), F.col(sig), F.col("_tried")), F.lit(UNREDUCED_LEVEL))).drop("_tried")
+        df = once(df, reduced_level=F.coalesce(first_valid_rung(F.col(shape), F.col(sig), F.col("_tried")), F.lit(UNREDUCED_LEVEL))).drop("_tried")
     else:
         df = df.withColumn("reduced_level", F.lit(UNREDUCED_LEVEL))
     reduced = (f"CASE WHEN reduced_level = {UNREDUCED_LEVEL} THEN {s} "
@@ -187,9 +187,8 @@ def outcomes(df: DataFrame, wkt: str = "geoloc", ladder=LADDER, keep_pct: float
     parsed = once(parsed, _text_problem=geo.wkt_problem(col(wkt), "_raw"))
     rich = once(parsed, _rich=geo.clean_rich("CASE WHEN _text_problem IS NULL THEN _raw END")).drop("_raw")
     flat = rich.withColumn("_shape", F.expr(geo.plain("_rich"))).withColumn("area_m2", F.expr(geo.rich_area("_rich"))).drop("_rich")
-    x, y = _axes("_shape")
     # one Python stage for both kernels
-    done = once(flat, _sig=shape_significance(x, y), _fault=shape_fault(x, y))
+    done = once(flat, _sig=shape_significance(F.col("_shape")), _fault=shape_fault(F.col("_shape")))
     problem = F.coalesce("_text_problem", F.when(F.size("_shape") == 0, "empty after cleaning"), "_fault")
     done = done.withColumn("problem", problem).drop("_text_problem", "_fault")
     # an invalid shape has no area to keep, hence no rung
