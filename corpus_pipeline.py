@@ -42,8 +42,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near-duplicates among these documents. Links are those of the
-    texts in ``documents``: the line stage has taken from later copies the lines that they share with earlier ones."""
+    """One document, that of the least id, of each group of near-duplicates among these documents. Linked are the texts that
+    the stage is given, and beside them those that ``documents`` has for the same ids: the line stage has taken from later
+    copies the lines that they share with earlier ones, and may have made texts alike that were not."""
     _prepare(spark)
     return neardup.without_near_copies(docs.select(*COLUMNS), table(spark, sf_dir, "documents"), n=5, num=80, den=100, bands=40, rows=6)
 

@@ -150,7 +150,8 @@ def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bands: int = 40, rows: int = 6,
                     keep: tuple[str, ...] = (), among: DataFrame | None = None) -> DataFrame:
     """``docs`` (doc_id long, text; other columns are ignored but for ``keep``) -> one row per document row:
-    doc_id, n_shingles, component_id, kept, and the columns ``keep``. With ``among`` (doc_id) only rows with one of its ids take part.
+    doc_id, n_shingles, component_id, kept, and the columns ``keep``. With ``among`` (doc_id and any columns of ``keep``) only rows that
+    equal one of its rows in these columns, nulls alike, take part.
 
     Links join documents whose ``n``-word shingle sets have den * |both| >= num * |either|.
     component_id is the least doc_id reachable, kept tells whether it is the row's own.
@@ -162,7 +163,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     signed = src.mapInArrow(_signer(n, bands, rows, tuple(keep)), "doc_id long, n_shingles long, set_id long, bands array<long>, bits array<long>, odd array<long>" + kinds)
     if among is not None:  # the signatures meet the ids, not the texts
-        signed = signed.join(among.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        those = among.distinct().alias("those")
+        signed = signed.alias("all").join(those, [F.col(f"all.{c}").eqNullSafe(F.col(f"those.{c}")) for c in among.columns], "left_semi")
     signed = written(signed, "minhash")
     least = (signed.where("set_id is not null").groupBy("set_id", "n_shingles").agg(F.min("doc_id").alias("least_id")))
     # one row per class: the bands depend on the set alone, so any row of the class has them
@@ -239,8 +241,8 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
 def without_near_copies(docs: DataFrame, originals: DataFrame | None = None, **options) -> DataFrame:
     """Rows of ``docs`` (doc_id, text and any columns), all columns, without near copies of a row with a smaller id.
 
-    With ``originals`` (doc_id, text) the links are those of the texts that ``originals`` gives for the ids of ``docs``: stages before may have
-    taken from a copy what made it one. An id that ``originals`` lacks or repeats links by its own text in ``docs``. Rows are told
+    With ``originals`` (doc_id, text) each row links by its own text and also by the one that ``originals`` gives for its id: stages before
+    may have taken from a copy what made it one. An id that ``originals`` lacks or repeats links by its own text only. Rows are told
     apart by id and text: of rows that share an id, only those that are copies go. Rows that repeat the least id of their group in full all
     stay; rows of null id go where their group has an id, else stay; null and empty texts stay. An empty table gives no rows."""
     id_, mark = free(docs, "id"), free(docs, "mark")
@@ -249,17 +251,12 @@ def without_near_copies(docs: DataFrame, originals: DataFrame | None = None, **o
     if originals is None:
         links = near_duplicates(one(docs), keep=("mark",), **options)
     else:
-        ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-        known = written(originals.groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("doc_id is not null and count = 1")
-                        .select("doc_id").join(ids, "doc_id", "left_semi"), "originals")
-        own = ids.join(known, ids["doc_id"].eqNullSafe(known["doc_id"]), "left_anti")
-        source = one(originals).withColumn("mark", F.lit(None).cast("long"))
-        among = known
-        if not own.isEmpty():
-            mine = one(docs)
-            mine = mine.join(known, mine["doc_id"].eqNullSafe(known["doc_id"]), "left_anti")
-            theirs = source.join(known, "doc_id", "left_semi")
-            source, among = theirs.unionByName(mine), None
+        mine = one(docs)
+        none = F.lit(None).cast("long").alias("mark")  # the mark of an original
+        known = (originals.groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("doc_id is not null and count = 1")
+                 .select("doc_id").join(mine, "doc_id", "left_semi"))
+        among = written(known.select("doc_id", none).unionByName(mine.select("doc_id", "mark")), "originals")
+        source = one(originals).withColumn("mark", none).unionByName(mine)
         links = near_duplicates(source, keep=("mark",), among=among, **options)
     gone = written(links.where(~F.col("kept")).select(F.col("doc_id").alias(id_), F.col("mark").alias(mark)).distinct(), "near-copies")
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (row.eqNullSafe(F.col(mark)) if originals is None else F.coalesce(row == F.col(mark), F.lit(True)))

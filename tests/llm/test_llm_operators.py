@@ -583,6 +583,23 @@ def test_near_copies_are_told_by_the_texts_before_line_dedup(spark):
     assert {r["doc_id"] for r in neardup.without_near_copies(after, before.unionByName(before.where("doc_id = 2"))).collect()} == {1, 2, 3, 4}
     assert {r["doc_id"] for r in neardup.without_near_copies(after.where("doc_id > 1"), before).collect()} == {2, 3, 4}
 
+def test_the_near_copy_stage_judges_the_texts_that_the_line_stage_hands_on(spark, tmp_path):
+    """Texts that become alike in the line stage are copies for the next one; so are those that were alike before."""
+    import corpus_pipeline
+
+    lines = lambda tag, n: [f"{tag} line {i} with words {i * 7} and {i * 13} of {tag} only" for i in range(n)]
+    body = " ".join(f"body{i}" for i in range(80))
+    before = [(1, "\n".join(lines("first", 30))), (2, "\n".join(lines("second", 30))), (3, "\n".join(lines("first", 30) + [body])),
+              (4, "\n".join(lines("second", 30) + [body + " end"])), (5, "\n".join(lines("first", 29) + ["a last line of its own kind"])),
+              (6, "nothing in common with any other document of this small table")]
+    docs(spark, before).write.parquet(f"{tmp_path}/documents.parquet")
+    d = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    handed = corpus_pipeline.drop_repeated_lines(spark, d, str(tmp_path))
+    left = {r["doc_id"]: r["text"] for r in handed.collect()}
+    assert left[3] == body and left[4] == body + " end" and left[5] == "a last line of its own kind"
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_near_duplicates(spark, handed, str(tmp_path)).collect()}
+    assert got == {k: left[k] for k in (1, 2, 6)} | ({3: left[3]} if 3 in got else {}) and 4 not in got and 5 not in got
+
 
 def test_without_leaks_keeps_columns_named_like_helpers(spark):
     bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog and runs far away into the deep dark forest")], "item_id long, text string")
