@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrafold.operators import curate, geometry, landing, publish, stage
 from terrafold.plans import derive
-from terrafold.session import apply_job_conf, scratch
+from terrafold.session import apply_job_conf, scratch, tasks_for
 from terrafold.sources.contract import NEIGHBORHOODS_RAW, NEIGHBORHOODS_STAGE
 from terrafold.sources.delimited import scan_landing
 
@@ -99,7 +99,7 @@ def build_shapes(spark: SparkSession, landed: DataFrame, shape_path: str, typed_
     everything as it was if a key is duplicate or NULL."""
     ok, untyped = publish.split_violations(landed, publish.TYPED_RULES)
     path = scratch(spark, "outcomes")
-    geometry.outcomes(ok).write.parquet(path)
+    geometry.outcomes(ok, partitions=tasks_for(ok)).write.parquet(path)
     table, rejects = geometry.split_outcomes(spark.read.parquet(path))
     geometry.check_keys(table)
     table.select(*[c for c in geometry.SHAPE_COLUMNS if c in table.columns]).write.mode("overwrite").parquet(shape_path)

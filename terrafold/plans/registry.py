@@ -347,16 +347,16 @@ def _published(spark: SparkSession, sf_dir: str):
     table = f"tf_publish.neighborhoods_landing_{uuid.uuid4().hex[:8]}"
     spark.sql(LANDING_DDL.format(table=table, location=scratch(spark, "publish")))
     publish.load_table(ok, table)
-    return ok, table
+    return curated, ok, table
 
 
 def q_publish_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _ok, table = _published(spark, sf_dir)
+    _curated, _ok, table = _published(spark, sf_dir)
     return _decimals_to_double(spark.table(table).drop("created_datetime"))
 
 
 def q_publish_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok, table = _published(spark, sf_dir)
+    _curated, ok, table = _published(spark, sf_dir)
     src = ok.agg(F.count(F.lit(1)).alias("n")).select(F.lit("source").alias("side"), "n")
     tgt = spark.table(table).agg(F.count(F.lit(1)).alias("n")).select(F.lit("target").alias("side"), "n")
     return src.unionByName(tgt).agg(
@@ -366,9 +366,9 @@ def q_publish_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_publish_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract check, load, typed check, shapes, key gate and staging clean-up in one go (P1-P5, G1-G12): what came of the rows."""
-    _ok, table = _published(spark, sf_dir)
+    curated, _ok, table = _published(spark, sf_dir)
     path = scratch(spark, "flow")
-    out = flows.publish_and_shape(spark, flows.curated_customers(spark, sf_dir), table, path)
+    out = flows.publish_and_shape(spark, curated, table, path)
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
     left = F.lit(int(spark.catalog.tableExists(table))).cast("long")
     got = count(out.shapes, "shapes").unionByName(count(out.typed_rejects, "typed_rejects")).unionByName(count(out.shape_rejects, "shape_rejects"))
@@ -378,7 +378,7 @@ def q_publish_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed rows that meet the typed contract, typed, with the parts of their shape (P5)."""
-    _ok, table = _published(spark, sf_dir)
+    _curated, _ok, table = _published(spark, sf_dir)
     ok, _rejects = publish.split_violations(spark.table(table), publish.TYPED_RULES)
     typed = publish.typed(ok).withColumn("n_parts", F.size("shape")).drop("created_datetime", "shape")
     return _decimals_to_double(typed)
