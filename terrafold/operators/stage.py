@@ -74,12 +74,14 @@ def split(df: DataFrame, bad: str = BAD, storage: StorageLevel = StorageLevel.ME
     return good, bad_rows, (parsed if strategy == "persist" else None)
 
 
-def write_history(df: DataFrame, path: str, by: str = "load_date", compression: str = "snappy", observe=()) -> None:
+def write_history(df: DataFrame, path: str, by: str = "load_date", compression: str = "snappy", observe=(), gather: bool = True) -> None:
     """ORC history partitioned by load date. Dynamic overwrite
     replaces only the dates present in ``df``; other dates stay. The rebalance
-    gathers a date's rows into few files; AQE splits a large date. ``observe`` (an
+    gathers a date's rows into few files; AQE splits a large date. Rows of one given date (``gather`` false) make
+    a file per task without it, and need no shuffle. ``observe`` (an
     observation and its metrics) sits above it: AQE drops what is below an empty shuffle."""
-    df = df.hint("rebalance", by)
+    if gather:
+        df = df.hint("rebalance", by)
     if observe:
         df = df.observe(*observe)
     (df.write.mode("overwrite")
@@ -118,13 +120,18 @@ def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str
     to have no good row is removed from the history, so withdrawn rows do not
     stay (S13). Bad rows are counted even where no sink is given.
 
+    With the strategy ``once`` the text is parsed once: see :func:`_once`; the others are those of :func:`split`.
+
     Row counts are observed while the sinks write (``DataFrame.observe``),
     so counting costs no extra pass."""
     stamped = stamp(parsed, load_date, labels=labels, contract=contract, bad=bad, run_date=run_date)
+    days = sorted({str(d) for d in reload_dates})
+    if strategy == "once":
+        counts, per_day = _once(spark, stamped, history_path, bad_path, bad, bad_by, days, gather=load_date is None)
+        return _settled(spark, history_path, bad_path, table, counts, per_day)
     good, bad_rows, cached = split(stamped, bad, bad_by=bad_by, strategy=strategy)
     tag = uuid.uuid4().hex[:8]  # observation names must not collide across concurrent jobs
     good_obs, bad_obs = Observation(f"stage_good_{tag}"), Observation(f"stage_bad_{tag}")
-    days = sorted({str(d) for d in reload_dates})
     counts = [F.count(F.lit(1)).alias("n"),
               *[F.count_if(F.col("load_date") == F.lit(d).cast("date")).alias(f"d{i}") for i, d in enumerate(days)]]
     bad_rows = bad_rows.observe(bad_obs, F.count(F.lit(1)).alias("n"))
@@ -134,22 +141,58 @@ def run(spark: SparkSession, parsed: DataFrame, history_path: str, bad_path: str
         else:  # parsed at full width and counted, kept nowhere
             bad_rows.write.format("noop").mode("overwrite").save()
         n_bad = bad_obs.get.get("n", 0)
-        write_history(good, history_path, observe=(good_obs, *counts))
+        write_history(good, history_path, observe=(good_obs, *counts), gather=load_date is None)
     finally:
         if cached is not None:
             cached.unpersist()
-    if n_bad and not bad_path:
-        log.warning("%d malformed lines and no folder to keep them in", n_bad)
     per_day = {d: good_obs.get.get(f"d{i}", 0) for i, d in enumerate(days)}
+    return _settled(spark, history_path, bad_path, table, {"good": good_obs.get.get("n", 0), "bad": n_bad}, per_day)
+
+
+def _settled(spark: SparkSession, history_path: str, bad_path: str | None, table: str | None, counts: dict, per_day: dict) -> dict:
+    """What follows the writes: dates without a good row go from the history, the others into the catalog."""
+    if counts["bad"] and not bad_path:
+        log.warning("%d malformed lines and no folder to keep them in", counts["bad"])
     for d, n in per_day.items():
         if not n:
             _remove(spark, f"{history_path}/load_date={d}")
             if table:
                 spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (load_date = DATE '{d}')")
     if table:
-        known = sum(per_day.values()) == good_obs.get.get("n", 0)  # else rows took the run's date
+        known = sum(per_day.values()) == counts["good"]  # else rows took the run's date
         register(spark, table, [d for d, n in per_day.items() if n] if known else None)
-    return {"good": good_obs.get.get("n", 0), "bad": n_bad}
+    return counts
+
+
+def _once(spark: SparkSession, stamped: DataFrame, history_path: str, bad_path: str | None, bad: str, bad_by: str | None, days: list[str], gather: bool):
+    """S10-S13 with one pass over the text, for lines that are dear to parse. One job writes good and bad rows apart, into a hidden folder of
+    the history; the bad lines go on to their sink, then the folders of the dates are put in place, as a dynamic overwrite does.
+    The files of the history hold the (empty) bad column, too. Returns the counts, and the good rows by day."""
+    run_path = f"{history_path}/_run-{uuid.uuid4().hex[:12]}"
+    is_bad = F.col(bad).isNotNull()
+    seen = Observation(f"stage_{uuid.uuid4().hex[:8]}")
+    both = stamped.withColumn("outcome", F.when(is_bad, "bad").otherwise("good"))
+    if gather:
+        both = both.hint("rebalance", "outcome", "load_date")
+    both = both.observe(seen, F.count_if(~is_bad).alias("good"), F.count_if(is_bad).alias("bad"),
+                        *[F.count_if(~is_bad & (F.col("load_date") == F.lit(d).cast("date"))).alias(f"d{i}") for i, d in enumerate(days)])
+    both.write.option("compression", "snappy").partitionBy("outcome", "load_date").orc(run_path)
+    counts = {"good": seen.get.get("good", 0), "bad": seen.get.get("bad", 0)}
+    if bad_path:
+        write_bad(_bad_lines(spark, f"{run_path}/outcome=bad", bad, bad_by, counts["bad"]), bad_path, by=bad_by)
+    for name in _names(spark, f"{run_path}/outcome=good"):
+        if name.startswith("load_date="):
+            _remove(spark, f"{history_path}/{name}")
+            _move(spark, f"{run_path}/outcome=good/{name}", f"{history_path}/{name}")
+    _remove(spark, run_path)
+    return counts, {d: seen.get.get(f"d{i}", 0) for i, d in enumerate(days)}
+
+
+def _bad_lines(spark: SparkSession, folder: str, bad: str, bad_by: str | None, count: int) -> DataFrame:
+    names = [bad, *([bad_by] if bad_by else [])]
+    fields = ", ".join(f"`{n}` string" for n in names)
+    lines = spark.read.schema(fields).orc(folder) if count else spark.createDataFrame([], fields)
+    return lines.select(*names)
 
 
 def reload(spark: SparkSession, parsed: DataFrame, table: str, runs: str, bad_path: str | None = None, load_date=None, labels=(),
@@ -173,10 +216,7 @@ def reload(spark: SparkSession, parsed: DataFrame, table: str, runs: str, bad_pa
     both.write.option("compression", "snappy").partitionBy("outcome", "load_date").orc(run_path)
     counts = {"good": seen.get.get("good", 0), "bad": seen.get.get("bad", 0)}
     if bad_path:
-        names = [bad, *([bad_by] if bad_by else [])]
-        fields = ", ".join(f"`{n}` string" for n in names)
-        lines = spark.read.schema(fields).orc(f"{run_path}/outcome=bad") if counts["bad"] else spark.createDataFrame([], fields)
-        write_bad(lines.select(*names), bad_path, by=bad_by)
+        write_bad(_bad_lines(spark, f"{run_path}/outcome=bad", bad, bad_by, counts["bad"]), bad_path, by=bad_by)
     elif counts["bad"]:
         log.warning("%d malformed lines and no folder to keep them in", counts["bad"])
     switch(spark, table, f"{run_path}/outcome=good", days)
@@ -205,3 +245,10 @@ def _remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder on whatever file system it is on; nothing if it is not there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _move(spark: SparkSession, folder: str, to: str) -> None:
+    """Rename a folder within its file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    if not path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).rename(path(folder), path(to)):
+        raise OSError(f"{folder} could not be moved to {to}")

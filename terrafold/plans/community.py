@@ -21,9 +21,9 @@ PREFIX = "community"
 def stage_community(spark: SparkSession, raw_root: str, contract: T.StructType, history: str,
                     bad: str | None = None, days=None, load_date=None) -> dict:
     """Stage job: contracted scan of the landed drop(s), stamp (no lineage
-    labels for this product), good/bad split, history by load date."""
+    labels for this product), good/bad split in one pass over the wide lines, history by load date."""
     parsed = scan_landing(spark, f"{raw_root}/product={PRODUCT}", contract, prefix=PREFIX, dates=days)
-    return stage.run(spark, parsed, history, bad, load_date=load_date, contract=contract)
+    return stage.run(spark, parsed, history, bad, load_date=load_date, contract=contract, strategy="once")
 
 
 def curate_community(spark: SparkSession, history: str, contract: T.StructType, out: str | None = None,

@@ -21,6 +21,9 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows bound for a few folders are written as they come; without this each task sorts its rows first,
+    # which for wide rows means spilling them. Beyond so many folders at once a task sorts the rest.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Arrow batches for the geometry UDFs are bounded by bytes, not only by
     # row count: 10,000 large polygons must not land in one Python batch.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
