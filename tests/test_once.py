@@ -44,3 +44,17 @@ def test_wide_lines_are_parsed_once_and_never_shuffled(spark, tmp_path):
         community.scan_landing = read
     assert counts == {"good": 36, "bad": 4} and parses.value == 40
     assert spark.read.text(f"{tmp_path}/bad").count() == 4 and spark.read.orc(f"{tmp_path}/h").count() == 36
+
+
+def test_the_flow_and_the_key_check_build_their_rows_once(spark, monkeypatch):
+    from terrafold.plans import boundaries, registry
+    from tests.conftest import SF
+
+    staged, shaped = [], []
+    stage_, outcomes = boundaries.staged_customers, registry.geometry.outcomes
+    monkeypatch.setattr(boundaries, "staged_customers", lambda *a, **k: (staged.append(1), stage_(*a, **k))[1])
+    monkeypatch.setattr(registry.geometry, "outcomes", lambda *a, **k: (shaped.append(k.get("partitions") or a[-1]), outcomes(*a, **k))[1])
+    registry.q_publish_flow(spark, SF)
+    assert len(staged) == 1 and len(shaped) == 1 and shaped[0]  # a small landing table is spread over the cores
+    plan = registry.q_key_violations(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "shape_fault" not in plan
