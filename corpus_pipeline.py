@@ -42,11 +42,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near-duplicates among these documents. Linked are the texts that
-    the stage is given, and beside them those that ``documents`` has for the same ids: the line stage has taken from later
-    copies the lines that they share with earlier ones, and may have made texts alike that were not."""
+    """One document, that of the least id, of each group of near-duplicates among these documents: first by the texts that the
+    stage is given, as the line stage may have made texts alike that were not, then, among what is left, by those that
+    ``documents`` has for the same ids, as it has taken from later copies the lines that they share with earlier ones."""
     _prepare(spark)
-    return neardup.without_near_copies(docs.select(*COLUMNS), table(spark, sf_dir, "documents"), n=5, num=80, den=100, bands=40, rows=6)
+    near = {"n": 5, "num": 80, "den": 100, "bands": 40, "rows": 6}
+    left = written(neardup.without_near_copies(docs.select(*COLUMNS), **near), "near-copies-left")
+    return neardup.without_near_copies(left, table(spark, sf_dir, "documents"), **near)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
