@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from terrafold.llm.components import connected_components
-from terrafold.llm.textops import Bloom, blocks, free, hash_strings, mix, powers, windows, words, written
+from terrafold.llm.textops import Bloom, blocks, dealt, free, hash_strings, mix, powers, windows, words, written
 
 #: Cells of the odd sketch.
 CELLS = 2048
@@ -135,16 +135,17 @@ def _list(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offs, col.values.to_numpy(zero_copy_only=False)
 
 
-def _open(met: DataFrame, part: DataFrame) -> DataFrame:
-    """(key, node, component) of the buckets that hold more than one component."""
-    both = met.select("key", "node").join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _open(met: DataFrame, part: DataFrame, rows: int) -> DataFrame:
+    """(key, node, component) of the buckets that hold more than one component; ``met`` has ``rows`` rows."""
+    both = dealt(met.select("key", "node").join(part, "node", "left"), rows).withColumn("component", F.coalesce("component", "node"))
     mixed = both.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    return both.join(mixed, "key")
+    return written(dealt(both.join(mixed, "key"), rows), "minhash")
 
 
-def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
+def _merged(part: DataFrame, links: DataFrame, rows: int) -> DataFrame:
     """Components after more links: each node's link to its component stands for all its links so far."""
-    return written(connected_components(part.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)), "minhash")
+    links = part.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(links)
+    return written(dealt(connected_components(links), rows), "minhash")
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, bands: int = 40, rows: int = 6,
@@ -169,11 +170,16 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     buckets = signed.where("set_id is not null").select(F.col("set_id").alias("node"), F.explode("bands").alias("key")).distinct()
     pivots = (buckets.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("p"), F.count(F.lit(1)).alias("c"))
               .where("c > 1").select("key", F.col("p").bitwiseXOR(F.col("key")).alias("pivot")))
-    met = written(buckets.join(pivots, "key"), "minhash")
-    involved = met.select("node").distinct()
-    bits = written(signed.select(F.col("set_id").alias("node"), "n_shingles", "bits", "odd", "bands", "doc_id").join(involved, "node")
-                   .groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("odd").alias("odd"),
-                                        F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id")), "minhash")
+    met = written(dealt(buckets.join(pivots, "key"), signed.count()), "minhash")
+    rows_met = met.count()  # no table of classes or their buckets below has more rows
+
+    def few(df: DataFrame) -> DataFrame:
+        return dealt(df, rows_met)
+
+    involved = few(met.select("node").distinct())
+    bits = written(few(signed.select(F.col("set_id").alias("node"), "n_shingles", "bits", "odd", "bands", "doc_id").join(involved, "node")
+                       .groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"), F.first("odd").alias("odd"),
+                                            F.first("bands").alias("bands"), F.min("doc_id").alias("doc_id"))), "minhash")
     total = bands * rows
     agree = total * (1 + num / den) / 2
     floor = math.floor(agree - 3.5 * math.sqrt(agree * (1 - agree / total)))
@@ -184,48 +190,50 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     close = (f"{den} * least(a.n, b.n) >= {num} * greatest(a.n, b.n) and {differ} <= {total - floor} "
              f"and {den} * (a.n + b.n - ({apart})) >= {num} * (a.n + b.n + ({apart}))")
     bloom = Bloom.of(bits.where("doc_id is not null"), Bloom.position("doc_id"))
-    sets = written(src.withColumn("pos", Bloom.position("doc_id")).mapInArrow(_sets(n, bloom), "node long, items array<long>")
-                   .join(involved, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "minhash")
+    sets = written(few(src.withColumn("pos", Bloom.position("doc_id")).mapInArrow(_sets(n, bloom), "node long, items array<long>")
+                       .join(involved, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items"))), "minhash")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs (u, v, n_u, n_v) that reach the threshold on their full sets."""
-        full = (pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("left_items")), "u")
-                .join(sets.select(F.col("node").alias("v"), F.col("items").alias("right_items")), "v"))
+        full = few(pairs.join(sets.select(F.col("node").alias("u"), F.col("items").alias("left_items")), "u"))
+        full = few(full.join(sets.select(F.col("node").alias("v"), F.col("items").alias("right_items")), "v"))
         got = full.select("u", "v", "n_u", "n_v", "left_items", "right_items").mapInArrow(_common, "u long, v long, n_u long, n_v long, n_both long")
         return got.where(f"{den} * n_both >= {num} * (n_u + n_v - n_both)").select("u", "v")
 
-    star = met.where("node <> pivot").select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
-    star = (star.join(bits.alias("a"), F.col("u") == F.col("a.node")).join(bits.alias("b"), F.col("v") == F.col("b.node"))
-            .where(close).select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v"), F.expr(differ).alias("far")))
+    def judged(pairs: DataFrame) -> DataFrame:
+        """Pairs (u, v) that pass the tests on sizes, bits and odd sketches."""
+        got = few(few(pairs).join(bits.alias("a"), F.col("u") == F.col("a.node")))
+        got = few(got.join(bits.alias("b"), F.col("v") == F.col("b.node")).where(close))
+        return got.select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v"), F.expr(differ).alias("far"))
+
+    star = judged(met.where("node <> pivot").select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct())
     nearest = Window.partitionBy("u").orderBy("far", "v")
-    first = written(confirmed(star.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= FIRST_CHECKS)), "links")
-    part = written(connected_components(first), "minhash")
-    open_ = written(_open(met, part), "minhash")
+    first = written(confirmed(few(star.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= FIRST_CHECKS))), "links")
+    part = written(few(connected_components(first)), "minhash")
+    open_ = _open(met, part, rows_met)
     for _ in range(HUB_ROUNDS):
         largest = open_.groupBy("key").count().agg(F.max("count")).first()[0]
         if (largest or 0) <= OPEN_MEMBERS:
             break
         # members of all open buckets meet the one with the most links so far, if it is in another component
-        degree = first.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d"))
-        ranked = open_.join(degree, "node", "left").select("key", "node", "component", F.struct(F.coalesce("d", F.lit(0)).alias("d"), "node", "component").alias("h"))
-        hubs = ranked.groupBy("key").agg(F.max("h").alias("h")).select("key", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component"))
-        meet = open_.join(hubs, "key").where("component <> hub_component")
+        degree = few(first.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("d")))
+        ranked = few(open_.join(degree, "node", "left")).select("key", "node", "component", F.struct(F.coalesce("d", F.lit(0)).alias("d"), "node", "component").alias("h"))
+        hubs = few(ranked.groupBy("key").agg(F.max("h").alias("h"))).select("key", F.col("h.node").alias("hub"), F.col("h.component").alias("hub_component"))
+        meet = few(open_.join(hubs, "key").where("component <> hub_component"))
         meet = meet.select(F.greatest("node", "hub").alias("u"), F.least("node", "hub").alias("v")).distinct()
-        meet = (meet.join(bits.alias("a"), F.col("u") == F.col("a.node")).join(bits.alias("b"), F.col("v") == F.col("b.node"))
-                .where(close).select("u", "v", F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")))
-        more = written(confirmed(meet), "links")
+        more = written(confirmed(judged(meet)), "links")
         if more.isEmpty():
             break
         first = first.unionByName(more)
-        part = _merged(part, more)
-        open_ = written(_open(met, part), "minhash")
+        part = _merged(part, more, rows_met)
+        open_ = _open(met, part, rows_met)
     # what pivots and hubs did not settle: members of one bucket in different components, each pair in its first common bucket only
-    open_ = written(open_.join(bits, "node").select("key", "node", "component", "n", "bits", "odd", "bands"), "minhash")
+    open_ = written(few(open_.join(bits, "node")).select("key", "node", "component", "n", "bits", "odd", "bands"), "minhash")
     once = "get(filter(zip_with(a.bands, b.bands, (x, y) -> CASE WHEN x = y THEN x END), z -> z IS NOT NULL), 0) = a.key"
     rest = (open_.alias("a").join(open_.alias("b"), F.expr(f"a.key = b.key and a.node > b.node and a.component <> b.component and {close} and {once}"))
             .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n_u"), F.col("b.n").alias("n_v")))
     more = written(confirmed(rest), "links")
-    comp = part if more.isEmpty() else _merged(part, more)
+    comp = part if more.isEmpty() else _merged(part, more, rows_met)
     label = (least.select(F.col("set_id").alias("node"), "least_id").join(comp, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
     low = label.groupBy("component").agg(F.min("least_id").alias("component_id"))

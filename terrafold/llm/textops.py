@@ -18,6 +18,8 @@ from terrafold.session import scratch
 BLOCK_BYTES = 1 << 20
 #: Rows of an Arrow batch on its way to Python: long before its texts fill a block many times over.
 BATCH_ROWS = 1000
+#: Narrow rows that are worth a task of their own.
+TASK_ROWS = 1 << 14
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BYTE = np.random.default_rng(20240101).integers(1, 2**63, 256, dtype=np.uint64)
@@ -35,6 +37,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` over as many tasks as ``rows`` rows are worth, one for each core at least, however many partitions the shuffle before has:
+    what each task costs besides its rows would exceed the work. No rows are moved, and more partitions are never made."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS)))
+
+
 def free(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not use."""
     taken = {c.lower() for c in df.columns}

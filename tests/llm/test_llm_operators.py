@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from terrafold.llm import components, decontaminate, langid, licenses, linededup, mixing, neardup, secrets, topk, toxicity, url_rules
+from terrafold.llm import components, decontaminate, langid, licenses, linededup, mixing, neardup, secrets, textops, topk, toxicity, url_rules
 from terrafold.llm.queries import URL_PATTERNS, URL_RULES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, extra string, score string, size int, key string, path string"
@@ -48,6 +48,52 @@ def test_components_match_union_find(spark):
     assert components.connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("rows", [1 << 14, 40])
+def test_components_of_long_chains(spark, monkeypatch, rows):
+    monkeypatch.setattr(components, "TASK_ROWS", rows)
+    made = []
+    monkeypatch.setattr(components, "written", lambda df, name: made.append(name) or textops.written(df, name))
+    rng = random.Random(2)
+    edges = [(c * 1000 + i, c * 1000 + i + 1) for c in range(3) for i in range(100)] + [(7, 7), (None, 8), (1100, 2000), (1100, 2000)]
+    rng.shuffle(edges)
+    got = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {c * 1000 + i: 1000 if c == 2 else c * 1000 for c in range(3) for i in range(101)}
+    assert rows == 40 or len(made) == 3  # in one task: the edges, their stars and the round that finds nothing to change
+    words_ = {r["node"]: r["component"] for r in components.connected_components(spark.createDataFrame([("b", "c"), ("c", "a")], "u string, v string")).collect()}
+    assert words_ == {"a": "a", "b": "a", "c": "a"}
+
+
+def test_near_duplicates_make_no_more_tasks_than_rows_are_worth(spark, monkeypatch):
+    made = {}
+
+    def written(df, name):
+        out = textops.written(df, name)
+        made.setdefault(name, []).append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(neardup, "written", written)
+    monkeypatch.setattr(components, "written", written)
+    rng = random.Random(6)
+    base = [[f"w{k}x{i}" for i in range(120)] for k in range(60)]
+    rows = []
+    for i in range(240):
+        t = list(base[i % 60])
+        t[rng.randrange(120)] = f"y{i}"
+        rows.append((i, " ".join(t)))
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got = neardup.near_duplicates(docs(spark, rows), n=3, num=85, den=100, bands=40, rows=8).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted([tuple(r) for r in got], key=str) == brute_near(rows, 3, 85, 100)
+    cores = spark.sparkContext.defaultParallelism
+    assert max(made["cc"]) <= cores and max(made["links"]) <= cores and max(made["minhash"]) <= cores
+
+
 def brute_near(rows, n, num, den):
     sets = []
     for _, t in rows:
