@@ -170,7 +170,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100,
     buckets = signed.where("set_id is not null").select(F.col("set_id").alias("node"), F.explode("bands").alias("key")).distinct()
     pivots = (buckets.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("p"), F.count(F.lit(1)).alias("c"))
               .where("c > 1").select("key", F.col("p").bitwiseXOR(F.col("key")).alias("pivot")))
-    met = written(dealt(buckets.join(pivots, "key"), signed.count()), "minhash")
+    met = written(dealt(buckets.join(pivots, "key"), bands * signed.count()), "minhash")
     rows_met = met.count()  # no table of classes or their buckets below has more rows
 
     def few(df: DataFrame) -> DataFrame:
